@@ -149,16 +149,19 @@ def parse_commit(c: Column | str) -> Column:
 
 # PRJ-6 ---------------------------------------------------------------------------------------
 def batch_folder(batch: Column | str) -> Column:
-    """In-day batch folder name: 3 -> ``0300``, 12 -> ``1200``, 100 -> ``10000``."""
-    return F.format_string(BATCH_FORMAT, _c(batch))
+    """In-day batch folder name: 3 -> ``0300``, 12 -> ``1200``, 100 -> ``10000``; null -> null."""
+    b = _c(batch)
+    return F.when(b.isNotNull(), F.format_string(BATCH_FORMAT, b))
 
 
 def batch_path(date: Column | str, batch: Column | str) -> Column:
-    return F.concat_ws("/", _c(date), batch_folder(batch))
+    """``{date}/{bb}00`` (null when either part is null)."""
+    return F.concat(_c(date), F.lit("/"), batch_folder(batch))
 
 
 def commit_point(date: Column | str, batch: Column | str, batch_time_ms: Column | str) -> Column:
-    return F.concat_ws("/", _c(date), batch_folder(batch), _c(batch_time_ms).cast("string"))
+    """``{date}/{bb}00/{ms}`` (null when any part is null)."""
+    return F.concat(_c(date), F.lit("/"), batch_folder(batch), F.lit("/"), _c(batch_time_ms).cast("string"))
 
 
 # PRJ-7 ---------------------------------------------------------------------------------------

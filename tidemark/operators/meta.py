@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import next_day, parse_commit
 from tidemark.operators.asof import asof_join
+from tidemark.operators.enrich import enrich
 
 MISSING = ""
 
@@ -62,7 +63,9 @@ def sync_at(probes: DataFrame, history: DataFrame, proc: str = "proc", probe_tim
     if upstreams is None:
         fan = probes.withColumn("_ds", F.col(proc))
     else:
-        fan = probes.join(upstreams.select(F.col(proc).alias(proc), F.col(ds).alias("_ds")), on=proc, how="left")
+        # upstream lists are metadata: broadcast after a size check, so all probes of one processor
+        # (a single key value) are fanned out map-side instead of in one shuffle partition
+        fan = enrich(probes, upstreams.select(F.col(proc).alias(proc), F.col(ds).alias("_ds")), on=proc, how="left")
     hist = history.select(F.col(ds).alias("_ds"), F.col(value).alias("_v"), F.col(updated_at).alias("_u"),
                           *[F.col(c) for c in (tiebreak or [])])
     matched = asof_join(fan, hist, by=["_ds"], probe_time=probe_time, hist_time="_u", values=["_v"],

@@ -82,6 +82,203 @@ rec AS (
 SELECT proc, batch_time, trace, CAST(batch_num AS INTEGER) AS batch_num, outcome FROM rec
 """
 
+
+def _fmt_batch(x: str) -> str:
+    """SQL twin of Java's ``%0,2d``: two digits at least, thousands separated by commas."""
+    return (f"(CASE WHEN {x} < 10 THEN '0' || CAST({x} AS VARCHAR) WHEN {x} < 1000 THEN CAST({x} AS VARCHAR) "
+            f"ELSE format('{{:,}}', {x}) END)")
+
+
+def _sign(x: str) -> str:
+    return f"CAST('0x' || substr(md5({x}), 1, 16) AS UBIGINT)"
+
+
+SLOT = f"((epoch_us(ts) // {W}) * {W})"
+LATEST_CTE = """latest AS (
+  SELECT event_type AS ds, arg_max(strftime(CAST(ts AS DATE) - 1, '%Y%m%d'), ts) AS latest
+  FROM events GROUP BY event_type
+)"""
+HIST_CTE = """hist AS (
+  SELECT event_type AS ds, strftime(CAST(ts AS DATE) - 1, '%Y%m%d') AS value, ts AS updated_at FROM events
+)"""
+USER_SYNC_CTES = f"""{LATEST_CTE},
+users AS (SELECT DISTINCT user_id AS proc FROM events),
+up AS (SELECT DISTINCT user_id AS proc, event_type AS ds FROM events WHERE event_type IS NOT NULL),
+user_sync AS (
+  SELECT u.proc, min(CASE WHEN up.ds IS NULL THEN NULL ELSE coalesce(l.latest, '') END) AS sync
+  FROM users u LEFT JOIN up ON u.proc IS NOT DISTINCT FROM up.proc LEFT JOIN latest l ON up.ds = l.ds
+  GROUP BY u.proc
+)"""
+SYNC_AT = f"""
+WITH {HIST_CTE},
+p AS (SELECT event_id, event_type AS proc, ts AS probe_time FROM events WHERE event_type = 'purchase'),
+ups AS (SELECT DISTINCT event_type AS ds FROM events WHERE event_type <> 'purchase'),
+pu AS (SELECT p.event_id, p.proc, p.probe_time, ups.ds FROM p CROSS JOIN ups),
+m AS (
+  SELECT pu.event_id, pu.proc, pu.probe_time, h.value
+  FROM pu ASOF LEFT JOIN hist h ON pu.ds = h.ds AND h.updated_at <= pu.probe_time
+)
+SELECT event_id, proc, probe_time, min(coalesce(value, '')) AS sync FROM m GROUP BY event_id, proc, probe_time
+"""
+SEQ_CTE = """seqd AS (
+  SELECT event_id, event_type, ts,
+         row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1 AS seq
+  FROM events
+)"""
+
 ORACLES: dict[str, str] = {
     "replay_ledger": REPLAY,
+    "batchify": f"""
+SELECT event_id, event_type, {SLOT} AS batch_start_us,
+       strftime(make_timestamp({SLOT}), '%Y%m%d') AS date,
+       CAST(({SLOT} % {DAY}) // {W} AS INTEGER) AS batch,
+       ({SLOT} + {W}) // 1000 AS batch_time
+FROM events""",
+    "batch_counts": f"WITH {BATCH_LOG_CTES} SELECT proc, date, batch, batch_time, num_records FROM blog",
+    "batch_log": f"WITH {BATCH_LOG_CTES} SELECT proc, batch_time, date, batch, num_records, failed, sync FROM batch_log",
+    "failed_outputs": f"""
+SELECT strftime(make_timestamp({SLOT}), '%Y%m%d') AS date, CAST(({SLOT} % {DAY}) // {W} AS INTEGER) AS batch,
+       count(*) AS num_ops, count_if(event_type = 'error' AND props IS NOT NULL) AS num_failed
+FROM events GROUP BY ALL""",
+    "skip_committed": f"""
+WITH {BATCH_LOG_CTES}
+SELECT b.proc, b.batch_time, b.num_records
+FROM batch_log b LEFT JOIN start_state s ON b.proc = s.proc
+WHERE b.batch_time > coalesce(s.commit_time, 0)""",
+    "batch_outcome": f"""
+WITH {BATCH_LOG_CTES}
+SELECT b.proc, b.batch_time,
+       CASE WHEN b.batch_time <= s.commit_time THEN 'redo'
+            WHEN b.num_records = 0 AND b.sync >= s.trace THEN 'switch'
+            WHEN coalesce(b.failed, 0) = 0 THEN 'commit' ELSE 'abort' END AS outcome
+FROM batch_log b JOIN start_state s ON b.proc = s.proc""",
+    "record_value": "SELECT CAST(value AS VARCHAR) AS value FROM events",
+    "sign64": f"""
+SELECT event_id, CAST({_sign('CAST(user_id AS VARCHAR)')} AS VARCHAR) AS key_sign,
+       CAST({_sign('event_type')} AS VARCHAR) AS type_sign
+FROM events""",
+    "hash_partition": "SELECT event_id, " + ", ".join(
+        f"CAST({_sign('CAST(user_id AS VARCHAR)')} % {n} AS INTEGER) AS p{n}" for n in (7, 8, 12)) + " FROM events",
+    "assign_partition": f"""
+SELECT event_id, CAST({_sign('CAST(user_id AS VARCHAR)')} % 12 AS INTEGER) AS part_hash,
+       CAST(NULL AS INTEGER) AS part_random, CAST(3 AS INTEGER) AS part_fixed, CAST(NULL AS INTEGER) AS part_negative
+FROM events""",
+    "parse_commit": f"""
+WITH c AS (
+  SELECT event_id, strftime(ts, '%Y%m%d') || '/' || {_fmt_batch('b')} || '00/' || CAST(event_id AS VARCHAR) AS commit
+  FROM (SELECT event_id, ts, CAST((hour(ts) * 60 + minute(ts)) // 10 AS INTEGER) AS b FROM events)
+),
+p AS (
+  SELECT event_id, commit,
+         regexp_full_match(commit, '([0-9]{{8}})/([0-9]{{2}})00/([0-9]*)') AS m,
+         regexp_extract(commit, '^([0-9]{{8}})/([0-9]{{2}})00/([0-9]*)$', 1) AS d,
+         regexp_extract(commit, '^([0-9]{{8}})/([0-9]{{2}})00/([0-9]*)$', 2) AS bb,
+         regexp_extract(commit, '^([0-9]{{8}})/([0-9]{{2}})00/([0-9]*)$', 3) AS mst
+  FROM c
+),
+q AS (
+  SELECT *, CASE WHEN mst = '0' THEN CAST(0 AS BIGINT) ELSE TRY_CAST(mst AS BIGINT) END AS ms FROM p
+),
+v AS (SELECT *, m AND ms IS NOT NULL AS valid FROM q)
+SELECT event_id, commit,
+       CASE WHEN valid THEN d END AS commit_date,
+       CASE WHEN valid THEN CAST(bb AS INTEGER) END AS commit_batch,
+       CASE WHEN valid THEN ms END AS commit_ms,
+       CASE WHEN valid THEN (CASE WHEN mst = '0' THEN 0 ELSE CAST(bb AS INTEGER) + 1 END) END AS next_batch,
+       valid
+FROM v""",
+    "batch_path": f"""
+SELECT event_id, d || '/' || f || '00' AS path, d || '/' || f || '00/' || CAST(event_id AS VARCHAR) AS commit
+FROM (
+  SELECT event_id, strftime(ts, '%Y%m%d') AS d, {_fmt_batch('m')} AS f
+  FROM (SELECT event_id, ts, hour(ts) * 60 + minute(ts) AS m FROM events)
+)""",
+    "next_day": """
+SELECT event_id, strftime(ts, '%Y%m%d') AS date,
+       strftime(CAST(ts AS DATE) + INTERVAL 1 DAY, '%Y%m%d') AS next_date
+FROM events""",
+    "current_meta": """
+SELECT event_type AS ds, 'latest' AS field, arg_max(strftime(CAST(ts AS DATE) - 1, '%Y%m%d'), ts) AS value,
+       max(ts) AS updated_at
+FROM events GROUP BY event_type""",
+    "sync_point": f"WITH {USER_SYNC_CTES} SELECT proc, sync FROM user_sync",
+    "sync_at": SYNC_AT,
+    "sync_at_window": SYNC_AT,
+    "resume_state": f"""
+WITH {USER_SYNC_CTES},
+sg AS (
+  SELECT user_id AS proc, strftime(ts, '%Y%m%d') AS d, CAST(hour(ts) AS INTEGER) AS h, event_id
+  FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+        FROM events WHERE event_type = 'signup')
+  WHERE rn = 1
+),
+st AS (
+  SELECT u.proc, s.sync, sg.d, sg.h, sg.event_id, sg.proc IS NULL AS fresh,
+         strftime(try_strptime(substr(s.sync, 1, 8), '%Y%m%d') + INTERVAL 1 DAY, '%Y%m%d') AS next_sync
+  FROM users u LEFT JOIN user_sync s ON u.proc IS NOT DISTINCT FROM s.proc
+  LEFT JOIN sg ON u.proc = sg.proc
+)
+SELECT proc,
+       CASE WHEN fresh THEN next_sync ELSE d END AS trace,
+       CAST(CASE WHEN fresh THEN 0 WHEN event_id = 0 THEN 0 ELSE h + 1 END AS INTEGER) AS batch_num,
+       CAST(CASE WHEN fresh THEN 0 ELSE event_id END AS BIGINT) AS commit_time,
+       CASE WHEN coalesce(CASE WHEN fresh THEN next_sync ELSE d END, '') = '' THEN 'no date to trace' END AS error
+FROM st""",
+    "fail_ratio": """
+SELECT strftime(ts, '%Y%m%d') AS date, count_if(event_type = 'error') AS failed, count(*) AS total,
+       count_if(event_type = 'error') / (count(*) + CAST(0.01 AS DOUBLE)) AS fail_ratio
+FROM events GROUP BY 1""",
+    "with_counters": f"""
+SELECT event_type AS proc, sum(CAST(({SLOT} % {DAY}) // {W} AS BIGINT)) AS acc, count(*) AS records
+FROM events GROUP BY 1""",
+    "enrich": """
+SELECT e.event_id, e.user_id, c.c_name, c.c_mktsegment, n.n_name
+FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey""",
+    "sequence_numbers": f"WITH {SEQ_CTE} SELECT event_id, event_type, seq FROM seqd",
+    "resume_after": f"""
+WITH {SEQ_CTE},
+fd AS (SELECT event_type, min(CAST(ts AS DATE)) AS d FROM events GROUP BY 1),
+cnt AS (
+  SELECT e.event_type AS name, count(*) AS value
+  FROM events e JOIN fd ON e.event_type = fd.event_type WHERE CAST(e.ts AS DATE) = fd.d GROUP BY 1
+)
+SELECT s.event_id, s.event_type, s.seq FROM seqd s LEFT JOIN cnt ON s.event_type = cnt.name
+WHERE s.seq >= coalesce(cnt.value, 0)""",
+    "append_per_partition": """
+SELECT CAST(value AS VARCHAR) AS value FROM events
+UNION ALL
+SELECT CAST(i AS VARCHAR) AS value FROM range(1, 11) t(i) CROSS JOIN range(4) r(j)""",
+    "append_rows": """
+SELECT CAST(value AS VARCHAR) AS value FROM events
+UNION ALL
+SELECT CAST(i AS VARCHAR) AS value FROM range(1, 11) t(i)""",
+    "dated_topics": """
+WITH ds AS (SELECT r.r_name AS ds, n.n_name AS topic FROM region r JOIN nation n ON r.r_regionkey = n.n_regionkey),
+dates AS (SELECT DISTINCT strftime(ts, '%Y%m%d') AS date FROM events),
+req AS (SELECT DISTINCT unnest(string_split('ASIA,EUROPE,,ASIA', ',')) AS name)
+SELECT DISTINCT d.date, ds.topic, ds.topic || '-' || d.date AS dated_topic
+FROM dates d CROSS JOIN req JOIN ds ON req.name = ds.ds
+WHERE req.name <> ''""",
+    "prepare_messages": f"""
+SELECT CAST(user_id AS VARCHAR) AS key, CAST(value AS VARCHAR) AS value,
+       event_type || '-' || strftime(ts, '%Y%m%d') AS topic,
+       CAST({_sign('CAST(user_id AS VARCHAR)')} % 12 AS INTEGER) AS "partition"
+FROM events""",
+    "read_dated_topics": """
+SELECT CAST(user_id AS VARCHAR) AS key, CAST(value AS VARCHAR) AS value FROM events
+WHERE event_type IN ('click', 'error', 'purchase', 'signup', 'view')""",
+    "write_by_key": "SELECT event_type, CAST(value AS VARCHAR) AS value FROM events",
+    "committed_batches": f"""
+SELECT e.event_type AS proc, strftime(make_timestamp(e.bs), '%Y%m%d') AS date,
+       CAST((e.bs % {DAY}) // {W} AS INTEGER) AS batch, CAST(e.value AS VARCHAR) AS value
+FROM (SELECT event_type, value, {SLOT} AS bs FROM events) e
+JOIN ({REPLAY}) rep ON rep.proc = e.event_type AND rep.batch_time = (e.bs + {W}) // 1000
+WHERE rep.outcome = 'commit'""",
+    "ledger_latest": f"""
+SELECT proc,
+       arg_max(trace || '/' || {_fmt_batch('batch_num')} || '00/' || CAST(batch_time AS VARCHAR), batch_time) AS commit,
+       arg_max(trace || '/' || {_fmt_batch('batch_num')} || '00', batch_time) AS latest,
+       count(*) AS batches
+FROM ({REPLAY}) rep WHERE outcome = 'commit' GROUP BY proc""",
+    "read_counters": "SELECT event_type AS name, count(*) AS value, CAST(NULL AS VARCHAR) AS error FROM events GROUP BY 1",
 }
