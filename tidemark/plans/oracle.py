@@ -128,6 +128,7 @@ SEQ_CTE = """seqd AS (
 
 ORACLES: dict[str, str] = {
     "replay_ledger": REPLAY,
+    "replay_ledger_stream": REPLAY,
     "batchify": f"""
 SELECT event_id, event_type, {SLOT} AS batch_start_us,
        strftime(make_timestamp({SLOT}), '%Y%m%d') AS date,

@@ -389,3 +389,34 @@ def q_read_counters(spark, sf_dir):
     write_counter_files(spark, folder, files)
     names = events.select(F.col("event_type").alias("name")).distinct()
     return read_counters(spark, folder, names)
+
+
+# ---- STR-5 streaming form --------------------------------------------------------------------------
+
+LOG_STREAM_CHUNK_MS = 10 * 86_400_000  # the log arrives in 10-day files, oldest first
+
+
+@register("replay_ledger_stream")
+def q_replay_ledger_stream(spark, sf_dir):
+    """STR-5 streaming: the batch log arrives as time-ordered files (one per micro-batch) and is
+    replayed with per-processor state; the result equals the batch replay."""
+    from tidemark.streaming.stateful import replay_stream
+
+    events = _events(spark, sf_dir)
+    base = scratch_dir(spark, "replay-stream")
+    staged_path, src, out, ckpt = (f"{base}/{n}" for n in ("staged", "log", "out", "checkpoint"))
+    fx.batch_log(events).withColumn("_chunk", F.floor(F.col("batch_time") / F.lit(LOG_STREAM_CHUNK_MS))) \
+        .write.parquet(staged_path)
+    staged = spark.read.parquet(staged_path)
+    bounds = staged.agg(F.min("_chunk").alias("lo"), F.max("_chunk").alias("hi")).first()
+    if bounds["lo"] is not None:
+        for c in range(int(bounds["lo"]), int(bounds["hi"]) + 1):
+            # one file per time range, appended in time order: the file source reads oldest first
+            staged.where(F.col("_chunk") == c).drop("_chunk").coalesce(1).write.mode("append").parquet(src)
+    log_schema = staged.drop("_chunk").schema
+    stream = spark.readStream.schema(log_schema).option("maxFilesPerTrigger", 1).parquet(src)
+    q = (replay_stream(stream, fx.start_state(events)).writeStream.format("parquet")
+         .option("path", out).option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.schema(
+        "proc string, batch_time bigint, trace string, batch_num int, outcome string").parquet(out)
