@@ -128,7 +128,7 @@ def parse_commit(c: Column | str) -> Column:
 
     ``ms`` equal to ``0``: restart that date at batch 0 with commit time 0. Otherwise the next
     batch is ``bb + 1``. An empty or out-of-range ``ms`` or a text that does not match the whole
-    pattern is invalid; invalid rows carry nulls. Null in -> null fields, ``valid`` null.
+    pattern is invalid; invalid rows carry nulls. Null in -> invalid.
     """
     col = _c(c)
     matched = col.rlike(COMMIT_PATTERN)

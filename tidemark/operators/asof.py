@@ -61,6 +61,13 @@ def asof_join(probes: DataFrame, history: DataFrame, by: list[str], probe_time:
     raise ValueError(f"unknown strategy {strategy!r}")
 
 
+def _keys_present(keys: list[str]) -> Column:
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).isNotNull()
+    return cond
+
+
 def _value_struct(values: list[str]) -> Column:
     return F.struct(*[F.col(v) for v in values])
 
@@ -117,7 +124,9 @@ def _asof_window(probes, history, by, probe_time, hist_time, values, bucket, tie
     h = history.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(by)],
                        _time(history, hist_time).alias("_t"), _value_struct(values).alias("_val"),
                        *[F.col(c).alias(f"_tb{i}") for i, c in enumerate(tiebreak)])
-    h = h.where(F.col("_t").isNotNull()).withColumn("_b", F.floor(F.col("_t") / F.lit(bucket)).cast("bigint"))
+    # a null key matches nothing (window partitions would group nulls together)
+    h = h.where(F.col("_t").isNotNull() & _keys_present(keys)).withColumn(
+        "_b", F.floor(F.col("_t") / F.lit(bucket)).cast("bigint"))
     tb = [f"_tb{i}" for i in range(len(tiebreak))]
     order = F.struct(F.col("_t"), *[F.col(c) for c in tb])
 

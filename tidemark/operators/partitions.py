@@ -36,6 +36,6 @@ def constants(spark: SparkSession, values: Sequence[str], column: str = "value")
     return spark.createDataFrame([(None if v is None else str(v),) for v in values], f"{column} string")
 
 
-def test_constants(delta: int = 0) -> list[str]:
+def tracker_constants(delta: int = 0) -> list[str]:
     """The test algorithm's broadcast list: 1..10, each plus ``delta``."""
     return [str(i + delta) for i in range(1, 11)]

@@ -17,7 +17,7 @@ from tidemark.operators import batches as B
 from tidemark.operators.enrich import enrich
 from tidemark.operators.meta import current_meta, resume_state, sync_at, sync_point
 from tidemark.operators.metrics import counter_table, fail_ratio
-from tidemark.operators.partitions import append_per_partition, append_rows, constants, test_constants
+from tidemark.operators.partitions import append_per_partition, append_rows, constants, tracker_constants
 from tidemark.operators.replay import replay_ledger
 from tidemark.operators.resume import resume_after, sequence_numbers
 from tidemark.plans import fixtures as fx
@@ -286,7 +286,7 @@ def q_resume_after(spark, sf_dir):
 @register("append_per_partition")
 def q_append_per_partition(spark, sf_dir):
     """PRT-1: record values in 4 partitions, each followed by the constants 1..10."""
-    return append_per_partition(fx.stream_records(_events(spark, sf_dir)), test_constants(0),
+    return append_per_partition(fx.stream_records(_events(spark, sf_dir)), tracker_constants(0),
                                 num_partitions=APPEND_PARTITIONS)
 
 
@@ -294,7 +294,7 @@ def q_append_per_partition(spark, sf_dir):
 def q_append_rows(spark, sf_dir):
     """PRT-2: record values followed once by the constants 1..10."""
     vals = C.record_value(fx.stream_records(_events(spark, sf_dir)))
-    return append_rows(vals, constants(spark, test_constants(0)))
+    return append_rows(vals, constants(spark, tracker_constants(0)))
 
 
 # ---- SRC-1..SRC-4 / SNK-1..SNK-4 -----------------------------------------------------------------

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.metrics import with_counters
-from tidemark.operators.partitions import append_per_partition, test_constants
+from tidemark.operators.partitions import append_per_partition, tracker_constants
 
 
 class Algorithm:
@@ -57,7 +57,7 @@ class CounterTestAlgorithm(Algorithm):
     def per_batch(self, date: str, batch_id: int, df: DataFrame) -> DataFrame:
         if self.fail_at is not None and batch_id == self.fail_at:
             raise IOError(f"injected failure in batch {batch_id}")
-        out = append_per_partition(df, test_constants(getattr(self, "_day_delta", 0)),
+        out = append_per_partition(df, tracker_constants(getattr(self, "_day_delta", 0)),
                                    num_partitions=self.partitions)
         observed, obs = with_counters(out, f"acc_{date}_{batch_id}", acc=F.lit(batch_id))
         self.counters[(date, batch_id)] = obs
