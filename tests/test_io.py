@@ -64,7 +64,7 @@ def test_read_counters_edges(spark, tmp_dir):
 def test_write_by_key_routes_values(spark, tmp_dir):
     rows = [("k1", "a"), ("k1", "b"), ("x/y", "c"), (None, "d"), ("ключ", "e"), ("\U0001F600", "f")]
     df = spark.createDataFrame(rows, "key string, value string")
-    write_by_key(df, f"{tmp_dir}/routed", salts=3, num_partitions=4)
+    write_by_key(df, f"{tmp_dir}/routed", num_partitions=4)
     got = [(r.key, r.value) for r in read_by_key(spark, f"{tmp_dir}/routed").collect()]
     assert sorted(got, key=repr) == sorted(rows, key=repr)
 

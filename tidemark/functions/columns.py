@@ -37,12 +37,28 @@ def _c(c: Column | str) -> Column:
 
 
 def epoch_micros(c: Column | str, data_type: T.DataType | None = None) -> Column:
-    """Microseconds since 1970-01-01 of a timestamp column, independent of the session time zone
-    for ``timestamp_ntz`` (the driver tables) and exact for zoned timestamps."""
+    """Microseconds since 1970-01-01 of a timestamp column.
+
+    Zoned timestamps: ``unix_micros``. ``timestamp_ntz`` (the driver tables): built from the calendar
+    day and the time of day, which involves no time zone -- a cast to a zoned timestamp would shift
+    wall-clock times across daylight-saving changes of the session time zone."""
     col = _c(c)
     if isinstance(data_type, T.TimestampType):
         return F.unix_micros(col)
-    return F.timestamp_diff("MICROSECOND", F.lit(_EPOCH_NTZ).cast("timestamp_ntz"), col.cast("timestamp_ntz"))
+    days = F.datediff(F.to_date(col), F.lit(_EPOCH_NTZ.date()))
+    clock = (F.hour(col) * 3600 + F.minute(col) * 60).cast("bigint") * F.lit(1_000_000)
+    frac = (F.extract(F.lit("SECOND"), col) * F.lit(1_000_000)).cast("bigint")
+    return days.cast("bigint") * F.lit(86_400_000_000) + clock + frac
+
+
+def floor_to(us: Column, width: int) -> Column:
+    """``us`` rounded down to a multiple of ``width`` in exact long arithmetic."""
+    return (us - F.pmod(us, F.lit(width))).cast("bigint")
+
+
+def div_floor(us: Column, width: int) -> Column:
+    """``floor(us / width)``: the division of an exact multiple is exact below 2**53."""
+    return (floor_to(us, width) / F.lit(width)).cast("bigint")
 
 
 def epoch_micros_of(df: DataFrame, name: str) -> Column:

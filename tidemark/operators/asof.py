@@ -21,7 +21,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import epoch_micros
+from tidemark.functions.columns import div_floor, epoch_micros
+from tidemark.session import materialize
 
 DEFAULT_MAX_BROADCAST_PROBES = 2_000_000
 
@@ -45,8 +46,8 @@ def asof_join(probes: DataFrame, history: DataFrame, by: list[str], probe_time:
 
     Times may be timestamps (compared as epoch microseconds, ``bucket`` in microseconds) or numbers
     (``bucket`` in the same unit). ``tiebreak`` orders history rows with equal times.
-    ``strategy``: ``auto`` (broadcast plan when the probes are within ``max_broadcast_probes``),
-    ``broadcast`` or ``window``.
+    ``strategy``: ``auto`` (broadcast plan when a bounded count shows at most
+    ``max_broadcast_probes`` probes), ``broadcast`` (the caller vouches for the bound) or ``window``.
     """
     tiebreak = tiebreak or []
     clash = set(values) & set(probes.columns)
@@ -78,28 +79,35 @@ def _order_struct(t: str, tiebreak: list[str]) -> Column:
 
 def _asof_broadcast(probes, history, by, probe_time, hist_time, values, bucket, tiebreak):
     probe_cols = probes.columns
+    keys = [f"_k{i}" for i in range(len(by))]
     p = probes.select(F.struct(*[F.col(c) for c in probe_cols]).alias("_probe"),
                       *[F.col(k).alias(f"_k{i}") for i, k in enumerate(by)],
                       _time(probes, probe_time).alias("_t"))
-    p = p.withColumn("_b", F.floor(F.col("_t") / F.lit(bucket)).cast("bigint"))
-    keys = [f"_k{i}" for i in range(len(by))]
-
-    # sorted probe times per (key, bucket); bounded by the probe count checked above
-    arrays = p.where(F.col("_t").isNotNull()).groupBy(*keys, "_b").agg(
-        F.array_sort(F.collect_list("_t")).alias("_arr"))
+    p = p.withColumn("_b", div_floor(F.col("_t"), bucket))
+
+    # probes grouped per (key, bucket), sorted by time, written once to the shared checkpoint folder:
+    # the probe side is evaluated a single time and every later use reads this small table
+    items = F.array_sort(F.collect_list(F.struct("_t", "_probe")))
+    grouped = materialize(p.groupBy(*keys, "_b").agg(items.alias("_items")), "asof-probes")
+    arrays = grouped.where(F.col("_b").isNotNull() & _keys_present(keys)).select(
+        *keys, "_b", F.transform("_items", lambda x: x["_t"]).alias("_arr"))
     before = lambda t: F.coalesce(F.size(F.filter(F.col("_arr"), lambda x: x < t)), F.lit(0))
 
     h = history.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(by)],
                        _time(history, hist_time).alias("_t"),
                        *[F.col(v) for v in values], *[F.col(c).alias(f"_tb{i}") for i, c in enumerate(tiebreak)])
-    h = h.where(F.col("_t").isNotNull()).withColumn("_b", F.floor(F.col("_t") / F.lit(bucket)).cast("bigint"))
+    h = h.where(F.col("_t").isNotNull()).withColumn("_b", div_floor(F.col("_t"), bucket))
     # only keys that some probe asks for; both lookups are broadcast, history is never shuffled raw
     h = h.join(F.broadcast(arrays.select(*keys).distinct()), on=keys, how="left_semi")
     h = h.join(F.broadcast(arrays), on=[*keys, "_b"], how="left").withColumn("_idx", before(F.col("_t")))
     order = F.struct(F.col("_t"), *[F.col(f"_tb{i}") for i in range(len(tiebreak))])
     intervals = h.groupBy(*keys, "_b", "_idx").agg(F.max_by(_value_struct(values), order).alias("_val"))
 
-    probed = p.join(F.broadcast(arrays), on=[*keys, "_b"], how="left").withColumn("_idx", before(F.col("_t")))
+    # probe rows come back out of the stored groups; _idx = probes of the bucket strictly earlier
+    probed = (grouped.select(*keys, "_b", F.transform("_items", lambda x: x["_t"]).alias("_arr"),
+                             F.explode("_items").alias("_it"))
+              .select(*keys, "_b", "_arr", F.col("_it._t").alias("_t"), F.col("_it._probe").alias("_probe"))
+              .withColumn("_idx", before(F.col("_t"))))
     rows = intervals.select(*keys, "_b", "_idx", F.lit(0).alias("_kind"), "_val",
                             F.lit(None).cast(p.schema["_probe"].dataType).alias("_probe")).unionByName(
         probed.select(*keys, "_b", "_idx", F.lit(1).alias("_kind"),
@@ -107,9 +115,10 @@ def _asof_broadcast(probes, history, by, probe_time, hist_time, values, bucket,
     w = (Window.partitionBy(*keys).orderBy("_b", "_idx", "_kind")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     out = rows.withColumn("_seen", F.last("_val", ignorenulls=True).over(w)).where(F.col("_kind") == 1)
-    # probes with a null time match nothing (null keys already match nothing: no interval joins them)
+    # probes with a null key or time match nothing
     nothing = F.lit(None).cast(intervals.schema["_val"].dataType)
-    out = out.withColumn("_seen", F.when(F.col("_b").isNull(), nothing).otherwise(F.col("_seen")))
+    out = out.withColumn("_seen", F.when(F.col("_b").isNull() | ~_keys_present(keys), nothing)
+                         .otherwise(F.col("_seen")))
     return out.select(*[F.col(f"_probe.{c}").alias(c) for c in probe_cols],
                       *[F.col(f"_seen.{v}").alias(v) for v in values])
 
@@ -120,13 +129,13 @@ def _asof_window(probes, history, by, probe_time, hist_time, values, bucket, tie
     p = probes.select(F.struct(*[F.col(c) for c in probe_cols]).alias("_probe"),
                       *[F.col(k).alias(f"_k{i}") for i, k in enumerate(by)],
                       _time(probes, probe_time).alias("_t"))
-    p = p.withColumn("_b", F.floor(F.col("_t") / F.lit(bucket)).cast("bigint"))
+    p = p.withColumn("_b", div_floor(F.col("_t"), bucket))
     h = history.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(by)],
                        _time(history, hist_time).alias("_t"), _value_struct(values).alias("_val"),
                        *[F.col(c).alias(f"_tb{i}") for i, c in enumerate(tiebreak)])
     # a null key matches nothing (window partitions would group nulls together)
     h = h.where(F.col("_t").isNotNull() & _keys_present(keys)).withColumn(
-        "_b", F.floor(F.col("_t") / F.lit(bucket)).cast("bigint"))
+        "_b", div_floor(F.col("_t"), bucket))
     tb = [f"_tb{i}" for i in range(len(tiebreak))]
     order = F.struct(F.col("_t"), *[F.col(c) for c in tb])
 

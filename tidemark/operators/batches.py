@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import batch_folder, epoch_micros_of
+from tidemark.functions.columns import batch_folder, div_floor, epoch_micros_of, floor_to
 
 DAY_US = 86_400_000_000
 HOUR_US = 3_600_000_000
@@ -25,7 +25,7 @@ def _check_width(width_us: int) -> None:
 
 def day_of_micros(us: Column) -> Column:
     """``yyyyMMdd`` of the UTC day holding an epoch-microsecond value (no time zone involved)."""
-    days = F.floor(us / F.lit(DAY_US)).cast("int")
+    days = div_floor(us, DAY_US).cast("int")
     return F.date_format(F.date_add(F.lit("1970-01-01").cast("date"), days), "yyyyMMdd")
 
 
@@ -33,8 +33,8 @@ def batch_columns(start_us: Column, width_us: int) -> list[Column]:
     """Columns describing the batch that starts at ``start_us``."""
     return [
         day_of_micros(start_us).alias("date"),
-        (F.pmod(start_us, F.lit(DAY_US)) / F.lit(width_us)).cast("int").alias("batch"),
-        ((start_us + F.lit(width_us)) / F.lit(1000)).cast("bigint").alias("batch_time"),
+        div_floor(F.pmod(start_us, F.lit(DAY_US)), width_us).cast("int").alias("batch"),
+        div_floor(start_us + F.lit(width_us), 1000).alias("batch_time"),
     ]
 
 
@@ -44,8 +44,7 @@ def batchify(df: DataFrame, ts: str, width_us: int) -> DataFrame:
     micro-batch with this interval completes). A projection: no shuffle."""
     _check_width(width_us)
     us = epoch_micros_of(df, ts)
-    start = (F.floor(us / F.lit(width_us)) * F.lit(width_us)).cast("bigint")
-    return df.withColumn("batch_start_us", start).select("*", *batch_columns(F.col("batch_start_us"), width_us))
+    return df.withColumn("batch_start_us", floor_to(us, width_us)).select("*", *batch_columns(F.col("batch_start_us"), width_us))
 
 
 def batch_spine(df: DataFrame, by: str, ts: str, width_us: int) -> DataFrame:
@@ -55,8 +54,8 @@ def batch_spine(df: DataFrame, by: str, ts: str, width_us: int) -> DataFrame:
     _check_width(width_us)
     us = epoch_micros_of(df, ts)
     per_key = df.groupBy(by).agg(F.min(us).alias("lo"), F.max(us).alias("hi"))
-    first_day = F.floor(F.col("lo") / F.lit(DAY_US)) * F.lit(DAY_US)
-    n = ((F.floor(F.col("hi") / F.lit(DAY_US)) + 1) * F.lit(DAY_US) - first_day) / F.lit(width_us)
+    first_day = floor_to(F.col("lo"), DAY_US)
+    n = div_floor(floor_to(F.col("hi"), DAY_US) + F.lit(DAY_US) - first_day, width_us)
     spine = per_key.where(F.col("lo").isNotNull()).select(
         by,
         F.explode(F.sequence(F.lit(0).cast("bigint"), n.cast("bigint") - 1)).alias("i"),
@@ -78,7 +77,7 @@ def batch_counts(df: DataFrame, by: str, ts: str, width_us: int,
     us = epoch_micros_of(df, ts)
     events = df.select(
         F.col(by),
-        (F.floor(us / F.lit(width_us)) * F.lit(width_us)).cast("bigint").alias("batch_start_us"),
+        floor_to(us, width_us).alias("batch_start_us"),
         F.lit(1).alias("_one"),
         *[F.col(c) for c in _source_columns(df, extra_aggs, by, ts)],
     ).where(F.col("batch_start_us").isNotNull())

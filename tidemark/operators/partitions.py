@@ -7,6 +7,7 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from tidemark.session import ship_package
 
 
 def append_per_partition(df: DataFrame, values: Sequence[str], column: str = "value",
@@ -14,6 +15,7 @@ def append_per_partition(df: DataFrame, values: Sequence[str], column: str = "va
     """Each partition yields its own rows of ``column`` and then every constant, so an empty
     partition yields the constants too and the row count is ``rows + partitions x len(values)``.
     Pin ``num_partitions`` when the count must be reproducible (AQE keeps an explicit number)."""
+    ship_package(df.sparkSession)
     consts = [None if v is None else str(v) for v in values]
     src = df.select(F.col(column).cast("string").alias("value"))
     if num_partitions:

@@ -25,6 +25,7 @@ from collections.abc import Iterable
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tidemark.session import ship_package
 
 MAX_BATCHES_PER_PROC = 5_000_000
 
@@ -116,6 +117,7 @@ def replay_ledger(batch_log: DataFrame, start_state: DataFrame) -> DataFrame:
     One shuffle by ``proc`` of the (small, per-batch) log and of the start states; processors run in
     parallel. A processor in the log without a start state is an error, as in the reference tracker.
     """
+    ship_package(batch_log.sparkSession)
     log = batch_log.select(*LOG_COLUMNS)
     start = start_state.select(*STATE_COLUMNS)
     return log.groupBy("proc").cogroup(start.groupBy("proc")).applyInPandas(_replay_group, REPLAY_SCHEMA)

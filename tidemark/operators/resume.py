@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import epoch_micros_of
+from tidemark.functions.columns import div_floor, epoch_micros_of
 from tidemark.operators.batches import HOUR_US
 from tidemark.operators.enrich import enrich
 
@@ -21,7 +21,7 @@ def sequence_numbers(df: DataFrame, by: str, ts: str, tiebreak: list[str], out:
                      bucket_us: int = HOUR_US) -> DataFrame:
     """``df`` plus ``out``: 0-based position of each row within its key in ``(ts, *tiebreak)`` order."""
     us = epoch_micros_of(df, ts)
-    b = df.withColumn("_sb", F.floor(us / F.lit(bucket_us)).cast("bigint"))
+    b = df.withColumn("_sb", div_floor(us, bucket_us))
     counts = b.groupBy(by, "_sb").agg(F.count(F.lit(1)).alias("_n"))
     w_off = Window.partitionBy(by).orderBy("_sb").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w_off), F.lit(0))).drop("_n")

@@ -22,9 +22,8 @@ from tidemark.operators.replay import replay_ledger
 from tidemark.operators.resume import resume_after, sequence_numbers
 from tidemark.plans import fixtures as fx
 from tidemark.session import scratch_dir
-from tidemark.sinks.batches import latest_commits, ledger_from_replay, read_by_key, write_by_key
+from tidemark.sinks.batches import latest_commits, ledger_from_replay, read_by_key, write_batches, write_by_key
 from tidemark.sinks.messages import prepare_messages
-from tidemark.sources.committed import read_committed
 from tidemark.sources.counters import encode_counter, read_counters, write_counter_files
 from tidemark.sources.topics import dated_topics, read_dated_topics, write_dated_folders
 
@@ -351,14 +350,13 @@ def q_committed_batches(spark, sf_dir):
     root = scratch_dir(spark, "batches")
     ledger_path = scratch_dir(spark, "ledger")
     b = B.batchify(events.select(F.col("event_type").alias("proc"), "ts", "value"), "ts", fx.BATCH_WIDTH_US)
-    (b.select("proc", "date", "batch", F.col("value").cast("string").alias("value"))
-     .write.mode("overwrite").partitionBy("proc", "date", "batch").option("compression", "gzip").text(root))
+    write_batches(b, root, ["proc", "date", "batch"])
     replayed = replay_ledger(fx.batch_log(events), fx.start_state(events))
-    # ledger rows name the batch by its hour slot (the folder it was written to)
-    slots = fx.batch_log(events).select("proc", "batch_time", F.col("date").alias("slot_date"),
-                                        F.col("batch").alias("slot_batch"))
-    ledger = (ledger_from_replay(replayed).join(slots, on=["proc", "batch_time"])
-              .select("proc", F.col("slot_date").alias("date"), F.col("slot_batch").alias("batch"), "batch_time"))
+    # ledger rows name the batch by its hour slot (the folder it was written to): batch end - width
+    slot = (F.col("batch_time") * F.lit(1000) - F.lit(fx.BATCH_WIDTH_US)).cast("bigint")
+    slots = B.batch_columns(slot, fx.BATCH_WIDTH_US)
+    ledger = (ledger_from_replay(replayed)
+              .select("proc", slots[0].alias("date"), slots[1].alias("batch"), "batch_time"))
     ledger.write.mode("overwrite").parquet(ledger_path)
     published = spark.read.parquet(ledger_path)
     data = spark.read.text(root).select("proc", F.col("date").cast("string").alias("date"),

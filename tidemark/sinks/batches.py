@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import batch_path, commit_point
 from tidemark.operators.batches import batch_dir
+from tidemark.session import session_conf
 
 LEDGER_SCHEMA = ("proc string, date string, batch int, batch_time bigint, num_records bigint, "
                  "commit string, published_at timestamp")
@@ -35,18 +36,30 @@ def write_batch(df: DataFrame, root: str, date: str, batch: int, value: str = "v
     return path
 
 
-def write_by_key(df: DataFrame, path: str, key: str = "key", value: str = "value", salts: int = 8,
+def write_by_key(df: DataFrame, path: str, key: str = "key", value: str = "value",
                  num_partitions: int | None = None) -> None:
-    """``{path}/{key}={k}/part-*.gz`` text files of the values. Rows are spread by (key, salt) with a
-    deterministic salt (a hash of the row), so retries rebuild the same files and a key holding a third
-    of the rows is written by ``salts`` tasks, not one."""
-    salt = F.pmod(F.xxhash64(F.col(key), F.col(value)), F.lit(salts))
+    """``{path}/{key}={k}/part-*.gz`` text files of the values (the key is not written).
+
+    ``REBALANCE(key)`` clusters each key into few tasks so a folder gets few files, and lets AQE
+    split a key holding a third of the rows over several tasks (several files in its folder)
+    instead of one."""
     routed = df.select(F.col(key).cast("string").alias(key), F.col(value).cast("string").alias("value"))
-    parts = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (routed.repartition(parts, F.col(key), salt)
+    hint = (num_partitions, key) if num_partitions else (key,)
+    (routed.hint("rebalance", *hint)
      .write.mode("overwrite").partitionBy(key).option("compression", "gzip").text(path))
 
 
+def write_batches(df: DataFrame, root: str, partition_cols: list[str], value: str = "value") -> None:
+    """Backfill many batches in one job: ``{root}/{col}={v}/.../part-*.gz`` per batch, rebalanced
+    on the batch columns (AQE splits an oversized batch, merges tiny ones)."""
+    out = (df.select(*partition_cols, F.col(value).cast("string").alias("value"))
+           .hint("rebalance", *partition_cols))
+    # many small folders: coalescing by bytes would hand thousands of folders to one task, so keep
+    # the shuffle's parallelism for this write (skewed partitions are still split)
+    with session_conf(df.sparkSession, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        out.write.mode("overwrite").partitionBy(*partition_cols).option("compression", "gzip").text(root)
+
+
 def read_by_key(spark: SparkSession, path: str, key: str = "key") -> DataFrame:
     """Values routed by :func:`write_by_key` with their key (from the folder name)."""
     return spark.read.text(path).select(F.col(key).cast("string").alias(key), "value")

@@ -18,6 +18,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType, BooleanType
 
 from tidemark.operators.replay import LOG_COLUMNS, STATE_COLUMNS, replay_rows
+from tidemark.session import ship_package
 
 OUTPUT_SCHEMA = StructType([
     StructField("proc", StringType()),
@@ -54,6 +55,7 @@ def _step_group(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) ->
 def replay_stream(log_stream: DataFrame, start_state: DataFrame) -> DataFrame:
     """Streaming replay: ``log_stream(proc, batch_time, num_records, failed, sync)`` joined with the
     static ``start_state(proc, trace, batch_num, commit_time)``."""
+    ship_package(log_stream.sparkSession)
     start = start_state.select(*STATE_COLUMNS)
     joined = log_stream.select(*LOG_COLUMNS).join(start, on="proc", how="left")
     return joined.groupBy("proc").applyInPandasWithState(
