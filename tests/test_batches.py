@@ -1,5 +1,6 @@
 """Batches as data, sequence numbers, counters, partition append."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.batches import HOUR_US, batch_counts, batch_spine, batchify, failed_outputs, skip_committed
@@ -44,7 +45,7 @@ def test_skip_committed(spark):
 def test_sequence_numbers_and_resume(spark):
     rows = [("a", f"2024-01-0{1 + i % 3} 0{i % 10}:00:00", float(i)) for i in range(30)] + [("b", "2024-01-01 00:00:00", 99.0)]
     ev = _events(spark, rows).withColumn("id", F.col("v").cast("long"))
-    seq = sequence_numbers(ev, "p", "ts", ["id"], bucket_us=HOUR_US)
+    seq = sequence_numbers(ev, "p", "ts", ["id"])
     expect = {}
     for p in ("a", "b"):
         mine = sorted((r[1], int(r[2])) for r in rows if r[0] == p)
@@ -72,3 +73,20 @@ def test_fail_ratio_and_counters(spark):
     observed, obs = with_counters(df, "acc_test", acc=F.col("b"))
     observed.collect()
     assert obs.get["acc"] == 6
+
+
+@pytest.mark.parametrize("strategy", ["range", "bucket"])
+def test_sequence_numbers_hot_key_brute_force(spark, strategy):
+    import random
+    rnd = random.Random(7)
+    # one hot key with most rows, many timestamps shared (ties broken by id)
+    rows = [("hot" if rnd.random() < 0.7 else rnd.choice("abcdef"),
+             f"2024-01-0{rnd.randint(1, 3)} {rnd.randint(0, 23):02d}:{rnd.randint(0, 59):02d}:00", i)
+            for i in range(3000)]
+    df = spark.createDataFrame(rows, "p string, ts string, id long").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    got = {r.id: r.seq for r in sequence_numbers(df, "p", "ts", ["id"], strategy=strategy, num_partitions=16).collect()}
+    expect = {}
+    for key in {r[0] for r in rows}:
+        for i, r in enumerate(sorted((r for r in rows if r[0] == key), key=lambda r: (r[1], r[2]))):
+            expect[r[2]] = i
+    assert got == expect

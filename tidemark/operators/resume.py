@@ -2,9 +2,8 @@
 that does not put a whole key into one task.
 
 ``row_number() OVER (PARTITION BY key ORDER BY t)`` sorts every row of a key in one task; with one
-key holding a third of the data that task is the job. :func:`sequence_numbers` instead counts rows
-per (key, time bucket) -- partially aggregated --, turns the counts into per-bucket offsets with a
-window over the small count table, and numbers rows inside (key, bucket) only.
+key holding a third of the data that task is the job. :func:`sequence_numbers` splits a key over
+range partitions instead and adds per-partition offsets from a small count table.
 """
 
 from __future__ import annotations
@@ -18,8 +17,39 @@ from tidemark.operators.enrich import enrich
 
 
 def sequence_numbers(df: DataFrame, by: str, ts: str, tiebreak: list[str], out: str = "seq",
-                     bucket_us: int = HOUR_US) -> DataFrame:
-    """``df`` plus ``out``: 0-based position of each row within its key in ``(ts, *tiebreak)`` order."""
+                     strategy: str = "range", bucket_us: int = HOUR_US,
+                     num_partitions: int | None = None) -> DataFrame:
+    """``df`` plus ``out``: 0-based position of each row within its key in ``(ts, *tiebreak)`` order.
+    ``(ts, *tiebreak)`` must be unique within a key (it is the order, so it must be total).
+
+    ``range`` (default): range-partition on ``(by, ts, *tiebreak)`` -- a hot key is split over as many
+    partitions as its size needs -- sort inside partitions, and number rows from their position
+    (``monotonically_increasing_id``) plus the rows of the same key in earlier partitions, taken from a
+    small per-(partition, key) count table. ``bucket``: number rows inside (key, time bucket) windows
+    and add per-bucket offsets; a bucket of one key is one task, so size ``bucket_us`` to the density.
+    """
+    if strategy == "bucket":
+        return _sequence_by_bucket(df, by, ts, tiebreak, out, bucket_us)
+    if strategy != "range":
+        raise ValueError(f"unknown strategy {strategy!r}")
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col(by), F.col(ts), *[F.col(c) for c in tiebreak]]
+    # an explicit partition count: AQE keeps it, so partition ids mean the same in both uses below
+    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+              .withColumn("_pid", F.spark_partition_id())
+              .withColumn("_pos", F.monotonically_increasing_id()))
+    stats = ranged.groupBy("_pid", by).agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = stats.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
+    # one row per (partition, key): at most partitions x keys-per-partition rows
+    return (ranged.join(offsets, on=["_pid", by], how="inner")
+            .withColumn(out, (F.col("_off") + F.col("_pos") - F.col("_first")).cast("bigint"))
+            .drop("_pid", "_pos", "_first", "_off"))
+
+
+def _sequence_by_bucket(df: DataFrame, by: str, ts: str, tiebreak: list[str], out: str,
+                        bucket_us: int) -> DataFrame:
     us = epoch_micros_of(df, ts)
     b = df.withColumn("_sb", div_floor(us, bucket_us))
     counts = b.groupBy(by, "_sb").agg(F.count(F.lit(1)).alias("_n"))
