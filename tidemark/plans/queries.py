@@ -24,6 +24,7 @@ from tidemark.plans import fixtures as fx
 from tidemark.session import scratch_dir
 from tidemark.sinks.batches import latest_commits, ledger_from_replay, read_by_key, write_batches, write_by_key
 from tidemark.sinks.messages import prepare_messages
+from tidemark.sources.committed import read_committed_partitioned
 from tidemark.sources.counters import encode_counter, read_counters, write_counter_files
 from tidemark.sources.topics import dated_topics, read_dated_topics, write_dated_folders
 
@@ -358,10 +359,7 @@ def q_committed_batches(spark, sf_dir):
     ledger = (ledger_from_replay(replayed)
               .select("proc", slots[0].alias("date"), slots[1].alias("batch"), "batch_time"))
     ledger.write.mode("overwrite").parquet(ledger_path)
-    published = spark.read.parquet(ledger_path)
-    data = spark.read.text(root).select("proc", F.col("date").cast("string").alias("date"),
-                                        F.col("batch").cast("int").alias("batch"), "value")
-    return enrich(data, published.select("proc", "date", "batch"), on=["proc", "date", "batch"], how="left_semi")
+    return read_committed_partitioned(spark, root, spark.read.parquet(ledger_path))
 
 
 @register("ledger_latest")

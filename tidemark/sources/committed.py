@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.enrich import enrich
+from tidemark.session import session_conf
 
 # fixed value: folder layout of a batch, read back from the file path
 BATCH_PATH_PATTERN = r"/([0-9]{8})/([0-9,]+)00/data/[^/]*$"
@@ -40,3 +41,15 @@ def read_committed(spark: SparkSession, root: str, ledger: DataFrame, date: str
     if date:
         keys = keys.where(F.col("date") == date)
     return enrich(read_batches(spark, root, date), keys.distinct(), on=["date", "batch"], how="left_semi")
+
+
+def read_committed_partitioned(spark: SparkSession, root: str, ledger: DataFrame,
+                               keys: tuple[str, ...] = ("proc", "date", "batch")) -> DataFrame:
+    """Published batches of a backfill written by :func:`tidemark.sinks.batches.write_batches`
+    (``{root}/proc=../date=../batch=..``): ``(keys..., value)``, semi-joined with the ledger's keys.
+    Partition values are read as text and cast like the ledger's columns."""
+    with session_conf(spark, {"spark.sql.sources.partitionColumnTypeInference.enabled": "false"}):
+        data = spark.read.text(root)
+    types = {f.name: f.dataType for f in ledger.schema.fields}
+    data = data.select(*[F.col(k).cast(types[k]).alias(k) for k in keys], "value")
+    return enrich(data, ledger.select(*keys).distinct(), on=list(keys), how="left_semi")
