@@ -71,3 +71,24 @@ def test_day_loop_stops_on_unfinished_date(spark, topics_root, tmp_dir):
     assert [r.rows > 0 for r in runs] == [True, False, True, False, True, False]
     # the delta grows by 10 for each fresh date
     assert algo.delta == 30
+
+
+def test_lookup_refreshed_every_batch(spark, tmp_dir):
+    from tidemark.streaming.algorithm import LookupAlgorithm
+
+    root, lookup_path = f"{tmp_dir}/topics", f"{tmp_dir}/lookup"
+    rec = lambda rows: spark.createDataFrame(rows, "k string, value string, topic string, date string") \
+        .select(F.col("k").cast("binary").alias("key"), "value", "topic", "date")
+    spark.createDataFrame([("1", "old")], "key_text string, label string").write.mode("overwrite").parquet(lookup_path)
+    write_dated_folders(rec([("1", "a", "t", "20240101")]), root)
+    algo = LookupAlgorithm(lookup_fn=lambda: spark.read.parquet(lookup_path))
+    src = lambda date: read_dated_topics(spark, ["t"], date, root=root)
+    out, ledger, ckpt = f"{tmp_dir}/out", f"{tmp_dir}/ledger", f"{tmp_dir}/ckpt"
+    run_day(spark, algo, "20240101", src, out, ledger, ckpt)
+    # the lookup changes and new records arrive: the next batch sees the new label
+    spark.createDataFrame([("1", "new")], "key_text string, label string").write.mode("overwrite").parquet(lookup_path)
+    rec([("1", "b", "t", "20240101")]).select("key", "value").write.mode("append") \
+        .parquet(f"{root}/dated_topic=t-20240101")
+    run_day(spark, algo, "20240101", src, out, ledger, ckpt)
+    got = sorted(r.value for r in read_committed(spark, out, read_ledger(spark, ledger)).collect())
+    assert got == ["a|old", "b|new"]

@@ -4,8 +4,9 @@ time at or before the probe's time (null when there is none).
 Spark has no as-of join, and a range join ``history.t <= probe.t`` followed by ``max_by`` emits all
 pairs. Two plans, both keyed by (key, time bucket) so a hot key is spread over its buckets:
 
-* **bounded probes** (the usual case: probes are batch times, checked with a bounded count): the
-  probe times of each (key, bucket) are collected into a sorted array and broadcast. Every history
+* **bounded probes** (the usual case: probes are batch times): the probe rows are written once to
+  the shared checkpoint folder and counted there; the probe times of each (key, bucket) are collected
+  into a sorted array and broadcast. Every history
   row finds, map-side, how many probes of its bucket precede it (``_idx``), then history is
   partially aggregated to one row per (key, bucket, _idx) -- the latest row of that interval -- so
   only aggregated rows are shuffled. A final running ``last(ignorenulls)`` over intervals and probes
@@ -34,10 +35,6 @@ def _time(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("bigint")
 
 
-def _bounded(df: DataFrame, limit: int) -> bool:
-    return df.limit(limit + 1).count() <= limit
-
-
 def asof_join(probes: DataFrame, history: DataFrame, by: list[str], probe_time: str, hist_time: str,
               values: list[str], bucket: int, tiebreak: list[str] | None = None,
               max_broadcast_probes: int = DEFAULT_MAX_BROADCAST_PROBES,
@@ -53,8 +50,11 @@ def asof_join(probes: DataFrame, history: DataFrame, by: list[str], probe_time:
     clash = set(values) & set(probes.columns)
     if clash:
         raise ValueError(f"value columns also in probes: {sorted(clash)}")
+    if strategy in ("auto", "broadcast"):
+        # the probe side is evaluated once: written to the shared checkpoint folder, counted from there
+        probes = materialize(probes, "asof-probes")
     if strategy == "auto":
-        strategy = "broadcast" if _bounded(probes, max_broadcast_probes) else "window"
+        strategy = "broadcast" if probes.count() <= max_broadcast_probes else "window"
     if strategy == "broadcast":
         return _asof_broadcast(probes, history, by, probe_time, hist_time, values, bucket, tiebreak)
     if strategy == "window":
@@ -73,10 +73,6 @@ def _value_struct(values: list[str]) -> Column:
     return F.struct(*[F.col(v) for v in values])
 
 
-def _order_struct(t: str, tiebreak: list[str]) -> Column:
-    return F.struct(F.col(t), *[F.col(c) for c in tiebreak])
-
-
 def _asof_broadcast(probes, history, by, probe_time, hist_time, values, bucket, tiebreak):
     probe_cols = probes.columns
     keys = [f"_k{i}" for i in range(len(by))]
@@ -85,10 +81,9 @@ def _asof_broadcast(probes, history, by, probe_time, hist_time, values, bucket,
                       _time(probes, probe_time).alias("_t"))
     p = p.withColumn("_b", div_floor(F.col("_t"), bucket))
 
-    # probes grouped per (key, bucket), sorted by time, written once to the shared checkpoint folder:
-    # the probe side is evaluated a single time and every later use reads this small table
+    # probes grouped per (key, bucket), sorted by time (bounded: the probe count was checked)
     items = F.array_sort(F.collect_list(F.struct("_t", "_probe")))
-    grouped = materialize(p.groupBy(*keys, "_b").agg(items.alias("_items")), "asof-probes")
+    grouped = p.groupBy(*keys, "_b").agg(items.alias("_items"))
     arrays = grouped.where(F.col("_b").isNotNull() & _keys_present(keys)).select(
         *keys, "_b", F.transform("_items", lambda x: x["_t"]).alias("_arr"))
     before = lambda t: F.coalesce(F.size(F.filter(F.col("_arr"), lambda x: x < t)), F.lit(0))

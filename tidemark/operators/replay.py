@@ -20,11 +20,11 @@ row carries the state *before* the batch and the batch's outcome:
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Iterable
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+
 from tidemark.session import ship_package
 
 MAX_BATCHES_PER_PROC = 5_000_000
@@ -123,14 +123,6 @@ def replay_ledger(batch_log: DataFrame, start_state: DataFrame) -> DataFrame:
     return log.groupBy("proc").cogroup(start.groupBy("proc")).applyInPandas(_replay_group, REPLAY_SCHEMA)
 
 
-def replay_iter(rows: Iterable[tuple], state: dict) -> list[tuple]:
-    """Driver-free helper used by the streaming replay: rows are (batch_time, n, failed, sync)."""
-    out = []
-    for t, n, f, s in rows:
-        before = (state["trace"], state["batch_num"])
-        out.append((t, before[0], before[1], step(state, int(t), int(n), int(f), s)))
-    return out
-
-
 def outcome_counts(replayed: DataFrame) -> DataFrame:
+    """``(proc, outcome, n)``: how many batches of each processor ended each way."""
     return replayed.groupBy("proc", "outcome").agg(F.count(F.lit(1)).alias("n"))

@@ -62,3 +62,28 @@ class CounterTestAlgorithm(Algorithm):
         observed, obs = with_counters(out, f"acc_{date}_{batch_id}", acc=F.lit(batch_id))
         self.counters[(date, batch_id)] = obs
         return observed
+
+
+@dataclass
+class LookupAlgorithm(Algorithm):
+    """Records joined with a small shared lookup, rebuilt for every micro-batch (JON-1).
+
+    ``lookup_fn()`` returns ``(key_text, label)`` rows; it is called inside each batch, so a changed
+    lookup is seen by the next batch (the reference kept a broadcast value until the application
+    ended). The join broadcasts the lookup only after a bounded count (``enrich``)."""
+
+    name: str = "lookup"
+    result: str = "lookup_result"
+    lookup_fn: object = None
+    key_col: str = "key_text"
+    label_col: str = "label"
+
+    def transform(self, date: str, df: DataFrame) -> DataFrame:
+        return df.select(F.col("key").cast("string").alias(self.key_col),
+                         F.expr("make_valid_utf8(cast(value as string))").alias("value"))
+
+    def per_batch(self, date: str, batch_id: int, df: DataFrame) -> DataFrame:
+        from tidemark.operators.enrich import enrich
+
+        joined = enrich(df, self.lookup_fn, on=self.key_col, how="left")
+        return joined.select(F.concat_ws("|", "value", F.coalesce(F.col(self.label_col), F.lit(""))).alias("value"))
