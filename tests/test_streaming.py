@@ -92,3 +92,20 @@ def test_lookup_refreshed_every_batch(spark, tmp_dir):
     run_day(spark, algo, "20240101", src, out, ledger, ckpt)
     got = sorted(r.value for r in read_committed(spark, out, read_ledger(spark, ledger)).collect())
     assert got == ["a|old", "b|new"]
+
+
+def test_continuous_day_stops_when_idle_and_upstream_done(spark, topics_root, tmp_dir):
+    from tidemark.session import session_conf
+    from tidemark.streaming.runner import run_day_continuous
+
+    calls = []
+
+    def sync():
+        calls.append(1)
+        return "20240101" if len(calls) > 2 else "20231231"  # upstream finishes the day later
+
+    with session_conf(spark, {"spark.sql.streaming.noDataProgressEventInterval": "500ms"}):
+        run = run_day_continuous(spark, CounterTestAlgorithm(fail_at=None), "20240101", _source(spark, topics_root),
+                                 sync, f"{tmp_dir}/out", f"{tmp_dir}/ledger", f"{tmp_dir}/ckpt",
+                                 trigger_seconds=1, poll_sec=0.5, timeout_sec=120)
+    assert run.finished and run.batches == [0, 1, 2, 3, 4] and len(calls) >= 3

@@ -13,18 +13,21 @@ An exception in a batch ends the query; ``awaitTermination`` raises it and nothi
 that batch (STR-7). A rerun resumes from the checkpoint and replays the failed batch.
 
 Day switch (STR-6): Spark runs no micro-batch when there is no new data, so "an empty batch" is an
-``availableNow`` pass that reads 0 rows. The upstream sync point is read *before* the pass; when the
-pass is empty and the sync point is at or past the date, the date is finished.
+``availableNow`` pass that reads 0 rows (:func:`run_days`), or an idle event of a processing-time
+query (:func:`run_day_continuous`). The upstream sync point is read *before* the empty pass / idle
+trigger; when it is at or past the date, the date is finished.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from tidemark.operators.batches import batch_dir
 from tidemark.operators.replay import next_day_text
@@ -53,6 +56,7 @@ class DayRun:
     rows: int = 0
     skipped: list[int] = field(default_factory=list)
     progress: list[dict] = field(default_factory=list)
+    finished: bool = False
 
 
 def _ledger_has(spark: SparkSession, ledger_path: str, proc: str, date: str, batch: int) -> bool:
@@ -71,20 +75,8 @@ def _append_ledger(spark: SparkSession, ledger_path: str, proc: str, date: str,
     spark.createDataFrame([row], LEDGER_SCHEMA).coalesce(1).write.mode("append").parquet(ledger_path)
 
 
-def run_day(spark: SparkSession, algo: Algorithm, date: str, source: Callable[[str], DataFrame],
-            out_root: str, ledger_path: str, checkpoint_base: str, latency_min: int | None = None,
-            timeout_sec: float | None = None) -> DayRun:
-    """Process ``date`` until the source has nothing more (``availableNow``) or ``timeout_sec``.
-
-    ``source(date)`` returns the streaming ``(key, value)`` DataFrame of the date's topics.
-    """
-    run = DayRun(date)
-    ckpt = checkpoint_for(checkpoint_base, date)
-    fresh = not _has_checkpoint(spark, ckpt)
-    if fresh:
-        algo.start_day(date)
-    shaped = algo.transform(date, source(date))
-
+def _batch_writer(spark: SparkSession, algo: Algorithm, date: str, out_root: str, ledger_path: str,
+                  run: DayRun) -> Callable[[DataFrame, int], None]:
     def on_batch(df: DataFrame, batch_id: int) -> None:
         if _ledger_has(spark, ledger_path, algo.result, date, batch_id):
             run.skipped.append(batch_id)
@@ -97,18 +89,109 @@ def run_day(spark: SparkSession, algo: Algorithm, date: str, source: Callable[[s
         _append_ledger(spark, ledger_path, algo.result, date, batch_id, batch_time, n)
         run.batches.append(batch_id)
         run.rows += n
+    return on_batch
+
+
+def _start(spark: SparkSession, algo: Algorithm, date: str, source: Callable[[str], DataFrame], out_root: str,
+           ledger_path: str, checkpoint_base: str, trigger: dict, run: DayRun):
+    ckpt = checkpoint_for(checkpoint_base, date)
+    if not _has_checkpoint(spark, ckpt):
+        algo.start_day(date)
+    shaped = algo.transform(date, source(date))
+    return (shaped.writeStream.foreachBatch(_batch_writer(spark, algo, date, out_root, ledger_path, run))
+            .option("checkpointLocation", ckpt)
+            .trigger(**trigger)
+            .queryName(f"{algo.name}-{date}".replace("/", "_"))
+            .start())
 
-    q = (shaped.writeStream.foreachBatch(on_batch)
-         .option("checkpointLocation", ckpt)
-         .trigger(**trigger_for(latency_min))
-         .queryName(f"{algo.name}-{date}".replace("/", "_"))
-         .start())
+
+def run_day(spark: SparkSession, algo: Algorithm, date: str, source: Callable[[str], DataFrame],
+            out_root: str, ledger_path: str, checkpoint_base: str, latency_min: int | None = None,
+            timeout_sec: float | None = None) -> DayRun:
+    """Process ``date`` until the source has nothing more (``availableNow``) or ``timeout_sec``.
+
+    ``source(date)`` returns the streaming ``(key, value)`` DataFrame of the date's topics.
+    """
+    run = DayRun(date)
+    q = _start(spark, algo, date, source, out_root, ledger_path, checkpoint_base, trigger_for(latency_min), run)
     try:
         q.awaitTermination(timeout_sec) if timeout_sec else q.awaitTermination()
     finally:
-        run.progress = [p for p in q.recentProgress]
+        run.progress = _progress_dicts(q)
+        if q.isActive:
+            q.stop()
+    return run
+
+
+def _progress_dicts(q) -> list[dict]:
+    out = []
+    for p in q.recentProgress:
+        if isinstance(p, dict):
+            out.append(p)
+        else:
+            out.append({"batchId": getattr(p, "batchId", -1), "numInputRows": getattr(p, "numInputRows", 0),
+                        "observedMetrics": getattr(p, "observedMetrics", {})})
+    return out
+
+
+class _IdleWatch(StreamingQueryListener):
+    """Times (epoch seconds) of the idle events of each query: a trigger that found no new data."""
+
+    def __init__(self):
+        super().__init__()
+        self.idle: dict[str, list[float]] = {}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        ts = _dt.datetime.fromisoformat(str(event.timestamp).replace("Z", "+00:00")).timestamp()
+        self.idle.setdefault(str(event.id), []).append(ts)
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def run_day_continuous(spark: SparkSession, algo: Algorithm, date: str, source: Callable[[str], DataFrame],
+                       sync: Callable[[], str | None], out_root: str, ledger_path: str, checkpoint_base: str,
+                       latency_min: int | None = None, trigger_seconds: int | None = None,
+                       poll_sec: float = 1.0, timeout_sec: float | None = None) -> DayRun:
+    """Process ``date`` with a processing-time trigger and stop once the date is finished (STR-6,
+    continuous form): the sync point, read at time T, is at or past the date, and the query reports
+    idle (a trigger found no new data) at a time after T. Waiting for an idle event later than the
+    sync read closes the window where records land between an empty batch and the sync read.
+    Idle events are throttled by ``spark.sql.streaming.noDataProgressEventInterval``."""
+    run = DayRun(date)
+    trigger = ({"processingTime": f"{int(trigger_seconds)} seconds"} if trigger_seconds
+               else trigger_for(latency_min or 1))
+    watch = _IdleWatch()
+    spark.streams.addListener(watch)
+    q = _start(spark, algo, date, source, out_root, ledger_path, checkpoint_base, trigger, run)
+    started = time.time()
+    try:
+        armed_at = None
+        while q.isActive:
+            if timeout_sec and time.time() - started > timeout_sec:
+                break
+            if armed_at is None:
+                mark = time.time()
+                s = sync()
+                if s is not None and s >= date:
+                    armed_at = mark
+            elif any(t > armed_at for t in watch.idle.get(str(q.id), [])):
+                run.finished = True
+                break
+            q.awaitTermination(poll_sec)
+        if q.exception() is not None:
+            raise q.exception()
+    finally:
+        run.progress = _progress_dicts(q)
         if q.isActive:
             q.stop()
+        spark.streams.removeListener(watch)
     return run
 
 
