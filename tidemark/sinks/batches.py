@@ -21,6 +21,7 @@ from tidemark.functions.columns import batch_path, commit_point
 from tidemark.operators.batches import batch_dir
 from tidemark.session import session_conf
 
+LEDGER_PARTITIONS = ("proc", "date")
 LEDGER_SCHEMA = ("proc string, date string, batch int, batch_time bigint, num_records bigint, "
                  "commit string, published_at timestamp")
 
@@ -72,14 +73,35 @@ def ledger_rows(spark: SparkSession, proc: str, date: str, batch: int, batch_tim
     return spark.createDataFrame([row], LEDGER_SCHEMA)
 
 
+def append_ledger(rows: DataFrame, ledger_path: str) -> None:
+    """Append ledger rows, partitioned by processor and date: a lookup of one batch (the replay check
+    of every micro-batch) reads one folder, not the whole history."""
+    (rows.select(*[c.split()[0] for c in LEDGER_SCHEMA.split(", ")])
+     .repartition(*LEDGER_PARTITIONS).write.mode("append").partitionBy(*LEDGER_PARTITIONS).parquet(ledger_path))
+
+
 def publish_batch(spark: SparkSession, ledger_path: str, proc: str, date: str, batch: int, batch_time: int,
                   num_records: int) -> None:
     """Append the batch's ledger row (after its data is written)."""
-    ledger_rows(spark, proc, date, batch, batch_time, num_records).write.mode("append").parquet(ledger_path)
+    append_ledger(ledger_rows(spark, proc, date, batch, batch_time, num_records), ledger_path)
 
 
 def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
-    return spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path)
+    """The ledger with the columns of :data:`LEDGER_SCHEMA`; filters on ``proc``/``date`` prune folders."""
+    with session_conf(spark, {"spark.sql.sources.partitionColumnTypeInference.enabled": "false"}):
+        led = spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path)
+    return led.select(*[c.split()[0] for c in LEDGER_SCHEMA.split(", ")])
+
+
+def ledger_has(spark: SparkSession, ledger_path: str, proc: str, date: str, batch: int) -> bool:
+    """Whether ``(proc, date, batch)`` is published (reads the one ``proc``/``date`` folder)."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{ledger_path.rstrip('/')}/proc={proc}/date={date}")
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        return False
+    led = read_ledger(spark, ledger_path)
+    hit = led.where((F.col("proc") == proc) & (F.col("date") == date) & (F.col("batch") == batch)).limit(1)
+    return hit.count() > 0
 
 
 def ledger_from_replay(replayed: DataFrame, log: DataFrame | None = None) -> DataFrame:

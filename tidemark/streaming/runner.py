@@ -29,9 +29,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
-from tidemark.operators.batches import batch_dir
 from tidemark.operators.replay import next_day_text
-from tidemark.sinks.batches import LEDGER_SCHEMA, write_batch
+from tidemark.sinks.batches import append_ledger, ledger_has, ledger_rows, write_batch
 from tidemark.streaming.algorithm import Algorithm
 
 
@@ -59,26 +58,15 @@ class DayRun:
     finished: bool = False
 
 
-def _ledger_has(spark: SparkSession, ledger_path: str, proc: str, date: str, batch: int) -> bool:
-    try:
-        led = spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path)
-    except Exception:  # noqa: BLE001 -- no ledger yet
-        return False
-    hit = led.where((F.col("proc") == proc) & (F.col("date") == date) & (F.col("batch") == batch)).limit(1)
-    return hit.count() > 0
-
-
 def _append_ledger(spark: SparkSession, ledger_path: str, proc: str, date: str, batch: int,
                    batch_time: int, n: int) -> None:
-    now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    row = (proc, date, batch, batch_time, n, f"{batch_dir(date, batch)}/{batch_time}", now)
-    spark.createDataFrame([row], LEDGER_SCHEMA).coalesce(1).write.mode("append").parquet(ledger_path)
+    append_ledger(ledger_rows(spark, proc, date, batch, batch_time, n), ledger_path)
 
 
 def _batch_writer(spark: SparkSession, algo: Algorithm, date: str, out_root: str, ledger_path: str,
                   run: DayRun) -> Callable[[DataFrame, int], None]:
     def on_batch(df: DataFrame, batch_id: int) -> None:
-        if _ledger_has(spark, ledger_path, algo.result, date, batch_id):
+        if ledger_has(spark, ledger_path, algo.result, date, batch_id):
             run.skipped.append(batch_id)
             return
         out = algo.per_batch(date, batch_id, df)
