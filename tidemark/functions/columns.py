@@ -36,13 +36,30 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def ident(name: str) -> str:
+    """A column name quoted for SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def epoch_micros_sql(name: str, data_type: T.DataType | None = None) -> str:
+    """SQL text of :func:`epoch_micros` for a named column (one expression, one plan call)."""
+    q = ident(name)
+    if isinstance(data_type, T.TimestampType):
+        return f"unix_micros({q})"
+    return (f"(CAST(datediff(to_date({q}), DATE'1970-01-01') AS BIGINT) * 86400000000"
+            f" + CAST(hour({q}) * 3600 + minute({q}) * 60 AS BIGINT) * 1000000"
+            f" + CAST(extract(SECOND FROM {q}) * 1000000 AS BIGINT))")
+
+
 def epoch_micros(c: Column | str, data_type: T.DataType | None = None) -> Column:
     """Microseconds since 1970-01-01 of a timestamp column.
 
     Zoned timestamps: ``unix_micros``. ``timestamp_ntz`` (the driver tables): built from the calendar
     day and the time of day, which involves no time zone -- a cast to a zoned timestamp would shift
     wall-clock times across daylight-saving changes of the session time zone."""
-    col = _c(c)
+    if isinstance(c, str):
+        return F.expr(epoch_micros_sql(c, data_type))
+    col = c
     if isinstance(data_type, T.TimestampType):
         return F.unix_micros(col)
     days = F.datediff(F.to_date(col), F.lit(_EPOCH_NTZ.date()))
@@ -51,18 +68,32 @@ def epoch_micros(c: Column | str, data_type: T.DataType | None = None) -> Column
     return days.cast("bigint") * F.lit(86_400_000_000) + clock + frac
 
 
-def floor_to(us: Column, width: int) -> Column:
-    """``us`` rounded down to a multiple of ``width`` in exact long arithmetic."""
-    return (us - F.pmod(us, F.lit(width))).cast("bigint")
+def epoch_micros_of(df: DataFrame, name: str) -> Column:
+    return epoch_micros(name, df.schema[name].dataType)
 
 
-def div_floor(us: Column, width: int) -> Column:
-    """``floor(us / width)``: the division of an exact multiple is exact below 2**53."""
-    return (floor_to(us, width) / F.lit(width)).cast("bigint")
+def floor_sql(q: str, width: int) -> str:
+    """SQL text: ``q`` rounded down to a multiple of ``width`` (exact long arithmetic)."""
+    return f"({q} - pmod({q}, {int(width)}))"
 
 
-def epoch_micros_of(df: DataFrame, name: str) -> Column:
-    return epoch_micros(name, df.schema[name].dataType)
+def div_floor_sql(q: str, width: int) -> str:
+    """SQL text: ``floor(q / width)`` (integral ``DIV`` of an exact multiple)."""
+    return f"({floor_sql(q, width)} DIV {int(width)})"
+
+
+def floor_to(us: Column | str, width: int) -> Column:
+    """``us`` rounded down to a multiple of ``width`` in exact long arithmetic."""
+    if isinstance(us, str):
+        return F.expr(floor_sql(ident(us), width))
+    return (us - F.pmod(us, F.lit(width))).cast("bigint")
+
+
+def div_floor(us: Column | str, width: int) -> Column:
+    """``floor(us / width)`` in exact long arithmetic."""
+    if isinstance(us, str):
+        return F.expr(div_floor_sql(ident(us), width))
+    return ((us - F.pmod(us, F.lit(width))) / F.lit(width)).cast("bigint")
 
 
 # PRJ-1 ---------------------------------------------------------------------------------------

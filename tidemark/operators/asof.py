@@ -79,7 +79,7 @@ def _asof_broadcast(probes, history, by, probe_time, hist_time, values, bucket,
     p = probes.select(F.struct(*[F.col(c) for c in probe_cols]).alias("_probe"),
                       *[F.col(k).alias(f"_k{i}") for i, k in enumerate(by)],
                       _time(probes, probe_time).alias("_t"))
-    p = p.withColumn("_b", div_floor(F.col("_t"), bucket))
+    p = p.withColumn("_b", div_floor("_t", bucket))
 
     # probes grouped per (key, bucket), sorted by time (bounded: the probe count was checked)
     items = F.array_sort(F.collect_list(F.struct("_t", "_probe")))
@@ -91,7 +91,7 @@ def _asof_broadcast(probes, history, by, probe_time, hist_time, values, bucket,
     h = history.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(by)],
                        _time(history, hist_time).alias("_t"),
                        *[F.col(v) for v in values], *[F.col(c).alias(f"_tb{i}") for i, c in enumerate(tiebreak)])
-    h = h.where(F.col("_t").isNotNull()).withColumn("_b", div_floor(F.col("_t"), bucket))
+    h = h.where(F.col("_t").isNotNull()).withColumn("_b", div_floor("_t", bucket))
     # only keys that some probe asks for; both lookups are broadcast, history is never shuffled raw
     h = h.join(F.broadcast(arrays.select(*keys).distinct()), on=keys, how="left_semi")
     h = h.join(F.broadcast(arrays), on=[*keys, "_b"], how="left").withColumn("_idx", before(F.col("_t")))
@@ -124,13 +124,13 @@ def _asof_window(probes, history, by, probe_time, hist_time, values, bucket, tie
     p = probes.select(F.struct(*[F.col(c) for c in probe_cols]).alias("_probe"),
                       *[F.col(k).alias(f"_k{i}") for i, k in enumerate(by)],
                       _time(probes, probe_time).alias("_t"))
-    p = p.withColumn("_b", div_floor(F.col("_t"), bucket))
+    p = p.withColumn("_b", div_floor("_t", bucket))
     h = history.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(by)],
                        _time(history, hist_time).alias("_t"), _value_struct(values).alias("_val"),
                        *[F.col(c).alias(f"_tb{i}") for i, c in enumerate(tiebreak)])
     # a null key matches nothing (window partitions would group nulls together)
     h = h.where(F.col("_t").isNotNull() & _keys_present(keys)).withColumn(
-        "_b", div_floor(F.col("_t"), bucket))
+        "_b", div_floor("_t", bucket))
     tb = [f"_tb{i}" for i in range(len(tiebreak))]
     order = F.struct(F.col("_t"), *[F.col(c) for c in tb])
 

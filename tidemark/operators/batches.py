@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import batch_folder, div_floor, epoch_micros_of, floor_to
+from tidemark.functions.columns import (batch_folder, div_floor, div_floor_sql, epoch_micros_sql, floor_sql,
+                                        ident)
 
 DAY_US = 86_400_000_000
 HOUR_US = 3_600_000_000
@@ -23,28 +24,37 @@ def _check_width(width_us: int) -> None:
         raise ValueError("batch width must divide one day (in microseconds)")
 
 
-def day_of_micros(us: Column) -> Column:
+def day_of_micros(us: Column | str) -> Column:
     """``yyyyMMdd`` of the UTC day holding an epoch-microsecond value (no time zone involved)."""
+    if isinstance(us, str):
+        return F.expr(f"date_format(date_add(DATE'1970-01-01', CAST({div_floor_sql(ident(us), DAY_US)} AS INT)),"
+                      f" 'yyyyMMdd')")
     days = div_floor(us, DAY_US).cast("int")
     return F.date_format(F.date_add(F.lit("1970-01-01").cast("date"), days), "yyyyMMdd")
 
 
-def batch_columns(start_us: Column, width_us: int) -> list[Column]:
-    """Columns describing the batch that starts at ``start_us``."""
+def batch_columns(start_us: str, width_us: int) -> list[Column]:
+    """Columns describing the batch that starts at the epoch-microsecond column ``start_us``:
+    ``date`` (its day), ``batch`` (number within the day) and ``batch_time`` (its end, epoch ms)."""
+    q = ident(start_us)
     return [
         day_of_micros(start_us).alias("date"),
-        div_floor(F.pmod(start_us, F.lit(DAY_US)), width_us).cast("int").alias("batch"),
-        div_floor(start_us + F.lit(width_us), 1000).alias("batch_time"),
+        F.expr(f"CAST(pmod({q}, {DAY_US}) DIV {int(width_us)} AS INT)").alias("batch"),
+        F.expr(f"({q} + {int(width_us)}) DIV 1000").alias("batch_time"),
     ]
 
 
+def _start_sql(df: DataFrame, ts: str, width_us: int) -> str:
+    return floor_sql(epoch_micros_sql(ts, df.schema[ts].dataType), width_us)
+
+
 def batchify(df: DataFrame, ts: str, width_us: int) -> DataFrame:
     """Assign each row to its fixed-width batch: ``batch_start_us``, ``date`` (the batch's day),
     ``batch`` (number within the day, from 0) and ``batch_time`` (batch end, epoch ms, the time a
     micro-batch with this interval completes). A projection: no shuffle."""
     _check_width(width_us)
-    us = epoch_micros_of(df, ts)
-    return df.withColumn("batch_start_us", floor_to(us, width_us)).select("*", *batch_columns(F.col("batch_start_us"), width_us))
+    return (df.withColumn("batch_start_us", F.expr(_start_sql(df, ts, width_us)))
+            .select("*", *batch_columns("batch_start_us", width_us)))
 
 
 def batch_spine(df: DataFrame, by: str, ts: str, width_us: int) -> DataFrame:
@@ -52,16 +62,13 @@ def batch_spine(df: DataFrame, by: str, ts: str, width_us: int) -> DataFrame:
     ``(by, batch_start_us, date, batch, batch_time)``. Rows per key = days x batches per day, bounded
     by the time span, not by the data volume."""
     _check_width(width_us)
-    us = epoch_micros_of(df, ts)
-    per_key = df.groupBy(by).agg(F.min(us).alias("lo"), F.max(us).alias("hi"))
-    first_day = floor_to(F.col("lo"), DAY_US)
-    n = div_floor(floor_to(F.col("hi"), DAY_US) + F.lit(DAY_US) - first_day, width_us)
-    spine = per_key.where(F.col("lo").isNotNull()).select(
-        by,
-        F.explode(F.sequence(F.lit(0).cast("bigint"), n.cast("bigint") - 1)).alias("i"),
-        first_day.cast("bigint").alias("first_day_us"),
-    ).select(by, (F.col("first_day_us") + F.col("i") * F.lit(width_us)).cast("bigint").alias("batch_start_us"))
-    return spine.select("*", *batch_columns(F.col("batch_start_us"), width_us))
+    us = epoch_micros_sql(ts, df.schema[ts].dataType)
+    per_key = df.groupBy(by).agg(F.expr(f"min({us})").alias("lo"), F.expr(f"max({us})").alias("hi"))
+    first = floor_sql("lo", DAY_US)
+    last = f"({floor_sql('hi', DAY_US)} + {DAY_US - int(width_us)})"
+    spine = per_key.where("lo IS NOT NULL").selectExpr(
+        ident(by), f"explode(sequence({first}, {last}, CAST({int(width_us)} AS BIGINT))) AS batch_start_us")
+    return spine.select("*", *batch_columns("batch_start_us", width_us))
 
 
 def batch_counts(df: DataFrame, by: str, ts: str, width_us: int,
@@ -74,10 +81,9 @@ def batch_counts(df: DataFrame, by: str, ts: str, width_us: int,
     """
     extra_aggs = extra_aggs or {}
     _check_width(width_us)
-    us = epoch_micros_of(df, ts)
     events = df.select(
         F.col(by),
-        floor_to(us, width_us).alias("batch_start_us"),
+        F.expr(_start_sql(df, ts, width_us)).alias("batch_start_us"),
         F.lit(1).alias("_one"),
         *[F.col(c) for c in _source_columns(df, extra_aggs, by, ts)],
     ).where(F.col("batch_start_us").isNotNull())
@@ -89,7 +95,7 @@ def batch_counts(df: DataFrame, by: str, ts: str, width_us: int,
         F.sum("_one").cast("bigint").alias("num_records"),
         *[e.alias(name) for name, e in extra_aggs.items()],
     )
-    return agg.select(by, "batch_start_us", *batch_columns(F.col("batch_start_us"), width_us),
+    return agg.select(by, "batch_start_us", *batch_columns("batch_start_us", width_us),
                       "num_records", *extra_aggs.keys())
 
 

@@ -21,7 +21,7 @@ from tidemark.operators.partitions import append_per_partition, append_rows, con
 from tidemark.operators.replay import replay_ledger
 from tidemark.operators.resume import resume_after, sequence_numbers
 from tidemark.plans import fixtures as fx
-from tidemark.session import scratch_dir
+from tidemark.session import scratch_dir, session_conf
 from tidemark.sinks.batches import latest_commits, ledger_from_replay, read_by_key, write_batches, write_by_key
 from tidemark.sinks.messages import prepare_messages
 from tidemark.sources.committed import read_committed_partitioned
@@ -354,10 +354,9 @@ def q_committed_batches(spark, sf_dir):
     write_batches(b, root, ["proc", "date", "batch"])
     replayed = replay_ledger(fx.batch_log(events), fx.start_state(events))
     # ledger rows name the batch by its hour slot (the folder it was written to): batch end - width
-    slot = (F.col("batch_time") * F.lit(1000) - F.lit(fx.BATCH_WIDTH_US)).cast("bigint")
-    slots = B.batch_columns(slot, fx.BATCH_WIDTH_US)
     ledger = (ledger_from_replay(replayed)
-              .select("proc", slots[0].alias("date"), slots[1].alias("batch"), "batch_time"))
+              .withColumn("_slot", F.expr(f"batch_time * 1000 - {fx.BATCH_WIDTH_US}"))
+              .select("proc", *B.batch_columns("_slot", fx.BATCH_WIDTH_US)[:2], "batch_time"))
     ledger.write.mode("overwrite").parquet(ledger_path)
     return read_committed_partitioned(spark, root, spark.read.parquet(ledger_path))
 
@@ -390,6 +389,7 @@ def q_read_counters(spark, sf_dir):
 # ---- STR-5 streaming form --------------------------------------------------------------------------
 
 LOG_STREAM_CHUNK_MS = 10 * 86_400_000  # the log arrives in 10-day files, oldest first
+STATE_PARTITIONS = 8  # state-store partitions of the streaming replay (processors spread over them)
 
 
 @register("replay_ledger_stream")
@@ -411,8 +411,11 @@ def q_replay_ledger_stream(spark, sf_dir):
             staged.where(F.col("_chunk") == c).drop("_chunk").coalesce(1).write.mode("append").parquet(src)
     log_schema = staged.drop("_chunk").schema
     stream = spark.readStream.schema(log_schema).option("maxFilesPerTrigger", 1).parquet(src)
-    q = (replay_stream(stream, fx.start_state(events)).writeStream.format("parquet")
-         .option("path", out).option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    # state partitions are fixed when the query first starts: one group per processor, so size them
+    # to the processors rather than to the session's shuffle default
+    with session_conf(spark, {"spark.sql.shuffle.partitions": str(STATE_PARTITIONS)}):
+        q = (replay_stream(stream, fx.start_state(events)).writeStream.format("parquet")
+             .option("path", out).option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.schema(
         "proc string, batch_time bigint, trace string, batch_num int, outcome string").parquet(out)
