@@ -85,3 +85,24 @@ def test_resume_state_cases(spark):
     assert got["next"] == ("20240110", 6, 1704067200000, None)
     assert got["bad"][3] == "invalid commit point"
     assert got["nosync"][3] == "no date to trace"
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_asof_grid_matches_brute_force(spark, seed):
+    rnd = random.Random(seed)
+    keys = ["a", "b", None]
+    history = [(rnd.choice(keys), rnd.choice([None] + list(range(0, 300))), i, f"v{i}") for i in range(400)]
+    history += [("a", rnd.randrange(0, 300), 1000 + i, f"h{i}") for i in range(400)]  # a hot key
+    probes = [(i, rnd.choice(keys), rnd.choice([None] + [17 * k for k in range(-1, 19)])) for i in range(150)]
+    h = spark.createDataFrame(history, "k string, t long, seq long, v string")
+    p = spark.createDataFrame(probes, "pid long, k string, pt long")
+    got = {r.pid: r.v for r in asof_join(p, h, by=["k"], probe_time="pt", hist_time="t", values=["v"],
+                                          bucket=17, tiebreak=["seq"], strategy="grid").collect()}
+    assert got == _brute(probes, history)
+
+
+def test_asof_grid_rejects_off_grid_probe(spark):
+    h = spark.createDataFrame([("a", 1, "x")], "k string, t long, v string")
+    p = spark.createDataFrame([(1, "a", 5)], "pid long, k string, pt long")
+    with pytest.raises(Exception, match="off the grid"):
+        asof_join(p, h, ["k"], "pt", "t", ["v"], bucket=17, strategy="grid").collect()

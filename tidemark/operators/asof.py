@@ -11,6 +11,10 @@ pairs. Two plans, both keyed by (key, time bucket) so a hot key is spread over i
   partially aggregated to one row per (key, bucket, _idx) -- the latest row of that interval -- so
   only aggregated rows are shuffled. A final running ``last(ignorenulls)`` over intervals and probes
   per key (at most #probes + #buckets rows per key) gives each probe its value.
+* **probes on a grid** (batch ends): each history row is mapped to the first grid point at or after
+  it, history is partially aggregated to one row per (key, grid point), and a running
+  ``last(ignorenulls)`` per key over those rows and the probes (rows per key bounded by the time span)
+  answers every probe -- one pass over history, nothing written, nothing broadcast.
 * **unbounded probes**: probes and history are unioned and a running ``last(ignorenulls)`` runs per
   (key, bucket); the value carried into a bucket comes from the latest earlier bucket's tail, which
   is itself an aggregate (one row per non-empty bucket).
@@ -22,12 +26,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import div_floor, epoch_micros
+from tidemark.functions.columns import div_floor, div_floor_sql, epoch_micros, epoch_micros_sql, ident
 from tidemark.session import materialize
 
 DEFAULT_MAX_BROADCAST_PROBES = 2_000_000
 
 
+def _time_sql(df: DataFrame, name: str) -> str:
+    dt = df.schema[name].dataType
+    if isinstance(dt, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return epoch_micros_sql(name, dt)
+    return f"CAST({ident(name)} AS BIGINT)"
+
+
 def _time(df: DataFrame, name: str) -> Column:
     dt = df.schema[name].dataType
     if isinstance(dt, (T.TimestampType, T.TimestampNTZType, T.DateType)):
@@ -44,7 +55,8 @@ def asof_join(probes: DataFrame, history: DataFrame, by: list[str], probe_time:
     Times may be timestamps (compared as epoch microseconds, ``bucket`` in microseconds) or numbers
     (``bucket`` in the same unit). ``tiebreak`` orders history rows with equal times.
     ``strategy``: ``auto`` (broadcast plan when a bounded count shows at most
-    ``max_broadcast_probes`` probes), ``broadcast`` (the caller vouches for the bound) or ``window``.
+    ``max_broadcast_probes`` probes), ``broadcast`` (the caller vouches for the bound), ``window``, or
+    ``grid`` -- every probe time is a multiple of ``bucket`` (e.g. batch ends), checked in the plan.
     """
     tiebreak = tiebreak or []
     clash = set(values) & set(probes.columns)
@@ -59,6 +71,8 @@ def asof_join(probes: DataFrame, history: DataFrame, by: list[str], probe_time:
         return _asof_broadcast(probes, history, by, probe_time, hist_time, values, bucket, tiebreak)
     if strategy == "window":
         return _asof_window(probes, history, by, probe_time, hist_time, values, bucket, tiebreak)
+    if strategy == "grid":
+        return _asof_grid(probes, history, by, probe_time, hist_time, values, bucket, tiebreak)
     raise ValueError(f"unknown strategy {strategy!r}")
 
 
@@ -73,49 +87,86 @@ def _value_struct(values: list[str]) -> Column:
     return F.struct(*[F.col(v) for v in values])
 
 
+def _sql_struct(names: list[str]) -> str:
+    return "struct(" + ", ".join(ident(n) for n in names) + ")"
+
+
 def _asof_broadcast(probes, history, by, probe_time, hist_time, values, bucket, tiebreak):
+    # expressions are SQL text: one plan call each instead of one per sub-expression
     probe_cols = probes.columns
     keys = [f"_k{i}" for i in range(len(by))]
-    p = probes.select(F.struct(*[F.col(c) for c in probe_cols]).alias("_probe"),
-                      *[F.col(k).alias(f"_k{i}") for i, k in enumerate(by)],
-                      _time(probes, probe_time).alias("_t"))
-    p = p.withColumn("_b", div_floor("_t", bucket))
+    present = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+    p = probes.selectExpr(f"{_sql_struct(probe_cols)} AS _probe",
+                          *[f"{ident(k)} AS _k{i}" for i, k in enumerate(by)],
+                          f"{_time_sql(probes, probe_time)} AS _t")
+    p = p.selectExpr("*", f"{div_floor_sql('_t', bucket)} AS _b")
 
     # probes grouped per (key, bucket), sorted by time (bounded: the probe count was checked)
-    items = F.array_sort(F.collect_list(F.struct("_t", "_probe")))
-    grouped = p.groupBy(*keys, "_b").agg(items.alias("_items"))
-    arrays = grouped.where(F.col("_b").isNotNull() & _keys_present(keys)).select(
-        *keys, "_b", F.transform("_items", lambda x: x["_t"]).alias("_arr"))
-    before = lambda t: F.coalesce(F.size(F.filter(F.col("_arr"), lambda x: x < t)), F.lit(0))
+    grouped = p.groupBy(*keys, "_b").agg(F.expr("array_sort(collect_list(struct(_t, _probe)))").alias("_items"))
+    arrays = grouped.where(f"_b IS NOT NULL AND {present}").selectExpr(
+        *keys, "_b", "transform(_items, x -> x._t) AS _arr")
+    before = "coalesce(size(filter(_arr, x -> x < _t)), 0) AS _idx"
 
-    h = history.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(by)],
-                       _time(history, hist_time).alias("_t"),
-                       *[F.col(v) for v in values], *[F.col(c).alias(f"_tb{i}") for i, c in enumerate(tiebreak)])
-    h = h.where(F.col("_t").isNotNull()).withColumn("_b", div_floor("_t", bucket))
+    tb = [f"_tb{i}" for i in range(len(tiebreak))]
+    h = history.selectExpr(*[f"{ident(k)} AS _k{i}" for i, k in enumerate(by)],
+                           f"{_time_sql(history, hist_time)} AS _t",
+                           *[ident(v) for v in values], *[f"{ident(c)} AS _tb{i}" for i, c in enumerate(tiebreak)])
+    h = h.where("_t IS NOT NULL").selectExpr("*", f"{div_floor_sql('_t', bucket)} AS _b")
     # only keys that some probe asks for; both lookups are broadcast, history is never shuffled raw
     h = h.join(F.broadcast(arrays.select(*keys).distinct()), on=keys, how="left_semi")
-    h = h.join(F.broadcast(arrays), on=[*keys, "_b"], how="left").withColumn("_idx", before(F.col("_t")))
-    order = F.struct(F.col("_t"), *[F.col(f"_tb{i}") for i in range(len(tiebreak))])
-    intervals = h.groupBy(*keys, "_b", "_idx").agg(F.max_by(_value_struct(values), order).alias("_val"))
+    h = h.join(F.broadcast(arrays), on=[*keys, "_b"], how="left").selectExpr("*", before)
+    intervals = h.groupBy(*keys, "_b", "_idx").agg(
+        F.expr(f"max_by({_sql_struct(values)}, struct(_t{''.join(', ' + c for c in tb)}))").alias("_val"))
 
     # probe rows come back out of the stored groups; _idx = probes of the bucket strictly earlier
-    probed = (grouped.select(*keys, "_b", F.transform("_items", lambda x: x["_t"]).alias("_arr"),
-                             F.explode("_items").alias("_it"))
-              .select(*keys, "_b", "_arr", F.col("_it._t").alias("_t"), F.col("_it._probe").alias("_probe"))
-              .withColumn("_idx", before(F.col("_t"))))
-    rows = intervals.select(*keys, "_b", "_idx", F.lit(0).alias("_kind"), "_val",
-                            F.lit(None).cast(p.schema["_probe"].dataType).alias("_probe")).unionByName(
-        probed.select(*keys, "_b", "_idx", F.lit(1).alias("_kind"),
-                      F.lit(None).cast(intervals.schema["_val"].dataType).alias("_val"), "_probe"))
+    probed = (grouped.selectExpr(*keys, "_b", "transform(_items, x -> x._t) AS _arr", "explode(_items) AS _it")
+              .selectExpr(*keys, "_b", "_arr", "_it._t AS _t", "_it._probe AS _probe")
+              .selectExpr("*", before))
+    probe_type = p.schema["_probe"].dataType.simpleString()
+    val_type = intervals.schema["_val"].dataType.simpleString()
+    rows = intervals.selectExpr(*keys, "_b", "_idx", "0 AS _kind", "_val",
+                                f"CAST(NULL AS {probe_type}) AS _probe").unionByName(
+        probed.selectExpr(*keys, "_b", "_idx", "1 AS _kind", f"CAST(NULL AS {val_type}) AS _val", "_probe"))
     w = (Window.partitionBy(*keys).orderBy("_b", "_idx", "_kind")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = rows.withColumn("_seen", F.last("_val", ignorenulls=True).over(w)).where(F.col("_kind") == 1)
+    out = rows.withColumn("_seen", F.last("_val", ignorenulls=True).over(w)).where("_kind = 1")
     # probes with a null key or time match nothing
-    nothing = F.lit(None).cast(intervals.schema["_val"].dataType)
-    out = out.withColumn("_seen", F.when(F.col("_b").isNull() | ~_keys_present(keys), nothing)
-                         .otherwise(F.col("_seen")))
-    return out.select(*[F.col(f"_probe.{c}").alias(c) for c in probe_cols],
-                      *[F.col(f"_seen.{v}").alias(v) for v in values])
+    return out.selectExpr(
+        *[f"_probe.{ident(c)} AS {ident(c)}" for c in probe_cols],
+        *[f"CASE WHEN _b IS NULL OR NOT ({present}) THEN NULL ELSE _seen.{ident(v)} END AS {ident(v)}"
+          for v in values])
+
+
+def _asof_grid(probes, history, by, probe_time, hist_time, values, width, tiebreak):
+    probe_cols = probes.columns
+    keys = [f"_k{i}" for i in range(len(by))]
+    present = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+    tb = [f"_tb{i}" for i in range(len(tiebreak))]
+    w = int(width)
+    p = probes.selectExpr(f"{_sql_struct(probe_cols)} AS _probe",
+                          *[f"{ident(k)} AS _k{i}" for i, k in enumerate(by)],
+                          f"{_time_sql(probes, probe_time)} AS _e")
+    # a probe off the grid would silently miss rows: fail the task instead
+    p = p.selectExpr("*", f"assert_true(_e IS NULL OR pmod(_e, {w}) = 0, 'as-of probe time off the grid') AS _ok")
+    h = history.selectExpr(*[f"{ident(k)} AS _k{i}" for i, k in enumerate(by)],
+                           f"{_time_sql(history, hist_time)} AS _t",
+                           *[ident(v) for v in values], *[f"{ident(c)} AS _tb{i}" for i, c in enumerate(tiebreak)])
+    # the first grid point at or after the row is the earliest probe that sees it
+    h = h.where(f"_t IS NOT NULL AND {present}").selectExpr("*", f"_t + pmod(-_t, {w}) AS _e")
+    points = h.groupBy(*keys, "_e").agg(
+        F.expr(f"max_by({_sql_struct(values)}, struct(_t{''.join(', ' + c for c in tb)}))").alias("_val"))
+    probe_type = p.schema["_probe"].dataType.simpleString()
+    val_type = points.schema["_val"].dataType.simpleString()
+    rows = points.selectExpr(*keys, "_e", "0 AS _kind", "_val", f"CAST(NULL AS {probe_type}) AS _probe",
+                             "NULL AS _ok").unionByName(
+        p.selectExpr(*keys, "_e", "1 AS _kind", f"CAST(NULL AS {val_type}) AS _val", "_probe", "_ok"))
+    win = (Window.partitionBy(*keys).orderBy("_e", "_kind")
+           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    out = rows.withColumn("_seen", F.last("_val", ignorenulls=True).over(win)).where("_kind = 1")
+    return out.selectExpr(
+        *[f"_probe.{ident(c)} AS {ident(c)}" for c in probe_cols],
+        *[f"CASE WHEN _e IS NULL OR NOT ({present}) OR _ok IS NOT NULL THEN NULL ELSE _seen.{ident(v)} END"
+          f" AS {ident(v)}" for v in values])
 
 
 def _asof_window(probes, history, by, probe_time, hist_time, values, bucket, tiebreak):

@@ -52,8 +52,9 @@ def batch_log(events: DataFrame, width_us: int = BATCH_WIDTH_US, limit: float =
         extra_aggs={"failed": F.max(F.when(F.col("value") > F.lit(limit), 1).otherwise(0))},
     ).withColumnRenamed("event_type", "proc")
     probes = counts.withColumn("probe_us", F.col("batch_start_us") + F.lit(width_us))
+    # probes are batch ends, all on the batch grid: the grid as-of plan needs one pass over history
     synced = sync_at(probes, meta_history(events), proc="proc", probe_time="probe_us",
-                     bucket_us=width_us * 24)
+                     bucket_us=width_us, strategy="grid")
     return synced.select("proc", "batch_time", "date", "batch", "num_records",
                          F.col("failed").cast("int").alias("failed"), "sync")
 
