@@ -2,9 +2,10 @@
 time at or before the probe's time (null when there is none).
 
 Spark has no as-of join, and a range join ``history.t <= probe.t`` followed by ``max_by`` emits all
-pairs. Two plans, both keyed by (key, time bucket) so a hot key is spread over its buckets:
+pairs. Three plans, all keyed by (key, time bucket or grid point) so a hot key is spread over its
+buckets:
 
-* **bounded probes** (the usual case: probes are batch times): the probe rows are written once to
+* **bounded probes, much larger history**: the probe rows are written once to
   the shared checkpoint folder and counted there; the probe times of each (key, bucket) are collected
   into a sorted array and broadcast. Every history
   row finds, map-side, how many probes of its bucket precede it (``_idx``), then history is
@@ -30,6 +31,7 @@ from tidemark.functions.columns import div_floor, div_floor_sql, epoch_micros, e
 from tidemark.session import materialize
 
 DEFAULT_MAX_BROADCAST_PROBES = 2_000_000
+HISTORY_RATIO = 8  # auto picks the broadcast plan only for history at least this many times the probes
 
 
 def _time_sql(df: DataFrame, name: str) -> str:
@@ -54,9 +56,9 @@ def asof_join(probes: DataFrame, history: DataFrame, by: list[str], probe_time:
 
     Times may be timestamps (compared as epoch microseconds, ``bucket`` in microseconds) or numbers
     (``bucket`` in the same unit). ``tiebreak`` orders history rows with equal times.
-    ``strategy``: ``auto`` (broadcast plan when a bounded count shows at most
-    ``max_broadcast_probes`` probes), ``broadcast`` (the caller vouches for the bound), ``window``, or
-    ``grid`` -- every probe time is a multiple of ``bucket`` (e.g. batch ends), checked in the plan.
+    ``strategy``: ``auto`` (broadcast plan when a count shows at most ``max_broadcast_probes`` probes
+    and history is at least :data:`HISTORY_RATIO` times larger, else window), ``broadcast`` (the
+    caller vouches for the bound), ``window``, or ``grid`` -- every probe time is a multiple of ``bucket`` (e.g. batch ends), checked in the plan.
     """
     tiebreak = tiebreak or []
     clash = set(values) & set(probes.columns)
@@ -66,7 +68,11 @@ def asof_join(probes: DataFrame, history: DataFrame, by: list[str], probe_time:
         # the probe side is evaluated once: written to the shared checkpoint folder, counted from there
         probes = materialize(probes, "asof-probes")
     if strategy == "auto":
-        strategy = "broadcast" if probes.count() <= max_broadcast_probes else "window"
+        n = probes.count()
+        # broadcast when the probes are bounded and history is much larger (its shuffle is what the
+        # broadcast plan saves); the history check reads at most HISTORY_RATIO * n + 1 rows
+        big_history = history.limit(HISTORY_RATIO * n + 1).count() > HISTORY_RATIO * n
+        strategy = "broadcast" if n <= max_broadcast_probes and big_history else "window"
     if strategy == "broadcast":
         return _asof_broadcast(probes, history, by, probe_time, hist_time, values, bucket, tiebreak)
     if strategy == "window":

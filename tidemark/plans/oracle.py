@@ -205,6 +205,7 @@ FROM events GROUP BY event_type""",
     "sync_point": f"WITH {USER_SYNC_CTES} SELECT proc, sync FROM user_sync",
     "sync_at": SYNC_AT,
     "sync_at_window": SYNC_AT,
+    "sync_at_broadcast": SYNC_AT,
     "resume_state": f"""
 WITH {USER_SYNC_CTES},
 sg AS (

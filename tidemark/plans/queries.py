@@ -211,6 +211,14 @@ def q_sync_at(spark, sf_dir):
     return sync_at(probes, fx.meta_history(events), upstreams=upstreams, tiebreak=["seq"])
 
 
+@register("sync_at_broadcast")
+def q_sync_at_broadcast(spark, sf_dir):
+    """JON-2 through the bounded-probe plan (probe arrays broadcast, history aggregated map-side)."""
+    events = _events(spark, sf_dir)
+    probes, upstreams = _sync_probes(events)
+    return sync_at(probes, fx.meta_history(events), upstreams=upstreams, tiebreak=["seq"], strategy="broadcast")
+
+
 @register("sync_at_window")
 def q_sync_at_window(spark, sf_dir):
     """JON-2 through the plan for unbounded probes (union + per-bucket window + carried tails)."""
