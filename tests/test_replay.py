@@ -42,3 +42,26 @@ def test_replay_requires_start_state(spark):
     start = spark.createDataFrame([], "proc string, trace string, batch_num int, commit_time long")
     with pytest.raises(Exception, match="no start state"):
         replay_ledger(log, start).collect()
+
+
+def test_empty_batches_around_the_date_and_failures():
+    # empty batch with sync before, at and after the traced date; a failure on an empty batch
+    st = {"trace": "20240110", "batch_num": 0, "commit_time": 100, "dead": False}
+    assert step(st, 100, 0, 0, "20240110") == "redo"          # batch_time equal to the commit time
+    assert step(st, 200, 0, 0, "20240109") == "commit"        # empty, upstream behind: commits (delayed)
+    assert st["batch_num"] == 1 and st["commit_time"] == 200
+    assert step(st, 300, 0, 1, "20240110") == "switch"        # empty and upstream at the date: switch wins
+    assert st == {"trace": "20240111", "batch_num": 0, "commit_time": 200, "dead": False}
+    assert step(st, 400, 0, 0, "20240112") == "switch"        # upstream past the date: switch again
+    assert step(st, 500, 0, 1, "20240101") == "abort"         # failure on an empty batch, upstream behind
+    assert step(st, 600, 5, 0, "20240112") == "ignored"
+
+
+def test_outcome_counts(spark):
+    from tidemark.operators.replay import outcome_counts
+
+    log = spark.createDataFrame([("a", 1, 1, 0, ""), ("a", 2, 1, 1, "")],
+                                "proc string, batch_time long, num_records long, failed int, sync string")
+    start = spark.createDataFrame([("a", "20240101", 0, 0)], "proc string, trace string, batch_num int, commit_time long")
+    got = {(r.proc, r.outcome): r.n for r in outcome_counts(replay_ledger(log, start)).collect()}
+    assert got == {("a", "commit"): 1, ("a", "abort"): 1}
