@@ -1,6 +1,7 @@
 from tidemark.functions.columns import (  # noqa: F401
     OUTCOMES,
     assign_partition,
+    batch_delayed,
     batch_folder,
     batch_outcome,
     batch_path,

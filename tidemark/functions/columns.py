@@ -245,3 +245,9 @@ def batch_outcome(notified: Column | str, batch_time: Column | str, commit_time:
         .when(F.coalesce(_c(failed), F.lit(0)) == 0, F.lit("commit"))
         .otherwise(F.lit("abort"))
     )
+
+
+def batch_delayed(outcome: Column | str, num_records: Column | str) -> Column:
+    """An empty batch that was committed (its upstream not yet past the date): the batch probably
+    arrived late. The reference only logs it; here it is a column."""
+    return (_c(outcome) == F.lit("commit")) & (_c(num_records) == 0)

@@ -147,12 +147,15 @@ SELECT b.proc, b.batch_time, b.num_records
 FROM batch_log b LEFT JOIN start_state s ON b.proc = s.proc
 WHERE b.batch_time > coalesce(s.commit_time, 0)""",
     "batch_outcome": f"""
-WITH {BATCH_LOG_CTES}
-SELECT b.proc, b.batch_time,
-       CASE WHEN b.batch_time <= s.commit_time THEN 'redo'
-            WHEN b.num_records = 0 AND b.sync >= s.trace THEN 'switch'
-            WHEN coalesce(b.failed, 0) = 0 THEN 'commit' ELSE 'abort' END AS outcome
-FROM batch_log b JOIN start_state s ON b.proc = s.proc""",
+WITH {BATCH_LOG_CTES},
+o AS (
+  SELECT b.proc, b.batch_time, b.num_records,
+         CASE WHEN b.batch_time <= s.commit_time THEN 'redo'
+              WHEN b.num_records = 0 AND b.sync >= s.trace THEN 'switch'
+              WHEN coalesce(b.failed, 0) = 0 THEN 'commit' ELSE 'abort' END AS outcome
+  FROM batch_log b JOIN start_state s ON b.proc = s.proc
+)
+SELECT proc, batch_time, outcome, outcome = 'commit' AND num_records = 0 AS delayed FROM o""",
     "record_value": "SELECT CAST(value AS VARCHAR) AS value FROM events",
     "sign64": f"""
 SELECT event_id, CAST({_sign('CAST(user_id AS VARCHAR)')} AS VARCHAR) AS key_sign,

@@ -105,11 +105,14 @@ def q_skip_committed(spark, sf_dir):
 
 @register("batch_outcome")
 def q_batch_outcome(spark, sf_dir):
-    """PRJ-8: outcome of every logged batch against the processor's start state."""
+    """PRJ-8: outcome of every logged batch against the processor's start state, and whether an empty
+    batch was committed (delayed)."""
     events = _events(spark, sf_dir)
     log = fx.batch_log(events).join(fx.start_state(events), on="proc", how="inner")
-    return log.select("proc", "batch_time", C.batch_outcome(F.lit(False), "batch_time", "commit_time",
-                                                            "num_records", "sync", "trace", "failed").alias("outcome"))
+    out = log.select("proc", "batch_time", "num_records",
+                     C.batch_outcome(F.lit(False), "batch_time", "commit_time", "num_records", "sync", "trace",
+                                     "failed").alias("outcome"))
+    return out.select("proc", "batch_time", "outcome", C.batch_delayed("outcome", "num_records").alias("delayed"))
 
 
 # ---- PRJ-1..PRJ-7 --------------------------------------------------------------------------------
