@@ -117,8 +117,10 @@ def skip_committed(batches: DataFrame, ledger: DataFrame, by: str = "proc",
                    batch_time: str = "batch_time") -> DataFrame:
     """Drop batches that the ledger already holds: keep ``batch_time > last committed time`` per key
     (0 when the key has none). The ledger is reduced to one row per key before the join."""
+    from tidemark.operators.enrich import enrich
+
     last = ledger.groupBy(by).agg(F.max(batch_time).alias("_last_commit"))
-    return (batches.join(last, on=by, how="left")
+    return (enrich(batches, last, on=by, how="left")
             .where(F.col(batch_time) > F.coalesce(F.col("_last_commit"), F.lit(0)))
             .drop("_last_commit"))
 

@@ -44,7 +44,9 @@ def sync_point(processors: DataFrame, latest: DataFrame, proc: str = "proc", ups
     names = processors.select(F.col(proc).alias("proc"),
                               F.explode_outer(upstream_names(upstreams)).alias("_ds"))
     lat = latest.select(F.col(ds).alias("_ds"), F.col(value).alias("_latest"))
-    joined = names.join(lat, on="_ds", how="left")
+    # one row per upstream dataset: broadcast after a size check, so a popular upstream (named by a
+    # third of the processors) is not one shuffle partition
+    joined = enrich(names, lat, on="_ds", how="left")
     seen = F.when(F.col("_ds").isNull(), F.lit(None)).otherwise(F.coalesce("_latest", F.lit(MISSING)))
     return joined.groupBy("proc").agg(F.min(seen).alias("sync"))
 
