@@ -108,7 +108,7 @@ def q_batch_outcome(spark, sf_dir):
     """PRJ-8: outcome of every logged batch against the processor's start state, and whether an empty
     batch was committed (delayed)."""
     events = _events(spark, sf_dir)
-    log = fx.batch_log(events).join(fx.start_state(events), on="proc", how="inner")
+    log = enrich(fx.batch_log(events), fx.start_state(events), on="proc", how="inner")
     out = log.select("proc", "batch_time", "num_records",
                      C.batch_outcome(F.lit(False), "batch_time", "commit_time", "num_records", "sync", "trace",
                                      "failed").alias("outcome"))
@@ -275,7 +275,8 @@ def _counters(events: DataFrame) -> DataFrame:
     # records already sent per producer: those of the producer's first day
     day = F.to_date("ts")
     first = events.groupBy("event_type").agg(F.min(day).alias("_d"))
-    sent = events.join(first, on="event_type").where(day == F.col("_d"))
+    # one row per producer: size-checked broadcast, so a hot producer is not one shuffle partition
+    sent = enrich(events, first, on="event_type", how="inner").where(day == F.col("_d"))
     return sent.groupBy(F.col("event_type").alias("name")).agg(F.count(F.lit(1)).alias("value"))
 
 
