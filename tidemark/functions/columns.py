@@ -177,7 +177,9 @@ def parse_commit(c: Column | str) -> Column:
     batch is ``bb + 1``. An empty or out-of-range ``ms`` or a text that does not match the whole
     pattern is invalid; invalid rows carry nulls. Null in -> invalid.
     """
-    col = _c(c)
+    if isinstance(c, str):
+        return F.expr(parse_commit_sql(ident(c)))
+    col = c
     matched = col.rlike(COMMIT_PATTERN)
     date = F.regexp_extract(col, COMMIT_PATTERN, 1)
     batch = F.regexp_extract(col, COMMIT_PATTERN, 2).cast("int")
@@ -194,6 +196,21 @@ def parse_commit(c: Column | str) -> Column:
     )
 
 
+def parse_commit_sql(q: str) -> str:
+    """SQL text of :func:`parse_commit` for the SQL expression ``q`` (one plan call)."""
+    pat = COMMIT_PATTERN
+    ms_text = f"regexp_extract({q}, '{pat}', 3)"
+    ms = f"(CASE WHEN {ms_text} = '{RESTART_MS}' THEN CAST(0 AS BIGINT) ELSE try_cast({ms_text} AS BIGINT) END)"
+    valid = f"(({q} RLIKE '{pat}') AND {ms} IS NOT NULL)"
+    batch = f"CAST(regexp_extract({q}, '{pat}', 2) AS INT)"
+    return ("named_struct("
+            f"'commit_date', CASE WHEN {valid} THEN regexp_extract({q}, '{pat}', 1) END, "
+            f"'commit_batch', CASE WHEN {valid} THEN {batch} END, "
+            f"'commit_ms', CASE WHEN {valid} THEN {ms} END, "
+            f"'next_batch', CASE WHEN {valid} THEN (CASE WHEN {ms_text} = '{RESTART_MS}' THEN 0 ELSE {batch} + 1 END) END, "
+            f"'valid', {valid})")
+
+
 # PRJ-6 ---------------------------------------------------------------------------------------
 def batch_folder(batch: Column | str) -> Column:
     """In-day batch folder name: 3 -> ``0300``, 12 -> ``1200``, 100 -> ``10000``; null -> null."""
