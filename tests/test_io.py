@@ -102,3 +102,13 @@ def test_read_dated_topics_file_source(spark, tmp_dir):
     assert got == ["a", "b"]
     stream = read_dated_topics(spark, ["t"], "20240102", root=f"{tmp_dir}/topics", max_files_per_trigger=1)
     assert stream.isStreaming
+
+
+def test_kafka_paths_target_the_kafka_format(spark):
+    # the connector is not in this environment: both paths must reach the kafka format with their options
+    with pytest.raises(Exception, match="(?i)kafka"):
+        read_dated_topics(spark, ["t"], "20240101", brokers="localhost:9", stream=True)
+    from tidemark.sinks.messages import write_messages
+    df = spark.createDataFrame([("k", "v")], "key string, value string")
+    with pytest.raises(Exception, match="(?i)kafka"):
+        write_messages(df, "localhost:9", "t-20240101", props={"extension.partitioner": "random"})

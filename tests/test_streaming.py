@@ -109,3 +109,14 @@ def test_continuous_day_stops_when_idle_and_upstream_done(spark, topics_root, tm
                                  sync, f"{tmp_dir}/out", f"{tmp_dir}/ledger", f"{tmp_dir}/ckpt",
                                  trigger_seconds=1, poll_sec=0.5, timeout_sec=120)
     assert run.finished and run.batches == [0, 1, 2, 3, 4] and len(calls) >= 3
+
+
+def test_algorithm_transform_same_on_batch_and_stream(spark, topics_root, tmp_dir):
+    algo = CounterTestAlgorithm(fail_at=None)
+    batch = algo.transform("20240101", read_dated_topics(spark, TOPICS, "20240101", root=topics_root, stream=False))
+    stream = algo.transform("20240101", read_dated_topics(spark, TOPICS, "20240101", root=topics_root))
+    q = (stream.writeStream.format("parquet").option("path", f"{tmp_dir}/s")
+         .option("checkpointLocation", f"{tmp_dir}/c").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = sorted(r.value for r in spark.read.parquet(f"{tmp_dir}/s").collect())
+    assert got == sorted(r.value for r in batch.collect()) and len(got) > 0
