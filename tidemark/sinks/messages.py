@@ -61,7 +61,11 @@ def prepare_messages(df: DataFrame, topic: str | Column, key: str = "key", value
 def write_messages(df: DataFrame, brokers: str, topic: str, key: str = "key", value: str = "value",
                    props: dict[str, str] | None = None, num_partitions: int | None = None,
                    checkpoint: str | None = None):
-    """Write a batch or streaming frame to Kafka; returns the streaming query for a stream."""
+    """Write a batch or streaming frame to Kafka; returns the streaming query for a stream.
+
+    ``props`` are the producer settings (see the module docstring). The ``hash`` partitioner needs the
+    topic's partition count in ``num_partitions``: partitions are chosen in the query from the key's
+    fingerprint, not by the client."""
     props = dict(props or {})
     mode = props.get(PARTITIONER_KEY, PARTITIONER_HASH)
     msgs = prepare_messages(df, topic, key, value, mode, num_partitions)
