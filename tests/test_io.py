@@ -112,3 +112,10 @@ def test_kafka_paths_target_the_kafka_format(spark):
     df = spark.createDataFrame([("k", "v")], "key string, value string")
     with pytest.raises(Exception, match="(?i)kafka"):
         write_messages(df, "localhost:9", "t-20240101", props={"extension.partitioner": "random"})
+
+
+def test_write_by_key_empty_key_shares_the_null_folder(spark, tmp_dir):
+    df = spark.createDataFrame([("", "a"), (None, "b"), ("k", "c")], "key string, value string")
+    write_by_key(df, f"{tmp_dir}/r")
+    got = sorted(((r.key or "-"), r.value) for r in read_by_key(spark, f"{tmp_dir}/r").collect())
+    assert got == [("-", "a"), ("-", "b"), ("k", "c")]

@@ -43,7 +43,8 @@ def write_by_key(df: DataFrame, path: str, key: str = "key", value: str = "value
 
     ``REBALANCE(key)`` clusters each key into few tasks so a folder gets few files, and lets AQE
     split a key holding a third of the rows over several tasks (several files in its folder)
-    instead of one."""
+    instead of one. A folder name cannot be empty: an empty key and a null key both go to Spark's
+    default partition folder and read back as null."""
     routed = df.select(F.col(key).cast("string").alias(key), F.col(value).cast("string").alias("value"))
     hint = (num_partitions, key) if num_partitions else (key,)
     (routed.hint("rebalance", *hint)
