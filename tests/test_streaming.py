@@ -120,3 +120,23 @@ def test_algorithm_transform_same_on_batch_and_stream(spark, topics_root, tmp_di
     q.awaitTermination()
     got = sorted(r.value for r in spark.read.parquet(f"{tmp_dir}/s").collect())
     assert got == sorted(r.value for r in batch.collect()) and len(got) > 0
+
+
+def test_progress_listener_records_each_batch(spark, topics_root, tmp_dir):
+    import time as _time
+
+    from tidemark.streaming.runner import ProgressLog
+
+    log = ProgressLog()
+    spark.streams.addListener(log)
+    try:
+        run = run_day(spark, CounterTestAlgorithm(fail_at=None), "20240102", _source(spark, topics_root),
+                      f"{tmp_dir}/out", f"{tmp_dir}/ledger", f"{tmp_dir}/ckpt")
+        deadline = _time.time() + 30  # listener events arrive asynchronously
+        while len(log.rows) < len(run.batches) and _time.time() < deadline:
+            _time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(log)
+    t = log.table(spark)
+    assert t.where("num_input_rows > 0").count() >= len(run.batches) == 5
+    assert sorted(r.batch_id for r in t.where("num_input_rows > 0").collect())[:5] == [0, 1, 2, 3, 4]

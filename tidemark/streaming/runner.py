@@ -143,6 +143,34 @@ class _IdleWatch(StreamingQueryListener):
         pass
 
 
+class ProgressLog(StreamingQueryListener):
+    """Per-batch progress records of streaming queries (STR-8), gathered from
+    ``onQueryProgress`` on the driver: one small record per micro-batch."""
+
+    def __init__(self):
+        super().__init__()
+        self.rows: list[tuple] = []
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        metrics = {k: str(v) for k, v in (p.observedMetrics or {}).items()}
+        self.rows.append((p.name, str(p.id), int(p.batchId), int(p.numInputRows), str(p.timestamp), str(metrics)))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """``(query, query_id, batch_id, num_input_rows, timestamp, observed)``."""
+        return spark.createDataFrame(list(self.rows), "query string, query_id string, batch_id bigint, "
+                                                      "num_input_rows bigint, timestamp string, observed string")
+
+
 def run_day_continuous(spark: SparkSession, algo: Algorithm, date: str, source: Callable[[str], DataFrame],
                        sync: Callable[[], str | None], out_root: str, ledger_path: str, checkpoint_base: str,
                        latency_min: int | None = None, trigger_seconds: int | None = None,
