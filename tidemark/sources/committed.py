@@ -51,5 +51,7 @@ def read_committed_partitioned(spark: SparkSession, root: str, ledger: DataFrame
     with session_conf(spark, {"spark.sql.sources.partitionColumnTypeInference.enabled": "false"}):
         data = spark.read.text(root)
     types = {f.name: f.dataType for f in ledger.schema.fields}
-    data = data.select(*[F.col(k).cast(types[k]).alias(k) for k in keys], "value")
-    return enrich(data, ledger.select(*keys).distinct(), on=list(keys), how="left_semi")
+    # join on the raw (text) folder values; the ledger's keys are cast to text, the result cast back
+    published = ledger.select(*[F.col(k).cast("string").alias(k) for k in keys]).distinct()
+    kept = enrich(data, published, on=list(keys), how="left_semi")
+    return kept.select(*[F.col(k).cast(types[k]).alias(k) for k in keys], "value")
