@@ -13,14 +13,14 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from pyspark.sql import SparkSession
 
-    ckpt = tempfile.mkdtemp(prefix="tidemark-test-ckpt-")
+    # spark.checkpoint.dir comes from the environment's Spark settings; tidemark.session.checkpoint_root
+    # gives a local session its own folder only when it is unset
     s = (SparkSession.builder.master("local[*]")
          .appName("tidemark-tests")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.session.timeZone", "UTC")
-         .config("spark.checkpoint.dir", ckpt)
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     yield s
