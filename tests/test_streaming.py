@@ -140,3 +140,20 @@ def test_progress_listener_records_each_batch(spark, topics_root, tmp_dir):
     t = log.table(spark)
     assert t.where("num_input_rows > 0").count() >= len(run.batches) == 5
     assert sorted(r.batch_id for r in t.where("num_input_rows > 0").collect())[:5] == [0, 1, 2, 3, 4]
+
+
+def test_replayed_batch_after_crash_is_not_written_twice(spark, topics_root, tmp_dir):
+    import os
+
+    out, ledger, ckpt = f"{tmp_dir}/out", f"{tmp_dir}/ledger", f"{tmp_dir}/ckpt"
+    algo = CounterTestAlgorithm(fail_at=None)
+    first = run_day(spark, algo, "20240103", _source(spark, topics_root), out, ledger, ckpt)
+    assert first.batches == [0, 1, 2, 3, 4]
+    # crash simulation: batch 4 was written and published, but its offsets were never committed
+    commits = os.path.join(checkpoint_for(ckpt, "20240103"), "commits")
+    for name in ("4", ".4.crc"):  # a crash before the commit leaves neither the entry nor its checksum
+        if os.path.exists(os.path.join(commits, name)):
+            os.remove(os.path.join(commits, name))
+    again = run_day(spark, algo, "20240103", _source(spark, topics_root), out, ledger, ckpt)
+    assert again.skipped == [4] and again.batches == []
+    assert sorted(r.batch for r in read_ledger(spark, ledger).collect()) == [0, 1, 2, 3, 4]
