@@ -39,9 +39,9 @@ class CounterTestAlgorithm(Algorithm):
     each partition, count ``batch_no`` once per output record, and fail in batch ``fail_at``.
     ``delta`` grows by 10 each time a fresh date starts."""
 
-    name: str = "producer-tracker-test"
-    resource: str = "streams/empty"
-    result: str = "ap_event_stream"
+    name: str = "counter-test"
+    resource: str = ""
+    result: str = "counter_test"
     fail_at: int | None = 3
     partitions: int | None = None
     delta: int = 0
