@@ -42,10 +42,13 @@ def sequence_numbers(df: DataFrame, by: str, ts: str, tiebreak: list[str], out:
     stats = ranged.groupBy("_pid", by).agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = stats.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
-    # one row per (partition, key): at most partitions x keys-per-partition rows
-    return (ranged.join(offsets, on=["_pid", by], how="inner")
+    # one row per (partition, key): at most partitions x keys-per-partition rows; null-safe on the key
+    # so rows with a null key are numbered too (as one more key)
+    o = offsets.select(F.col("_pid").alias("_opid"), F.col(by).alias("_okey"), "_first", "_off")
+    cond = (F.col("_pid") == F.col("_opid")) & F.col(by).eqNullSafe(F.col("_okey"))
+    return (ranged.join(o, on=cond, how="inner")
             .withColumn(out, (F.col("_off") + F.col("_pos") - F.col("_first")).cast("bigint"))
-            .drop("_pid", "_pos", "_first", "_off"))
+            .drop("_pid", "_pos", "_first", "_off", "_opid", "_okey"))
 
 
 def _sequence_by_bucket(df: DataFrame, by: str, ts: str, tiebreak: list[str], out: str,
@@ -57,9 +60,11 @@ def _sequence_by_bucket(df: DataFrame, by: str, ts: str, tiebreak: list[str], ou
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w_off), F.lit(0))).drop("_n")
     w_in = Window.partitionBy(by, "_sb").orderBy(F.col(ts), *[F.col(c) for c in tiebreak])
     numbered = b.withColumn("_rn", F.row_number().over(w_in))
-    return (numbered.join(offsets, on=[by, "_sb"], how="left")
+    o = offsets.select(F.col(by).alias("_okey"), F.col("_sb").alias("_osb"), "_off")
+    cond = F.col(by).eqNullSafe(F.col("_okey")) & F.col("_sb").eqNullSafe(F.col("_osb"))
+    return (numbered.join(o, on=cond, how="left")
             .withColumn(out, (F.col("_off") + F.col("_rn") - 1).cast("bigint"))
-            .drop("_sb", "_rn", "_off"))
+            .drop("_sb", "_rn", "_off", "_okey", "_osb"))
 
 
 def resume_after(df: DataFrame, seq: str, counters: DataFrame, by: str, name: str = "name",
