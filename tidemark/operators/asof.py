@@ -23,11 +23,11 @@ buckets:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import div_floor, div_floor_sql, epoch_micros, epoch_micros_sql, ident
+from tidemark.functions.columns import div_floor_sql, epoch_micros_sql, ident
 from tidemark.session import materialize
 
 DEFAULT_MAX_BROADCAST_PROBES = 2_000_000
@@ -41,13 +41,6 @@ def _time_sql(df: DataFrame, name: str) -> str:
     return f"CAST({ident(name)} AS BIGINT)"
 
 
-def _time(df: DataFrame, name: str) -> Column:
-    dt = df.schema[name].dataType
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return epoch_micros(name, dt)
-    return F.col(name).cast("bigint")
-
-
 def asof_join(probes: DataFrame, history: DataFrame, by: list[str], probe_time: str, hist_time: str,
               values: list[str], bucket: int, tiebreak: list[str] | None = None,
               max_broadcast_probes: int = DEFAULT_MAX_BROADCAST_PROBES,
@@ -82,17 +75,6 @@ def asof_join(probes: DataFrame, history: DataFrame, by: list[str], probe_time:
     raise ValueError(f"unknown strategy {strategy!r}")
 
 
-def _keys_present(keys: list[str]) -> Column:
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(k).isNotNull()
-    return cond
-
-
-def _value_struct(values: list[str]) -> Column:
-    return F.struct(*[F.col(v) for v in values])
-
-
 def _sql_struct(names: list[str]) -> str:
     return "struct(" + ", ".join(ident(n) for n in names) + ")"
 
@@ -178,38 +160,40 @@ def _asof_grid(probes, history, by, probe_time, hist_time, values, width, tiebre
 def _asof_window(probes, history, by, probe_time, hist_time, values, bucket, tiebreak):
     probe_cols = probes.columns
     keys = [f"_k{i}" for i in range(len(by))]
-    p = probes.select(F.struct(*[F.col(c) for c in probe_cols]).alias("_probe"),
-                      *[F.col(k).alias(f"_k{i}") for i, k in enumerate(by)],
-                      _time(probes, probe_time).alias("_t"))
-    p = p.withColumn("_b", div_floor("_t", bucket))
-    h = history.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(by)],
-                       _time(history, hist_time).alias("_t"), _value_struct(values).alias("_val"),
-                       *[F.col(c).alias(f"_tb{i}") for i, c in enumerate(tiebreak)])
-    # a null key matches nothing (window partitions would group nulls together)
-    h = h.where(F.col("_t").isNotNull() & _keys_present(keys)).withColumn(
-        "_b", div_floor("_t", bucket))
+    present = " AND ".join(f"{k} IS NOT NULL" for k in keys)
     tb = [f"_tb{i}" for i in range(len(tiebreak))]
-    order = F.struct(F.col("_t"), *[F.col(c) for c in tb])
+    p = probes.selectExpr(f"{_sql_struct(probe_cols)} AS _probe",
+                          *[f"{ident(k)} AS _k{i}" for i, k in enumerate(by)],
+                          f"{_time_sql(probes, probe_time)} AS _t")
+    p = p.selectExpr("*", f"{div_floor_sql('_t', bucket)} AS _b")
+    h = history.selectExpr(*[f"{ident(k)} AS _k{i}" for i, k in enumerate(by)],
+                           f"{_time_sql(history, hist_time)} AS _t", f"{_sql_struct(values)} AS _val",
+                           *[f"{ident(c)} AS _tb{i}" for i, c in enumerate(tiebreak)])
+    # a null key matches nothing (window partitions would group nulls together)
+    h = h.where(f"_t IS NOT NULL AND {present}").selectExpr("*", f"{div_floor_sql('_t', bucket)} AS _b")
+    val_type = h.schema["_val"].dataType.simpleString()
+    probe_type = p.schema["_probe"].dataType.simpleString()
 
     # value carried into each probe bucket: the tail of the latest earlier non-empty bucket
-    tails = h.groupBy(*keys, "_b").agg(F.max_by("_val", order).alias("_val"))
-    marks = p.where(F.col("_b").isNotNull()).select(*keys, "_b").distinct()
-    chain = tails.select(*keys, "_b", F.lit(1).alias("_kind"), "_val").unionByName(
-        marks.select(*keys, "_b", F.lit(0).alias("_kind"), F.lit(None).cast(tails.schema["_val"].dataType).alias("_val")))
+    tails = h.groupBy(*keys, "_b").agg(F.expr(f"max_by(_val, struct(_t{''.join(', ' + c for c in tb)}))").alias("_val"))
+    marks = p.where("_b IS NOT NULL").select(*keys, "_b").distinct()
+    chain = tails.selectExpr(*keys, "_b", "1 AS _kind", "_val").unionByName(
+        marks.selectExpr(*keys, "_b", "0 AS _kind", f"CAST(NULL AS {val_type}) AS _val"))
     wc = Window.partitionBy(*keys).orderBy("_b", "_kind").rowsBetween(Window.unboundedPreceding, -1)
     carry = (chain.withColumn("_carry", F.last("_val", ignorenulls=True).over(wc))
-             .where(F.col("_kind") == 0).select(*keys, "_b", "_carry"))
+             .where("_kind = 0").select(*keys, "_b", "_carry"))
 
     # latest history row inside the probe's own bucket
-    tb_null = [F.lit(None).cast(h.schema[c].dataType).alias(c) for c in tb]
-    rows = h.select(*keys, "_b", "_t", F.lit(0).alias("_kind"), "_val", *tb,
-                    F.lit(None).cast(p.schema["_probe"].dataType).alias("_probe")).unionByName(
-        p.select(*keys, "_b", "_t", F.lit(1).alias("_kind"),
-                 F.lit(None).cast(h.schema["_val"].dataType).alias("_val"), *tb_null, "_probe"))
+    tb_types = {c: h.schema[c].dataType.simpleString() for c in tb}
+    rows = h.selectExpr(*keys, "_b", "_t", "0 AS _kind", "_val", *tb,
+                        f"CAST(NULL AS {probe_type}) AS _probe").unionByName(
+        p.selectExpr(*keys, "_b", "_t", "1 AS _kind", f"CAST(NULL AS {val_type}) AS _val",
+                     *[f"CAST(NULL AS {tb_types[c]}) AS {c}" for c in tb], "_probe"))
     wb = (Window.partitionBy(*keys, "_b").orderBy("_t", "_kind", *tb)
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    inb = rows.withColumn("_own", F.last("_val", ignorenulls=True).over(wb)).where(F.col("_kind") == 1)
-    out = inb.join(carry, on=[*keys, "_b"], how="left").withColumn(
-        "_seen", F.when(F.col("_b").isNull(), F.lit(None)).otherwise(F.coalesce("_own", "_carry")))
-    return out.select(*[F.col(f"_probe.{c}").alias(c) for c in probe_cols],
-                      *[F.col(f"_seen.{v}").alias(v) for v in values])
+    inb = rows.withColumn("_own", F.last("_val", ignorenulls=True).over(wb)).where("_kind = 1")
+    out = inb.join(carry, on=[*keys, "_b"], how="left")
+    return out.selectExpr(
+        *[f"_probe.{ident(c)} AS {ident(c)}" for c in probe_cols],
+        *[f"CASE WHEN _b IS NULL THEN NULL ELSE coalesce(_own, _carry).{ident(v)} END AS {ident(v)}"
+          for v in values])
