@@ -106,3 +106,16 @@ def test_asof_grid_rejects_off_grid_probe(spark):
     p = spark.createDataFrame([(1, "a", 5)], "pid long, k string, pt long")
     with pytest.raises(Exception, match="off the grid"):
         asof_join(p, h, ["k"], "pt", "t", ["v"], bucket=17, strategy="grid").collect()
+
+
+def test_resume_from_ledger_handles_batch_100_and_more(spark):
+    from tidemark.operators.meta import resume_from_ledger
+
+    procs = spark.createDataFrame([("a",), ("b",)], "proc string")
+    sync = spark.createDataFrame([("a", "20240101"), ("b", "20240105")], "proc string, sync string")
+    ledger = spark.createDataFrame([("a", "20240103", 149, 1000), ("a", "20240103", 150, 2000),
+                                    ("a", "20240102", 3, 500)],
+                                   "proc string, date string, batch int, batch_time long")
+    got = {r.proc: (r.trace, r.batch_num, r.commit_time, r.error)
+           for r in resume_from_ledger(procs, sync, ledger).collect()}
+    assert got == {"a": ("20240103", 151, 2000, None), "b": ("20240106", 0, 0, None)}

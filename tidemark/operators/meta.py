@@ -101,3 +101,24 @@ def resume_state(processors: DataFrame, sync: DataFrame, commits: DataFrame, pro
              .when(F.coalesce(trace, F.lit("")) == "", F.lit("no date to trace")))
     return parsed.select(F.col(proc).alias("proc"), trace.alias("trace"), batch_num.cast("int").alias("batch_num"),
                          commit_time.alias("commit_time"), error.alias("error"))
+
+
+def resume_from_ledger(processors: DataFrame, sync: DataFrame, ledger: DataFrame, proc: str = "proc") -> DataFrame:
+    """Start state from the ledger's integer columns instead of commit-point text, so a day with
+    batch 100 or more restarts correctly (its commit text ``{date}/10000/...`` cannot be parsed):
+    the last published batch of each processor (by batch time) gives ``trace = date``,
+    ``batch_num = batch + 1``, ``commit_time = batch_time``; a processor without one starts the day
+    after its sync point. One partially aggregated ``groupBy`` over the ledger."""
+    last = ledger.groupBy(F.col(proc).alias("proc")).agg(
+        F.max_by(F.struct("date", "batch", "batch_time"), "batch_time").alias("_last"))
+    base = (processors.select(F.col(proc).alias("proc")).distinct()
+            .join(sync.select(F.col(proc).alias("proc"), "sync"), on="proc", how="left")
+            .join(last, on="proc", how="left"))
+    fresh = F.col("_last").isNull()
+    trace = F.when(fresh, next_day("sync")).otherwise(F.col("_last.date"))
+    return base.select(
+        "proc", trace.alias("trace"),
+        F.when(fresh, F.lit(0)).otherwise(F.col("_last.batch") + 1).cast("int").alias("batch_num"),
+        F.when(fresh, F.lit(0)).otherwise(F.col("_last.batch_time")).cast("bigint").alias("commit_time"),
+        F.when(F.coalesce(trace, F.lit("")) == "", F.lit("no date to trace")).alias("error"),
+    )

@@ -285,5 +285,16 @@ SELECT proc,
        arg_max(trace || '/' || {_fmt_batch('batch_num')} || '00', batch_time) AS latest,
        count(*) AS batches
 FROM ({REPLAY}) rep WHERE outcome = 'commit' GROUP BY proc""",
+    "resume_from_ledger": f"""
+WITH last AS (
+  SELECT proc, arg_max(trace, batch_time) AS d, arg_max(batch_num, batch_time) AS b, max(batch_time) AS t
+  FROM ({REPLAY}) rep WHERE outcome = 'commit' GROUP BY proc
+),
+procs AS (SELECT DISTINCT event_type AS proc FROM events)
+SELECT p.proc, l.d AS trace,
+       CAST(CASE WHEN l.proc IS NULL THEN 0 ELSE l.b + 1 END AS INTEGER) AS batch_num,
+       CAST(coalesce(l.t, 0) AS BIGINT) AS commit_time,
+       CASE WHEN l.d IS NULL THEN 'no date to trace' END AS error
+FROM procs p LEFT JOIN last l ON p.proc = l.proc""",
     "read_counters": "SELECT event_type AS name, count(*) AS value, CAST(NULL AS VARCHAR) AS error FROM events GROUP BY 1",
 }

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import columns as C
 from tidemark.operators import batches as B
 from tidemark.operators.enrich import enrich
-from tidemark.operators.meta import current_meta, resume_state, sync_at, sync_point
+from tidemark.operators.meta import current_meta, resume_from_ledger, resume_state, sync_at, sync_point
 from tidemark.operators.metrics import counter_table, fail_ratio
 from tidemark.operators.partitions import append_per_partition, append_rows, constants, tracker_constants
 from tidemark.operators.replay import replay_ledger
@@ -381,6 +381,16 @@ def q_ledger_latest(spark, sf_dir):
     return latest_commits(ledger_from_replay(replayed))
 
 
+@register("resume_from_ledger")
+def q_resume_from_ledger(spark, sf_dir):
+    """JON-3 from the ledger's integer columns: where each processor restarts after the replayed run."""
+    events = _events(spark, sf_dir)
+    replayed = replay_ledger(fx.batch_log(events), fx.start_state(events))
+    procs = events.select(F.col("event_type").alias("proc")).distinct()
+    no_sync = procs.select("proc", F.lit(None).cast("string").alias("sync"))
+    return resume_from_ledger(procs, no_sync, ledger_from_replay(replayed))
+
+
 @register("read_counters")
 def q_read_counters(spark, sf_dir):
     """SRC-4: one counter file per producer (records sent) plus a stale `.tmp` twin (one record
