@@ -1,3 +1,28 @@
 """DuckDB SQL with the rows of the corpus queries that SQL can express."""
 
 LLM_ORACLES: dict[str, str] = {}
+
+LLM_ORACLES["op1_warc"] = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d FROM pages),
+k AS (SELECT d, max(page_id) AS target FROM p WHERE n >= 1000 GROUP BY d)
+SELECT p.page_id, CAST(p.n AS BIGINT) AS payload_bytes, p.d AS payload_digest,
+       CASE WHEN k.target IS NULL OR k.target = p.page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN k.target <> p.page_id THEN k.target END AS refers_to
+FROM p LEFT JOIN k ON p.d = k.d AND p.n >= 1000
+"""
+
+LLM_ORACLES["op8_top_k"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
+r AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+         vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""

@@ -51,3 +51,22 @@ def q_token_files(spark, sf_dir):
     manifest = write_token_files(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), root,
                                  drops_space=True, end_id=2)
     return read_token_files(spark, manifest, root)
+
+
+@register("op1_warc")
+def q_warc(spark, sf_dir):
+    """Every page written to WARC files and read back from them."""
+    from tidemark.llm.warc import read_warc, write_warc
+
+    root = scratch_dir(spark, "warc")
+    manifest = write_warc(table(spark, sf_dir, "pages"), root)
+    return read_warc(spark, manifest, root).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@register("op8_top_k")
+def q_top_k(spark, sf_dir):
+    """The 20 best inner products of every vector whose id is divisible by 20."""
+    from tidemark.llm.topk import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings"), "id % 20 = 0", k=20, scale=64.0)

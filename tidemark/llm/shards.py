@@ -37,7 +37,7 @@ class TemporaryFile:
         folder = f"{base}/{TEMPORARY}"
         self.fs.create_dir(folder, recursive=True)
         self.name, self.temporary = name, f"{name}.{uuid.uuid4().hex}"
-        self.out = self.fs.open_output_stream(f"{folder}/{self.temporary}")
+        self.out = self.fs.open_output_stream(f"{folder}/{self.temporary}", compression=None)
         self.size = 0
 
     def write(self, data: bytes) -> None:
