@@ -123,3 +123,20 @@ def byte_groups(texts: list[str | None], size: int) -> list[tuple[int, int]]:
     if a < len(texts):
         out.append((a, len(texts)))
     return out
+
+
+# ---- words of letters and digits, as DataFrame expressions ---------------------------------------------
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: what lies between words once A-Z is in lower case: ASCII other than a-z and 0-9
+GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def ascii_lower(text: Column) -> Column:
+    """A-Z in lower case, all else as it is (``lower`` alone would change other letters too)."""
+    return F.when(F.octet_length(text) == F.length(text), F.lower(text)) \
+        .otherwise(F.translate(text, UPPER, UPPER.lower()))
+
+
+def ascii_words(text: Column) -> Column:
+    """The words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of a text in lower case; none of a null text."""
+    return F.filter(F.split(F.coalesce(ascii_lower(text), F.lit("")), GAP), lambda w: w != "")

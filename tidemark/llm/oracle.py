@@ -26,3 +26,27 @@ r AS (
          vec_id, score FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
+
+_WORDS = r"regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), " \
+         r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+LLM_ORACLES["op9_decontamination"] = f"""
+WITH d AS (SELECT doc_id, coalesce({_WORDS.format('text')}, []) AS w FROM documents),
+b AS (SELECT item_id, w FROM (SELECT item_id, {_WORDS.format('text')} AS w FROM benchmark) WHERE len(w) > 0),
+win AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i : i + least(len(w), 10) - 1], ' ') AS s
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS i FROM b)),
+sizes AS (SELECT DISTINCT n FROM win),
+dw AS (
+  SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS s
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes)),
+hit AS (SELECT dw.doc_id, dw.i, dw.n, win.item_id FROM dw JOIN win ON dw.s = win.s AND dw.n = win.n),
+pos AS (SELECT doc_id, count(DISTINCT p) AS c FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id),
+its AS (SELECT doc_id, count(DISTINCT item_id) AS c,
+               string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+        FROM hit GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(pos.c, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(its.c, 0) AS BIGINT) AS n_items, sha256(coalesce(its.ids, '')) AS items_sha256,
+       coalesce(pos.c, 0) > 0 AS contaminated
+FROM d LEFT JOIN pos ON d.doc_id = pos.doc_id LEFT JOIN its ON d.doc_id = its.doc_id
+"""

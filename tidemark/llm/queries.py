@@ -70,3 +70,21 @@ def q_top_k(spark, sf_dir):
     from tidemark.llm.topk import top_k
 
     return top_k(table(spark, sf_dir, "embeddings"), "id % 20 = 0", k=20, scale=64.0)
+
+
+@register("op6_language_id")
+def q_language_id(spark, sf_dir):
+    """The language of every document, learned from those that are not held out."""
+    from tidemark.llm.langid import fit, held_out, identify
+
+    docs = table(spark, sf_dir, "documents")
+    langs, logs = fit(docs, ~held_out())
+    return identify(docs, langs, logs).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+@register("op9_decontamination")
+def q_decontamination(spark, sf_dir):
+    """The words of every document that lie in windows of benchmark items."""
+    from tidemark.llm.decontaminate import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
