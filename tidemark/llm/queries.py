@@ -88,3 +88,11 @@ def q_decontamination(spark, sf_dir):
     from tidemark.llm.decontaminate import contaminated
 
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
+
+
+@register("op7_licenses")
+def q_licenses(spark, sf_dir):
+    """License phrases and rule detections in every document."""
+    from tidemark.llm.licenses import scan
+
+    return scan(table(spark, sf_dir, "documents")).drop("found")
