@@ -50,3 +50,18 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(pos.c, 0) AS
        coalesce(pos.c, 0) > 0 AS contaminated
 FROM d LEFT JOIN pos ON d.doc_id = pos.doc_id LEFT JOIN its ON d.doc_id = its.doc_id
 """
+
+LLM_ORACLES["op3_substring_dedup"] = r"""
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i : i + 34], ' ') AS s
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d)),
+rep AS (SELECT s FROM win GROUP BY s HAVING count(*) > 1),
+gone AS (SELECT doc_id, list(DISTINCT p) AS ps
+         FROM (SELECT doc_id, unnest(range(i, i + 35)) AS p FROM win SEMI JOIN rep ON win.s = rep.s) GROUP BY doc_id),
+kept AS (SELECT d.doc_id, d.w, CASE WHEN g.ps IS NULL THEN range(1, len(d.w) + 1)
+                               ELSE list_sort(list_filter(range(1, len(d.w) + 1), lambda p: NOT list_contains(g.ps, p))) END AS ks
+         FROM d LEFT JOIN gone g ON d.doc_id = g.doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - len(ks) AS BIGINT) AS n_removed,
+       sha256(array_to_string(list_transform(ks, lambda p: w[p]), ' ')) AS kept_sha256
+FROM kept
+"""

@@ -96,3 +96,14 @@ def q_licenses(spark, sf_dir):
     from tidemark.llm.licenses import scan
 
     return scan(table(spark, sf_dir, "documents")).drop("found")
+
+
+@register("op3_substring_dedup")
+def q_substring_dedup(spark, sf_dir):
+    """Words of every document that lie in 35-word windows found elsewhere too."""
+    from pyspark.sql import functions as F
+
+    from tidemark.llm.substrings import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
