@@ -107,3 +107,11 @@ def q_substring_dedup(spark, sf_dir):
 
     return remove_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op2_near_duplicates")
+def q_near_duplicates(spark, sf_dir):
+    """Groups of documents whose sets of 5-word shingles have a Jaccard similarity of 0.85 or more."""
+    from tidemark.llm.neardup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), percent=85).drop("key")

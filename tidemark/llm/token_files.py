@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.chunks import encoder
-from tidemark.llm.common import cut, prepare
+from tidemark.llm.common import cut, doc_key, prepare
 from tidemark.llm.shards import TemporaryFile, batches_of, commit, one_row_tasks, store
 
 MAGIC = b"TIDTOK01"
@@ -47,13 +47,13 @@ def _ids_rows(docs, path, drops_space, end_id):
 
 def train_dictionary(docs: DataFrame, path: str, drops_space: bool, end_id: int,
                      id_col: str = "doc_id", text_col: str = "text") -> bytes:
-    """Dictionary fitted on the serialized ids of a bounded sample: the ``SAMPLE_DOCS`` documents whose
-    keys hash lowest, the first ``SAMPLE_BYTES`` of each. Empty if there is too little to train on."""
+    """Dictionary fitted on the serialized ids of a bounded sample: about ``SAMPLE_DOCS`` documents, chosen
+    by a hash of id and text, the first ``SAMPLE_BYTES`` of each. Empty if there is too little to train on."""
     import zstandard
 
-    sample = (docs.select(F.col(text_col).alias("text"), F.xxhash64(F.col(id_col), F.lit("sample")).alias("o"))
-              .where("length(text) > 0").withColumn("text", F.substring("text", 1, SAMPLE_BYTES))
-              .orderBy("o", F.xxhash64("text")).limit(SAMPLE_DOCS).select("o", "text"))
+    key = F.pmod(doc_key(id_col, text_col), F.lit(max(1, docs.count())))
+    sample = docs.where((key < SAMPLE_DOCS) & (F.length(text_col) > 0)).select(
+        F.lit(0).alias("id"), F.substring(text_col, 1, SAMPLE_BYTES).alias("text"))
 
     def run(batches):
         rows = ((x[:SAMPLE_BYTES],) for _, x in _ids_rows(batches, path, drops_space, end_id))
