@@ -22,6 +22,8 @@ from tidemark.llm.common import ascii_words, cut, doc_key
 
 WINDOW = 10  # words in a window
 SHINGLE = 3  # words in a shingle, at most
+#: a word before A-Z is put into lower case
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 BITS = 20  # the bit map has 2 ** BITS bits
 
 
@@ -77,8 +79,10 @@ def bit_map(prefix: DataFrame) -> str:
 
 
 def contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
-                 text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """``(id, n_words, n_hit, n_items, items_sha256, contaminated, spans)`` per document: the number of its
+                 text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text",
+                 with_key: bool = False) -> DataFrame:
+    """``(id, n_words, n_hit, n_items, items_sha256, contaminated, spans)`` per document (``with_key``: and
+    its :func:`tidemark.llm.common.doc_key` as ``key``): the number of its
     words, of those inside any occurrence of an item's window, of items with occurring windows, the
     SHA-256 of these items' ids (sorted as strings, comma-joined), and the occurring windows as
     ``(start, length)``.
@@ -138,4 +142,29 @@ def contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col
                     n_hit.cast("long").alias("n_hit"), F.size(items_of).cast("long").alias("n_items"),
                     F.sha2(F.concat_ws(",", items_of), 256).alias("items_sha256"),
                     (n_hit > 0).alias("contaminated"),
-                    F.coalesce("spans", F.array().cast("array<struct<start:int,length:int>>")).alias("spans")))
+                    F.coalesce("spans", F.array().cast("array<struct<start:int,length:int>>")).alias("spans"),
+                    *[F.col("key")] * with_key))
+
+
+def cut_spans(text: Column, spans: Column) -> Column:
+    """The text without the words in ``spans`` (sorted, as :func:`contaminated` gives them): what lies before,
+    between and after the cuts, each joined to the next by a blank. Case and all between kept words stay."""
+    # the gaps between the words are the pieces that words split the text into, and the other way round
+    words = F.regexp_extract_all(F.concat(F.lit("-"), text, F.lit("-")), F.lit(WORD), F.lit(0))
+    gaps = F.split(F.concat(F.lit("-"), text, F.lit("-")), WORD)
+    joined = F.aggregate(
+        spans, F.array().cast("array<struct<a:int,b:int>>"),
+        lambda out, s: F.when(
+            (F.size(out) > 0) & (F.element_at(out, -1)["b"] >= s["start"]),
+            F.concat(F.slice(out, 1, F.size(out) - 1), F.array(F.struct(
+                F.element_at(out, -1)["a"].alias("a"), (s["start"] + s["length"]).alias("b")))))
+        .otherwise(F.concat(out, F.array(F.struct(s["start"].alias("a"), (s["start"] + s["length"]).alias("b"))))))
+    # kept runs [a, b) of words: the complement of the cuts
+    bounds = F.concat(F.array(F.lit(0)), F.flatten(F.transform(joined, lambda s: F.array(s["a"], s["b"]))),
+                      F.array(F.size(words)))
+    runs = F.transform(F.sequence(F.lit(0), (F.size(bounds) / 2).cast("int") - 1),
+                       lambda i: F.struct(F.get(bounds, 2 * i).alias("a"), F.get(bounds, 2 * i + 1).alias("b")))
+    pieces = F.transform(F.filter(runs, lambda r: r["b"] > r["a"]), lambda r: F.array_join(F.transform(
+        F.sequence(r["a"], r["b"] - 1),
+        lambda i: F.concat(F.get(words, i), F.when(i < r["b"] - 1, F.get(gaps, i + 1)).otherwise(F.lit("")))), ""))
+    return F.array_join(pieces, " ")

@@ -163,8 +163,8 @@ def infer(texts: list[str | None], logs: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def identify(docs: DataFrame, langs: list[str], logs: np.ndarray, id_col: str = "doc_id",
-             text_col: str = "text") -> DataFrame:
-    """``(id, lang_pred, score, languages)``: the language of the largest share, that share, and all
+             text_col: str = "text", keep: list[str] = ()) -> DataFrame:
+    """``(id, lang_pred, score, languages)`` and the columns ``keep``: the language of the largest share, that share, and all
     languages of the chosen set with their shares, largest first.
 
     A null text, one without a letter, or no learned language at all: ``und``, score 0, no languages.
@@ -194,13 +194,19 @@ def identify(docs: DataFrame, langs: list[str], logs: np.ndarray, id_col: str =
                     score.append(float(min(1.0, row[order[0]])))
                     sets.append([{"lang": langs[i], "share": float(row[i])} for i in order])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(sets, pairs)],
-                names=["id", "lang_pred", "score", "languages"])
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"id {kind}, lang_pred string, score double, languages array<struct<lang:string,share:double>>") \
-        .withColumnRenamed("id", id_col)
+                [batch.column(0), pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(sets, pairs),
+                 *[batch.column(2 + i) for i in range(len(more))]],
+                names=["id", "lang_pred", "score", "languages", *[f"_keep{i}" for i in range(len(more))]])
+
+    more = [c for c in keep if c != id_col]
+    kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
+                       *[F.col(c).alias(f"_keep{i}") for i, c in enumerate(more)])
+    out = rows.mapInArrow(run, f"id {kinds[id_col]}, lang_pred string, score double, "
+                               "languages array<struct<lang:string,share:double>>"
+                               + "".join(f", _keep{i} {kinds[c]}" for i, c in enumerate(more)))
+    return out.select(F.col("id").alias(id_col), "lang_pred", "score", "languages",
+                      *[F.col(f"_keep{i}").alias(c) for i, c in enumerate(more)])
 
 
 def held_out(id_col: str = "doc_id", parts: int = 4, part: int = 2) -> Column:
