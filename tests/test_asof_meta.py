@@ -21,9 +21,9 @@ def _brute(probes, history):
     return out
 
 
-@pytest.mark.parametrize("strategy", ["broadcast", "window"])
+@pytest.mark.parametrize("num_partitions", [1, 7])
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_asof_matches_brute_force(spark, strategy, seed):
+def test_asof_matches_brute_force(spark, num_partitions, seed):
     rnd = random.Random(seed)
     keys = ["a", "b", "c", None]
     history = [(rnd.choice(keys), rnd.choice([None] + list(range(0, 200))), i, f"v{i}") for i in range(300)]
@@ -33,7 +33,7 @@ def test_asof_matches_brute_force(spark, strategy, seed):
     h = spark.createDataFrame(history, "k string, t long, seq long, v string")
     p = spark.createDataFrame(probes, "pid long, k string, pt long")
     got = {r.pid: r.v for r in asof_join(p, h, by=["k"], probe_time="pt", hist_time="t", values=["v"],
-                                          bucket=17, tiebreak=["seq"], strategy=strategy).collect()}
+                                          tiebreak=["seq"], num_partitions=num_partitions).collect()}
     assert got == _brute(probes, history)
 
 
@@ -43,7 +43,7 @@ def test_asof_timestamps(spark):
     p = spark.createDataFrame([(1, "a", "2024-01-01 12:00:00"), (2, "a", "2024-01-02 00:00:00"),
                                (3, "a", "2023-12-31 00:00:00")], "id int, k string, pt string") \
         .withColumn("pt", F.col("pt").cast("timestamp_ntz"))
-    got = {r.id: r.v for r in asof_join(p, h, ["k"], "pt", "t", ["v"], bucket=3_600_000_000).collect()}
+    got = {r.id: r.v for r in asof_join(p, h, ["k"], "pt", "t", ["v"]).collect()}
     assert got == {1: "x", 2: "y", 3: None}
 
 
@@ -69,8 +69,11 @@ def test_sync_at_with_missing_upstream(spark):
                                  "ds string, value string, updated_at long")
     probes = spark.createDataFrame([("p", 12), ("p", 16), ("p", 25), ("q", 25)], "proc string, probe_time long")
     ups = spark.createDataFrame([("p", "u1"), ("p", "u2"), ("q", "u1"), ("q", "u3")], "proc string, ds string")
-    got = sorted(tuple(r) for r in sync_at(probes, hist, upstreams=ups, bucket_us=7).collect())
+    got = sorted(tuple(r) for r in sync_at(probes, hist, upstreams=ups).collect())
     assert got == [("p", 12, ""), ("p", 16, "20240101"), ("p", 25, "20240101"), ("q", 25, "")]
+    twice = probes.unionByName(probes)  # repeated probes stay, with upstreams and without
+    assert sync_at(twice, hist, upstreams=ups).count() == 8
+    assert sync_at(twice, hist).count() == 8
 
 
 def test_resume_state_cases(spark):
@@ -97,7 +100,7 @@ def test_asof_grid_matches_brute_force(spark, seed):
     h = spark.createDataFrame(history, "k string, t long, seq long, v string")
     p = spark.createDataFrame(probes, "pid long, k string, pt long")
     got = {r.pid: r.v for r in asof_join(p, h, by=["k"], probe_time="pt", hist_time="t", values=["v"],
-                                          bucket=17, tiebreak=["seq"], strategy="grid").collect()}
+                                          grid=17, tiebreak=["seq"]).collect()}
     assert got == _brute(probes, history)
 
 
@@ -105,7 +108,7 @@ def test_asof_grid_rejects_off_grid_probe(spark):
     h = spark.createDataFrame([("a", 1, "x")], "k string, t long, v string")
     p = spark.createDataFrame([(1, "a", 5)], "pid long, k string, pt long")
     with pytest.raises(Exception, match="off the grid"):
-        asof_join(p, h, ["k"], "pt", "t", ["v"], bucket=17, strategy="grid").collect()
+        asof_join(p, h, ["k"], "pt", "t", ["v"], grid=17).collect()
 
 
 def test_resume_from_ledger_handles_batch_100_and_more(spark):

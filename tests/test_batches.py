@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.batches import HOUR_US, batch_counts, batch_spine, batchify, failed_outputs, skip_committed
 from tidemark.operators.metrics import fail_ratio, with_counters
-from tidemark.operators.partitions import append_per_partition, append_rows, constants, tracker_constants
+from tidemark.operators.partitions import append_per_partition, append_rows, constants
 from tidemark.operators.resume import resume_after, sequence_numbers
 
 
@@ -59,10 +59,10 @@ def test_sequence_numbers_and_resume(spark):
 
 def test_append_per_partition_counts(spark):
     df = spark.createDataFrame([("x",), ("y",)], "value string")
-    out = append_per_partition(df, tracker_constants(0), num_partitions=6)
-    assert out.count() == 62
-    assert append_rows(df, constants(spark, tracker_constants(10))).count() == 12
-    assert tracker_constants(10)[:2] == ["11", "12"]
+    out = append_per_partition(df, ["end", "checked", None], num_partitions=6)
+    got = [r.value for r in out.collect()]
+    assert sorted(got, key=repr) == sorted(["x", "y"] + 6 * ["end", "checked", None], key=repr)
+    assert append_rows(df, constants(spark, ["end", None])).count() == 4
 
 
 def test_fail_ratio_and_counters(spark):
@@ -75,8 +75,23 @@ def test_fail_ratio_and_counters(spark):
     assert obs.get["acc"] == 6
 
 
-@pytest.mark.parametrize("strategy", ["range", "bucket"])
-def test_sequence_numbers_hot_key_brute_force(spark, strategy):
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_sequence_numbers_beside_payload_columns(spark, reuse):
+    from pyspark.sql import Window
+
+    from tidemark.session import session_conf
+
+    events = spark.read.parquet("/root/testdata/sf0.1/events.parquet")
+    with session_conf(spark, {"spark.sql.exchange.reuse": reuse}):
+        seq = sequence_numbers(events, "event_type", "ts", ["event_id"])
+        assert seq.columns == [*events.columns, "seq"]
+        w = Window.partitionBy("event_type").orderBy("ts", "event_id")
+        expect = events.select("event_id", (F.row_number().over(w) - 1).alias("want"))
+        both = seq.join(expect, "event_id")
+        assert both.count() == events.count() and both.where("seq <> want").count() == 0
+
+
+def test_sequence_numbers_hot_key_brute_force(spark):
     import random
     rnd = random.Random(7)
     # one hot key with most rows, many timestamps shared (ties broken by id)
@@ -84,7 +99,7 @@ def test_sequence_numbers_hot_key_brute_force(spark, strategy):
              f"2024-01-0{rnd.randint(1, 3)} {rnd.randint(0, 23):02d}:{rnd.randint(0, 59):02d}:00", i)
             for i in range(3000)]
     df = spark.createDataFrame(rows, "p string, ts string, id long").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
-    got = {r.id: r.seq for r in sequence_numbers(df, "p", "ts", ["id"], strategy=strategy, num_partitions=16).collect()}
+    got = {r.id: r.seq for r in sequence_numbers(df, "p", "ts", ["id"], num_partitions=16).collect()}
     expect = {}
     for key in {r[0] for r in rows}:  # a null key is numbered as one more key
         for i, r in enumerate(sorted((r for r in rows if r[0] == key), key=lambda r: (r[1], r[2]))):

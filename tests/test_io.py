@@ -22,12 +22,15 @@ def test_write_batch_and_read_committed(spark, tmp_dir):
     for b in (0, 2):  # batch 1 was written but never published
         publish_batch(spark, ledger, "proc", "20240101", b, 1000 + b, 2)
     led = read_ledger(spark, ledger)
-    got = sorted(tuple(r) for r in read_committed(spark, root, led).collect())
+    # another processor's row for batch 1 in the same ledger does not publish this one's batch 1
+    publish_batch(spark, ledger, "other", "20240101", 1, 5000, 2)
+    led = read_ledger(spark, ledger)
+    got = sorted(tuple(r) for r in read_committed(spark, root, led, proc="proc").collect())
     assert got == [("20240101", 0, "a0"), ("20240101", 0, "b0"), ("20240101", 2, "a2"), ("20240101", 2, "b2")]
     assert read_batches(spark, root).count() == 6
     # overwrite keeps a replayed batch idempotent
     write_batch(df, root, "20240101", 2)
-    assert read_committed(spark, root, led, date="20240101").where("batch = 2").count() == 2
+    assert read_committed(spark, root, led, proc="proc", date="20240101").where("batch = 2").count() == 2
 
 
 def _write(path, data):
@@ -114,8 +117,28 @@ def test_kafka_paths_target_the_kafka_format(spark):
         write_messages(df, "localhost:9", "t-20240101", props={"extension.partitioner": "random"})
 
 
-def test_write_by_key_empty_key_shares_the_null_folder(spark, tmp_dir):
-    df = spark.createDataFrame([("", "a"), (None, "b"), ("k", "c")], "key string, value string")
-    write_by_key(df, f"{tmp_dir}/r")
-    got = sorted(((r.key or "-"), r.value) for r in read_by_key(spark, f"{tmp_dir}/r").collect())
-    assert got == [("-", "a"), ("-", "b"), ("k", "c")]
+def test_write_by_key_gives_every_key_back_as_it_was(spark, tmp_dir):
+    rows = [("", "a"), (None, "b"), ("k", "c"), ("007", "d"), ("1.0", "e"), ("2024-01-01", "f"), ("@", "g"), ("@x", "h"),
+            ("true", "i"), ("1e3", "j"), ("__HIVE", "k")]
+    write_by_key(spark.createDataFrame(rows, "key string, value string"), f"{tmp_dir}/r")
+    got = [(r.key, r.value) for r in read_by_key(spark, f"{tmp_dir}/r").collect()]
+    assert sorted(got, key=repr) == sorted(rows, key=repr)
+
+
+def test_ledger_entry_and_compaction(spark, tmp_dir):
+    from tidemark.sinks.batches import compact_ledger, latest_commits, ledger_entry
+
+    path = f"{tmp_dir}/ledger"
+    for batch, clock in ((0, 300), (1, 200), (2, 100)):  # a clock that runs backwards
+        publish_batch(spark, path, "p", "20240101", batch, clock, 1, query_id="q")
+    assert ledger_entry(spark, path, "p", "20240101", 1)["query_id"] == "q"
+    assert ledger_entry(spark, path, "p", "20240101", 3) is None
+    assert ledger_entry(spark, path, "p", "20240102", 0) is None
+    compact_ledger(spark, path, f"{tmp_dir}/compact")
+    led = read_ledger(spark, f"{tmp_dir}/compact")
+    assert led.count() == 3 and latest_commits(led).first()["commit"] == "20240101/0200/100"
+
+
+def test_max_rate_sets_the_cap_per_trigger(spark):
+    with pytest.raises(ValueError, match="max_rate"):
+        read_dated_topics(spark, ["t"], "20240101", root="/nowhere", max_rate=5)

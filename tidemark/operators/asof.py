@@ -2,23 +2,17 @@
 time at or before the probe's time (null when there is none).
 
 Spark has no as-of join, and a range join ``history.t <= probe.t`` followed by ``max_by`` emits all
-pairs. Three plans, all keyed by (key, time bucket or grid point) so a hot key is spread over its
-buckets:
-
-* **bounded probes, much larger history**: the probe rows are written once to
-  the shared checkpoint folder and counted there; the probe times of each (key, bucket) are collected
-  into a sorted array and broadcast. Every history
-  row finds, map-side, how many probes of its bucket precede it (``_idx``), then history is
-  partially aggregated to one row per (key, bucket, _idx) -- the latest row of that interval -- so
-  only aggregated rows are shuffled. A final running ``last(ignorenulls)`` over intervals and probes
-  per key (at most #probes + #buckets rows per key) gives each probe its value.
-* **probes on a grid** (batch ends): each history row is mapped to the first grid point at or after
-  it, history is partially aggregated to one row per (key, grid point), and a running
-  ``last(ignorenulls)`` per key over those rows and the probes (rows per key bounded by the time span)
-  answers every probe -- one pass over history, nothing written, nothing broadcast.
-* **unbounded probes**: probes and history are unioned and a running ``last(ignorenulls)`` runs per
-  (key, bucket); the value carried into a bucket comes from the latest earlier bucket's tail, which
-  is itself an aggregate (one row per non-empty bucket).
+pairs. Nothing here is broadcast by hand or collected into arrays. Two plans:
+
+* **range** (any probes): probes and history are unioned and range-partitioned on (key, time), so a hot
+  key, and a hot hour of it, is spread over as many partitions as its size needs. The partitioned rows
+  are written once to the shared checkpoint folder. Inside a partition a running ``last`` answers every
+  probe that has history before it there; the others take the last value of an earlier partition of the
+  same key, from a table with one row per (partition, key).
+* **grid** (probes on batch ends): each history row is mapped to the first grid point at or after it,
+  history is partially aggregated to one row per (key, grid point), and a running ``last`` per key over
+  those rows and the probes (rows per key bounded by the time span) answers every probe -- one pass over
+  history, nothing written.
 """
 
 from __future__ import annotations
@@ -27,12 +21,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import div_floor_sql, epoch_micros_sql, ident
+from tidemark.functions.columns import epoch_micros_sql, ident
 from tidemark.session import materialize
 
-DEFAULT_MAX_BROADCAST_PROBES = 2_000_000
-HISTORY_RATIO = 8  # auto picks the broadcast plan only for history at least this many times the probes
-
 
 def _time_sql(df: DataFrame, name: str) -> str:
     dt = df.schema[name].dataType
@@ -42,87 +33,59 @@ def _time_sql(df: DataFrame, name: str) -> str:
 
 
 def asof_join(probes: DataFrame, history: DataFrame, by: list[str], probe_time: str, hist_time: str,
-              values: list[str], bucket: int, tiebreak: list[str] | None = None,
-              max_broadcast_probes: int = DEFAULT_MAX_BROADCAST_PROBES,
-              strategy: str = "auto") -> DataFrame:
+              values: list[str], grid: int | None = None, tiebreak: list[str] | None = None,
+              num_partitions: int | None = None) -> DataFrame:
     """Probe columns plus ``values`` from the as-of match.
 
-    Times may be timestamps (compared as epoch microseconds, ``bucket`` in microseconds) or numbers
-    (``bucket`` in the same unit). ``tiebreak`` orders history rows with equal times.
-    ``strategy``: ``auto`` (broadcast plan when a count shows at most ``max_broadcast_probes`` probes
-    and history is at least :data:`HISTORY_RATIO` times larger, else window), ``broadcast`` (the
-    caller vouches for the bound), ``window``, or ``grid`` -- every probe time is a multiple of ``bucket`` (e.g. batch ends), checked in the plan.
+    Times may be timestamps (compared as epoch microseconds) or numbers. ``tiebreak`` orders history
+    rows with equal times. ``grid``: every probe time is a multiple of it (e.g. batch ends, checked in
+    the plan), which allows the grid plan.
     """
-    tiebreak = tiebreak or []
     clash = set(values) & set(probes.columns)
     if clash:
         raise ValueError(f"value columns also in probes: {sorted(clash)}")
-    if strategy in ("auto", "broadcast"):
-        # the probe side is evaluated once: written to the shared checkpoint folder, counted from there
-        probes = materialize(probes, "asof-probes")
-    if strategy == "auto":
-        n = probes.count()
-        # broadcast when the probes are bounded and history is much larger (its shuffle is what the
-        # broadcast plan saves); the history check reads at most HISTORY_RATIO * n + 1 rows
-        big_history = history.limit(HISTORY_RATIO * n + 1).count() > HISTORY_RATIO * n
-        strategy = "broadcast" if n <= max_broadcast_probes and big_history else "window"
-    if strategy == "broadcast":
-        return _asof_broadcast(probes, history, by, probe_time, hist_time, values, bucket, tiebreak)
-    if strategy == "window":
-        return _asof_window(probes, history, by, probe_time, hist_time, values, bucket, tiebreak)
-    if strategy == "grid":
-        return _asof_grid(probes, history, by, probe_time, hist_time, values, bucket, tiebreak)
-    raise ValueError(f"unknown strategy {strategy!r}")
+    if grid:
+        return _asof_grid(probes, history, by, probe_time, hist_time, values, grid, tiebreak or [])
+    return _asof_range(probes, history, by, probe_time, hist_time, values, tiebreak or [], num_partitions)
 
 
 def _sql_struct(names: list[str]) -> str:
     return "struct(" + ", ".join(ident(n) for n in names) + ")"
 
 
-def _asof_broadcast(probes, history, by, probe_time, hist_time, values, bucket, tiebreak):
-    # expressions are SQL text: one plan call each instead of one per sub-expression
+def _asof_range(probes, history, by, probe_time, hist_time, values, tiebreak, num_partitions):
     probe_cols = probes.columns
     keys = [f"_k{i}" for i in range(len(by))]
+    tb = [f"_tb{i}" for i in range(len(tiebreak))]
     present = " AND ".join(f"{k} IS NOT NULL" for k in keys)
-    p = probes.selectExpr(f"{_sql_struct(probe_cols)} AS _probe",
-                          *[f"{ident(k)} AS _k{i}" for i, k in enumerate(by)],
+    p = probes.selectExpr(f"{_sql_struct(probe_cols)} AS _probe", *[f"{ident(k)} AS _k{i}" for i, k in enumerate(by)],
                           f"{_time_sql(probes, probe_time)} AS _t")
-    p = p.selectExpr("*", f"{div_floor_sql('_t', bucket)} AS _b")
-
-    # probes grouped per (key, bucket), sorted by time (bounded: the probe count was checked)
-    grouped = p.groupBy(*keys, "_b").agg(F.expr("array_sort(collect_list(struct(_t, _probe)))").alias("_items"))
-    arrays = grouped.where(f"_b IS NOT NULL AND {present}").selectExpr(
-        *keys, "_b", "transform(_items, x -> x._t) AS _arr")
-    before = "coalesce(size(filter(_arr, x -> x < _t)), 0) AS _idx"
-
-    tb = [f"_tb{i}" for i in range(len(tiebreak))]
     h = history.selectExpr(*[f"{ident(k)} AS _k{i}" for i, k in enumerate(by)],
-                           f"{_time_sql(history, hist_time)} AS _t",
-                           *[ident(v) for v in values], *[f"{ident(c)} AS _tb{i}" for i, c in enumerate(tiebreak)])
-    h = h.where("_t IS NOT NULL").selectExpr("*", f"{div_floor_sql('_t', bucket)} AS _b")
-    # only keys that some probe asks for; both lookups are broadcast, history is never shuffled raw
-    h = h.join(F.broadcast(arrays.select(*keys).distinct()), on=keys, how="left_semi")
-    h = h.join(F.broadcast(arrays), on=[*keys, "_b"], how="left").selectExpr("*", before)
-    intervals = h.groupBy(*keys, "_b", "_idx").agg(
-        F.expr(f"max_by({_sql_struct(values)}, struct(_t{''.join(', ' + c for c in tb)}))").alias("_val"))
-
-    # probe rows come back out of the stored groups; _idx = probes of the bucket strictly earlier
-    probed = (grouped.selectExpr(*keys, "_b", "transform(_items, x -> x._t) AS _arr", "explode(_items) AS _it")
-              .selectExpr(*keys, "_b", "_arr", "_it._t AS _t", "_it._probe AS _probe")
-              .selectExpr("*", before))
-    probe_type = p.schema["_probe"].dataType.simpleString()
-    val_type = intervals.schema["_val"].dataType.simpleString()
-    rows = intervals.selectExpr(*keys, "_b", "_idx", "0 AS _kind", "_val",
-                                f"CAST(NULL AS {probe_type}) AS _probe").unionByName(
-        probed.selectExpr(*keys, "_b", "_idx", "1 AS _kind", f"CAST(NULL AS {val_type}) AS _val", "_probe"))
-    w = (Window.partitionBy(*keys).orderBy("_b", "_idx", "_kind")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = rows.withColumn("_seen", F.last("_val", ignorenulls=True).over(w)).where("_kind = 1")
-    # probes with a null key or time match nothing
+                           f"{_time_sql(history, hist_time)} AS _t", f"{_sql_struct(values)} AS _val",
+                           *[f"{ident(c)} AS _tb{i}" for i, c in enumerate(tiebreak)])
+    h = h.where(f"_t IS NOT NULL AND {present}")
+    val_type, probe_type = (d.schema[c].dataType.simpleString() for d, c in ((h, "_val"), (p, "_probe")))
+    tb_types = {c: h.schema[c].dataType.simpleString() for c in tb}
+    rows = h.selectExpr(*keys, "_t", "0 AS _kind", *tb, "_val", f"CAST(NULL AS {probe_type}) AS _probe").unionByName(
+        p.selectExpr(*keys, "_t", "1 AS _kind", *[f"CAST(NULL AS {tb_types[c]}) AS {c}" for c in tb],
+                     f"CAST(NULL AS {val_type}) AS _val", "_probe"))
+    n = num_partitions or int(probes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # the rows' partitions are drawn once: both uses below read the written table
+    order = [*keys, "_t", "_kind", *tb]
+    ranged = materialize(rows.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id()), "asof-rows")
+    inside = Window.partitionBy("_pid", *keys).orderBy("_t", "_kind", *tb) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = ranged.withColumn("_own", F.last("_val", ignorenulls=True).over(inside)).where("_kind = 1")
+    # partitions follow the order of (key, time): what a partition ends with is carried into the next ones
+    tails = ranged.groupBy("_pid", *keys).agg(
+        F.expr(f"max_by(_val, struct(_t{''.join(', ' + c for c in tb)})) FILTER (WHERE _kind = 0)").alias("_tail"))
+    earlier = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    carried = tails.withColumn("_carry", F.last("_tail", ignorenulls=True).over(earlier)) \
+        .where("_carry IS NOT NULL").select("_pid", *keys, "_carry")
+    out = seen.join(carried, on=["_pid", *keys], how="left")
     return out.selectExpr(
         *[f"_probe.{ident(c)} AS {ident(c)}" for c in probe_cols],
-        *[f"CASE WHEN _b IS NULL OR NOT ({present}) THEN NULL ELSE _seen.{ident(v)} END AS {ident(v)}"
-          for v in values])
+        *[f"CASE WHEN _t IS NULL THEN NULL ELSE coalesce(_own, _carry).{ident(v)} END AS {ident(v)}" for v in values])
 
 
 def _asof_grid(probes, history, by, probe_time, hist_time, values, width, tiebreak):
@@ -155,45 +118,3 @@ def _asof_grid(probes, history, by, probe_time, hist_time, values, width, tiebre
         *[f"_probe.{ident(c)} AS {ident(c)}" for c in probe_cols],
         *[f"CASE WHEN _e IS NULL OR NOT ({present}) OR _ok IS NOT NULL THEN NULL ELSE _seen.{ident(v)} END"
           f" AS {ident(v)}" for v in values])
-
-
-def _asof_window(probes, history, by, probe_time, hist_time, values, bucket, tiebreak):
-    probe_cols = probes.columns
-    keys = [f"_k{i}" for i in range(len(by))]
-    present = " AND ".join(f"{k} IS NOT NULL" for k in keys)
-    tb = [f"_tb{i}" for i in range(len(tiebreak))]
-    p = probes.selectExpr(f"{_sql_struct(probe_cols)} AS _probe",
-                          *[f"{ident(k)} AS _k{i}" for i, k in enumerate(by)],
-                          f"{_time_sql(probes, probe_time)} AS _t")
-    p = p.selectExpr("*", f"{div_floor_sql('_t', bucket)} AS _b")
-    h = history.selectExpr(*[f"{ident(k)} AS _k{i}" for i, k in enumerate(by)],
-                           f"{_time_sql(history, hist_time)} AS _t", f"{_sql_struct(values)} AS _val",
-                           *[f"{ident(c)} AS _tb{i}" for i, c in enumerate(tiebreak)])
-    # a null key matches nothing (window partitions would group nulls together)
-    h = h.where(f"_t IS NOT NULL AND {present}").selectExpr("*", f"{div_floor_sql('_t', bucket)} AS _b")
-    val_type = h.schema["_val"].dataType.simpleString()
-    probe_type = p.schema["_probe"].dataType.simpleString()
-
-    # value carried into each probe bucket: the tail of the latest earlier non-empty bucket
-    tails = h.groupBy(*keys, "_b").agg(F.expr(f"max_by(_val, struct(_t{''.join(', ' + c for c in tb)}))").alias("_val"))
-    marks = p.where("_b IS NOT NULL").select(*keys, "_b").distinct()
-    chain = tails.selectExpr(*keys, "_b", "1 AS _kind", "_val").unionByName(
-        marks.selectExpr(*keys, "_b", "0 AS _kind", f"CAST(NULL AS {val_type}) AS _val"))
-    wc = Window.partitionBy(*keys).orderBy("_b", "_kind").rowsBetween(Window.unboundedPreceding, -1)
-    carry = (chain.withColumn("_carry", F.last("_val", ignorenulls=True).over(wc))
-             .where("_kind = 0").select(*keys, "_b", "_carry"))
-
-    # latest history row inside the probe's own bucket
-    tb_types = {c: h.schema[c].dataType.simpleString() for c in tb}
-    rows = h.selectExpr(*keys, "_b", "_t", "0 AS _kind", "_val", *tb,
-                        f"CAST(NULL AS {probe_type}) AS _probe").unionByName(
-        p.selectExpr(*keys, "_b", "_t", "1 AS _kind", f"CAST(NULL AS {val_type}) AS _val",
-                     *[f"CAST(NULL AS {tb_types[c]}) AS {c}" for c in tb], "_probe"))
-    wb = (Window.partitionBy(*keys, "_b").orderBy("_t", "_kind", *tb)
-          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    inb = rows.withColumn("_own", F.last("_val", ignorenulls=True).over(wb)).where("_kind = 1")
-    out = inb.join(carry, on=[*keys, "_b"], how="left")
-    return out.selectExpr(
-        *[f"_probe.{ident(c)} AS {ident(c)}" for c in probe_cols],
-        *[f"CASE WHEN _b IS NULL THEN NULL ELSE coalesce(_own, _carry).{ident(v)} END AS {ident(v)}"
-          for v in values])

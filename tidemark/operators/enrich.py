@@ -1,10 +1,9 @@
-"""Give every record a small shared lookup (JON-1).
+"""Give every record a shared lookup (JON-1).
 
-The reference broadcasts a named value once and keeps it until the application ends. Here the
-lookup is a DataFrame produced by ``lookup_fn``: it is rebuilt on every call (inside
-``foreachBatch`` that is once per micro-batch, so it never goes stale for days) and broadcast only
-once a bounded count proves it small; a larger lookup goes through an ordinary shuffle join,
-which AQE may still turn into a broadcast at run time.
+The reference broadcasts a named value once and keeps it until the application ends. Here the lookup
+is a DataFrame produced by ``lookup_fn``, built anew on every call (inside ``foreachBatch`` that is once
+per micro-batch, so it never goes stale), and joined by an ordinary join: Spark broadcasts it where its
+statistics, or the size it turns out to have at run time, allow that, and splits skewed keys otherwise.
 """
 
 from __future__ import annotations
@@ -12,29 +11,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from tidemark.session import materialize
-
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
-
-
-def is_small(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (counts at most ``max_rows + 1``)."""
-    return df.limit(max_rows + 1).count() <= max_rows
 
 
 def enrich(df: DataFrame, lookup: DataFrame | Callable[[], DataFrame], on: str | list[str] | object,
-           how: str = "left", max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``df`` joined with the lookup (left join by default, so records without a match stay).
-
-    At most ``max_broadcast_rows + 1`` rows of the lookup are written once to the shared checkpoint
-    folder (a bounded write) and counted there. Within the bound, that table *is* the whole lookup
-    and is broadcast, so a lookup aggregated from a large table is computed once, not once for the
-    size check and again for the join. Beyond it, the lookup is joined by shuffle (AQE may still
-    split skewed keys)."""
-    side = lookup() if callable(lookup) else lookup
-    head = materialize(side.limit(max_broadcast_rows + 1), "lookup")
-    if head.count() <= max_broadcast_rows:
-        return df.join(F.broadcast(head), on=on, how=how)
-    return df.join(side, on=on, how=how)
+           how: str = "left") -> DataFrame:
+    """``df`` joined with the lookup (left join by default, so records without a match stay)."""
+    return df.join(lookup() if callable(lookup) else lookup, on=on, how=how)

@@ -44,8 +44,6 @@ def sync_point(processors: DataFrame, latest: DataFrame, proc: str = "proc", ups
     names = processors.select(F.col(proc).alias("proc"),
                               F.explode_outer(upstream_names(upstreams)).alias("_ds"))
     lat = latest.select(F.col(ds).alias("_ds"), F.col(value).alias("_latest"))
-    # one row per upstream dataset: broadcast after a size check, so a popular upstream (named by a
-    # third of the processors) is not one shuffle partition
     joined = enrich(names, lat, on="_ds", how="left")
     seen = F.when(F.col("_ds").isNull(), F.lit(None)).otherwise(F.coalesce("_latest", F.lit(MISSING)))
     return joined.groupBy("proc").agg(F.min(seen).alias("sync"))
@@ -53,31 +51,30 @@ def sync_point(processors: DataFrame, latest: DataFrame, proc: str = "proc", ups
 
 def sync_at(probes: DataFrame, history: DataFrame, proc: str = "proc", probe_time: str = "probe_time",
             upstreams: DataFrame | None = None, ds: str = "ds", value: str = "value",
-            updated_at: str = "updated_at", bucket_us: int = 3_600_000_000,
-            tiebreak: list[str] | None = None, strategy: str = "auto") -> DataFrame:
+            updated_at: str = "updated_at", grid_us: int | None = None,
+            tiebreak: list[str] | None = None) -> DataFrame:
     """Probe columns plus ``sync``: for every probe ``(proc, probe_time)``, the minimum over the
     processor's upstreams of the upstream's latest ``value`` written at or before ``probe_time``.
 
     ``upstreams(proc, ds)`` lists each processor's upstreams; without it a processor's only upstream
-    is the dataset of the same name. History rows ``(ds, value, updated_at)``.
+    is the dataset of the same name. History rows ``(ds, value, updated_at)``. ``grid_us``: all probe
+    times are multiples of it (see :func:`tidemark.operators.asof.asof_join`). Repeated probes stay.
     """
     pcols = probes.columns
     if upstreams is None:
         fan = probes.withColumn("_ds", F.col(proc))
     else:
-        # upstream lists are metadata: broadcast after a size check, so all probes of one processor
-        # (a single key value) are fanned out map-side instead of in one shuffle partition
-        fan = enrich(probes, upstreams.select(F.col(proc).alias(proc), F.col(ds).alias("_ds")), on=proc, how="left")
+        # a number per probe row, so that equal probes are regrouped apart
+        fan = enrich(probes.withColumn("_row", F.monotonically_increasing_id()), upstreams.select(F.col(proc).alias(proc), F.col(ds).alias("_ds")), on=proc, how="left")
     hist = history.select(F.col(ds).alias("_ds"), F.col(value).alias("_v"), F.col(updated_at).alias("_u"),
                           *[F.col(c) for c in (tiebreak or [])])
     matched = asof_join(fan, hist, by=["_ds"], probe_time=probe_time, hist_time="_u", values=["_v"],
-                        bucket=bucket_us, tiebreak=tiebreak, strategy=strategy)
+                        grid=grid_us, tiebreak=tiebreak)
     seen = F.when(F.col("_ds").isNull(), F.lit(None)).otherwise(F.coalesce("_v", F.lit(MISSING)))
     if upstreams is None:
         # one upstream per probe: no regrouping needed
         return matched.select(*pcols, seen.alias("sync"))
-    # probes are identified by their columns (give distinct probes)
-    return matched.groupBy(*pcols).agg(F.min(seen).alias("sync"))
+    return matched.groupBy("_row", *pcols).agg(F.min(seen).alias("sync")).drop("_row")
 
 
 def resume_state(processors: DataFrame, sync: DataFrame, commits: DataFrame, proc: str = "proc",
@@ -106,11 +103,11 @@ def resume_state(processors: DataFrame, sync: DataFrame, commits: DataFrame, pro
 def resume_from_ledger(processors: DataFrame, sync: DataFrame, ledger: DataFrame, proc: str = "proc") -> DataFrame:
     """Start state from the ledger's integer columns instead of commit-point text, so a day with
     batch 100 or more restarts correctly (its commit text ``{date}/10000/...`` cannot be parsed):
-    the last published batch of each processor (by batch time) gives ``trace = date``,
+    the last published batch of each processor (by date and batch, not by the clock) gives ``trace = date``,
     ``batch_num = batch + 1``, ``commit_time = batch_time``; a processor without one starts the day
     after its sync point. One partially aggregated ``groupBy`` over the ledger."""
     last = ledger.groupBy(F.col(proc).alias("proc")).agg(
-        F.max_by(F.struct("date", "batch", "batch_time"), "batch_time").alias("_last"))
+        F.max(F.struct("date", "batch", "batch_time")).alias("_last"))
     base = (processors.select(F.col(proc).alias("proc")).distinct()
             .join(sync.select(F.col(proc).alias("proc"), "sync"), on="proc", how="left")
             .join(last, on="proc", how="left"))

@@ -2,32 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import ship_package
 
-
-def append_per_partition(df: DataFrame, values: Sequence[str], column: str = "value",
-                         num_partitions: int | None = None) -> DataFrame:
-    """Each partition yields its own rows of ``column`` and then every constant, so an empty
-    partition yields the constants too and the row count is ``rows + partitions x len(values)``.
-    Pin ``num_partitions`` when the count must be reproducible (AQE keeps an explicit number)."""
-    ship_package(df.sparkSession)
-    consts = [None if v is None else str(v) for v in values]
-    src = df.select(F.col(column).cast("string").alias("value"))
-    if num_partitions:
-        src = src.repartition(num_partitions)
-
-    def per_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield b
-        yield pd.DataFrame({"value": pd.Series(consts, dtype="object")})
-
-    return src.mapInPandas(per_partition, "value string")
+def append_per_partition(df: DataFrame, values: Sequence[str], num_partitions: int, column: str = "value") -> DataFrame:
+    """The rows of ``column`` in ``num_partitions`` partitions, and every constant once for each of them (an
+    empty partition has the constants too): ``rows + num_partitions x len(values)`` rows. A union of two
+    JVM-side frames; the rows themselves are not touched."""
+    spark = df.sparkSession
+    own = df.select(F.col(column).cast("string").alias("value")).repartition(num_partitions)
+    marks = spark.range(0, num_partitions, 1, num_partitions).select(
+        F.explode(F.array(*[F.lit(v).cast("string") for v in values])).alias("value"))
+    return own.unionByName(marks)
 
 
 def append_rows(df: DataFrame, values: DataFrame) -> DataFrame:
@@ -37,8 +26,3 @@ def append_rows(df: DataFrame, values: DataFrame) -> DataFrame:
 
 def constants(spark: SparkSession, values: Sequence[str], column: str = "value") -> DataFrame:
     return spark.createDataFrame([(None if v is None else str(v),) for v in values], f"{column} string")
-
-
-def tracker_constants(delta: int = 0) -> list[str]:
-    """The test algorithm's broadcast list: 1..10, each plus ``delta``."""
-    return [str(i + delta) for i in range(1, 11)]

@@ -11,39 +11,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import div_floor, epoch_micros_of
-from tidemark.operators.batches import HOUR_US
 from tidemark.operators.enrich import enrich
+from tidemark.session import materialize
 
 
 def sequence_numbers(df: DataFrame, by: str, ts: str, tiebreak: list[str], out: str = "seq",
-                     strategy: str = "range", bucket_us: int = HOUR_US,
                      num_partitions: int | None = None) -> DataFrame:
-    """``df`` plus ``out``: 0-based position of each row within its key in ``(ts, *tiebreak)`` order.
-    ``(ts, *tiebreak)`` must be unique within a key (it is the order, so it must be total).
-
-    ``range`` (default): range-partition on ``(by, ts, *tiebreak)`` -- a hot key is split over as many
-    partitions as its size needs -- sort inside partitions, and number rows from their position
-    (``monotonically_increasing_id``) plus the rows of the same key in earlier partitions, taken from a
-    small per-(partition, key) count table. ``bucket``: number rows inside (key, time bucket) windows
-    and add per-bucket offsets; a bucket of one key is one task, so size ``bucket_us`` to the density.
+    """``df`` (all its columns) plus ``out``: 0-based position of each row within its key in
+    ``(ts, *tiebreak)`` order, which must be unique within a key.
+
+    Rows are range-partitioned on ``(by, ts, *tiebreak)``, sorted inside partitions and written once to the
+    shared checkpoint folder with their partition and position. Range partitions are drawn by sampling, so
+    a second evaluation could cut them elsewhere; positions and counts are therefore both read from that
+    one table. A row's number is its position plus the rows of its key in earlier partitions, taken from a
+    table with one row per (partition, key).
     """
-    if strategy == "bucket":
-        return _sequence_by_bucket(df, by, ts, tiebreak, out, bucket_us)
-    if strategy != "range":
-        raise ValueError(f"unknown strategy {strategy!r}")
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(by), F.col(ts), *[F.col(c) for c in tiebreak]]
-    # an explicit partition count: AQE keeps it, so partition ids mean the same in both uses below
-    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_pos", F.monotonically_increasing_id()))
+    ranged = materialize(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+                         .withColumn("_pid", F.spark_partition_id())
+                         .withColumn("_pos", F.monotonically_increasing_id()), "sequence")
     stats = ranged.groupBy("_pid", by).agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = stats.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
-    # one row per (partition, key): at most partitions x keys-per-partition rows; null-safe on the key
-    # so rows with a null key are numbered too (as one more key)
+    # null-safe on the key, so rows with a null key are numbered too (as one more key)
     o = offsets.select(F.col("_pid").alias("_opid"), F.col(by).alias("_okey"), "_first", "_off")
     cond = (F.col("_pid") == F.col("_opid")) & F.col(by).eqNullSafe(F.col("_okey"))
     return (ranged.join(o, on=cond, how="inner")
@@ -51,27 +42,10 @@ def sequence_numbers(df: DataFrame, by: str, ts: str, tiebreak: list[str], out:
             .drop("_pid", "_pos", "_first", "_off", "_opid", "_okey"))
 
 
-def _sequence_by_bucket(df: DataFrame, by: str, ts: str, tiebreak: list[str], out: str,
-                        bucket_us: int) -> DataFrame:
-    us = epoch_micros_of(df, ts)
-    b = df.withColumn("_sb", div_floor(us, bucket_us))
-    counts = b.groupBy(by, "_sb").agg(F.count(F.lit(1)).alias("_n"))
-    w_off = Window.partitionBy(by).orderBy("_sb").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w_off), F.lit(0))).drop("_n")
-    w_in = Window.partitionBy(by, "_sb").orderBy(F.col(ts), *[F.col(c) for c in tiebreak])
-    numbered = b.withColumn("_rn", F.row_number().over(w_in))
-    o = offsets.select(F.col(by).alias("_okey"), F.col("_sb").alias("_osb"), "_off")
-    cond = F.col(by).eqNullSafe(F.col("_okey")) & F.col("_sb").eqNullSafe(F.col("_osb"))
-    return (numbered.join(o, on=cond, how="left")
-            .withColumn(out, (F.col("_off") + F.col("_rn") - 1).cast("bigint"))
-            .drop("_sb", "_rn", "_off", "_okey", "_osb"))
-
-
 def resume_after(df: DataFrame, seq: str, counters: DataFrame, by: str, name: str = "name",
                  value: str = "value") -> DataFrame:
     """Rows whose 0-based ``seq`` is at or after the key's counter (the number of records already
-    sent); a key without a counter starts at 0. Counters hold one row per producer: the lookup is
-    broadcast once a bounded count shows it small, else joined by shuffle."""
+    sent); a key without a counter starts at 0."""
     c = counters.select(F.col(name).alias(by), F.col(value).alias("_resume_at"))
     return (enrich(df, c, on=by, how="left")
             .where(F.col(seq) >= F.coalesce(F.col("_resume_at"), F.lit(0)))

@@ -111,9 +111,9 @@ user_sync AS (
 )"""
 SYNC_AT = f"""
 WITH {HIST_CTE},
-p AS (SELECT event_id, event_type AS proc, ts AS probe_time FROM events WHERE event_type = 'purchase'),
-ups AS (SELECT DISTINCT event_type AS ds FROM events WHERE event_type <> 'purchase'),
-pu AS (SELECT p.event_id, p.proc, p.probe_time, ups.ds FROM p CROSS JOIN ups),
+p AS (SELECT event_id, event_type AS proc, ts AS probe_time FROM events),
+ups AS (SELECT DISTINCT event_type AS ds FROM events),
+pu AS (SELECT p.event_id, p.proc, p.probe_time, ups.ds FROM p JOIN ups ON p.proc <> ups.ds),
 m AS (
   SELECT pu.event_id, pu.proc, pu.probe_time, h.value
   FROM pu ASOF LEFT JOIN hist h ON pu.ds = h.ds AND h.updated_at <= pu.probe_time
@@ -121,8 +121,7 @@ m AS (
 SELECT event_id, proc, probe_time, min(coalesce(value, '')) AS sync FROM m GROUP BY event_id, proc, probe_time
 """
 SEQ_CTE = """seqd AS (
-  SELECT event_id, event_type, ts,
-         row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1 AS seq
+  SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1 AS seq
   FROM events
 )"""
 
@@ -213,9 +212,8 @@ FROM events GROUP BY event_type""",
 WITH {USER_SYNC_CTES},
 sg AS (
   SELECT user_id AS proc, strftime(ts, '%Y%m%d') AS d, CAST(hour(ts) AS INTEGER) AS h, event_id
-  FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
-        FROM events WHERE event_type = 'signup')
-  WHERE rn = 1
+  FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+  WHERE rn = 1 AND event_type <> 'signup'
 ),
 st AS (
   SELECT u.proc, s.sync, sg.d, sg.h, sg.event_id, sg.proc IS NULL AS fresh,
@@ -234,12 +232,14 @@ SELECT strftime(ts, '%Y%m%d') AS date, count_if(event_type = 'error') AS failed,
        count_if(event_type = 'error') / (count(*) + CAST(0.01 AS DOUBLE)) AS fail_ratio
 FROM events GROUP BY 1""",
     "with_counters": f"""
+SELECT sum(CAST(({SLOT} % {DAY}) // {W} AS BIGINT)) AS acc, count(*) AS records FROM events""",
+    "counter_table": f"""
 SELECT event_type AS proc, sum(CAST(({SLOT} % {DAY}) // {W} AS BIGINT)) AS acc, count(*) AS records
 FROM events GROUP BY 1""",
     "enrich": """
 SELECT e.event_id, e.user_id, c.c_name, c.c_mktsegment, n.n_name
 FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey""",
-    "sequence_numbers": f"WITH {SEQ_CTE} SELECT event_id, event_type, seq FROM seqd",
+    "sequence_numbers": f"WITH {SEQ_CTE} SELECT * FROM seqd",
     "resume_after": f"""
 WITH {SEQ_CTE},
 fd AS (SELECT event_type, min(CAST(ts AS DATE)) AS d FROM events GROUP BY 1),
@@ -247,31 +247,35 @@ cnt AS (
   SELECT e.event_type AS name, count(*) AS value
   FROM events e JOIN fd ON e.event_type = fd.event_type WHERE CAST(e.ts AS DATE) = fd.d GROUP BY 1
 )
-SELECT s.event_id, s.event_type, s.seq FROM seqd s LEFT JOIN cnt ON s.event_type = cnt.name
+SELECT s.* FROM seqd s LEFT JOIN cnt ON s.event_type = cnt.name
 WHERE s.seq >= coalesce(cnt.value, 0)""",
     "append_per_partition": """
 SELECT CAST(value AS VARCHAR) AS value FROM events
 UNION ALL
-SELECT CAST(i AS VARCHAR) AS value FROM range(1, 11) t(i) CROSS JOIN range(4) r(j)""",
+SELECT t.m AS value FROM (VALUES ('end of partition'), ('checked')) t(m)
+CROSS JOIN (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events WHERE ts IS NOT NULL) r""",
     "append_rows": """
 SELECT CAST(value AS VARCHAR) AS value FROM events
 UNION ALL
-SELECT CAST(i AS VARCHAR) AS value FROM range(1, 11) t(i)""",
+SELECT t.m AS value FROM (VALUES ('end of partition'), ('checked')) t(m)""",
     "dated_topics": """
 WITH ds AS (SELECT r.r_name AS ds, n.n_name AS topic FROM region r JOIN nation n ON r.r_regionkey = n.n_regionkey),
-dates AS (SELECT DISTINCT strftime(ts, '%Y%m%d') AS date FROM events),
-req AS (SELECT DISTINCT unnest(string_split('ASIA,EUROPE,,ASIA', ',')) AS name)
-SELECT DISTINCT d.date, ds.topic, ds.topic || '-' || d.date AS dated_topic
-FROM dates d CROSS JOIN req JOIN ds ON req.name = ds.ds
-WHERE req.name <> ''""",
+req AS (
+  SELECT DISTINCT strftime(e.ts, '%Y%m%d') AS date, r.r_name AS name
+  FROM events e JOIN customer c ON e.user_id = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+  JOIN region r ON n.n_regionkey = r.r_regionkey)
+SELECT DISTINCT req.date, ds.topic, ds.topic || '-' || req.date AS dated_topic FROM req JOIN ds ON req.name = ds.ds""",
     "prepare_messages": f"""
 SELECT CAST(user_id AS VARCHAR) AS key, CAST(value AS VARCHAR) AS value,
        event_type || '-' || strftime(ts, '%Y%m%d') AS topic,
        CAST({_sign('CAST(user_id AS VARCHAR)')} % 12 AS INTEGER) AS "partition"
 FROM events""",
     "read_dated_topics": """
-SELECT CAST(user_id AS VARCHAR) AS key, CAST(value AS VARCHAR) AS value FROM events
-WHERE event_type IN ('click', 'error', 'purchase', 'signup', 'view')""",
+SELECT CAST(user_id AS VARCHAR) AS key, CAST(value AS VARCHAR) AS value FROM events WHERE event_type IS NOT NULL""",
+    "run_days": """
+WITH per AS (SELECT event_type, min(CAST(ts AS DATE)) AS lo, max(CAST(ts AS DATE)) AS hi FROM events GROUP BY 1)
+SELECT strftime(ts, '%Y%m%d') AS date, CAST(0 AS INTEGER) AS batch, CAST(value AS VARCHAR) AS value
+FROM events WHERE CAST(ts AS DATE) BETWEEN (SELECT min(lo) FROM per) AND (SELECT min(hi) FROM per)""",
     "write_by_key": "SELECT event_type, CAST(value AS VARCHAR) AS value FROM events",
     "committed_batches": f"""
 SELECT e.event_type AS proc, strftime(make_timestamp(e.bs), '%Y%m%d') AS date,

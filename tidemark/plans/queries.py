@@ -16,17 +16,18 @@ from tidemark.functions import columns as C
 from tidemark.operators import batches as B
 from tidemark.operators.enrich import enrich
 from tidemark.operators.meta import current_meta, resume_from_ledger, resume_state, sync_at, sync_point
-from tidemark.operators.metrics import counter_table, fail_ratio
-from tidemark.operators.partitions import append_per_partition, append_rows, constants, tracker_constants
+from tidemark.operators.metrics import counter_table, fail_ratio, with_counters
+from tidemark.operators.partitions import append_per_partition, append_rows, constants
 from tidemark.operators.replay import replay_ledger
 from tidemark.operators.resume import resume_after, sequence_numbers
 from tidemark.plans import fixtures as fx
-from tidemark.session import scratch_dir, session_conf
-from tidemark.sinks.batches import latest_commits, ledger_from_replay, read_by_key, write_batches, write_by_key
+from tidemark.session import materialize, scratch_dir, session_conf
+from tidemark.sinks.batches import (latest_commits, ledger_from_replay, read_by_key, read_ledger, write_batches,
+                                    write_by_key)
 from tidemark.sinks.messages import prepare_messages
-from tidemark.sources.committed import read_committed_partitioned
+from tidemark.sources.committed import read_committed, read_committed_partitioned
 from tidemark.sources.counters import encode_counter, read_counters, write_counter_files
-from tidemark.sources.topics import dated_topics, read_dated_topics, write_dated_folders
+from tidemark.sources.topics import dated_topics, read_dated_topics, topic_names, write_dated_folders
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -34,9 +35,7 @@ QUERIES: dict[str, Query] = {}
 # ---- fixed parameters of the queries ---------------------------------------------------------
 HASH_PARTITIONS = (7, 8, 12)
 MESSAGE_PARTITIONS = 12
-PRODUCER_REQUEST = "ASIA,EUROPE,,ASIA"
-APPEND_PARTITIONS = 4
-SYNC_PROBE_PROC = "purchase"
+END_MARKS = ("end of partition", "checked")
 # -----------------------------------------------------------------------------------------------
 
 
@@ -60,8 +59,7 @@ def _minute_of_day(ts: str = "ts"):
 @register("replay_ledger")
 def q_replay_ledger(spark, sf_dir):
     """STR-5: batch log of every processor replayed through commit/switch/redo/abort/ignored."""
-    events = _events(spark, sf_dir)
-    return replay_ledger(fx.batch_log(events), fx.start_state(events))
+    return replay_ledger(*fx.replay_inputs(_events(spark, sf_dir)))
 
 
 @register("batchify")
@@ -97,9 +95,10 @@ def q_failed_outputs(spark, sf_dir):
 def q_skip_committed(spark, sf_dir):
     """FLT-1: batches after each processor's last committed batch."""
     events = _events(spark, sf_dir)
-    first = B.batchify(events.groupBy(F.col("event_type").alias("proc")).agg(F.min("ts").alias("ts")),
-                       "ts", fx.BATCH_WIDTH_US).select("proc", "batch_time")
-    log = fx.batch_log(events).select("proc", "batch_time", "num_records")
+    hourly = fx.per_batch(events)
+    first = hourly.groupBy("proc").agg(F.min("batch_start_us").alias("batch_start_us")) \
+        .select("proc", *B.batch_columns("batch_start_us", fx.BATCH_WIDTH_US)).select("proc", "batch_time")
+    log = fx.batch_log(events, hourly=hourly).select("proc", "batch_time", "num_records")
     return B.skip_committed(log, first)
 
 
@@ -107,8 +106,8 @@ def q_skip_committed(spark, sf_dir):
 def q_batch_outcome(spark, sf_dir):
     """PRJ-8: outcome of every logged batch against the processor's start state, and whether an empty
     batch was committed (delayed)."""
-    events = _events(spark, sf_dir)
-    log = enrich(fx.batch_log(events), fx.start_state(events), on="proc", how="inner")
+    log, start = fx.replay_inputs(_events(spark, sf_dir))
+    log = enrich(log, start, on="proc", how="inner")
     out = log.select("proc", "batch_time", "num_records",
                      C.batch_outcome(F.lit(False), "batch_time", "commit_time", "num_records", "sync", "trace",
                                      "failed").alias("outcome"))
@@ -198,49 +197,44 @@ def q_sync_point(spark, sf_dir):
     return sync_point(_user_processors(events), latest)
 
 
-def _sync_probes(events: DataFrame):
-    probes = events.where(F.col("event_type") == SYNC_PROBE_PROC).select(
-        "event_id", F.col("event_type").alias("proc"), F.col("ts").alias("probe_time"))
-    upstreams = (events.where(F.col("event_type") != SYNC_PROBE_PROC)
-                 .select(F.lit(SYNC_PROBE_PROC).alias("proc"), F.col("event_type").alias("ds")).distinct())
-    return probes, upstreams
+def _sync_at(spark, sf_dir) -> DataFrame:
+    events = _events(spark, sf_dir)
+    probes = events.select("event_id", F.col("event_type").alias("proc"), F.col("ts").alias("probe_time"))
+    names = events.select(F.col("event_type").alias("ds")).distinct()
+    upstreams = names.select(F.col("ds").alias("proc")).join(names, F.col("proc") != F.col("ds"))
+    return sync_at(probes, fx.meta_history(events), upstreams=upstreams, tiebreak=["seq"])
 
 
 @register("sync_at")
 def q_sync_at(spark, sf_dir):
-    """JON-2: at every `purchase` event, the minimum as-of `latest` of the other producers."""
-    events = _events(spark, sf_dir)
-    probes, upstreams = _sync_probes(events)
-    return sync_at(probes, fx.meta_history(events), upstreams=upstreams, tiebreak=["seq"])
+    """JON-2: at every event, the minimum as-of `latest` of the other processors' producers."""
+    return _sync_at(spark, sf_dir)
 
 
 @register("sync_at_broadcast")
 def q_sync_at_broadcast(spark, sf_dir):
-    """JON-2 through the bounded-probe plan (probe arrays broadcast, history aggregated map-side)."""
-    events = _events(spark, sf_dir)
-    probes, upstreams = _sync_probes(events)
-    return sync_at(probes, fx.meta_history(events), upstreams=upstreams, tiebreak=["seq"], strategy="broadcast")
+    """JON-2, an earlier name of `sync_at`: there is one plan for any probes."""
+    return _sync_at(spark, sf_dir)
 
 
 @register("sync_at_window")
 def q_sync_at_window(spark, sf_dir):
-    """JON-2 through the plan for unbounded probes (union + per-bucket window + carried tails)."""
-    events = _events(spark, sf_dir)
-    probes, upstreams = _sync_probes(events)
-    return sync_at(probes, fx.meta_history(events), upstreams=upstreams, tiebreak=["seq"], strategy="window")
+    """JON-2, an earlier name of `sync_at`: there is one plan for any probes."""
+    return _sync_at(spark, sf_dir)
 
 
 @register("resume_state")
 def q_resume_state(spark, sf_dir):
-    """JON-3: start state of every user-processor from its sync point and its last `signup` commit."""
+    """JON-3: start state of every user-processor from its sync point and the commit of its last event;
+    users whose last event is a `signup` have committed nothing yet."""
     events = _events(spark, sf_dir)
     procs = _user_processors(events)
     latest = current_meta(fx.meta_history(events), seq="seq").select("ds", F.col("value").alias("latest"))
     sync = sync_point(procs, latest)
-    signups = events.where(F.col("event_type") == "signup")
-    last = signups.groupBy(F.col("user_id").alias("proc")).agg(
-        F.max_by(F.struct("ts", "event_id"), F.struct("ts", "event_id")).alias("s"))
-    commits = last.select("proc", C.commit_point(C.day_text("s.ts"), F.hour("s.ts"), "s.event_id").alias("commit"))
+    last = events.groupBy(F.col("user_id").alias("proc")).agg(
+        F.max_by(F.struct("ts", "event_id", "event_type"), F.struct("ts", "event_id")).alias("s"))
+    commits = last.where("s.event_type <> 'signup'").select(
+        "proc", C.commit_point(C.day_text("s.ts"), F.hour("s.ts"), "s.event_id").alias("commit"))
     return resume_state(procs, sync, commits)
 
 
@@ -253,7 +247,18 @@ def q_fail_ratio(spark, sf_dir):
 
 @register("with_counters")
 def q_with_counters(spark, sf_dir):
-    """AGG-5: the test algorithm's counter (batch number added once per record) per processor."""
+    """AGG-5: counters observed while the events are written: the batch number added once per record, and
+    the records. Read after the write, as a named accumulator would be."""
+    b = B.batchify(_events(spark, sf_dir).select("event_type", "ts"), "ts", fx.BATCH_WIDTH_US)
+    observed, counters = with_counters(b, "batch-counters", acc=F.col("batch"), records=F.lit(1))
+    materialize(observed, "counted")
+    got = counters.get
+    return spark.createDataFrame([(got["acc"], got["records"])], "acc long, records long")
+
+
+@register("counter_table")
+def q_counter_table(spark, sf_dir):
+    """AGG-5 as a table: the same counters per processor."""
     b = B.batchify(_events(spark, sf_dir).select("event_type", "ts"), "ts", fx.BATCH_WIDTH_US)
     return counter_table(b.withColumnRenamed("event_type", "proc"), ["proc"],
                          acc=F.col("batch"), records=F.lit(1))
@@ -282,45 +287,52 @@ def _counters(events: DataFrame) -> DataFrame:
 
 @register("sequence_numbers")
 def q_sequence_numbers(spark, sf_dir):
-    """Exact per-producer record numbers (0-based, by time then id) without a per-key sort."""
-    ev = _events(spark, sf_dir).select("event_id", "event_type", "ts")
-    return sequence_numbers(ev, "event_type", "ts", ["event_id"]).select("event_id", "event_type", "seq")
+    """FLT-2: exact per-producer record numbers (0-based, by time then id) beside all columns of the
+    events, without a per-key sort."""
+    return sequence_numbers(_events(spark, sf_dir), "event_type", "ts", ["event_id"])
 
 
 @register("resume_after")
 def q_resume_after(spark, sf_dir):
-    """FLT-2: records at or after each producer's stored counter."""
+    """FLT-2: records (all columns) at or after each producer's stored counter."""
     events = _events(spark, sf_dir)
-    seq = sequence_numbers(events.select("event_id", "event_type", "ts"), "event_type", "ts", ["event_id"])
-    return resume_after(seq, "seq", _counters(events), by="event_type").select("event_id", "event_type", "seq")
+    seq = sequence_numbers(events, "event_type", "ts", ["event_id"])
+    return resume_after(seq, "seq", _counters(events), by="event_type")
 
 
 @register("append_per_partition")
 def q_append_per_partition(spark, sf_dir):
-    """PRT-1: record values in 4 partitions, each followed by the constants 1..10."""
-    return append_per_partition(fx.stream_records(_events(spark, sf_dir)), tracker_constants(0),
-                                num_partitions=APPEND_PARTITIONS)
+    """PRT-1: record values in as many partitions as the events have days, each with the end marks."""
+    events = _events(spark, sf_dir)
+    days = events.select(F.to_date("ts").alias("d")).where("d IS NOT NULL").distinct().count()
+    return append_per_partition(fx.stream_records(events), END_MARKS, num_partitions=max(1, days))
 
 
 @register("append_rows")
 def q_append_rows(spark, sf_dir):
-    """PRT-2: record values followed once by the constants 1..10."""
+    """PRT-2: record values followed once by the end marks."""
     vals = C.record_value(fx.stream_records(_events(spark, sf_dir)))
-    return append_rows(vals, constants(spark, tracker_constants(0)))
+    return append_rows(vals, constants(spark, END_MARKS))
 
 
 # ---- SRC-1..SRC-4 / SNK-1..SNK-4 -----------------------------------------------------------------
 
 @register("dated_topics")
 def q_dated_topics(spark, sf_dir):
-    """SRC-2: topics of the requested producers (regions -> their nations) for every event date."""
+    """SRC-2: topics of the requested producers (regions -> their nations) for every event date; a date asks
+    for the regions of the users (customers) that have events on it, in a list with an empty and a
+    repeated name."""
     region = fx.table(spark, sf_dir, "region")
     nation = fx.table(spark, sf_dir, "nation")
     datasets = (region.join(nation, region.r_regionkey == nation.n_regionkey)
                 .groupBy(F.col("r_name").alias("ds"))
                 .agg(F.concat_ws(",", F.array_sort(F.collect_list("n_name"))).alias("topics")))
-    requests = (_events(spark, sf_dir).select(C.day_text("ts").alias("date")).distinct()
-                .withColumn("producers", F.lit(PRODUCER_REQUEST)))
+    customer = fx.table(spark, sf_dir, "customer")
+    home = (customer.join(nation, customer.c_nationkey == nation.n_nationkey)
+            .join(region, nation.n_regionkey == region.r_regionkey).select(F.col("c_custkey").alias("user_id"), "r_name"))
+    requests = (_events(spark, sf_dir).select("user_id", C.day_text("ts").alias("date")).join(home, "user_id")
+                .groupBy("date").agg(F.array_sort(F.collect_set("r_name")).alias("r"))
+                .select("date", F.concat_ws(",", "r", F.lit(""), F.get("r", F.lit(0))).alias("producers")))
     return dated_topics(datasets, requests)
 
 
@@ -335,14 +347,43 @@ def q_prepare_messages(spark, sf_dir):
                        "topic", "partition")
 
 
+def _datasets(events: DataFrame) -> DataFrame:
+    # each producer writes one topic of its own name
+    return events.where("event_type IS NOT NULL").select(F.col("event_type").alias("ds"), F.col("event_type").alias("topics")).distinct()
+
+
+@register("run_days")
+def q_run_days(spark, sf_dir):
+    """STR-3, STR-4, STR-6, SNK-2, SNK-4, SRC-3, UDF-1: a processor of all producers walks the dates from
+    the day after their first announcements to the first date they have not all finished; its published
+    batches are read back."""
+    from tidemark.streaming.algorithm import ValuesAlgorithm
+    from tidemark.streaming.processor import run_processor
+
+    events = _events(spark, sf_dir)
+    base = scratch_dir(spark, "run-days")
+    topics, out, ledger, checkpoints, meta_path = (f"{base}/{n}" for n in ("topics", "out", "ledger", "checkpoints", "meta"))
+    write_dated_folders(fx.stream_records(events), topics)
+    fx.meta_history(events).write.parquet(meta_path)
+    meta = spark.read.parquet(meta_path)
+    at_start = meta.groupBy("ds").agg(F.min_by("value", F.struct("updated_at", "seq")).alias("latest"))
+    names = meta.agg(F.concat_ws(",", F.array_sort(F.collect_set("ds"))).alias("n")).first()["n"]
+    algo = ValuesAlgorithm(resource=names)
+    run_processor(spark, algo, lambda: current_meta(meta, seq="seq").select("ds", F.col("value").alias("latest")),
+                  _datasets(events), lambda t, date: read_dated_topics(spark, t, date, root=topics),
+                  out, ledger, checkpoints, latest_at_start=at_start)
+    return read_committed(spark, out, read_ledger(spark, ledger), proc=algo.result)
+
+
 @register("read_dated_topics")
 def q_read_dated_topics(spark, sf_dir):
-    """SRC-1 (folder stand-in): records laid out per dated topic, read back for all dates."""
+    """SRC-1 (folder stand-in): records laid out per dated topic, read back for all dates; the topics are
+    those that the producers' metadata names."""
     root = scratch_dir(spark, "dated-topics")
-    rec = fx.stream_records(_events(spark, sf_dir))
-    write_dated_folders(rec, root)
-    topics = ["click", "error", "purchase", "signup", "view"]
-    got = read_dated_topics(spark, topics, "*", root=root, stream=False)
+    events = _events(spark, sf_dir)
+    write_dated_folders(fx.stream_records(events), root)
+    asked = events.groupBy(F.lit("*").alias("date")).agg(F.concat_ws(",", F.collect_set("event_type")).alias("producers"))
+    got = read_dated_topics(spark, topic_names(dated_topics(_datasets(events), asked), "*"), "*", root=root, stream=False)
     return got.select(F.col("key").cast("string").alias("key"), "value")
 
 
@@ -364,7 +405,7 @@ def q_committed_batches(spark, sf_dir):
     ledger_path = scratch_dir(spark, "ledger")
     b = B.batchify(events.select(F.col("event_type").alias("proc"), "ts", "value"), "ts", fx.BATCH_WIDTH_US)
     write_batches(b, root, ["proc", "date", "batch"])
-    replayed = replay_ledger(fx.batch_log(events), fx.start_state(events))
+    replayed = replay_ledger(*fx.replay_inputs(events))
     # ledger rows name the batch by its hour slot (the folder it was written to): batch end - width
     ledger = (ledger_from_replay(replayed)
               .withColumn("_slot", F.expr(f"batch_time * 1000 - {fx.BATCH_WIDTH_US}"))
@@ -377,7 +418,7 @@ def q_committed_batches(spark, sf_dir):
 def q_ledger_latest(spark, sf_dir):
     """SNK-4 + AGG-6: ledger of the replay's commits, reduced to each processor's last commit point."""
     events = _events(spark, sf_dir)
-    replayed = replay_ledger(fx.batch_log(events), fx.start_state(events))
+    replayed = replay_ledger(*fx.replay_inputs(events))
     return latest_commits(ledger_from_replay(replayed))
 
 
@@ -385,7 +426,7 @@ def q_ledger_latest(spark, sf_dir):
 def q_resume_from_ledger(spark, sf_dir):
     """JON-3 from the ledger's integer columns: where each processor restarts after the replayed run."""
     events = _events(spark, sf_dir)
-    replayed = replay_ledger(fx.batch_log(events), fx.start_state(events))
+    replayed = replay_ledger(*fx.replay_inputs(events))
     procs = events.select(F.col("event_type").alias("proc")).distinct()
     no_sync = procs.select("proc", F.lit(None).cast("string").alias("sync"))
     return resume_from_ledger(procs, no_sync, ledger_from_replay(replayed))
@@ -423,7 +464,8 @@ def q_replay_ledger_stream(spark, sf_dir):
     events = _events(spark, sf_dir)
     base = scratch_dir(spark, "replay-stream")
     staged_path, src, out, ckpt = (f"{base}/{n}" for n in ("staged", "log", "out", "checkpoint"))
-    fx.batch_log(events).withColumn("_chunk", F.floor(F.col("batch_time") / F.lit(LOG_STREAM_CHUNK_MS))) \
+    log, start = fx.replay_inputs(events)
+    log.withColumn("_chunk", F.floor(F.col("batch_time") / F.lit(LOG_STREAM_CHUNK_MS))) \
         .write.parquet(staged_path)
     staged = spark.read.parquet(staged_path)
     bounds = staged.agg(F.min("_chunk").alias("lo"), F.max("_chunk").alias("hi")).first()
@@ -436,7 +478,7 @@ def q_replay_ledger_stream(spark, sf_dir):
     # state partitions are fixed when the query first starts: one group per processor, so size them
     # to the processors rather than to the session's shuffle default
     with session_conf(spark, {"spark.sql.shuffle.partitions": str(STATE_PARTITIONS)}):
-        q = (replay_stream(stream, fx.start_state(events)).writeStream.format("parquet")
+        q = (replay_stream(stream, materialize(start, "start-state")).writeStream.format("parquet")
              .option("path", out).option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.schema(

@@ -47,8 +47,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         if not _is_local(spark):
             raise RuntimeError("spark.checkpoint.dir is not set; set it to a shared folder")
+        # spark.checkpoint.dir cannot be set on a running session: a local one keeps the folder in its context
         root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")

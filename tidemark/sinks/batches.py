@@ -5,7 +5,8 @@
 * :func:`write_by_key`  -- route each record to an output named by its key (the key is not written);
   a salt spreads a hot key over several tasks, each writing its own file in the key's folder.
 * ledger               -- one appended row per published batch ``(proc, date, batch, batch_time,
-  num_records, commit, published_at)``; readers join it (SRC-3) and ``latest`` is an aggregate over it.
+  num_records, commit, published_at, query_id)``; readers join it (SRC-3) and ``latest`` is an aggregate
+  over it. ``query_id`` names the checkpoint whose query wrote the batch.
   One row replaces the reference's three steps (ready marker, commit point, latest), so there is no
   window in which data is ready but the commit is missing.
 """
@@ -23,7 +24,10 @@ from tidemark.session import session_conf
 
 LEDGER_PARTITIONS = ("proc", "date")
 LEDGER_SCHEMA = ("proc string, date string, batch int, batch_time bigint, num_records bigint, "
-                 "commit string, published_at timestamp")
+                 "commit string, published_at timestamp, query_id string")
+LEDGER_COLUMNS = [c.split()[0] for c in LEDGER_SCHEMA.split(", ")]
+# fixed value: stands for the empty key in folder names; keys that begin with it get one more
+EMPTY_KEY = "@"
 
 
 def batch_location(root: str, date: str, batch: int) -> str:
@@ -43,9 +47,11 @@ def write_by_key(df: DataFrame, path: str, key: str = "key", value: str = "value
 
     ``REBALANCE(key)`` clusters each key into few tasks so a folder gets few files, and lets AQE
     split a key holding a third of the rows over several tasks (several files in its folder)
-    instead of one. A folder name cannot be empty: an empty key and a null key both go to Spark's
-    default partition folder and read back as null."""
-    routed = df.select(F.col(key).cast("string").alias(key), F.col(value).cast("string").alias("value"))
+    instead of one. A folder name cannot be empty, so the empty key is written as :data:`EMPTY_KEY`; null
+    keys go to Spark's default partition folder. :func:`read_by_key` gives every key back as it was."""
+    k = F.col(key).cast("string")
+    marked = F.when((k == "") | k.startswith(EMPTY_KEY), F.concat(F.lit(EMPTY_KEY), k)).otherwise(k)
+    routed = df.select(marked.alias(key), F.col(value).cast("string").alias("value"))
     hint = (num_partitions, key) if num_partitions else (key,)
     (routed.hint("rebalance", *hint)
      .write.mode("overwrite").partitionBy(key).option("compression", "gzip").text(path))
@@ -63,46 +69,58 @@ def write_batches(df: DataFrame, root: str, partition_cols: list[str], value: st
 
 
 def read_by_key(spark: SparkSession, path: str, key: str = "key") -> DataFrame:
-    """Values routed by :func:`write_by_key` with their key (from the folder name)."""
-    return spark.read.text(path).select(F.col(key).cast("string").alias(key), "value")
+    """Values routed by :func:`write_by_key` with their key: the folder name as text, so that ``007`` and
+    ``1.0`` stay what they are."""
+    with session_conf(spark, {"spark.sql.sources.partitionColumnTypeInference.enabled": "false"}):
+        data = spark.read.text(path)
+    k = F.col(key)
+    return data.select(F.when(k.startswith(EMPTY_KEY), F.expr(f"substring(`{key}`, {len(EMPTY_KEY) + 1})"))
+                       .otherwise(k).alias(key), "value")
 
 
-def ledger_rows(spark: SparkSession, proc: str, date: str, batch: int, batch_time: int, num_records: int) -> DataFrame:
+def ledger_rows(spark: SparkSession, proc: str, date: str, batch: int, batch_time: int, num_records: int,
+                query_id: str | None = None) -> DataFrame:
     now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     row = (proc, date, int(batch), int(batch_time), int(num_records),
-           f"{batch_dir(date, batch)}/{int(batch_time)}", now)
+           f"{batch_dir(date, batch)}/{int(batch_time)}", now, query_id)
     return spark.createDataFrame([row], LEDGER_SCHEMA)
 
 
 def append_ledger(rows: DataFrame, ledger_path: str) -> None:
     """Append ledger rows, partitioned by processor and date: a lookup of one batch (the replay check
     of every micro-batch) reads one folder, not the whole history."""
-    (rows.select(*[c.split()[0] for c in LEDGER_SCHEMA.split(", ")])
-     .repartition(*LEDGER_PARTITIONS).write.mode("append").partitionBy(*LEDGER_PARTITIONS).parquet(ledger_path))
+    (rows.select(*LEDGER_COLUMNS).hint("rebalance", *LEDGER_PARTITIONS).write.mode("append").partitionBy(*LEDGER_PARTITIONS).parquet(ledger_path))
 
 
 def publish_batch(spark: SparkSession, ledger_path: str, proc: str, date: str, batch: int, batch_time: int,
-                  num_records: int) -> None:
-    """Append the batch's ledger row (after its data is written)."""
-    append_ledger(ledger_rows(spark, proc, date, batch, batch_time, num_records), ledger_path)
+                  num_records: int, query_id: str | None = None) -> None:
+    """Append the batch's ledger row (after its data is written): one small file, no shuffle."""
+    rows = ledger_rows(spark, proc, date, batch, batch_time, num_records, query_id)
+    rows.coalesce(1).write.mode("append").partitionBy(*LEDGER_PARTITIONS).parquet(ledger_path)
+
+
+def compact_ledger(spark: SparkSession, ledger_path: str, to: str) -> None:
+    """Copy the ledger to a new folder with few files per processor and date (one row is one file as
+    published); readers switch to the new folder."""
+    append_ledger(read_ledger(spark, ledger_path), to)
 
 
 def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
     """The ledger with the columns of :data:`LEDGER_SCHEMA`; filters on ``proc``/``date`` prune folders."""
     with session_conf(spark, {"spark.sql.sources.partitionColumnTypeInference.enabled": "false"}):
         led = spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path)
-    return led.select(*[c.split()[0] for c in LEDGER_SCHEMA.split(", ")])
+    return led.select(*LEDGER_COLUMNS)
 
 
-def ledger_has(spark: SparkSession, ledger_path: str, proc: str, date: str, batch: int) -> bool:
-    """Whether ``(proc, date, batch)`` is published (reads the one ``proc``/``date`` folder)."""
+def ledger_entry(spark: SparkSession, ledger_path: str, proc: str, date: str, batch: int):
+    """The ledger row of ``(proc, date, batch)`` or ``None``: lists and reads the one folder of the
+    processor's date, whatever else the ledger holds."""
     jvm = spark.sparkContext._jvm
     folder = jvm.org.apache.hadoop.fs.Path(f"{ledger_path.rstrip('/')}/proc={proc}/date={date}")
     if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
-        return False
-    led = read_ledger(spark, ledger_path)
-    hit = led.where((F.col("proc") == proc) & (F.col("date") == date) & (F.col("batch") == batch)).limit(1)
-    return hit.count() > 0
+        return None
+    own = ", ".join(c for c in LEDGER_SCHEMA.split(", ") if c.split()[0] not in LEDGER_PARTITIONS)
+    return spark.read.schema(own).parquet(folder.toString()).where(F.col("batch") == batch).first()
 
 
 def ledger_from_replay(replayed: DataFrame, log: DataFrame | None = None) -> DataFrame:
@@ -117,14 +135,16 @@ def ledger_from_replay(replayed: DataFrame, log: DataFrame | None = None) -> Dat
         F.col("num_records").cast("bigint").alias("num_records"),
         commit_point("trace", "batch_num", "batch_time").alias("commit"),
         F.timestamp_millis("batch_time").alias("published_at"),
+        F.lit(None).cast("string").alias("query_id"),
     )
 
 
 def latest_commits(ledger: DataFrame) -> DataFrame:
-    """``(proc, commit, latest, batches)``: the last commit point of each processor (by batch time) and
-    its ``latest`` (``{date}/{bb}00``); one partially aggregated ``groupBy``."""
+    """``(proc, commit, latest, batches)``: the last commit point of each processor (by date and batch: a
+    clock may run backwards) and its ``latest`` (``{date}/{bb}00``); one partially aggregated ``groupBy``."""
+    order = F.struct("date", "batch")
     return ledger.groupBy("proc").agg(
-        F.max_by("commit", "batch_time").alias("commit"),
-        F.max_by(batch_path("date", "batch"), "batch_time").alias("latest"),
+        F.max_by("commit", order).alias("commit"),
+        F.max_by(batch_path("date", "batch"), order).alias("latest"),
         F.count(F.lit(1)).alias("batches"),
     )

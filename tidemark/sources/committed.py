@@ -34,10 +34,11 @@ def read_batches(spark: SparkSession, root: str, date: str | None = None) -> Dat
     )
 
 
-def read_committed(spark: SparkSession, root: str, ledger: DataFrame, date: str | None = None) -> DataFrame:
-    """Rows of the published batches only: ``(date, batch, value)``. The ledger has one row per
-    batch; it is broadcast after a size check."""
-    keys = ledger.select(F.col("date").cast("string").alias("date"), F.col("batch").cast("int").alias("batch"))
+def read_committed(spark: SparkSession, root: str, ledger: DataFrame, proc: str, date: str | None = None) -> DataFrame:
+    """Rows of the batches that ``proc`` has published under ``root``: ``(date, batch, value)``. The ledger
+    may hold other processors' batches too: only those of ``proc`` count."""
+    keys = ledger.where(F.col("proc") == proc).select(
+        F.col("date").cast("string").alias("date"), F.col("batch").cast("int").alias("batch"))
     if date:
         keys = keys.where(F.col("date") == date)
     return enrich(read_batches(spark, root, date), keys.distinct(), on=["date", "batch"], how="left_semi")

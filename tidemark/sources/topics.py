@@ -31,7 +31,6 @@ def dated_topics(datasets: DataFrame, requests: DataFrame, ds: str = "ds", topic
 
     ``requests(date, producers)`` holds a comma list of producer names (empty names ignored,
     repeated names collapse); ``datasets(ds, topics)`` holds each producer's comma list of topics.
-    The dataset table is metadata (one row per producer) and is broadcast after a size check.
     """
     wanted = requests.select(F.col(date).alias("date"), F.explode(upstream_names(producers)).alias("_ds")).distinct()
     ds_topics = datasets.select(F.col(ds).alias("_ds"), F.explode(upstream_names(topics)).alias("topic"))
@@ -56,6 +55,11 @@ def kafka_source_options(brokers: str, topics: list[str], date: str, max_offsets
     return opts
 
 
+def topic_names(topics: DataFrame, date: str) -> list[str]:
+    """Topic names of one date from :func:`dated_topics` (metadata: a handful of names), sorted."""
+    return sorted(r["topic"] for r in topics.where(F.col("date") == date).select("topic").distinct().collect())
+
+
 def max_offsets_for_rate(rate_per_partition_sec: int, partitions: int, latency_min: int) -> int:
     """A per-partition-per-second cap turned into Spark's total cap per trigger."""
     return int(rate_per_partition_sec) * int(partitions) * 60 * int(latency_min)
@@ -72,10 +76,18 @@ def dated_folders(root: str, topics: list[str], date: str) -> str:
 
 def read_dated_topics(spark: SparkSession, topics: list[str], date: str, brokers: str | None = None,
                       root: str | None = None, max_offsets_per_trigger: int | None = None,
-                      max_files_per_trigger: int | None = None, stream: bool = True) -> DataFrame:
+                      max_files_per_trigger: int | None = None, stream: bool = True,
+                      max_rate: int | None = None, partitions: int | None = None,
+                      latency_min: int | None = None) -> DataFrame:
     """``(key BINARY, value STRING)`` records of the date's topics, as a stream (or a batch read).
 
-    ``brokers``: Kafka. ``root``: one folder of parquet files per dated topic."""
+    ``brokers``: Kafka. ``root``: one folder of parquet files per dated topic. ``max_rate``: records a second
+    and partition; with ``partitions`` (of all topics together) and ``latency_min`` it gives the cap per
+    trigger."""
+    if max_rate is not None:
+        if partitions is None or latency_min is None or max_offsets_per_trigger is not None:
+            raise ValueError("max_rate needs partitions and latency_min, and no max_offsets_per_trigger")
+        max_offsets_per_trigger = max_offsets_for_rate(max_rate, partitions, latency_min)
     if brokers:
         opts = kafka_source_options(brokers, topics, date, max_offsets_per_trigger)
         reader = spark.readStream if stream else spark.read

@@ -1,4 +1,4 @@
-"""The algorithm contract (UDF-1) and the counter test algorithm.
+"""The algorithm contract (UDF-1) and two small algorithms.
 
 An algorithm names its input producers (``resource``, a comma list) and its result dataset, and
 turns one date's records into output rows. ``transform`` works on the streaming DataFrame (any
@@ -8,13 +8,12 @@ its in-day batch number, for logic that needs the batch (the runner writes what
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.metrics import with_counters
-from tidemark.operators.partitions import append_per_partition, tracker_constants
+from tidemark.operators.enrich import enrich
 
 
 class Algorithm:
@@ -34,35 +33,16 @@ class Algorithm:
 
 
 @dataclass
-class CounterTestAlgorithm(Algorithm):
-    """The reference's test algorithm: keep the values, append the constants ``1..10 (+ delta)`` after
-    each partition, count ``batch_no`` once per output record, and fail in batch ``fail_at``.
-    ``delta`` grows by 10 each time a fresh date starts."""
+class ValuesAlgorithm(Algorithm):
+    """The smallest algorithm: the records' values, decoded, as they come."""
 
-    name: str = "counter-test"
+    name: str = "values"
     resource: str = ""
-    result: str = "counter_test"
-    fail_at: int | None = 3
-    partitions: int | None = None
-    delta: int = 0
-    counters: dict = field(default_factory=dict)
-
-    def start_day(self, date: str) -> None:
-        self._day_delta = self.delta
-        self.delta += 10
+    result: str = "values_result"
 
     def transform(self, date: str, df: DataFrame) -> DataFrame:
         return df.select(F.expr("make_valid_utf8(cast(value as string))").alias("value"))
 
-    def per_batch(self, date: str, batch_id: int, df: DataFrame) -> DataFrame:
-        if self.fail_at is not None and batch_id == self.fail_at:
-            raise IOError(f"injected failure in batch {batch_id}")
-        out = append_per_partition(df, tracker_constants(getattr(self, "_day_delta", 0)),
-                                   num_partitions=self.partitions)
-        observed, obs = with_counters(out, f"acc_{date}_{batch_id}", acc=F.lit(batch_id))
-        self.counters[(date, batch_id)] = obs
-        return observed
-
 
 @dataclass
 class LookupAlgorithm(Algorithm):
@@ -70,7 +50,7 @@ class LookupAlgorithm(Algorithm):
 
     ``lookup_fn()`` returns ``(key_text, label)`` rows; it is called inside each batch, so a changed
     lookup is seen by the next batch (the reference kept a broadcast value until the application
-    ended). The join broadcasts the lookup only after a bounded count (``enrich``)."""
+    ended)."""
 
     name: str = "lookup"
     result: str = "lookup_result"
@@ -83,7 +63,5 @@ class LookupAlgorithm(Algorithm):
                          F.expr("make_valid_utf8(cast(value as string))").alias("value"))
 
     def per_batch(self, date: str, batch_id: int, df: DataFrame) -> DataFrame:
-        from tidemark.operators.enrich import enrich
-
         joined = enrich(df, self.lookup_fn, on=self.key_col, how="left")
         return joined.select(F.concat_ws("|", "value", F.coalesce(F.col(self.label_col), F.lit(""))).alias("value"))

@@ -3,8 +3,10 @@
 Per date: one Structured Streaming query with its own checkpoint folder, so ``batch_id`` restarts at
 0 and is the in-day batch number. Each micro-batch (``foreachBatch``):
 
-1. is skipped when the ledger already holds it (a replay after a crash between the ledger append
-   and the offset commit; FLT-1);
+1. is skipped when the ledger already holds it from the same checkpoint (a replay after a crash between
+   the ledger append and the offset commit; FLT-1). A ledger row from another checkpoint is an error:
+   with a new checkpoint folder batch numbers start again with other records in them, and skipping
+   would lose those;
 2. is transformed by ``algo.per_batch`` and written as gzip text to ``{out}/{date}/{bb}00/data``
    with ``overwrite`` (a replayed batch rewrites the same folder);
 3. is published with one ledger row (SNK-4) -- data first, ledger last.
@@ -12,17 +14,19 @@ Per date: one Structured Streaming query with its own checkpoint folder, so ``ba
 An exception in a batch ends the query; ``awaitTermination`` raises it and nothing is published for
 that batch (STR-7). A rerun resumes from the checkpoint and replays the failed batch.
 
-Day switch (STR-6): Spark runs no micro-batch when there is no new data, so "an empty batch" is an
-``availableNow`` pass that reads 0 rows (:func:`run_days`), or an idle event of a processing-time
-query (:func:`run_day_continuous`). The upstream sync point is read *before* the empty pass / idle
-trigger; when it is at or past the date, the date is finished.
+Day switch (STR-6): the upstream sync point is read *before* an ``availableNow`` pass; when it is at or
+past the date, all its records are there, the pass reads them all, and the date is finished
+(:func:`run_days`). A processing-time query (:func:`run_day_continuous`) is finished at an idle event
+after such a sync read. Both go on from date to date (:func:`run_days_continuous`).
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import time
-from collections.abc import Callable
+from collections import deque
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -30,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
 from tidemark.operators.replay import next_day_text
-from tidemark.sinks.batches import append_ledger, ledger_has, ledger_rows, write_batch
+from tidemark.sinks.batches import ledger_entry, publish_batch, write_batch
 from tidemark.streaming.algorithm import Algorithm
 
 
@@ -54,19 +58,24 @@ class DayRun:
     batches: list[int] = field(default_factory=list)
     rows: int = 0
     skipped: list[int] = field(default_factory=list)
-    progress: list[dict] = field(default_factory=list)
     finished: bool = False
+    timed_out: bool = False
 
 
-def _append_ledger(spark: SparkSession, ledger_path: str, proc: str, date: str, batch: int,
-                   batch_time: int, n: int) -> None:
-    append_ledger(ledger_rows(spark, proc, date, batch, batch_time, n), ledger_path)
+def _query_id(spark: SparkSession, ckpt: str) -> str:
+    """Id of the streaming query that owns a checkpoint folder."""
+    return json.loads(spark.read.text(f"{ckpt}/metadata").first()["value"])["id"]
 
 
 def _batch_writer(spark: SparkSession, algo: Algorithm, date: str, out_root: str, ledger_path: str,
-                  run: DayRun) -> Callable[[DataFrame, int], None]:
+                  ckpt: str, run: DayRun) -> Callable[[DataFrame, int], None]:
     def on_batch(df: DataFrame, batch_id: int) -> None:
-        if ledger_has(spark, ledger_path, algo.result, date, batch_id):
+        query_id = _query_id(spark, ckpt)
+        have = ledger_entry(spark, ledger_path, algo.result, date, batch_id)
+        if have is not None:
+            if have["query_id"] != query_id:
+                raise RuntimeError(f"batch {batch_id} of {algo.result} on {date} is published by checkpoint "
+                                   f"{have['query_id']}; this one is {query_id}")
             run.skipped.append(batch_id)
             return
         out = algo.per_batch(date, batch_id, df)
@@ -74,7 +83,7 @@ def _batch_writer(spark: SparkSession, algo: Algorithm, date: str, out_root: str
         write_batch(out.observe(obs, F.count(F.lit(1)).alias("n")), out_root, date, batch_id)
         n = int(obs.get.get("n", 0))
         batch_time = int(_dt.datetime.now(_dt.timezone.utc).timestamp() * 1000)
-        _append_ledger(spark, ledger_path, algo.result, date, batch_id, batch_time, n)
+        publish_batch(spark, ledger_path, algo.result, date, batch_id, batch_time, n, query_id)
         run.batches.append(batch_id)
         run.rows += n
     return on_batch
@@ -86,7 +95,7 @@ def _start(spark: SparkSession, algo: Algorithm, date: str, source: Callable[[st
     if not _has_checkpoint(spark, ckpt):
         algo.start_day(date)
     shaped = algo.transform(date, source(date))
-    return (shaped.writeStream.foreachBatch(_batch_writer(spark, algo, date, out_root, ledger_path, run))
+    return (shaped.writeStream.foreachBatch(_batch_writer(spark, algo, date, out_root, ledger_path, ckpt, run))
             .option("checkpointLocation", ckpt)
             .trigger(**trigger)
             .queryName(f"{algo.name}-{date}".replace("/", "_"))
@@ -96,38 +105,30 @@ def _start(spark: SparkSession, algo: Algorithm, date: str, source: Callable[[st
 def run_day(spark: SparkSession, algo: Algorithm, date: str, source: Callable[[str], DataFrame],
             out_root: str, ledger_path: str, checkpoint_base: str, latency_min: int | None = None,
             timeout_sec: float | None = None) -> DayRun:
-    """Process ``date`` until the source has nothing more (``availableNow``) or ``timeout_sec``.
+    """Process ``date`` until the source has nothing more (``availableNow``) or ``timeout_sec``, which the
+    returned run then says (``timed_out``).
 
     ``source(date)`` returns the streaming ``(key, value)`` DataFrame of the date's topics.
     """
     run = DayRun(date)
     q = _start(spark, algo, date, source, out_root, ledger_path, checkpoint_base, trigger_for(latency_min), run)
     try:
-        q.awaitTermination(timeout_sec) if timeout_sec else q.awaitTermination()
+        if timeout_sec:
+            run.timed_out = not q.awaitTermination(timeout_sec)
+        else:
+            q.awaitTermination()
     finally:
-        run.progress = _progress_dicts(q)
         if q.isActive:
             q.stop()
     return run
 
 
-def _progress_dicts(q) -> list[dict]:
-    out = []
-    for p in q.recentProgress:
-        if isinstance(p, dict):
-            out.append(p)
-        else:
-            out.append({"batchId": getattr(p, "batchId", -1), "numInputRows": getattr(p, "numInputRows", 0),
-                        "observedMetrics": getattr(p, "observedMetrics", {})})
-    return out
-
-
 class _IdleWatch(StreamingQueryListener):
-    """Times (epoch seconds) of the idle events of each query: a trigger that found no new data."""
+    """Time (epoch seconds) of the last idle event of each query: a trigger that found no new data."""
 
     def __init__(self):
         super().__init__()
-        self.idle: dict[str, list[float]] = {}
+        self.idle: dict[str, float] = {}
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -137,19 +138,23 @@ class _IdleWatch(StreamingQueryListener):
 
     def onQueryIdle(self, event) -> None:
         ts = _dt.datetime.fromisoformat(str(event.timestamp).replace("Z", "+00:00")).timestamp()
-        self.idle.setdefault(str(event.id), []).append(ts)
+        self.idle[str(event.id)] = ts
 
     def onQueryTerminated(self, event) -> None:
         pass
 
 
 class ProgressLog(StreamingQueryListener):
-    """Per-batch progress records of streaming queries (STR-8), gathered from
-    ``onQueryProgress`` on the driver: one small record per micro-batch."""
+    """Per-batch progress records of streaming queries (STR-8) in a table: ``onQueryProgress`` takes each
+    record down, :meth:`flush` appends those taken down since to ``path`` (call it after a pass, or every
+    so often beside a query that runs on)."""
 
-    def __init__(self):
+    SCHEMA = ("query string, query_id string, batch_id bigint, num_input_rows bigint, timestamp string, "
+              "observed string")
+
+    def __init__(self, path: str):
         super().__init__()
-        self.rows: list[tuple] = []
+        self.path, self.pending = path, deque()
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -157,7 +162,7 @@ class ProgressLog(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:
         p = event.progress
         metrics = {k: str(v) for k, v in (p.observedMetrics or {}).items()}
-        self.rows.append((p.name, str(p.id), int(p.batchId), int(p.numInputRows), str(p.timestamp), str(metrics)))
+        self.pending.append((p.name, str(p.id), int(p.batchId), int(p.numInputRows), str(p.timestamp), str(metrics)))
 
     def onQueryIdle(self, event) -> None:
         pass
@@ -165,10 +170,16 @@ class ProgressLog(StreamingQueryListener):
     def onQueryTerminated(self, event) -> None:
         pass
 
+    def flush(self, spark: SparkSession) -> int:
+        """Append what is pending; returns the number of records."""
+        rows = [self.pending.popleft() for _ in range(len(self.pending))]
+        if rows:
+            spark.createDataFrame(rows, self.SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+        return len(rows)
+
     def table(self, spark: SparkSession) -> DataFrame:
-        """``(query, query_id, batch_id, num_input_rows, timestamp, observed)``."""
-        return spark.createDataFrame(list(self.rows), "query string, query_id string, batch_id bigint, "
-                                                      "num_input_rows bigint, timestamp string, observed string")
+        """``(query, query_id, batch_id, num_input_rows, timestamp, observed)`` of all flushed records."""
+        return spark.read.schema(self.SCHEMA).parquet(self.path)
 
 
 def run_day_continuous(spark: SparkSession, algo: Algorithm, date: str, source: Callable[[str], DataFrame],
@@ -191,26 +202,40 @@ def run_day_continuous(spark: SparkSession, algo: Algorithm, date: str, source:
         armed_at = None
         while q.isActive:
             if timeout_sec and time.time() - started > timeout_sec:
+                run.timed_out = True
                 break
             if armed_at is None:
                 mark = time.time()
                 s = sync()
                 if s is not None and s >= date:
                     armed_at = mark
-            elif any(t > armed_at for t in watch.idle.get(str(q.id), [])):
+            elif watch.idle.get(str(q.id), 0.0) > armed_at:
                 run.finished = True
                 break
             q.awaitTermination(poll_sec)
         if q.exception() is not None:
             raise q.exception()
     finally:
-        run.progress = _progress_dicts(q)
         if q.isActive:
             q.stop()
         spark.streams.removeListener(watch)
     return run
 
 
+def run_days_continuous(spark: SparkSession, algo: Algorithm, start_date: str, source: Callable[[str], DataFrame],
+                        sync: Callable[[], str | None], out_root: str, ledger_path: str, checkpoint_base: str,
+                        **options) -> Iterator[DayRun]:
+    """:func:`run_day_continuous` for one date after another, each run given out as its date ends. Stops
+    after a date that was not finished (its run says whether it timed out)."""
+    date = start_date
+    while True:
+        run = run_day_continuous(spark, algo, date, source, sync, out_root, ledger_path, checkpoint_base, **options)
+        yield run
+        if not run.finished:
+            return
+        date = _following(date)
+
+
 def _has_checkpoint(spark: SparkSession, ckpt: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(f"{ckpt}/offsets")
@@ -218,35 +243,30 @@ def _has_checkpoint(spark: SparkSession, ckpt: str) -> bool:
     return bool(fs.exists(p))
 
 
+def _following(date: str) -> str:
+    nxt = next_day_text(date)
+    if nxt is None:
+        raise ValueError(f"cannot move past date {date!r}")
+    return nxt
+
+
 def run_days(spark: SparkSession, algo: Algorithm, start_date: str, source: Callable[[str], DataFrame],
              sync: Callable[[], str | None], out_root: str, ledger_path: str, checkpoint_base: str,
-             max_passes: int = 100, stop_when_waiting: bool = True) -> list[DayRun]:
-    """Walk the dates from ``start_date``: run ``availableNow`` passes of the date; move to the next
-    date after an empty pass that began with ``sync() >= date``. With ``stop_when_waiting`` the loop
-    returns when a date is not finished and its pass was empty (a scheduler calls it again later)."""
+             stop_when_waiting: bool = True, poll_sec: float = 10.0) -> list[DayRun]:
+    """Walk the dates from ``start_date`` with ``availableNow`` passes, as many dates as there are. A date is
+    finished by a pass that began with ``sync() >= date``. With ``stop_when_waiting`` the walk returns when
+    a pass of an unfinished date found nothing (a scheduler calls it again later); without, it looks again
+    after ``poll_sec``."""
     date = start_date
     runs: list[DayRun] = []
-    for _ in range(max_passes):
+    while True:
         sync_before = sync()
         run = run_day(spark, algo, date, source, out_root, ledger_path, checkpoint_base)
         runs.append(run)
-        empty = run.rows == 0 and not run.batches
-        if empty and sync_before is not None and sync_before >= date:
-            nxt = next_day_text(date)
-            if nxt is None:
-                raise ValueError(f"cannot move past date {date!r}")
-            date = nxt
-            continue
-        if empty and stop_when_waiting:
-            break
-    return runs
-
-
-def progress_table(spark: SparkSession, runs: list[DayRun]) -> DataFrame:
-    """Per-batch progress records (STR-8): ``(date, batch_id, num_input_rows, observed)``."""
-    rows = []
-    for r in runs:
-        for p in r.progress:
-            rows.append((r.date, int(p.get("batchId", -1)), int(p.get("numInputRows", 0)),
-                         str(p.get("observedMetrics", {}))))
-    return spark.createDataFrame(rows, "date string, batch_id bigint, num_input_rows bigint, observed string")
+        if sync_before is not None and sync_before >= date:
+            run.finished = True
+            date = _following(date)
+        elif not run.batches and not run.skipped:
+            if stop_when_waiting:
+                return runs
+            time.sleep(poll_sec)
