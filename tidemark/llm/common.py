@@ -43,6 +43,17 @@ def doc_key(id_col: str, text_col: str) -> Column:
     return F.xxhash64(F.col(id_col).cast("string"), F.col(text_col))
 
 
+def among(rows: DataFrame, keys: DataFrame, key: str = "key", bits: int = 26) -> DataFrame:
+    """Rows whose ``key`` (a 64-bit hash) may be among ``keys``: all that are, and few others, so that a join
+    with the keys need not shuffle the rest. Told by a bit map of the keys, which is broadcast: at most
+    ``2 ** bits`` bits (8 MB), whatever the number of keys; with very many it only lets more rows pass."""
+    spot = F.col(key).bitwiseAND(F.lit((1 << bits) - 1))
+    marks = keys.select(spot.alias("_s")).groupBy(F.shiftright("_s", 6).alias("_word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(_s & 63 as int))")).alias("_bits"))
+    return (rows.join(F.broadcast(marks), F.shiftright(spot, 6) == F.col("_word"))
+            .where(F.getbit("_bits", spot.bitwiseAND(F.lit(63)).cast("int")) == 1).drop("_word", "_bits"))
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Bijective 64-bit finalizer (xor-shift-multiply) over a uint64 array."""
     with np.errstate(over="ignore"):

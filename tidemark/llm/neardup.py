@@ -23,13 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Words, byte_groups, cut, doc_key, gram_hashes, mix64, prepare
+from tidemark.llm.common import Words, among, byte_groups, cut, doc_key, gram_hashes, mix64, prepare
 from tidemark.llm.components import components
 
 SHINGLE = 5
 MINWISE = 128
 TREES = 10
-NODE = 1_024  # classes compared exhaustively at a time
+NODE = 2_048  # classes compared exhaustively at a time
 DEPTH = 10
 FIRST_BRANCHES = 3
 GROUP_CHARS = 1 << 20
@@ -184,12 +184,17 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     rows = docs.select(F.col(id_col).cast("long").alias("id"), doc_key(id_col, text_col).alias("key"),
                        F.col(text_col).alias("text"))
     feats = cut(rows.mapInArrow(_features, "id long, key long, n long, cls long, sig array<int>"), "shingles")
-    reps = cut(feats.where("n > 0").groupBy("cls").agg(
-        F.min("id").alias("id"), F.min("key").alias("key"), F.first("n").alias("n"), F.first("sig").alias("sig")),
-        "classes")
+    some = feats.where("n > 0")
+    reps = cut(some.groupBy("cls").agg(F.min("id").alias("id"), F.min("key").alias("key")), "classes")
+
+    def tokens_of(classes: DataFrame) -> DataFrame:
+        """``(cls, n, sig)`` of the classes that ``classes`` names, and of few others."""
+        return among(some.select("cls", "n", "sig"), classes, key="cls").groupBy("cls").agg(
+            F.first("n").alias("n"), F.first("sig").alias("sig"))
 
     # level 1: a tree's root branches by its own token
-    first = reps.select("cls", F.posexplode(F.slice("sig", 1, TREES)).alias("tree", "token")) \
+    first = some.select("cls", F.slice("sig", 1, TREES).alias("roots")).groupBy("cls").agg(F.first("roots").alias("roots")) \
+        .select("cls", F.posexplode("roots").alias("tree", "token")) \
         .select(F.xxhash64("tree", "token").alias("node"), "cls", "tree")
     members = _sized(first, "nodes-1")
     mask = cut(members.where(F.col("size") <= node).groupBy("cls").agg(
@@ -200,48 +205,52 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     while level < depth and not large.isEmpty():
         level += 1
         # tokens after the roots', selected by the path: several at first, then one, and for some paths two
-        some = percent if level == 2 else 100 - round(10_000 / percent - 100)
+        alone = 100 - round(10_000 / percent - 100)  # percent of paths that select one token
         tokens = [F.pmod(F.xxhash64("node", F.lit(j)), F.lit(MINWISE - TREES)) + TREES + 1
                   for j in range(FIRST_BRANCHES if level == 2 else 2)]
         children = [F.xxhash64("node", t, F.element_at("sig", t.cast("int"))) for t in tokens]
         if level > 2:
-            second = F.pmod(F.xxhash64("node", F.lit("second")), F.lit(100)) >= some
+            second = F.pmod(F.xxhash64("node", F.lit("second")), F.lit(100)) >= alone
             children[1] = F.when(second, children[1])
-        branched = large.join(reps.select("cls", "sig"), "cls") \
+        branched = large.join(tokens_of(large).select("cls", "sig"), "cls") \
             .select(F.explode(F.array_distinct(F.array(*children))).alias("node"), "cls").where("node is not null")
         members = _sized(branched, f"nodes-{level}")
         leaves.append(members.where(F.col("size") <= node).select("node", "cls", F.lit(-1).alias("tree")))
         large = members.where(F.col("size") > node).select("node", "cls")
 
-    def sets_of(classes: DataFrame) -> DataFrame:
-        """Full shingle sets of the classes, from the text of one row each."""
-        wanted = classes.select("cls").distinct().join(reps.select("cls", "key"), "cls")
-        texts = rows.select("key", "text").join(wanted, "key").groupBy("key").agg(
-            F.first("cls").alias("cls"), F.first("text").alias("text")).select("cls", "text")
+    def sets_in(nodes: DataFrame) -> DataFrame:
+        """``(node, cls, shingles)`` for the rows ``(node, cls)``: full sets, each from the text of one row of
+        the class, which is read once for all nodes that ask for it."""
+        wanted = cut(nodes.groupBy("cls").agg(F.collect_set("node").alias("nodes"))
+                     .join(reps.select("cls", "key"), "cls"), "wanted")
+        texts = among(rows.select("key", "text"), wanted).join(wanted, "key").groupBy("key").agg(
+            F.first("cls").alias("cls"), F.first("nodes").alias("nodes"), F.first("text").alias("text"))
 
         def run(batches):
             for batch in batches:
-                cls, texts = batch.column(0), batch.column(1).to_pylist()
+                cls, asked, texts = (batch.column(i).to_pylist() for i in range(3))
                 for a, b in byte_groups(texts, GROUP_CHARS):
                     sets, first = shingle_sets(texts[a:b])
-                    yield pa.RecordBatch.from_arrays(
-                        [cls.slice(a, b - a), pa.array([sets[first[i]:first[i + 1]].astype("<u8").tobytes()
-                                                        for i in range(b - a)], pa.binary())], names=["cls", "shingles"])
+                    for i in range(a, b):
+                        own = sets[first[i - a]:first[i - a + 1]].astype("<u8").tobytes()
+                        n = len(asked[i])
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(asked[i], pa.int64()), pa.array([cls[i]] * n, pa.int64()),
+                             pa.array([own] * n, pa.binary())], names=["node", "cls", "shingles"])
 
-        return cut(texts.mapInArrow(run, "cls long, shingles binary"), "sets")
+        return texts.select("cls", "nodes", "text").mapInArrow(run, "node long, cls long, shingles binary")
 
     def compared(leaf: DataFrame) -> DataFrame:
-        with_tokens = leaf.join(mask, "cls", "left").na.fill({"mask": 0}).join(reps.select("cls", "n", "sig"), "cls")
+        with_tokens = leaf.join(mask, "cls", "left").na.fill({"mask": 0}).join(tokens_of(leaf), "cls")
         likely = cut(with_tokens.groupBy("node").applyInArrow(lambda t: _likely(percent, t), "node long, cls long"), "likely")
-        return cut(likely.join(sets_of(likely), "cls").groupBy("node").applyInArrow(
-            lambda t: _exact(percent, t), "a long, b long"), "links")
+        return cut(sets_in(likely).groupBy("node").applyInArrow(lambda t: _exact(percent, t), "a long, b long"), "links")
 
     leaf = leaves[0]
     for x in leaves[1:]:
         leaf = leaf.unionByName(x)
     edges = compared(leaf)
     if not large.isEmpty():
-        edges = edges.unionByName(_large_nodes(large, edges, sets_of, compared, percent, node))
+        edges = edges.unionByName(_large_nodes(large, edges, sets_in, compared, percent, node))
 
     roots = components(edges)
     own = reps.select("cls", "id").join(roots.withColumnRenamed("node", "cls"), "cls", "left") \
@@ -254,12 +263,12 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
                       F.col("id").eqNullSafe(component).alias("kept"), "key")
 
 
-def _large_nodes(large: DataFrame, edges: DataFrame, sets_of, compared, percent: int, node: int) -> DataFrame:
+def _large_nodes(large: DataFrame, edges: DataFrame, sets_in, compared, percent: int, node: int) -> DataFrame:
     """Links in nodes that are too large at the last level: all members with a pivot, then those outside the
     node's main component with all others, in tiles."""
     pivot = cut(large.groupBy("node").agg(F.min_by("cls", F.xxhash64("cls")).alias("pivot")), "pivots")
     pairs = cut(large.join(pivot, "node").where("cls <> pivot").select("cls", "pivot").distinct(), "pivot-pairs")
-    sets = sets_of(large)
+    sets = cut(sets_in(large.select(F.lit(0).cast("long").alias("node"), "cls").distinct()).drop("node"), "sets")
 
     def run(batches):
         for batch in batches:
