@@ -17,15 +17,8 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_batch_counts_aggregate_partially_before_shuffle(spark):
-    ev = fx.table(spark, SF, "events")
-    plan = _plan(batch_counts(ev.select("event_type", "ts"), "event_type", "ts", HOUR_US))
-    assert "partial_sum" in plan and "partial_min" in plan
-    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan  # spine by union, no join
-
-
 def _scans(df, table: str) -> int:
-    return _plan(df).count(f"/{table}.parquet")
+    return sum(f.endswith(f"/{table}.parquet") for f in df.inputFiles())
 
 
 def test_scan_prunes_columns(spark):
@@ -35,6 +28,7 @@ def test_scan_prunes_columns(spark):
 
 def test_batch_log_reads_the_events_once(spark):
     ev = fx.table(spark, SF, "events")
+    assert _scans(ev.groupBy("event_type").count(), "events") == 1  # a scan shows in the plan
     hourly = fx.per_batch(ev)  # the one pass, written down
     assert _scans(fx.batch_log(ev, hourly=hourly), "events") == 0
     assert _scans(fx.start_state(ev, hourly=hourly), "events") == 0
@@ -60,3 +54,8 @@ def test_enrich_lets_spark_choose(spark):
 def test_sequence_numbers_read_one_table(spark):
     ev = fx.table(spark, SF, "events")
     assert _scans(sequence_numbers(ev, "event_type", "ts", ["event_id"]), "events") == 0
+
+
+def test_batch_counts_read_the_events_once(spark):
+    ev = fx.table(spark, SF, "events")
+    assert _scans(batch_counts(ev.select("event_type", "ts"), "event_type", "ts", HOUR_US), "events") == 0

@@ -1,7 +1,7 @@
 """Micro-batches as data: fixed-width batches with their in-day number (STR-9), records per batch
 including empty ones (AGG-4), failed outputs per batch (AGG-3), and replay filtering (FLT-1).
 
-Every operator here is a projection or one partially aggregated ``groupBy``: events are reduced
+Every operator here is a projection or a partially aggregated ``groupBy``: events are reduced
 map-side to one row per (key, batch) before anything is shuffled, so a hot key costs one row per
 batch in the shuffle, not one row per event.
 """
@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import (batch_folder, div_floor, div_floor_sql, epoch_micros_sql, floor_sql,
                                         ident)
+from tidemark.operators.enrich import enrich
+from tidemark.session import materialize
 
 DAY_US = 86_400_000_000
 HOUR_US = 3_600_000_000
@@ -64,10 +66,7 @@ def batch_spine(df: DataFrame, by: str, ts: str, width_us: int) -> DataFrame:
     _check_width(width_us)
     us = epoch_micros_sql(ts, df.schema[ts].dataType)
     per_key = df.groupBy(by).agg(F.expr(f"min({us})").alias("lo"), F.expr(f"max({us})").alias("hi"))
-    first = floor_sql("lo", DAY_US)
-    last = f"({floor_sql('hi', DAY_US)} + {DAY_US - int(width_us)})"
-    spine = per_key.where("lo IS NOT NULL").selectExpr(
-        ident(by), f"explode(sequence({first}, {last}, CAST({int(width_us)} AS BIGINT))) AS batch_start_us")
+    spine = _whole_days(per_key, by, width_us)
     return spine.select("*", *batch_columns("batch_start_us", width_us))
 
 
@@ -76,32 +75,41 @@ def batch_counts(df: DataFrame, by: str, ts: str, width_us: int,
     """Records per batch for every batch of the spine (zero for empty batches):
     ``(by, batch_start_us, date, batch, batch_time, num_records, *extra)``.
 
-    ``extra_aggs`` maps a name to an aggregate over the event rows (it sees nulls on spine rows).
-    One aggregation over ``spine UNION events`` instead of a join: both sides are combined map-side.
+    ``extra_aggs`` maps a name to an aggregate over the event rows; an empty batch has its value for no
+    row's worth of data (a row of nulls). The events are read once: the non-empty batches are written to
+    the shared checkpoint folder, and the spine comes from them.
     """
     extra_aggs = extra_aggs or {}
     _check_width(width_us)
-    events = df.select(
-        F.col(by),
-        F.expr(_start_sql(df, ts, width_us)).alias("batch_start_us"),
-        F.lit(1).alias("_one"),
-        *[F.col(c) for c in _source_columns(df, extra_aggs, by, ts)],
-    ).where(F.col("batch_start_us").isNotNull())
-    spine = batch_spine(df, by, ts, width_us).select(
-        by, "batch_start_us", F.lit(0).alias("_one"),
-        *[F.lit(None).cast(df.schema[c].dataType).alias(c) for c in _source_columns(df, extra_aggs, by, ts)],
-    )
-    agg = spine.unionByName(events).groupBy(by, "batch_start_us").agg(
-        F.sum("_one").cast("bigint").alias("num_records"),
-        *[e.alias(name) for name, e in extra_aggs.items()],
-    )
-    return agg.select(by, "batch_start_us", *batch_columns("batch_start_us", width_us),
-                      "num_records", *extra_aggs.keys())
-
-
-def _source_columns(df: DataFrame, extra_aggs: dict[str, Column], by: str, ts: str) -> list[str]:
-    # columns the extra aggregates may read; keep them all but the key (already selected)
-    return [c for c in df.columns if c not in (by,)] if extra_aggs else []
+    start = F.expr(_start_sql(df, ts, width_us)).alias("batch_start_us")
+    events = df.select("*", start).where(F.col("batch_start_us").isNotNull())
+    filled = materialize(events.groupBy(by, "batch_start_us").agg(
+        F.count(F.lit(1)).alias("num_records"), *[e.alias(name) for name, e in extra_aggs.items()]), "batches")
+    spine = _whole_days(filled.groupBy(by).agg(F.min("batch_start_us").alias("lo"), F.max("batch_start_us").alias("hi")),
+                        by, width_us)
+    counts = filled.select(F.col(by).alias("_by"), F.col("batch_start_us").alias("_start"), "num_records", *extra_aggs)
+    joined = spine.join(counts, F.col(by).eqNullSafe(F.col("_by")) & (F.col("batch_start_us") == F.col("_start")), "left")
+    none = _of_nulls(df, extra_aggs)
+    return joined.select(by, "batch_start_us", *batch_columns("batch_start_us", width_us),
+                         F.coalesce("num_records", F.lit(0)).alias("num_records"),
+                         *[F.when(F.col("_start").isNull(), F.lit(none[n])).otherwise(F.col(n)).alias(n) for n in extra_aggs])
+
+
+def _of_nulls(df: DataFrame, aggs: dict[str, Column]) -> dict:
+    """Values of the aggregates over one row of nulls."""
+    if not aggs:
+        return {}
+    row = df.sparkSession.createDataFrame([tuple(None for _ in df.columns)],
+                                          ", ".join(f"{ident(f.name)} {f.dataType.simpleString()}" for f in df.schema.fields))
+    return row.agg(*[e.alias(n) for n, e in aggs.items()]).first().asDict()
+
+
+def _whole_days(per_key: DataFrame, by: str, width_us: int) -> DataFrame:
+    """Every batch of the whole days from each key's ``lo`` to its ``hi`` (epoch microseconds)."""
+    first = floor_sql("lo", DAY_US)
+    last = f"({floor_sql('hi', DAY_US)} + {DAY_US - int(width_us)})"
+    return per_key.where("lo IS NOT NULL").selectExpr(
+        ident(by), f"explode(sequence({first}, {last}, CAST({int(width_us)} AS BIGINT))) AS batch_start_us")
 
 
 def failed_outputs(op_log: DataFrame, batch_cols: list[str], reason: str = "failure_reason") -> DataFrame:
@@ -117,8 +125,6 @@ def skip_committed(batches: DataFrame, ledger: DataFrame, by: str = "proc",
                    batch_time: str = "batch_time") -> DataFrame:
     """Drop batches that the ledger already holds: keep ``batch_time > last committed time`` per key
     (0 when the key has none). The ledger is reduced to one row per key before the join."""
-    from tidemark.operators.enrich import enrich
-
     last = ledger.groupBy(by).agg(F.max(batch_time).alias("_last_commit"))
     return (enrich(batches, last, on=by, how="left")
             .where(F.col(batch_time) > F.coalesce(F.col("_last_commit"), F.lit(0)))

@@ -23,10 +23,10 @@ def batch_number(folder: Column) -> Column:
     return F.regexp_replace(folder, ",", "").cast("int")
 
 
-def read_batches(spark: SparkSession, root: str, date: str | None = None) -> DataFrame:
-    """``(date, batch, value)`` of every batch folder under ``root`` (or of one date)."""
-    glob = f"{root.rstrip('/')}/{date or '[0-9]*'}/*/data"
-    df = spark.read.text(glob).select("value", F.col("_metadata.file_path").alias("_path"))
+def read_batches(spark: SparkSession, root: str, dates: list[str] | None = None) -> DataFrame:
+    """``(date, batch, value)`` of every batch folder under ``root`` (or of some dates)."""
+    globs = [f"{root.rstrip('/')}/{d}/*/data" for d in (dates or ["[0-9]*"])]
+    df = spark.read.text(globs).select("value", F.col("_metadata.file_path").alias("_path"))
     return df.select(
         F.regexp_extract("_path", BATCH_PATH_PATTERN, 1).alias("date"),
         batch_number(F.regexp_extract("_path", BATCH_PATH_PATTERN, 2)).alias("batch"),
@@ -41,7 +41,11 @@ def read_committed(spark: SparkSession, root: str, ledger: DataFrame, proc: str,
         F.col("date").cast("string").alias("date"), F.col("batch").cast("int").alias("batch"))
     if date:
         keys = keys.where(F.col("date") == date)
-    return enrich(read_batches(spark, root, date), keys.distinct(), on=["date", "batch"], how="left_semi")
+    # only the folders of the dates that the ledger names are listed and read
+    dates = sorted(r["date"] for r in keys.select("date").distinct().collect())
+    if not dates:
+        return spark.createDataFrame([], "date string, batch int, value string")
+    return enrich(read_batches(spark, root, dates), keys.distinct(), on=["date", "batch"], how="left_semi")
 
 
 def read_committed_partitioned(spark: SparkSession, root: str, ledger: DataFrame,
