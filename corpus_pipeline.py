@@ -61,8 +61,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     found = contaminated(docs, table(spark, sf_dir, "benchmark"), with_key=True).where("contaminated")
     spans = cut(found.select("key", "spans").dropDuplicates(["key"]), "benchmark-spans")
     keyed = docs.select(*COLUMNS, doc_key("doc_id", "text").alias("key")).join(spans, "key", "left")
-    return _with_text(keyed, F.when(F.col("spans").isNotNull(), cut_spans(F.col("text"), F.col("spans")))
-                      .otherwise(F.col("text")))
+    return _with_text(cut_spans(keyed), F.col("text"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

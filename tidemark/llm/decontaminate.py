@@ -146,25 +146,33 @@ def contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col
                     *[F.col("key")] * with_key))
 
 
-def cut_spans(text: Column, spans: Column) -> Column:
-    """The text without the words in ``spans`` (sorted, as :func:`contaminated` gives them): what lies before,
-    between and after the cuts, each joined to the next by a blank. Case and all between kept words stay."""
-    # the gaps between the words are the pieces that words split the text into, and the other way round
-    words = F.regexp_extract_all(F.concat(F.lit("-"), text, F.lit("-")), F.lit(WORD), F.lit(0))
-    gaps = F.split(F.concat(F.lit("-"), text, F.lit("-")), WORD)
-    joined = F.aggregate(
+def cut_spans(docs: DataFrame, text_col: str = "text", spans_col: str = "spans") -> DataFrame:
+    """``docs`` with the words in ``spans_col`` (sorted, as :func:`contaminated` gives them) cut out of
+    ``text_col``: the kept runs of words as they are, with what lies between their words, joined by a blank.
+    Where the spans are null the text stays as it is. Adds no column."""
+    spans, text = F.col(spans_col), F.concat(F.lit("-"), F.col(text_col), F.lit("-"))
+    cols = docs.columns
+    # columns of their own: what a lambda refers to must not be computed anew for every element
+    parts = docs.select(*cols, F.when(spans.isNotNull(), F.regexp_extract_all(text, F.lit(WORD), F.lit(0))).alias("_words"),
+                        F.when(spans.isNotNull(), F.split(text, WORD)).alias("_gaps"))
+    # neighbouring and overlapping spans become one cut
+    cuts = F.aggregate(
         spans, F.array().cast("array<struct<a:int,b:int>>"),
         lambda out, s: F.when(
             (F.size(out) > 0) & (F.element_at(out, -1)["b"] >= s["start"]),
             F.concat(F.slice(out, 1, F.size(out) - 1), F.array(F.struct(
-                F.element_at(out, -1)["a"].alias("a"), (s["start"] + s["length"]).alias("b")))))
+                F.element_at(out, -1)["a"].alias("a"),
+                F.greatest(F.element_at(out, -1)["b"], s["start"] + s["length"]).alias("b")))))
         .otherwise(F.concat(out, F.array(F.struct(s["start"].alias("a"), (s["start"] + s["length"]).alias("b"))))))
-    # kept runs [a, b) of words: the complement of the cuts
-    bounds = F.concat(F.array(F.lit(0)), F.flatten(F.transform(joined, lambda s: F.array(s["a"], s["b"]))),
-                      F.array(F.size(words)))
-    runs = F.transform(F.sequence(F.lit(0), (F.size(bounds) / 2).cast("int") - 1),
-                       lambda i: F.struct(F.get(bounds, 2 * i).alias("a"), F.get(bounds, 2 * i + 1).alias("b")))
-    pieces = F.transform(F.filter(runs, lambda r: r["b"] > r["a"]), lambda r: F.array_join(F.transform(
+    bounds = parts.withColumn("_bounds", F.concat(
+        F.array(F.lit(0)), F.flatten(F.transform(cuts, lambda s: F.array(s["a"], s["b"]))), F.array(F.size("_words"))))
+    runs = F.filter(F.transform(
+        F.sequence(F.lit(0), (F.size("_bounds") / 2).cast("int") - 1),
+        lambda i: F.struct(F.get("_bounds", 2 * i).alias("a"), F.get("_bounds", 2 * i + 1).alias("b"))),
+        lambda r: r["b"] > r["a"])
+    kept = F.transform(runs, lambda r: F.array_join(F.transform(
         F.sequence(r["a"], r["b"] - 1),
-        lambda i: F.concat(F.get(words, i), F.when(i < r["b"] - 1, F.get(gaps, i + 1)).otherwise(F.lit("")))), ""))
-    return F.array_join(pieces, " ")
+        lambda i: F.concat(F.get("_words", i), F.when(
+            (i < r["b"] - 1) & (i + 1 < F.size("_gaps")), F.get("_gaps", i + 1)).otherwise(F.lit("")))), ""))
+    new = F.when(spans.isNull(), F.col(text_col)).otherwise(F.array_join(kept, " "))
+    return bounds.select(*[new.alias(c) if c == text_col else F.col(c) for c in cols])
