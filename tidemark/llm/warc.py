@@ -83,7 +83,8 @@ def write_warc(pages: DataFrame, root: str, id_col: str = "page_id", url_col: st
                 .where(~F.col("id").eqNullSafe(F.col("target"))))
 
     size = narrow.agg(F.min("id").alias("lo"), F.max("id").alias("hi"),
-                      F.sum(F.col("bytes") + 512).alias("bytes")).first()
+                      F.sum(F.col("bytes") + 512).alias("bytes"),
+                      F.count_if(F.col("id").isNull()).alias("null_ids")).first()
     total = size["bytes"] or 0
     shards = max(1, -(-total // shard_bytes))
     lo = size["lo"] or 0
@@ -97,7 +98,10 @@ def write_warc(pages: DataFrame, root: str, id_col: str = "page_id", url_col: st
                                      F.col("target_url").alias("url"), F.lit(None).cast("binary").alias("payload"),
                                      "target"))
     # a row's notice that it is a revisit (kind 0) sorts right before it
-    dealt = both.repartitionByRange(shards, "shard").sortWithinPartitions("shard", "id", "digest", "kind", "url")
+    # one task per shard, those of null ids after the others
+    dealt = both.repartitionById(shards * (2 if size["null_ids"] else 1), F.when(
+        F.col("shard") < 0, F.lit(shards - 1) - F.col("shard")).otherwise(F.col("shard")).cast("int")) \
+        .sortWithinPartitions("shard", "id", "digest", "kind", "url")
 
     def run(batches):
         yield from batches_of(files(batches), pa.schema([("name", pa.string()), ("temporary", pa.string()),
