@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Words, byte_groups, cut, doc_key, gram_hashes, mix64, prepare
+from tidemark.llm.common import Words, among, byte_groups, cut, doc_key, gram_hashes, mix64, prepare
 
 WINDOW = 35
 ANCHOR = 8  # WINDOW - ANCHOR + 1 places are told apart in a 64-bit mask
@@ -134,7 +134,8 @@ def find_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id
                      pa.array(u[which]), pa.array(n[which]), pa.array(off.astype(np.int32))],
                     names=["h", "wh", "u", "n", "off"])
 
-    texts = rows.join(asked, "key").select("text", "asked")
+    asked = cut(asked, "asked")
+    texts = among(rows, asked).join(asked, "key").select("text", "asked")
     windows = cut(texts.mapInArrow(extend, "h long, wh long, u long, n long, off int"), "windows")
     repeated = cut(windows.groupBy("h", "wh").agg(F.sum("n").alias("s")).where("s > 1").select("h", "wh"),
                    "windows-twice")
