@@ -60,6 +60,54 @@ def test_rules_are_hundreds_and_gated():
         assert rank in (1, 2, 3) and word == word.lower()
 
 
+def _spelled(expression):
+    """Every text that a rule's expression matches: none repeats without end, so they can be listed."""
+    def of(items):
+        out = {""}
+        for op, arg in items:
+            kind = str(op)
+            if kind == "LITERAL":
+                now = {chr(arg)}
+            elif kind == "IN":
+                now = {chr(c) for k, v in arg for c in (range(v[0], v[1] + 1) if str(k) == "RANGE" else [v])}
+            elif kind == "BRANCH":
+                now = set().union(*map(of, arg[1]))
+            elif kind == "SUBPATTERN":
+                now = of(arg[-1])
+            elif kind == "MAX_REPEAT":
+                assert arg[:2] == (0, 1)
+                now = {""} | of(arg[2])
+            else:
+                assert kind in ("ASSERT", "ASSERT_NOT")
+                now = {""}
+            out = {a + b for a in out for b in now}
+        return out
+
+    return of(re._parser.parse(expression))
+
+
+def test_gate_is_in_every_match():
+    for label, word, rank, expression in rules():
+        for text in _spelled(expression):
+            assert any(g in f" {text} " for g in GATE), (label, text)
+
+
+BSD_BODY = ("Redistribution and use in source and binary forms, with or without modification, are permitted "
+            "provided that the following conditions are met:")
+ISC_BODY = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee"
+
+
+@pytest.mark.parametrize("text,label,score", [
+    (BSD_BODY, "bsd", 0.9), (ISC_BODY, "isc", 0.9),
+    ("Permission is hereby granted, free of charge, to any person obtaining a copy", "mit", 0.9),
+    ("This program is released under the GPL v2.", "gpl-2", 0.9), ("distributed under Apache 2.0", "apache-2", 0.9),
+    ("It is made available under MIT", "mit", 0.9), ("are published under the terms of the MPL 2.0", "mpl-2", 0.9),
+    ("published under pressure", "", 0.0)])
+def test_texts_that_never_say_license(spark, text, label, score):
+    row = scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert (row.labels, row.score) == (label, score)
+
+
 def test_overlaps_are_suppressed(spark):
     found = {r.doc_id: [(x.label, x.rank) for x in r.found] for r in scan(_license_docs(spark)).collect()}
     assert found[5] == [("gpl-3", 1)]  # not also the plain mention of the general public license inside

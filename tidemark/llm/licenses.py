@@ -17,8 +17,10 @@ from tidemark.llm.common import GAP, ascii_lower, cut, doc_key
 #: phrases that are counted in every text: label by phrase
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
-#: a text without any of these has no license rule to match
-GATE = ("licen", "public domain", "spdx", "cc by", "cc0", "creative commons", "copyleft")
+#: a text without any of these has no license rule to match: whatever a rule matches holds one of them
+GATE = ("licen", "public domain", "spdx", "cc by", "cc0", "creative commons", "copyleft",
+        "distributed under", "released under", "made available under", "published under",
+        "permission is hereby granted", "redistribution and use", "permission to use copy")
 
 # label, keyword (words that every match contains), names as a regular expression over normalized words
 FAMILIES = [
