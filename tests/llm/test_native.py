@@ -92,6 +92,12 @@ def test_gate_is_in_every_match():
             assert any(g in f" {text} " for g in GATE), (label, text)
 
 
+def test_keyword_is_in_every_match():
+    for label, word, rank, expression in rules():
+        for text in _spelled(expression):
+            assert word in text, (label, word, text)
+
+
 BSD_BODY = ("Redistribution and use in source and binary forms, with or without modification, are permitted "
             "provided that the following conditions are met:")
 ISC_BODY = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee"
@@ -108,6 +114,38 @@ def test_texts_that_never_say_license(spark, text, label, score):
     assert (row.labels, row.score) == (label, score)
 
 
+@pytest.mark.parametrize("text,label", [
+    ("licensed under the SIL Open Font License", "ofl"), ("SPDX-License-Identifier: OFL-1.1", "ofl"),
+    ("GNU Library General Public License version 2", "lgpl-2"), ("the Lesser General Public License, v2.1", "lgpl-2")])
+def test_every_alternative_is_tried(spark, text, label):
+    row = scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert (row.labels, row.score) == (label, 0.9)
+
+
+def _untried(text):
+    """Labels by all rules on the text, with no gate and no keyword."""
+    t, found = f" {' '.join(plain_words(text))} ", []
+    for n, (label, _, rank, expression) in enumerate(rules()):
+        found += [(m.start(), -m.end(), rank, n, label) for m in re.finditer(f"(?<= )(?:{expression})(?= )", t)]
+    kept, ends = set(), {}
+    for a, b, rank, n, label in sorted(found):
+        if not any(r <= rank and e >= -b for r, e in ends.items()):
+            kept.add(label)
+        ends[rank] = max(ends.get(rank, -1), -b)
+    return kept | {label for phrase, label in PHRASES.items() if f" {phrase} " in t}
+
+
+def test_licenses_without_gate_and_keywords(spark):
+    import random
+
+    rnd = random.Random(4)
+    texts = [t for r in rules() for t in rnd.sample(sorted(_spelled(r[3])), k=1)]
+    docs = spark.createDataFrame([(i, f"before {t} after") for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.labels for r in scan(docs).collect()}
+    want = {i: ",".join(sorted(_untried(f"before {t} after"))) for i, t in enumerate(texts)}
+    assert got == want and all(want.values())
+
+
 def test_overlaps_are_suppressed(spark):
     found = {r.doc_id: [(x.label, x.rank) for x in r.found] for r in scan(_license_docs(spark)).collect()}
     assert found[5] == [("gpl-3", 1)]  # not also the plain mention of the general public license inside

@@ -73,7 +73,8 @@ FAMILIES = [
     ("ms-pl", "microsoft", "microsoft public"),
     ("ms-rl", "microsoft", "microsoft reciprocal"),
     ("odbl", "odbl", "odbl(?: 1 0)?"),
-    ("ofl", "ofl", "ofl(?: 1 [01])?|sil open font"),
+    ("ofl", "ofl", "ofl(?: 1 [01])?"),
+    ("ofl", "open font", "sil open font"),
     ("elastic-2", "elastic", "elastic(?: 2 0)?"),
     ("sspl", "sspl", "sspl(?: 1 0)?"),
     ("busl", "busl", "busl(?: 1 1)?"),
@@ -92,7 +93,8 @@ SPECIAL = [
     ("gpl-2", "general public license", 1, "gnu general public license (?:as published by the free software foundation (?:either )?)?(?:version|v) ?2(?: 0)?"),
     ("gpl-3", "general public license", 1, "gnu general public license (?:as published by the free software foundation (?:either )?)?(?:version|v) ?3(?: 0)?"),
     ("gpl", "general public license", 3, "(?:gnu )?general public license"),
-    ("lgpl-2", "lesser general public license", 1, "(?:gnu )?(?:lesser|library) general public license (?:version|v) ?2(?: [01])?"),
+    ("lgpl-2", "lesser general public license", 1, "(?:gnu )?lesser general public license (?:version|v) ?2(?: [01])?"),
+    ("lgpl-2", "library general public license", 1, "(?:gnu )?library general public license (?:version|v) ?2(?: [01])?"),
     ("lgpl-3", "lesser general public license", 1, "(?:gnu )?lesser general public license (?:version|v) ?3(?: 0)?"),
     ("lgpl", "lesser general public license", 2, "(?:gnu )?lesser general public license"),
     ("agpl-3", "affero", 1, "(?:gnu )?affero general public license(?: (?:version|v) ?3(?: 0)?)?"),
