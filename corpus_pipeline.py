@@ -5,7 +5,8 @@ returns the packed pieces. The output of each stage is written as Parquet and re
 executor costs at most one stage's work.
 
 1. ``language_id``: rejects documents in which no language can be told (no text, no letter).
-2. ``near_dedup``: of each group of near copies the document of the least id stays.
+2. ``near_dedup``: of each group of near copies one document of the least id stays, or one without an id
+   if none has any.
 3. ``substring_dedup``: passages of 35 and more words that also occur elsewhere are cut out.
 4. ``decontamination``: words that lie in benchmark passages are cut out.
 5. ``packing``: what is left is packed into sequences of 2048 ids.
@@ -44,10 +45,14 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near copies. Rows that repeat an id and its text count once."""
-    kept = cut(near_duplicates(docs, percent=SIMILARITY).where("kept").select("key").distinct(), "kept")
-    keyed = docs.select(*COLUMNS, doc_key("doc_id", "text").alias("key"))
-    return keyed.join(kept, "key", "left_semi").select(*COLUMNS)
+    """Keep one document of each group of near copies, also where texts share the least id or have none. Rows
+    that repeat an id and its text are one document and all stay; of a text without an id one row stays."""
+    told = near_duplicates(docs, percent=SIMILARITY, with_root=True).where("kept")
+    alone = F.when(F.col("root").isNull(), F.col("key"))
+    kept = cut(told.groupBy("root", alone.alias("alone")).agg(F.min("key").alias("key")).select("key").distinct(), "kept")
+    stay = docs.select(*COLUMNS, doc_key("doc_id", "text").alias("key")).join(kept, "key", "left_semi")
+    nameless = stay.where("doc_id is null").groupBy("key").agg(F.min(F.struct(*COLUMNS)).alias("row")).select("row.*")
+    return stay.where("doc_id is not null").select(*COLUMNS).unionByName(nameless)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -118,6 +118,18 @@ def test_near_dedup_links_at_four_fifths(spark):
     assert _near_dedup(spark, rows) == [rows[0], rows[2], rows[3]]
 
 
+def test_near_dedup_keeps_one_where_ids_repeat_or_are_null(spark):
+    a, b, c, d = ([f"{x}{i}" for i in range(100)] for x in "abcd")
+    shared = [(1, " ".join(a), "en"), (1, _edited(a, 1), "en"), (2, " ".join(a), "fr")]
+    nameless = [(None, " ".join(b), "en"), (None, " ".join(b), "fr"), (None, _edited(b, 1), "en")]
+    # unrelated texts of one id are groups of their own, and so are unrelated texts without one
+    apart = [(3, " ".join(c), "en"), (3, " ".join(d), "en"), (None, " ".join(reversed(c)), "en"), (None, " ".join(reversed(d)), "en")]
+    got = _near_dedup(spark, shared + nameless + apart)
+    assert len([r for r in got if r in shared[:2]]) == 1 and shared[2] not in got
+    assert len([r for r in got if r in nameless]) == 1
+    assert [r for r in got if r in apart] == sorted(apart, key=repr) and len(got) == 6
+
+
 def _removed(rows, window=35):
     docs = [words(r.text) for r in rows]
     seen = Counter(tuple(w[i:i + window]) for w in docs for i in range(len(w) - window + 1))

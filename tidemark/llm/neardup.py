@@ -169,9 +169,10 @@ def _sized(members: DataFrame, name: str) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text",
-                    node: int = NODE, depth: int = DEPTH) -> DataFrame:
+                    node: int = NODE, depth: int = DEPTH, with_root: bool = False) -> DataFrame:
     """``(id, n_shingles, component_id, kept, key)`` per row: the size of its shingle set, the least id that
-    links reach from it, whether it is that row, and its :func:`tidemark.llm.common.doc_key`.
+    links reach from it, whether it is that row, and its :func:`tidemark.llm.common.doc_key`. With
+    ``with_root`` also ``root``, which tells groups apart where ids are null or repeat (null without words).
 
     Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case; rows are linked if
     ``100 * |intersection| >= percent * |union|`` of their sets of 5-word shingles. A text of fewer words is
@@ -256,11 +257,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     own = reps.select("cls", "id").join(roots.withColumnRenamed("node", "cls"), "cls", "left") \
         .withColumn("root", F.coalesce("root", "cls"))
     least = cut(own.groupBy("root").agg(F.min("id").alias("component")), "least-ids")
-    named = cut(own.join(least, "root").select("cls", "component"), "components")
+    named = cut(own.join(least, "root").select("cls", "component", "root"), "components")
     out = feats.select("id", "key", "n", "cls").join(named, "cls", "left")
     component = F.when(F.col("cls").isNull(), F.col("id")).otherwise(F.col("component"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
-                      F.col("id").eqNullSafe(component).alias("kept"), "key")
+                      F.col("id").eqNullSafe(component).alias("kept"), "key", *(["root"] if with_root else []))
 
 
 def _large_nodes(large: DataFrame, edges: DataFrame, sets_in, compared, percent: int, node: int) -> DataFrame:
