@@ -79,3 +79,17 @@ r AS (SELECT doc_id AS node, doc_id AS root FROM d UNION SELECT e.b, r.root FROM
 SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, m.root AS component_id, m.root = d.doc_id AS kept
 FROM d LEFT JOIN n ON d.doc_id = n.doc_id JOIN (SELECT node, min(root) AS root FROM r GROUP BY node) m ON m.node = d.doc_id
 """
+
+LLM_ORACLES["op11_jaccard_join"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 2], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 90 * (na.n + nb.n - c)),
+r AS (SELECT doc_id AS node, doc_id AS root FROM d UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.node)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, m.root AS component_id
+FROM d LEFT JOIN n ON d.doc_id = n.doc_id JOIN (SELECT node, min(root) AS root FROM r GROUP BY node) m ON m.node = d.doc_id
+"""

@@ -115,3 +115,11 @@ def q_near_duplicates(spark, sf_dir):
     from tidemark.llm.neardup import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"), percent=85).drop("key")
+
+
+@register("op11_jaccard_join")
+def q_jaccard_join(spark, sf_dir):
+    """Documents whose sets of 3-word shingles have a Jaccard similarity of 0.9 or more, as components."""
+    from tidemark.llm.setjoin import jaccard_join
+
+    return jaccard_join(table(spark, sf_dir, "documents"), percent=90, shingle=3).drop("root")
