@@ -93,3 +93,35 @@ r AS (SELECT doc_id AS node, doc_id AS root FROM d UNION SELECT e.b, r.root FROM
 SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, m.root AS component_id
 FROM d LEFT JOIN n ON d.doc_id = n.doc_id JOIN (SELECT node, min(root) AS root FROM r GROUP BY node) m ON m.node = d.doc_id
 """
+
+# CRC-32 of a decimal id, bit by bit (3988292384 is the reversed polynomial)
+_CRC32 = """4294967295 - list_reduce(list_prepend(CAST(4294967295 AS UBIGINT),
+    list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(unicode(x) AS UBIGINT))),
+    lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, CAST(3988292384 AS UBIGINT) * (x & 1))))"""
+
+LLM_ORACLES["op13_prefix_trie"] = rf"""
+WITH t AS (
+  SELECT conv_id, turn, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS g,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS w
+  FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, g, w, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, g) AS i FROM t),
+c AS (SELECT conv_id, ({_CRC32}) % 4 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+b AS (
+  SELECT c.conv_id, o.i, o.g, o.w FROM c JOIN o ON o.conv_id = c.conv_id - c.conv_id % 20 AND o.i <= c.h
+  UNION ALL
+  SELECT c.conv_id, o.i, o.g, o.w FROM c JOIN o ON o.conv_id = c.conv_id AND o.i > c.h),
+n AS (
+  SELECT conv_id, 0 AS d, 0 AS w, '' AS k FROM c
+  UNION ALL
+  SELECT conv_id, row_number() OVER p AS d, w, string_agg(g, '') OVER p AS k FROM b WINDOW p AS (PARTITION BY conv_id ORDER BY i)),
+z AS (SELECT k, d, min(conv_id) AS conv_id, count(*) AS n_convs, max(w) AS w FROM n GROUP BY k, d),
+e AS (SELECT k, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids
+      FROM (SELECT conv_id, arg_max(k, d) AS k FROM n GROUP BY conv_id) GROUP BY k),
+ch AS (SELECT left(k, 32 * (d - 1)) AS k, count(*) AS c FROM z WHERE d > 0 GROUP BY 1),
+zc AS (SELECT z.*, coalesce(ch.c, 0) AS c FROM z LEFT JOIN ch ON z.k = ch.k),
+sub AS (SELECT left(k, 32 * j) AS k, sum((n_convs - 1) * w) AS saved, count(*) FILTER (c = 0) AS leaves
+        FROM (SELECT *, unnest(range(0, d + 1)) AS j FROM zc) GROUP BY 1)
+SELECT zc.conv_id, CAST(zc.d AS BIGINT) AS depth, u.conv_id AS parent_conv_id, zc.n_convs, CAST(zc.c AS BIGINT) AS n_children,
+       CAST(sub.leaves AS BIGINT) AS n_leaves, CAST(sub.saved AS BIGINT) AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM zc JOIN sub ON sub.k = zc.k LEFT JOIN e ON e.k = zc.k LEFT JOIN z u ON zc.d > 0 AND u.k = left(zc.k, 32 * (zc.d - 1))
+"""

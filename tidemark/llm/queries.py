@@ -123,3 +123,14 @@ def q_jaccard_join(spark, sf_dir):
     from tidemark.llm.setjoin import jaccard_join
 
     return jaccard_join(table(spark, sf_dir, "documents"), percent=90, shingle=3).drop("root")
+
+
+@register("op13_prefix_trie")
+def q_prefix_trie(spark, sf_dir):
+    """The prefix trie of all conversations, each rebuilt with the first turns of its family's first one."""
+    from pyspark.sql import functions as F
+
+    from tidemark.llm.convtrie import prefix_trie, turn_sequences
+
+    lead = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4
+    return prefix_trie(turn_sequences(table(spark, sf_dir, "conversations"), family=20, lead=lead))
