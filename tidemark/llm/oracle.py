@@ -125,3 +125,25 @@ SELECT zc.conv_id, CAST(zc.d AS BIGINT) AS depth, u.conv_id AS parent_conv_id, z
        CAST(sub.leaves AS BIGINT) AS n_leaves, CAST(sub.saved AS BIGINT) AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
 FROM zc JOIN sub ON sub.k = zc.k LEFT JOIN e ON e.k = zc.k LEFT JOIN z u ON zc.d > 0 AND u.k = left(zc.k, 32 * (zc.d - 1))
 """
+
+LLM_ORACLES["op12_hard_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+         CAST(list_sum(list_transform(list_zip(a.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND c.vec_id <> a.vec_id),
+pos AS (
+  SELECT anchor_id, vec_id AS positive_id, score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+neg AS (
+  SELECT p.anchor_id, p.positive_id, p.score AS positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS r
+  FROM pos p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+   AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score)
+SELECT anchor_id, positive_id, CAST(r AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM neg WHERE r <= 5
+"""

@@ -134,3 +134,14 @@ def q_prefix_trie(spark, sf_dir):
 
     lead = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4
     return prefix_trie(turn_sequences(table(spark, sf_dir, "conversations"), family=20, lead=lead))
+
+
+@register("op12_hard_negatives")
+def q_hard_negatives(spark, sf_dir):
+    """Positives and hard negatives of every vector whose id is divisible by 100."""
+    from pyspark.sql import functions as F
+
+    from tidemark.llm.negatives import mine
+
+    label = F.when(F.col("id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(table(spark, sf_dir, "embeddings"), "id % 100 = 0", label=label, positives=5, negatives=5, low=80, scale=256.0)
