@@ -276,6 +276,31 @@ SELECT CAST(user_id AS VARCHAR) AS key, CAST(value AS VARCHAR) AS value FROM eve
 WITH per AS (SELECT event_type, min(CAST(ts AS DATE)) AS lo, max(CAST(ts AS DATE)) AS hi FROM events GROUP BY 1)
 SELECT strftime(ts, '%Y%m%d') AS date, CAST(0 AS INTEGER) AS batch, CAST(value AS VARCHAR) AS value
 FROM events WHERE CAST(ts AS DATE) BETWEEN (SELECT min(lo) FROM per) AND (SELECT min(hi) FROM per)""",
+    "current_meta_log": """
+SELECT s.stage, m.* FROM (VALUES ('before'), ('after'), ('more')) s(stage), (
+  SELECT event_type AS ds, 'latest' AS field, arg_max(strftime(CAST(ts AS DATE) - 1, '%Y%m%d'), ts) AS value, max(ts) AS updated_at
+  FROM events GROUP BY event_type) m""",
+    "chained_processors": """
+WITH per AS (SELECT event_type, min(CAST(ts AS DATE)) AS lo, max(CAST(ts AS DATE)) AS hi FROM events GROUP BY 1)
+SELECT strftime(ts, '%Y%m%d') AS date, CAST(value AS VARCHAR) AS value
+FROM events WHERE CAST(ts AS DATE) >= (SELECT min(lo) FROM per) AND CAST(ts AS DATE) < (SELECT min(hi) FROM per)""",
+    "routed_batches": """
+SELECT event_type AS key, CASE WHEN value > 100 THEN NULL ELSE 'v' || chr(10) || CAST(value AS VARCHAR) END AS value FROM events""",
+    "numbered_batches": """
+SELECT event_type, event_id, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1 AS seq FROM events""",
+    "ledger_counters": """
+SELECT 'values_result' AS proc, t.name, t.value FROM (
+  SELECT 'records' AS name, count(*) AS value FROM events UNION ALL
+  SELECT 'long' AS name, count_if(strlen(CAST(value AS VARCHAR)) > 5) AS value FROM events) t""",
+    "pinned_lookup": """
+SELECT CAST(e.value AS VARCHAR) || '|' || coalesce(c.c_name, '') AS value
+FROM events e LEFT JOIN customer c ON CAST(e.user_id AS VARCHAR) = CAST(c.c_custkey AS VARCHAR)""",
+    "stream_fail_ratio": """
+SELECT strftime(ts, '%Y%m%d') AS date, count_if(event_type = 'error') AS failed, count(*) AS total,
+       count_if(event_type = 'error') / (count(*) + CAST(0.01 AS DOUBLE)) AS fail_ratio
+FROM events WHERE ts IS NOT NULL GROUP BY 1""",
+    "capped_batches": "SELECT count(*) AS records, true AS within_cap FROM events",
+    "continuous_day": "SELECT count(*) AS records, count(*) AS num_input_rows, true AS finished FROM events",
     "write_by_key": "SELECT event_type, CAST(value AS VARCHAR) AS value FROM events",
     "committed_batches": f"""
 SELECT e.event_type AS proc, strftime(make_timestamp(e.bs), '%Y%m%d') AS date,

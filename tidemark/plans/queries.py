@@ -25,6 +25,7 @@ from tidemark.session import materialize, scratch_dir, session_conf
 from tidemark.sinks.batches import (latest_commits, ledger_from_replay, read_by_key, read_ledger, write_batches,
                                     write_by_key)
 from tidemark.sinks.messages import prepare_messages
+from tidemark.sinks.metalog import MetaLog
 from tidemark.sources.committed import read_committed, read_committed_partitioned
 from tidemark.sources.counters import encode_counter, read_counters, write_counter_files
 from tidemark.sources.topics import dated_topics, read_dated_topics, topic_names, write_dated_folders
@@ -362,19 +363,26 @@ def q_run_days(spark, sf_dir):
 
     events = _events(spark, sf_dir)
     base = scratch_dir(spark, "run-days")
-    topics, out, ledger, checkpoints, meta_path = (f"{base}/{n}" for n in ("topics", "out", "ledger", "checkpoints", "meta"))
-    write_dated_folders(fx.stream_records(events), topics)
-    fx.meta_history(events).write.parquet(meta_path)
-    meta = spark.read.parquet(meta_path)
-    at_start = meta.groupBy("ds").agg(F.min_by("value", F.struct("updated_at", "seq")).alias("latest"))
-    names = meta.agg(F.concat_ws(",", F.array_sort(F.collect_set("ds"))).alias("n")).first()["n"]
+    out, ledger = f"{base}/out", f"{base}/ledger"
+    names, log, at_start = _announced(spark, events, base)
+    write_dated_folders(fx.stream_records(events), f"{base}/topics")
     algo = ValuesAlgorithm(resource=names)
-    run_processor(spark, algo, lambda: current_meta(meta, seq="seq").select("ds", F.col("value").alias("latest")),
-                  _datasets(events), lambda t, date: read_dated_topics(spark, t, date, root=topics),
-                  out, ledger, checkpoints, latest_at_start=at_start)
+    run_processor(spark, algo, None, _datasets(events), lambda t, date: read_dated_topics(spark, t, date, root=f"{base}/topics"),
+                  out, ledger, f"{base}/checkpoints", latest_at_start=at_start, log=log)
     return read_committed(spark, out, read_ledger(spark, ledger), proc=algo.result)
 
 
+def _announced(spark: SparkSession, events: DataFrame, base: str) -> tuple[str, MetaLog, DataFrame]:
+    """The producers' names, their announcements in a metadata log, and their first ones."""
+    meta = materialize(fx.meta_history(events), "announcements")
+    log = MetaLog(spark, f"{base}/meta")
+    log.append(meta)
+    log.compact()
+    at_start = materialize(meta.groupBy("ds").agg(F.min_by("value", F.struct("updated_at", "seq")).alias("latest")), "at-start")
+    names = meta.agg(F.concat_ws(",", F.array_sort(F.collect_set("ds"))).alias("n")).first()["n"]
+    return names, log, at_start
+
+
 @register("read_dated_topics")
 def q_read_dated_topics(spark, sf_dir):
     """SRC-1 (folder stand-in): records laid out per dated topic, read back for all dates; the topics are
@@ -483,3 +491,6 @@ def q_replay_ledger_stream(spark, sf_dir):
     q.awaitTermination()
     return spark.read.schema(
         "proc string, batch_time bigint, trace string, batch_num int, outcome string").parquet(out)
+
+
+from tidemark.plans import stream_queries  # noqa: E402, F401  (registers the queries that run streams)

@@ -4,9 +4,12 @@
   ``overwrite`` makes a replayed batch idempotent.
 * :func:`write_by_key`  -- route each record to an output named by its key (the key is not written);
   a salt spreads a hot key over several tasks, each writing its own file in the key's folder.
+* :func:`write_batch_by_key` -- the same for one micro-batch, as Parquet (line feeds and nulls stay).
 * ledger               -- one appended row per published batch ``(proc, date, batch, batch_time,
-  num_records, commit, published_at, query_id)``; readers join it (SRC-3) and ``latest`` is an aggregate
-  over it. ``query_id`` names the checkpoint whose query wrote the batch.
+  num_records, commit, published_at, query_id, files, counters, versions)``; readers take its files (SRC-3) and
+  ``latest`` is an aggregate over it. ``query_id`` names the checkpoint whose query wrote the batch, ``files``
+  the files that hold it, below the output's root; ``counters`` what the algorithm counted while it was written,
+  and ``versions`` the lookups that it used.
   One row replaces the reference's three steps (ready marker, commit point, latest), so there is no
   window in which data is ready but the commit is missing.
 """
@@ -24,7 +27,8 @@ from tidemark.session import session_conf
 
 LEDGER_PARTITIONS = ("proc", "date")
 LEDGER_SCHEMA = ("proc string, date string, batch int, batch_time bigint, num_records bigint, "
-                 "commit string, published_at timestamp, query_id string")
+                 "commit string, published_at timestamp, query_id string, files array<string>, "
+                 "counters map<string,bigint>, versions map<string,bigint>")
 LEDGER_COLUMNS = [c.split()[0] for c in LEDGER_SCHEMA.split(", ")]
 # fixed value: stands for the empty key in folder names; keys that begin with it get one more
 EMPTY_KEY = "@"
@@ -57,6 +61,36 @@ def write_by_key(df: DataFrame, path: str, key: str = "key", value: str = "value
      .write.mode("overwrite").partitionBy(key).option("compression", "gzip").text(path))
 
 
+def routed_location(root: str, date: str, batch: int) -> str:
+    return f"{root.rstrip('/')}/date={date}/batch={int(batch)}"
+
+
+def write_batch_by_key(df: DataFrame, root: str, date: str, batch: int, key: str = "key", value: str = "value") -> str:
+    """One micro-batch routed by key: ``{root}/date=../batch=../{key}=../part-*.parquet`` with the values as they
+    are (any type; line feeds, null and empty values stay). The batch's folder is replaced as a whole, so a
+    replay leaves nothing of an earlier attempt, also where a key is gone. Keys as in :func:`write_by_key`."""
+    k = F.col(key).cast("string")
+    marked = F.when((k == "") | k.startswith(EMPTY_KEY), F.concat(F.lit(EMPTY_KEY), k)).otherwise(k)
+    path = routed_location(root, date, batch)
+    (df.select(marked.alias(key), F.col(value).alias("value")).hint("rebalance", key)
+     .write.mode("overwrite").partitionBy(key).parquet(path))
+    return path
+
+
+def data_files(spark: SparkSession, root: str, path: str) -> list[str]:
+    """Data files under ``path``, named from ``root``, sorted: the manifest of a batch that was just written."""
+    jvm = spark.sparkContext._jvm
+    base, top = jvm.org.apache.hadoop.fs.Path(root.rstrip("/")), jvm.org.apache.hadoop.fs.Path(path)
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    prefix = fs.makeQualified(base).toString().rstrip("/") + "/"
+    found, listed = [], fs.listFiles(top, True)
+    while listed.hasNext():
+        f = listed.next().getPath()
+        if not f.getName().startswith(("_", ".")):
+            found.append(f.toString()[len(prefix):])
+    return sorted(found)
+
+
 def write_batches(df: DataFrame, root: str, partition_cols: list[str], value: str = "value") -> None:
     """Backfill many batches in one job: ``{root}/{col}={v}/.../part-*.gz`` per batch, rebalanced
     on the batch columns (AQE splits an oversized batch, merges tiny ones)."""
@@ -79,10 +113,11 @@ def read_by_key(spark: SparkSession, path: str, key: str = "key") -> DataFrame:
 
 
 def ledger_rows(spark: SparkSession, proc: str, date: str, batch: int, batch_time: int, num_records: int,
-                query_id: str | None = None) -> DataFrame:
+                query_id: str | None = None, files: list[str] | None = None, counters: dict[str, int] | None = None,
+                versions: dict[str, int] | None = None) -> DataFrame:
     now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     row = (proc, date, int(batch), int(batch_time), int(num_records),
-           f"{batch_dir(date, batch)}/{int(batch_time)}", now, query_id)
+           f"{batch_dir(date, batch)}/{int(batch_time)}", now, query_id, files, counters, versions)
     return spark.createDataFrame([row], LEDGER_SCHEMA)
 
 
@@ -93,9 +128,10 @@ def append_ledger(rows: DataFrame, ledger_path: str) -> None:
 
 
 def publish_batch(spark: SparkSession, ledger_path: str, proc: str, date: str, batch: int, batch_time: int,
-                  num_records: int, query_id: str | None = None) -> None:
+                  num_records: int, query_id: str | None = None, files: list[str] | None = None,
+                  counters: dict[str, int] | None = None, versions: dict[str, int] | None = None) -> None:
     """Append the batch's ledger row (after its data is written): one small file, no shuffle."""
-    rows = ledger_rows(spark, proc, date, batch, batch_time, num_records, query_id)
+    rows = ledger_rows(spark, proc, date, batch, batch_time, num_records, query_id, files, counters, versions)
     rows.coalesce(1).write.mode("append").partitionBy(*LEDGER_PARTITIONS).parquet(ledger_path)
 
 
@@ -112,11 +148,17 @@ def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
     return led.select(*LEDGER_COLUMNS)
 
 
+def ledger_folder(spark: SparkSession, ledger_path: str, proc: str, date: str) -> str:
+    """The folder of a processor's date, its names escaped as Spark's own writer does it."""
+    names = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return "/".join([ledger_path.rstrip("/"), names.getPartitionPathString("proc", proc),
+                     names.getPartitionPathString("date", date)])
+
+
 def ledger_entry(spark: SparkSession, ledger_path: str, proc: str, date: str, batch: int):
     """The ledger row of ``(proc, date, batch)`` or ``None``: lists and reads the one folder of the
     processor's date, whatever else the ledger holds."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(f"{ledger_path.rstrip('/')}/proc={proc}/date={date}")
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(ledger_folder(spark, ledger_path, proc, date))
     if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
         return None
     own = ", ".join(c for c in LEDGER_SCHEMA.split(", ") if c.split()[0] not in LEDGER_PARTITIONS)
@@ -136,6 +178,9 @@ def ledger_from_replay(replayed: DataFrame, log: DataFrame | None = None) -> Dat
         commit_point("trace", "batch_num", "batch_time").alias("commit"),
         F.timestamp_millis("batch_time").alias("published_at"),
         F.lit(None).cast("string").alias("query_id"),
+        F.lit(None).cast("array<string>").alias("files"),
+        F.lit(None).cast("map<string,bigint>").alias("counters"),
+        F.lit(None).cast("map<string,bigint>").alias("versions"),
     )
 
 
@@ -148,3 +193,10 @@ def latest_commits(ledger: DataFrame) -> DataFrame:
         F.max_by(batch_path("date", "batch"), order).alias("latest"),
         F.count(F.lit(1)).alias("batches"),
     )
+
+
+def counter_totals(ledger: DataFrame) -> DataFrame:
+    """``(proc, name, value)``: the counters of all published batches, summed (AGG-5). A batch has one ledger row,
+    however often it was replayed, so each counts once."""
+    each = ledger.select("proc", F.explode("counters").alias("name", "value"))
+    return each.groupBy("proc", "name").agg(F.sum("value").alias("value"))

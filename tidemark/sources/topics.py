@@ -74,6 +74,25 @@ def dated_folders(root: str, topics: list[str], date: str) -> str:
     return f"{root.rstrip('/')}/{FOLDER_KEY}={inner}"
 
 
+def files_within(spark: SparkSession, path: str, records: int) -> int:
+    """Files that a micro-batch may take so that it holds at most ``records``: by the largest file that is there.
+    A file over the cap is an error (it cannot be read in parts; :func:`write_dated_folders` takes a limit), and
+    producers must not write larger ones later. Counted from the files' footers, one row per file."""
+    if records <= 0:
+        raise ValueError("the cap on records must be positive")
+    # a pattern that matches nothing yet is no error for a stream, so neither here
+    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern)
+    if not found:
+        return 1
+    sizes = spark.read.schema(RECORD_SCHEMA).parquet(path).select(F.col("_metadata.file_path").alias("f")) \
+        .groupBy("f").agg(F.count(F.lit(1)).alias("n"))
+    largest = sizes.agg(F.max("n")).first()[0] or 1
+    if largest > records:
+        raise ValueError(f"a file under {path} holds {largest} records, more than the {records} of a micro-batch")
+    return records // largest
+
+
 def read_dated_topics(spark: SparkSession, topics: list[str], date: str, brokers: str | None = None,
                       root: str | None = None, max_offsets_per_trigger: int | None = None,
                       max_files_per_trigger: int | None = None, stream: bool = True,
@@ -83,7 +102,8 @@ def read_dated_topics(spark: SparkSession, topics: list[str], date: str, brokers
 
     ``brokers``: Kafka. ``root``: one folder of parquet files per dated topic. ``max_rate``: records a second
     and partition; with ``partitions`` (of all topics together) and ``latency_min`` it gives the cap per
-    trigger."""
+    trigger, ``max_offsets_per_trigger`` gives it as it is. For folders the cap is kept by whole files
+    (:func:`files_within`)."""
     if max_rate is not None:
         if partitions is None or latency_min is None or max_offsets_per_trigger is not None:
             raise ValueError("max_rate needs partitions and latency_min, and no max_offsets_per_trigger")
@@ -99,6 +119,9 @@ def read_dated_topics(spark: SparkSession, topics: list[str], date: str, brokers
     if not root:
         raise ValueError("give brokers or a root folder")
     path = dated_folders(root, topics, date)
+    if stream and max_offsets_per_trigger is not None:
+        fit = files_within(spark, path, max_offsets_per_trigger)
+        max_files_per_trigger = fit if max_files_per_trigger is None else min(fit, max_files_per_trigger)
     if stream:
         r = spark.readStream.schema(RECORD_SCHEMA)
         if max_files_per_trigger:
@@ -107,9 +130,11 @@ def read_dated_topics(spark: SparkSession, topics: list[str], date: str, brokers
     return spark.read.schema(RECORD_SCHEMA).parquet(path).select("key", "value")
 
 
-def write_dated_folders(records: DataFrame, root: str, topic: str = "topic", date: str = "date") -> None:
+def write_dated_folders(records: DataFrame, root: str, topic: str = "topic", date: str = "date",
+                        records_per_file: int | None = None) -> None:
     """Lay records out as the file stand-in of dated topics: ``{root}/dated_topic={topic}-{date}/``.
-    Used to feed tests from the driver tables (one write job for all folders)."""
-    (records.withColumn("dated_topic", dated_topic(topic, date))
-     .select("key", "value", "dated_topic")
-     .write.mode("overwrite").partitionBy("dated_topic").parquet(root))
+    Used to feed tests from the driver tables (one write job for all folders). Rows are rebalanced by folder, so
+    that a folder gets few files and a large one several tasks. ``records_per_file`` bounds each file."""
+    out = records.withColumn("dated_topic", dated_topic(topic, date)).select("key", "value", "dated_topic") \
+        .hint("rebalance", "dated_topic").write.mode("overwrite").partitionBy("dated_topic")
+    (out.option("maxRecordsPerFile", int(records_per_file)) if records_per_file else out).parquet(root)

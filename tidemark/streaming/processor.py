@@ -6,16 +6,20 @@ metadata table, the producers' topics and the processor's own ledger.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.batches import batch_dir
 from tidemark.operators.meta import resume_from_ledger, sync_point
 from tidemark.sinks.batches import LEDGER_SCHEMA, read_ledger
+from tidemark.sinks.metalog import SCHEMA as META_SCHEMA
+from tidemark.sinks.metalog import LatestReader, MetaLog
 from tidemark.sources.topics import dated_topics, topic_names
 from tidemark.streaming.algorithm import Algorithm
-from tidemark.streaming.runner import DayRun, run_days
+from tidemark.streaming.runner import DayRun, run_days, run_days_continuous
 
 
 def upstream_sync(spark: SparkSession, algo: Algorithm, latest: DataFrame) -> str | None:
@@ -39,20 +43,59 @@ def start_date(spark: SparkSession, algo: Algorithm, latest: DataFrame, ledger_p
     return row["trace"]
 
 
-def run_processor(spark: SparkSession, algo: Algorithm, latest: Callable[[], DataFrame], datasets: DataFrame,
-                  source: Callable[[list[str], str], DataFrame], out_root: str, ledger_path: str,
-                  checkpoint_base: str, latest_at_start: DataFrame | None = None, **options) -> list[DayRun]:
-    """:func:`tidemark.streaming.runner.run_days` for one processor.
+class Publisher:
+    """Puts a processor's progress into the metadata log, so that others can follow it: after each batch
+    ``batch_latest`` (``{date}/{bb}00``) and ``commit``, after each finished date ``latest`` (the date). Each is a
+    last write, so a replay changes nothing. The log is compacted after every ``compact_every`` deltas."""
+
+    def __init__(self, log: MetaLog, proc: str, compact_every: int = 64):
+        self.log, self.proc, self.compact_every = log, proc, compact_every
+
+    def _put(self, **fields: str) -> None:
+        now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        rows = [(self.proc, field, value, now, None) for field, value in fields.items()]
+        number = self.log.append(self.log.spark.createDataFrame(rows, META_SCHEMA))
+        if (number + 1) % self.compact_every == 0:
+            self.log.compact()
+
+    def published(self, date: str, batch: int, commit: str) -> None:
+        self._put(batch_latest=batch_dir(date, batch), commit=commit)
+
+    def finished(self, date: str) -> None:
+        self._put(latest=date)
+
+
+def run_processor(spark: SparkSession, algo: Algorithm, latest: Callable[[], DataFrame] | None, datasets: DataFrame | None,
+                  source: Callable[..., DataFrame], out_root: str, ledger_path: str,
+                  checkpoint_base: str, latest_at_start: DataFrame | None = None, log: MetaLog | None = None,
+                  continuous: bool = False, **options) -> list[DayRun]:
+    """:func:`tidemark.streaming.runner.run_days` for one processor; with ``continuous``
+    :func:`tidemark.streaming.runner.run_days_continuous` (whose ``timeout_sec`` ends it).
 
     ``latest()``: the current ``(ds, latest)`` of the producers, read anew for every pass
     (``latest_at_start``: as it was when the processor was first started). ``datasets(ds, topics)``: the
-    producers' topics. ``source(topics, date)``: the stream over topics of a date.
+    producers' topics. ``source(topics, date)``: the stream over topics of a date; or another processor's
+    batches (:class:`tidemark.sources.committed.CommittedSource`), for which no ``datasets`` are needed.
+
+    ``log``: the metadata as a log. Then ``latest`` may be None: the upstreams' days are followed in the log,
+    reading its newest snapshot once and only new deltas after that, and the processor's own progress is
+    published there.
     """
-    first = start_date(spark, algo, latest() if latest_at_start is None else latest_at_start, ledger_path)
+    names = sorted({n for n in algo.resource.split(",") if n})
+    reader = LatestReader(log, names) if log is not None and latest is None else None
+    if latest_at_start is None:
+        latest_at_start = latest() if reader is None else spark.createDataFrame(
+            list(reader.latest().items()), "ds string, latest string")
+    first = start_date(spark, algo, latest_at_start, ledger_path)
 
     def stream(date: str) -> DataFrame:
         asked = spark.createDataFrame([(date, algo.resource)], "date string, producers string")
         return source(topic_names(dated_topics(datasets, asked), date), date)
 
-    return run_days(spark, algo, first, stream, lambda: upstream_sync(spark, algo, latest()), out_root, ledger_path,
-                    checkpoint_base, **options)
+    sync = reader.sync if reader else lambda: upstream_sync(spark, algo, latest())
+    if log is not None:
+        own = Publisher(log, algo.result)
+        options = {"on_published": own.published, "on_finished": own.finished, **options}
+    walk = run_days_continuous if continuous else run_days
+    return list(walk(spark, algo, first, source if hasattr(source, "expand") else stream, sync, out_root, ledger_path,
+                     checkpoint_base, **options))
