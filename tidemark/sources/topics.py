@@ -8,6 +8,8 @@ tests: the Kafka connector is not part of this environment.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -123,6 +125,8 @@ def read_dated_topics(spark: SparkSession, topics: list[str], date: str, brokers
         fit = files_within(spark, path, max_offsets_per_trigger)
         max_files_per_trigger = fit if max_files_per_trigger is None else min(fit, max_files_per_trigger)
     if stream:
+        if not re.search(r"[{\[*?]", path):
+            path = f"{path[:-1]}[{path[-1]}]"  # a pattern: the folder of a date need not be there yet
         r = spark.readStream.schema(RECORD_SCHEMA)
         if max_files_per_trigger:
             r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
