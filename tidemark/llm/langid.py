@@ -2,8 +2,12 @@
 
 Each language has a distribution over letter trigrams (hashed into a fixed number of buckets), counted
 over all training rows. A document is a mixture: expectation-maximisation over its words estimates the
-languages' proportions from the words' trigram likelihoods, and the set of languages is the one of the
-highest likelihood less a penalty per further language.
+languages' proportions from the words' trigram likelihoods. The set of languages begins with the likeliest
+one; the others join it in the order of their proportions for as long as the likelihood less a penalty per
+further language rises.
+
+How well the chosen mixture explains a text is held against noise, letters whose trigrams are all equally
+likely: the difference of the log likelihoods is the text's evidence for being in any learned language.
 """
 
 from __future__ import annotations
@@ -22,8 +26,6 @@ SMOOTHING = 0.1
 GROUP_CHARS = 1 << 20  # characters of text worked on at a time
 STEPS = 8  # EM steps over all languages
 SET_STEPS = 4  # EM steps for a chosen set of languages
-LARGEST_SET = 3
-LEAST_SHARE = 0.02  # a language below this share is not added to a set
 PENALTY = 5.0  # times log(words), for every language after the first
 UNKNOWN = "und"
 
@@ -120,56 +122,62 @@ def _value(like, text, starts, share) -> np.ndarray:
     return np.add.reduceat(np.log((like * share[text]).sum(axis=1) + 1e-300), starts)
 
 
-def infer(texts: list[str | None], logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Shares of the languages in each text (all 0 if it has no letter), and whether it has one."""
+def infer(texts: list[str | None], logs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Shares of the languages in each text (all 0 if it has no letter), whether it has one, and its evidence:
+    log likelihood of the mixture less that of noise (0 without a letter)."""
     k = logs.shape[1]
     t = Trigrams(texts)
-    out = np.zeros((len(texts), k))
+    out, evidence = np.zeros((len(texts), k)), np.zeros(len(texts))
     known = np.diff(t.first) > 0
     if not known.any() or not k:
-        return out, known
+        return out, known, evidence
     words = np.add.reduceat(logs[t.bucket], t.word)
-    like = np.exp(np.maximum(words - words.max(axis=1, keepdims=True), -60)).astype(np.float64)
+    most = words.max(axis=1, keepdims=True)
+    like = np.exp(np.maximum(words - most, -60)).astype(np.float64)
     starts = t.first[:-1][known]
     n = np.diff(t.first)[known]
     text = np.repeat(np.arange(len(starts)), n)
     share = _em(like, text, starts, np.full((len(starts), k), 1 / k), STEPS)
 
-    # sets of 1, 2, ... languages: those of the largest shares; one language needs no EM
+    # one language needs no EM; then sets of 2, 3, ... of those of the largest shares, while that is better
     single = np.add.reduceat(np.log(like), starts)
-    best_one = single.argmax(axis=1)
     result = np.zeros_like(share)
-    result[np.arange(len(starts)), best_one] = 1
+    result[np.arange(len(starts)), single.argmax(axis=1)] = 1
     value = single.max(axis=1)
+    reached = value.copy()  # without the penalty
     rank = np.argsort(-share, axis=1, kind="stable")
-    for size in range(2, min(LARGEST_SET, k) + 1):
-        more = np.flatnonzero(share[np.arange(len(starts)), rank[:, size - 1]] >= LEAST_SHARE)
-        if not len(more):
-            break
+    more = np.arange(len(starts))
+    for size in range(2, k + 1):
         pick = np.isin(text, more)
         mask = np.zeros((len(more), k))
         np.put_along_axis(mask, rank[more, :size], 1, axis=1)
-        part = share[more] * mask
+        part = (share[more] + 1e-9) * mask
         part /= part.sum(axis=1, keepdims=True)
         sub = np.repeat(np.arange(len(more)), n[more])
         sub_starts = np.concatenate(([0], np.cumsum(n[more])))[:-1]
         part = _em(like[pick], sub, sub_starts, part, SET_STEPS)
-        score = _value(like[pick], sub, sub_starts, part) - PENALTY * (size - 1) * np.log(n[more] + 1)
+        bare = _value(like[pick], sub, sub_starts, part)
+        score = bare - PENALTY * (size - 1) * np.log(n[more] + 1)
         better = score > value[more]
-        value[more[better]] = score[better]
-        result[more[better]] = part[better]
+        more = more[better]
+        if not len(more):
+            break
+        value[more], reached[more], result[more] = score[better], bare[better], part[better]
+    letters = np.diff(t.letter)[known]
+    evidence[known] = reached + np.add.reduceat(most[:, 0].astype(np.float64), starts) + letters * np.log(BUCKETS)
     out[known] = result
-    return out, known
+    return out, known, evidence
 
 
 def identify(docs: DataFrame, langs: list[str], logs: np.ndarray, id_col: str = "doc_id",
              text_col: str = "text", keep: list[str] = ()) -> DataFrame:
-    """``(id, lang_pred, score, languages)`` and the columns ``keep``: the language of the largest share, that share, and all
-    languages of the chosen set with their shares, largest first.
+    """``(id, lang_pred, score, languages, evidence)`` and the columns ``keep``: the language of the largest share, that
+    share, all languages of the chosen set with their shares, largest first, and the evidence against noise.
 
-    A null text, one without a letter, or no learned language at all: ``und``, score 0, no languages.
+    A null text, one without a letter, or no learned language at all: ``und``, score 0, no languages, evidence 0.
     Equal shares: the first language in order. Null or repeated ids get a row each; an empty table gives
-    none. Only the text is looked at. No shuffle.
+    none. Only the text is looked at. No shuffle. A text is worked on whole: about 40 bytes a letter and 24 a word
+    and language.
     """
     spark = docs.sparkSession
     prepare(spark)
@@ -180,9 +188,10 @@ def identify(docs: DataFrame, langs: list[str], logs: np.ndarray, id_col: str =
         pairs = pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())]))
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            pred, score, sets = [], [], []
+            pred, score, sets, evidence = [], [], [], []
             for a, b in byte_groups(texts, GROUP_CHARS):
-                shares, known = infer(texts[a:b], logs)
+                shares, known, told = infer(texts[a:b], logs)
+                evidence += told.tolist()
                 for row, has in zip(shares, known, strict=True):
                     if not has or not langs:
                         pred.append(UNKNOWN)
@@ -195,17 +204,17 @@ def identify(docs: DataFrame, langs: list[str], logs: np.ndarray, id_col: str =
                     sets.append([{"lang": langs[i], "share": float(row[i])} for i in order])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(sets, pairs),
-                 *[batch.column(2 + i) for i in range(len(more))]],
-                names=["id", "lang_pred", "score", "languages", *[f"_keep{i}" for i in range(len(more))]])
+                 pa.array(evidence, pa.float64()), *[batch.column(2 + i) for i in range(len(more))]],
+                names=["id", "lang_pred", "score", "languages", "evidence", *[f"_keep{i}" for i in range(len(more))]])
 
     more = [c for c in keep if c != id_col]
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                        *[F.col(c).alias(f"_keep{i}") for i, c in enumerate(more)])
     out = rows.mapInArrow(run, f"id {kinds[id_col]}, lang_pred string, score double, "
-                               "languages array<struct<lang:string,share:double>>"
+                               "languages array<struct<lang:string,share:double>>, evidence double"
                                + "".join(f", _keep{i} {kinds[c]}" for i, c in enumerate(more)))
-    return out.select(F.col("id").alias(id_col), "lang_pred", "score", "languages",
+    return out.select(F.col("id").alias(id_col), "lang_pred", "score", "languages", "evidence",
                       *[F.col(f"_keep{i}").alias(c) for i, c in enumerate(more)])
 
 
