@@ -11,20 +11,21 @@ def _rows(seed=1, n=400, dim=6):
     for i in range(0, n, 3):
         rows[i] = (i, rows[0][1])  # a third of all vectors are one vector
     return rows + [(1000, None), (1020, [0.1, None]), (1040, [float("nan")] * dim), (1060, [float("inf")] + [0.0] * (dim - 1)),
-                   (None, rows[1][1]), (1080, []), (1100, [0.5, -0.5]), (20, rows[20][1])]
+                   (None, rows[1][1]), (1080, []), (1100, [0.5, -0.5]), (20, rows[20][1]),
+                   (40, rows[7][1]), (7, rows[8][1]), (7, rows[8][1])]  # ids and rows that repeat
 
 
 def _brute(rows, k, every):
-    ok = {}
+    ok = []
     for i, v in rows:
         if i is None or v is None or any(x is None or not np.isfinite(x) for x in v):
             continue
-        q = [int(np.floor(64 * x)) for x in v]
-        ok[i] = max(ok.get(i, q), q)
+        ok.append((i, [int(np.floor(64 * x)) for x in v]))
     out = []
-    for q in (i for i in ok if i % every == 0):
-        scored = sorted((-sum(a * b for a, b in zip(ok[q], ok[c])), c) for c in ok if c != q)
-        out += [(q, r + 1, c, -s) for r, (s, c) in enumerate(scored[:k])]
+    for n, (q, x) in enumerate(ok):
+        if q % every == 0:
+            scored = sorted((-sum(a * b for a, b in zip(x, y)), c) for m, (c, y) in enumerate(ok) if m != n)
+            out += [(q, r + 1, c, -s) for r, (s, c) in enumerate(scored[:k])]
     return sorted(out)
 
 
@@ -55,7 +56,7 @@ def test_search_prunes_and_stays_exact():
     best = BestK(np.array([-1]), np.array([[10, 1, 0]]), 5)
     looked = []
     add = best.add
-    best.add = lambda rows, i, v: (looked.append(len(i)), add(rows, i, v))
+    best.add = lambda rows, i, v, own: (looked.append(len(i)), add(rows, i, v, own))
     best.search(ids[order], points[order])
     scores = points @ np.array([10, 1, 0])
     expect = sorted(zip(-scores, ids))[:5]
@@ -63,8 +64,11 @@ def test_search_prunes_and_stays_exact():
     assert sum(looked) < len(points) / 3  # boxes of the other clusters are never opened
 
 
-def test_large_components_stay_exact():
-    a = np.array([[2**40, -(2**41)]])
-    assert topk._dot(a, a).tolist() == [[(2**80 + 2**82) % 2**64 - (0 if (2**80 + 2**82) % 2**64 < 2**63 else 2**64)]]
+def test_large_components_are_exact_or_an_error(spark):
     b = np.array([[2**25, 3]])
     assert topk._dot(b, b).tolist() == [[2**50 + 9]]
+    a = np.array([[2**30, 2**29]])
+    assert topk._dot(a, a).tolist() == [[2**60 + 2**58]]
+    df = spark.createDataFrame([(0, [1e12]), (20, [1e12])], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="64 bits"):
+        top_k(df, "id % 20 = 0")

@@ -67,22 +67,25 @@ def _dot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 class BestK:
     """The best ``k`` (score, id) of each query so far: highest scores, ties to the smaller id."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, numbers: np.ndarray | None = None):
         self.ids, self.vectors, self.k = ids, vectors, k
+        self.numbers = ids if numbers is None else numbers  # of the queries' own rows
         self.score = np.full((len(ids), k), _LOW, dtype=np.int64)
         self.found = np.full((len(ids), k), np.iinfo(np.int64).max, dtype=np.int64)
 
-    def add(self, rows: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> None:
+    def add(self, rows: np.ndarray, ids: np.ndarray, vectors: np.ndarray, numbers: np.ndarray) -> None:
         score = _dot(self.vectors[rows], vectors)
-        score[self.ids[rows][:, None] == ids[None, :]] = _LOW  # a query's own row
+        score[self.numbers[rows][:, None] == numbers[None, :]] = _LOW  # a query's own row
         score = np.concatenate((self.score[rows], score), axis=1)
         found = np.concatenate((self.found[rows], np.broadcast_to(ids, (len(rows), len(ids)))), axis=1)
         best = np.lexsort((found, -score), axis=1)[:, :self.k]
         self.score[rows] = np.take_along_axis(score, best, axis=1)
         self.found[rows] = np.take_along_axis(found, best, axis=1)
 
-    def search(self, ids: np.ndarray, points: np.ndarray) -> None:
-        """Take all queries through one shard, whose points are in tree order."""
+    def search(self, ids: np.ndarray, points: np.ndarray, numbers: np.ndarray | None = None) -> None:
+        """Take all queries through one shard, whose points are in tree order; ``numbers``: of its rows (the ids, if
+        these differ)."""
+        numbers = ids if numbers is None else numbers
         positive, negative = np.maximum(self.vectors, 0), np.minimum(self.vectors, 0)
         alive = np.ones((len(self.ids), 1), dtype=bool)
         for level in node_ranges(len(ids)):
@@ -103,7 +106,7 @@ class BestK:
                 break
             for x in np.unique(leaf[left]):
                 a, b = level[x]
-                self.add(np.flatnonzero(left & (leaf == x)), ids[a:b], points[a:b])
+                self.add(np.flatnonzero(left & (leaf == x)), ids[a:b], points[a:b], numbers[a:b])
 
     def _may(self, rows, bound, least) -> np.ndarray:
         """Whether a box may hold a better candidate than the kth: a higher score, or a smaller id."""
@@ -117,9 +120,10 @@ def top_k(vectors: DataFrame, queries: str, k: int = 20, scale: float = 64.0, id
     holds for, the ``k`` highest inner products with all other rows, ties to the smaller id; all of them
     if there are fewer. Components are taken as ``floor(scale * x)``; scores are exact integers.
 
-    Rows with a null id, a null vector or a null or non-finite component take no part. Of several rows
-    with one id the largest vector (compared component by component) counts. Shorter vectors count as
-    filled up with zeros. No rows, no queries: no result. Other columns are not read.
+    Rows with a null id, a null vector or a null or non-finite component take no part. Rows of one id are rows of
+    their own: each is a candidate for the others, and a query of its own if its id is asked for. Vectors whose
+    products could leave 64 bits are an error. Shorter vectors count as filled up with zeros. No rows, no queries:
+    no result. Other columns are not read.
     """
     spark = vectors.sparkSession
     prepare(spark)
@@ -127,28 +131,31 @@ def top_k(vectors: DataFrame, queries: str, k: int = 20, scale: float = 64.0, id
     rows = (vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
             .where(F.col("id").isNotNull() & v.isNotNull()
                    & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))))
-            .select("id", F.transform(v, lambda x: F.floor(x * F.lit(scale)).cast("long")).alias("v"))
-            .groupBy("id").agg(F.max("v").alias("v")))
+            .select("id", F.transform(v, lambda x: F.floor(x * F.lit(scale)).cast("long")).alias("v"),
+                    F.monotonically_increasing_id().alias("row")))
     rows = cut(rows, "vectors")
     size = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("dim"),
+                    F.max(F.array_max(F.transform("v", lambda x: F.abs(x)))).alias("top"),
                     F.count(F.when(F.expr(queries), 1)).alias("q")).first()
-    n, dim, q = size["n"], max(1, size["dim"] or 0), size["q"]
+    n, dim, q, top = size["n"], max(1, size["dim"] or 0), size["q"], size["top"] or 0
+    if top < 0 or top * top * dim >= -_LOW:
+        raise ValueError(f"components of up to {top} in {dim} dimensions: their products could leave 64 bits")
     shards, blocks = max(1, -(-n // SHARD_ROWS)), max(1, -(-q // QUERY_ROWS))
     runs = -(-shards // RUN_SHARDS)
 
     def packed(frame: pd.DataFrame, tree: bool):
-        frame = frame.sort_values("id", kind="stable")
+        frame = frame.sort_values(["id", "row"], kind="stable")
         matrix = np.zeros((len(frame), dim), dtype=np.int64)
         for i, x in enumerate(frame["v"]):
             matrix[i, :len(x)] = x
-        ids = frame["id"].to_numpy().astype(np.int64)
+        ids, numbers = (frame[c].to_numpy().astype("<i8") for c in ("id", "row"))
         order = kd_order(matrix) if tree else np.arange(len(ids))
-        return pd.DataFrame({"part": [frame["part"].iloc[0]], "n": [len(ids)],
-                             "ids": [ids[order].astype("<i8").tobytes()], "data": [_pack(matrix[order])]})
+        return pd.DataFrame({"part": [frame["part"].iloc[0]], "n": [len(ids)], "ids": [ids[order].tobytes()],
+                             "rows": [numbers[order].tobytes()], "data": [_pack(matrix[order])]})
 
     def parts(df: DataFrame, count: int, tree: bool) -> DataFrame:
-        dealt = df.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(count)).cast("int"))
-        return dealt.groupBy("part").applyInPandas(lambda f: packed(f, tree), "part int, n int, ids binary, data binary")
+        dealt = df.withColumn("part", F.pmod(F.xxhash64("id", "row"), F.lit(count)).cast("int"))
+        return dealt.groupBy("part").applyInPandas(lambda f: packed(f, tree), "part int, n int, ids binary, rows binary, data binary")
 
     # one row per shard and per block; every block meets every run of shards in one task
     shard = parts(rows, shards, True).withColumn("run", (F.col("part") / RUN_SHARDS).cast("int"))
@@ -158,17 +165,19 @@ def top_k(vectors: DataFrame, queries: str, k: int = 20, scale: float = 64.0, id
 
     def search(points: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         if not len(points) or not len(block):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
+            return pd.DataFrame({"row": [], "query_id": [], "vec_id": [], "score": []}).astype("int64")
         b = block.iloc[0]
-        best = BestK(np.frombuffer(b["ids"], dtype="<i8"), _unpack(b["data"], b["n"], dim), k)
+        ids, own = (np.frombuffer(b[c], dtype="<i8") for c in ("ids", "rows"))
+        best = BestK(ids, _unpack(b["data"], b["n"], dim), k, own)
         for s in points.sort_values("part").itertuples():
-            best.search(np.frombuffer(s.ids, dtype="<i8"), _unpack(s.data, s.n, dim))
+            best.search(np.frombuffer(s.ids, dtype="<i8"), _unpack(s.data, s.n, dim), np.frombuffer(s.rows, dtype="<i8"))
         have = best.score > _LOW
-        return pd.DataFrame({"query_id": np.repeat(best.ids, have.sum(axis=1)), "vec_id": best.found[have],
+        found = have.sum(axis=1)
+        return pd.DataFrame({"row": np.repeat(own, found), "query_id": np.repeat(best.ids, found), "vec_id": best.found[have],
                              "score": best.score[have]})
 
     found = left.groupBy("block", "run").cogroup(right.groupBy("block", "run")).applyInPandas(
-        search, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
+        search, "row long, query_id long, vec_id long, score long")
+    order = Window.partitionBy("row").orderBy(F.col("score").desc(), F.col("vec_id"))
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
