@@ -99,6 +99,12 @@ def test_packing_holds_every_id_once(spark):
     assert pack(empty(spark), BYTE).count() == 0
 
 
+def test_packing_keeps_large_ids_beside_null_ones(spark):
+    ids = [2**53 + 1, 2**60 + 7, None, -(2**62) - 1, None, 5]
+    docs = spark.createDataFrame([(i, "a few words") for i in ids], "doc_id long, text string")
+    assert Counter(r.doc_id for r in pack(docs, BYTE).collect()) == Counter(ids)
+
+
 def test_token_files_round_trip(spark):
     docs = documents(spark)
     root = scratch_dir(spark, "test-tokens")

@@ -10,8 +10,8 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -90,14 +90,19 @@ def pack(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 1, drop
     groups = max(1, round(rest.count() / GROUP_PIECES))
     dealt = rest.withColumn("grp", F.pmod(F.xxhash64("id", "ids_crc32", "n"), F.lit(groups)))
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["length", "id", "ids_crc32", "n"], kind="stable").reset_index(drop=True)
-        bins, offsets = first_fit_decreasing(frame["length"].to_numpy(), capacity)
-        frame["sequence_id"] = 2 * (frame["grp"] * 2**GROUP_BITS + bins)
-        frame["offset"] = offsets
-        return frame[["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]]
-
-    packed = dealt.groupBy("grp").applyInPandas(
+    def run(table: pa.Table) -> pa.Table:
+        # as Arrow columns: a long beside a null stays the long that it is
+        length, crc, number = (table.column(c).to_numpy() for c in ("length", "ids_crc32", "n"))
+        key = table.column("id")
+        table = table.take(pa.array(np.lexsort((number, crc, pc.fill_null(key, 0).to_numpy(), key.is_null().to_numpy(), length))))
+        bins, offsets = first_fit_decreasing(table.column("length").to_numpy(), capacity)
+        if len(bins) and bins.max() >= 1 << GROUP_BITS:
+            raise ValueError(f"a group of {len(bins)} pieces needs more than {1 << GROUP_BITS} sequences")
+        return table.select(["id", "start", "length", "ids_crc32", "doc_tokens"]) \
+            .append_column("sequence_id", pa.array(2 * (table.column("grp").to_numpy() * 2**GROUP_BITS + bins))) \
+            .append_column("offset", pa.array(offsets))
+
+    packed = dealt.groupBy("grp").applyInArrow(
         run, "id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
     # packed sequences have even numbers, sequences of one full piece odd ones
     alone = full.select("id", "start", "length", "ids_crc32", "doc_tokens",
