@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from fixtures import documents, empty, words
-from tidemark.llm.setjoin import allocation, bands, jaccard_join, links, most_differing, segment_keys, token_sets
+from tidemark.llm.setjoin import allocation, bands, jaccard_join, links, most_differing, segment_keys, sketches, token_sets
 
 
 def _set(text, n=3):
@@ -146,3 +146,14 @@ def test_links_skip_what_is_connected():
     one, two = sets[:12], sets[12:24]
     assert links(90, [one, two], np.array([1, 2])) == [(0, 1)]
     assert links(90, [one, two], np.array([7, 7])) == []
+
+
+def test_sketches_differ_in_no_more_bits_than_the_sets_in_tokens():
+    rnd = random.Random(7)
+    for _ in range(200):
+        pool = [rnd.getrandbits(64) for _ in range(80)]
+        x, y = (sorted(rnd.sample(pool, rnd.randint(1, 80))) for _ in range(2))
+        sets, first = np.array(x + y, dtype=np.uint64), np.array([0, len(x), len(x) + len(y)])
+        one, two = (np.unpackbits(np.frombuffer(s, dtype=np.uint8)) for s in sketches(sets, first, np.array([128, 128])))
+        assert (one != two).sum() <= len(set(x) ^ set(y))
+        assert (one != two).sum() % 2 == len(set(x) ^ set(y)) % 2

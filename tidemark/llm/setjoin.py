@@ -15,6 +15,10 @@ many keys, and some groups are huge, so they are not expanded: first each member
 pivot of its key. Keys whose members that connects are done. Of the others, members of different
 components are compared exhaustively, within a group of bounded size, or tile by tile in a larger one:
 those outside its main component with all.
+
+Full sets are brought together only where a sketch does not rule a link out: a bit for each of about two
+slots a token, flipped by every token that hashes there. Two sketches differ in at most as many bits as
+the sets in tokens, so a pair whose sketches differ in more bits than a link allows is none.
 """
 
 from __future__ import annotations
@@ -134,6 +138,25 @@ def segment_keys(sets: np.ndarray, first: np.ndarray, band: np.ndarray, a: np.nd
     return key, np.concatenate((owner, own[deleted]))
 
 
+def sketches(sets: np.ndarray, first: np.ndarray, slots: np.ndarray) -> list[bytes]:
+    """Parity of the tokens in each of a set's ``slots`` (a multiple of 64): 8 slots a byte."""
+    out = []
+    for i, n in enumerate(slots.tolist()):
+        at = (mix64(sets[first[i]:first[i + 1]]) % _U(n)).astype(np.int64) if n else np.zeros(0, dtype=np.int64)
+        out.append(np.packbits((np.bincount(at, minlength=n) & 1).astype(np.uint8)).tobytes())
+    return out
+
+
+def slots_of(high: np.ndarray) -> np.ndarray:
+    """Slots of the sketches in a band of sets of up to ``high`` tokens."""
+    return 64 * (high // 32 + 1)
+
+
+def _bits_apart(one: bytes, two: bytes) -> int:
+    a, b = (np.frombuffer(x, dtype="<u8") for x in (one, two))
+    return int(np.bitwise_count(a ^ b).sum())
+
+
 def _sets(batches, column: int, n: int) -> Iterator:
     """``(batch, from, to, sets, first)`` for runs of rows of bounded size."""
     for batch in batches:
@@ -182,6 +205,37 @@ def _compare(percent: int, table: pa.Table) -> pa.Table:
                      "b": pa.array([cls[j] for _, j in found], pa.int64())})
 
 
+def _possible_pairs(percent: int):
+    """Of ``(cls, other, n, home, guest, m, home2, guest2)`` the pairs that their sketches do not rule out."""
+    def run(batches):
+        for batch in batches:
+            n, home, guest, m, home2, guest2 = (batch.column(i).to_pylist() for i in range(2, 8))
+            ok = []
+            for i in range(batch.num_rows):
+                one, two = home[i], home2[i]
+                if len(one) != len(two):  # of the next band: as a guest of the smaller set's
+                    one, two = (guest[i], two) if n[i] > m[i] else (one, guest2[i])
+                ok.append(_bits_apart(one, two) * (100 + percent) <= (n[i] + m[i]) * (100 - percent))
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(ok, pa.bool_())) for c in batch.columns[:2]], names=["cls", "other"])
+    return run
+
+
+def _possible(percent: int, table: pa.Table) -> pa.Table:
+    """Of one node (``node, cls, root, n, sketch``) the classes that may have a link to another component's."""
+    n, root = (table.column(c).to_numpy() for c in ("n", "root"))
+    order = np.argsort(-n, kind="stable")
+    bits = np.frombuffer(b"".join(table.column("sketch").to_pylist()), dtype="<u8").reshape(len(n), -1)[order]
+    n, root = n[order], root[order]
+    may = np.zeros(len(n), dtype=bool)
+    for x in range(len(n) - 1):
+        end = x + 1 + int(np.searchsorted(-n[x + 1:], -(-(-percent * n[x] // 100)), side="right"))
+        apart = np.bitwise_count(bits[x + 1:end] ^ bits[x]).sum(axis=1, dtype=np.int64)
+        near = (root[x + 1:end] != root[x]) & (apart * (100 + percent) <= (n[x] + n[x + 1:end]) * (100 - percent))
+        may[x + 1:end] |= near
+        may[x] |= near.any()
+    return table.select(["node", "cls", "root"]).take(pa.array(order[may]))
+
+
 def _linked_pairs(percent: int):
     def run(batches):
         for batch in batches:
@@ -220,13 +274,20 @@ def jaccard_join(docs: DataFrame, percent: int = 90, shingle: int = 3, id_col: s
     def features(batches):
         for batch, x, y, sets, first in _sets(batches, 2, shingle):
             n = np.diff(first)
+            limits = bands(percent, int(n.max(initial=0)))
+            low, high = (np.array([b[i] for b in limits], dtype=np.int64) for i in (0, 1))
+            own = [np.searchsorted(low, n, side="right") - 1 - down for down in (0, 1)]  # as home, as guest
+            slots = [np.where(b >= 0, slots_of(np.append(high, [0, 0])[b]), 0) for b in own]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(x, y - x), batch.column(1).slice(x, y - x), pa.array(n.astype(np.int64)),
-                 pa.array(class_ids(sets, first).view(np.int64), mask=n == 0)], names=["id", "key", "n", "cls"])
+                 pa.array(class_ids(sets, first).view(np.int64), mask=n == 0),
+                 *[pa.array(sketches(sets, first, s), pa.binary()) for s in slots]],
+                names=["id", "key", "n", "cls", "home", "guest"])
 
-    feats = cut(rows.mapInArrow(features, "id long, key long, n long, cls long"), "set-sizes")
-    classes = cut(feats.where("n > 0").groupBy("cls").agg(F.min("id").alias("id"), F.min("key").alias("key"),
-                                                          F.max("n").alias("n")), "set-classes")
+    feats = cut(rows.mapInArrow(features, "id long, key long, n long, cls long, home binary, guest binary"), "set-sizes")
+    classes = cut(feats.where("n > 0").groupBy("cls").agg(
+        F.min("id").alias("id"), F.min("key").alias("key"),
+        F.max(F.struct("n", "home", "guest")).alias("s")).select("cls", "id", "key", "s.*"), "set-classes")
 
     # sets per band: as many rows as there are bands, about 22 for each power of ten of the largest size
     largest = classes.agg(F.max("n")).first()[0] or 0
@@ -282,10 +343,12 @@ def jaccard_join(docs: DataFrame, percent: int = 90, shingle: int = 3, id_col: s
         return cut(texts.select("cls", "text").mapInArrow(run, "cls long, tokens binary"), "sets")
 
     # every member with its key's pivot
-    known = classes.select("cls", "n")
-    pairs = cut(members.where("cls <> pivot").select(F.greatest("cls", "pivot").alias("cls"), F.least("cls", "pivot").alias("other"))
-                .distinct().join(known, "cls").join(known.select(F.col("cls").alias("other"), F.col("n").alias("m")), "other")
-                .where(100 * F.least("n", "m") >= percent * F.greatest("n", "m")).select("cls", "other"), "pivot-pairs")
+    known = classes.select("cls", "n", "home", "guest")
+    asked = members.where("cls <> pivot").select(F.greatest("cls", "pivot").alias("cls"), F.least("cls", "pivot").alias("other")).distinct()
+    others = known.select(F.col("cls").alias("other"), F.col("n").alias("m"), F.col("home").alias("home2"), F.col("guest").alias("guest2"))
+    pairs = cut(asked.join(known, "cls").join(others, "other").where(100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
+                .select("cls", "other", "n", "home", "guest", "m", "home2", "guest2")
+                .mapInArrow(_possible_pairs(percent), "cls long, other long"), "pivot-pairs")
     sets = sets_of(pairs.select("cls").union(pairs.select("other")).distinct())
     stars = cut(pairs.join(sets, "cls").join(sets.select(F.col("cls").alias("other"), F.col("tokens").alias("others")), "other")
                 .select("cls", "other", "tokens", "others").mapInArrow(_linked_pairs(percent), "a long, b long"), "pivot-links")
@@ -305,16 +368,15 @@ def _across(members: DataFrame, stars: DataFrame, known: DataFrame, sets_of, per
     """Links between members of a key that the pivots' links leave in different components."""
     roots = components(stars)
     # members are written, so that a hot root or class is split; a key whose members are connected is done
-    placed = cut(members.select("sig", "cls", "home").join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left")
-                 .withColumn("root", F.coalesce("root", "cls")).join(known, "cls"), "set-placed")
-    split = cut(placed.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
-                                          F.sum("n").alias("tokens"),
-                                          F.sum(F.xxhash64("cls").cast("decimal(38,0)")).alias("sum"),
-                                          F.count(F.lit(1)).alias("size")).where("lo <> hi"), "split-keys")
-    # keys with the same members are compared once
-    once = split.groupBy("sum", "size").agg(F.min("sig").alias("sig"), F.first("tokens").alias("tokens")).select("sig", "tokens")
-    open_ = cut(placed.join(once, "sig"), "open-keys")
-    small = open_.where(F.col("tokens") <= group_tokens).select(F.col("sig").alias("node"), "cls", "root")
+    sketch = F.when(F.col("as_home"), F.col("home")).otherwise(F.col("guest"))
+    placed = cut(members.select("sig", "cls", F.col("home").alias("as_home"))
+                 .join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left")
+                 .withColumn("root", F.coalesce("root", "cls")).join(known, "cls")
+                 .select("sig", "cls", "root", "n", "as_home"), "set-placed")
+    once = _once(placed.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), *_members()).where("lo <> hi"), "sig")
+    open_ = cut(placed.join(once, "sig").join(known.select("cls", "home", "guest"), "cls")
+                .select("sig", "cls", "root", "n", "tokens", sketch.alias("sketch")), "open-keys")
+    small = open_.where(F.col("tokens") <= group_tokens).select(F.col("sig").alias("node"), "cls", "root", "n", "sketch")
     large = open_.where(F.col("tokens") > group_tokens)
     share = large.groupBy("sig", "root").agg(F.sum("n").alias("t"))
     main = cut(share.groupBy("sig").agg(F.max_by("root", F.struct("t", "root")).alias("main"), F.max("t").alias("most")), "main-roots")
@@ -327,12 +389,26 @@ def _across(members: DataFrame, stars: DataFrame, known: DataFrame, sets_of, per
     def tile(salt: str, tokens):
         return F.pmod(F.xxhash64("cls", F.lit(salt)), number(tokens)).cast("int")
 
-    outside = of.where("root <> main").select("sig", "cls", "root", tile("few", F.col("few")).alias("x"),
+    outside = of.where("root <> main").select("sig", "cls", "root", "n", "sketch", tile("few", F.col("few")).alias("x"),
                                               F.explode(F.sequence(F.lit(0), number(F.col("tokens")) - 1)).alias("y"))
-    inside = of.select("sig", "cls", "root", F.explode(F.sequence(F.lit(0), number(F.col("few")) - 1)).alias("x"),
+    inside = of.select("sig", "cls", "root", "n", "sketch", F.explode(F.sequence(F.lit(0), number(F.col("few")) - 1)).alias("x"),
                        tile("all", F.col("tokens")).alias("y"))
-    tiles = outside.unionByName(inside).select(F.xxhash64("sig", "x", "y").alias("node"), "cls", "root").distinct()
-    nodes = cut(small.unionByName(tiles), "set-nodes")
+    tiles = outside.unionByName(inside).select(F.xxhash64("sig", "x", "y").alias("node"), "cls", "root", "n", "sketch") \
+        .dropDuplicates(["node", "cls"])
+    may = cut(small.unionByName(tiles).groupBy("node").applyInArrow(
+        lambda t: _possible(percent, t), "node long, cls long, root long"), "set-nodes")
+    only = _once(may.withColumn("n", F.lit(0)).groupBy("node").agg(*_members()), "node")
+    nodes = cut(may.join(only.select("node"), "node", "left_semi"), "set-nodes-once")
     sets = sets_of(nodes.select("cls").distinct())
     return cut(nodes.join(sets, "cls").groupBy("node").applyInArrow(lambda t: _compare(percent, t), "a long, b long"),
                "group-links")
+
+
+def _members() -> list:
+    """What tells groups of classes apart, and their tokens in all."""
+    return [F.sum(F.xxhash64("cls").cast("decimal(38,0)")).alias("sum"), F.count(F.lit(1)).alias("size"), F.sum("n").alias("tokens")]
+
+
+def _once(groups: DataFrame, name: str) -> DataFrame:
+    """``(name, tokens)``: of groups with the same members one."""
+    return groups.groupBy("sum", "size").agg(F.min(name).alias(name), F.first("tokens").alias("tokens")).select(name, "tokens")
