@@ -25,9 +25,9 @@ def test_reads_the_same_before_during_and_after_a_compaction(spark, tmp_dir):
         assert log.append(_rows(spark, written[-3:])) == i
     want = sorted(((r.ds, r.field, r.value) for r in current_meta(_rows(spark, written), seq="seq").collect()), key=repr)
     assert _now(log) == want
-    _, folders, _ = log.parts()  # a reader that began before the compaction
+    _, entries, _ = log.parts()  # a reader that began before the compaction
     log.compact()
-    during = sorted(((r.ds, r.field, r.value) for r in current_meta(log._frame(folders), seq="seq").collect()), key=repr)
+    during = sorted(((r.ds, r.field, r.value) for r in current_meta(log._frame(entries), seq="seq").collect()), key=repr)
     assert during == want and _now(log) == want
     assert len(log.parts()[1]) == 1  # the snapshot alone
     assert log.compact() == 0  # nothing after it
@@ -58,7 +58,10 @@ def test_a_reader_opens_only_what_is_new(spark, tmp_dir):
     assert reader.sync() == "20240101" and len(reader.opened) == 3
     log.compact()
     assert reader.sync() == "20240101" and len(reader.opened) == 3  # a compaction brings nothing new
-    assert LatestReader(log, []).sync() is None
+    log.put("missing", {"latest": "20240109", "commit": "20240109/0000/1"}, dt.datetime(2024, 1, 2))
+    assert reader.sync() == "20240101" and reader.latest()["missing"] == "20240109" and len(reader.opened) == 3
+    assert ("missing", "commit", "20240109/0000/1") in _now(log)
+    assert LatestReader(log, []).sync() is None and LatestReader(log, ["missing"]).sync() == "20240109"
 
 
 def test_vacuum_removes_what_no_kept_snapshot_needs(spark, tmp_dir):

@@ -262,3 +262,33 @@ def test_an_algorithm_without_more_leaves_the_row_bare(spark, tmp_dir):
     row = read_ledger(spark, f"{tmp_dir}/ledger").first()
     assert row["counters"] is None and row["versions"] is None and len(row["files"]) == 1
     assert Algorithm().totals(DAY) == {} and Algorithm().versions() == {}
+
+
+def test_live_asof_answers_what_the_watermark_has_passed(spark, tmp_dir):
+    from tidemark.operators.meta import sync_at
+    from tidemark.streaming.live import LiveAsof, tagged
+
+    upstreams = spark.createDataFrame([("p", "a"), ("p", "b"), ("q", "a")], "proc string, ds string")
+    answer = lambda p, h: sync_at(p, h, probe_time="us", upstreams=upstreams, updated_at="at", tiebreak=["seq"])
+    live = LiveAsof(spark, f"{tmp_dir}/live", answer, ["ds"], ["at", "seq"], delay_us=10)
+    probes, history = "proc string, us bigint, n int", "ds string, value string, at bigint, seq bigint"
+
+    def batch(number, p, h):
+        p, h = spark.createDataFrame(p, probes), spark.createDataFrame(h, history)
+        live.on_batch(tagged(p, h, F.col("us"), F.col("at")), number)
+
+    told = lambda finished=False: sorted(((r.proc, r.n, r.sync) for r in live.answers(finished).collect()), key=repr)
+    assert live.answers() is None and live.late() is None
+    batch(0, [("p", 5, 1), ("p", 21, 2), (None, 3, 9)], [("a", "1", 4, 0), ("b", "2", 5, 1), ("a", "3", 20, 2)])
+    assert told() == [("p", 1, "1"), (None, 9, None)]  # the watermark is 11
+    batch(1, [("q", 15, 3), ("p", 2, 4), ("p", None, 5)], [("b", "0", 14, 3), ("a", "x", 10, 4), ("a", "4", 35, 5)])
+    want = [("p", 1, "1"), ("p", 2, "0"), ("q", 3, "1"), (None, 9, None)]
+    assert told() == sorted(want, key=repr)
+    batch(1, [("q", 30, 7)], [])  # a replay changes nothing
+    assert told() == sorted(want, key=repr)
+    assert live.late().count() == 2  # a probe and a history row before the watermark of batch 0
+    batch(2, [], [])
+    rest = [r for r in told(True) if r[1] != 5]  # the probe without a time is answered last, as in a batch
+    assert rest == sorted(want, key=repr) and len(told(True)) == len(want) + 1
+    carried = live._read(live.log.read(2), "carried")
+    assert sorted((r.ds, r.value) for r in carried.collect()) == [("a", "3"), ("b", "0")]  # one row a key

@@ -299,6 +299,8 @@ FROM events e LEFT JOIN customer c ON CAST(e.user_id AS VARCHAR) = CAST(c.c_cust
 SELECT strftime(ts, '%Y%m%d') AS date, count_if(event_type = 'error') AS failed, count(*) AS total,
        count_if(event_type = 'error') / (count(*) + CAST(0.01 AS DOUBLE)) AS fail_ratio
 FROM events WHERE ts IS NOT NULL GROUP BY 1""",
+    "live_sync": SYNC_AT,
+    "failed_and_resumed": "SELECT CAST(value AS VARCHAR) AS value, 1 AS failures FROM events",
     "capped_batches": "SELECT count(*) AS records, true AS within_cap FROM events",
     "continuous_day": "SELECT count(*) AS records, count(*) AS num_input_rows, true AS finished FROM events",
     "write_by_key": "SELECT event_type, CAST(value AS VARCHAR) AS value FROM events",

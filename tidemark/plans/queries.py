@@ -350,7 +350,8 @@ def q_prepare_messages(spark, sf_dir):
 
 def _datasets(events: DataFrame) -> DataFrame:
     # each producer writes one topic of its own name
-    return events.where("event_type IS NOT NULL").select(F.col("event_type").alias("ds"), F.col("event_type").alias("topics")).distinct()
+    return materialize(events.where("event_type IS NOT NULL").select(
+        F.col("event_type").alias("ds"), F.col("event_type").alias("topics")).distinct(), "datasets")
 
 
 @register("run_days")
@@ -377,7 +378,6 @@ def _announced(spark: SparkSession, events: DataFrame, base: str) -> tuple[str,
     meta = materialize(fx.meta_history(events), "announcements")
     log = MetaLog(spark, f"{base}/meta")
     log.append(meta)
-    log.compact()
     at_start = materialize(meta.groupBy("ds").agg(F.min_by("value", F.struct("updated_at", "seq")).alias("latest")), "at-start")
     names = meta.agg(F.concat_ws(",", F.array_sort(F.collect_set("ds"))).alias("n")).first()["n"]
     return names, log, at_start

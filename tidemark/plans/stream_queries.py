@@ -14,16 +14,18 @@ from pyspark.sql import functions as F
 from tidemark.functions import columns as C
 from tidemark.operators.batches import day_of_micros
 from tidemark.operators.enrich import VersionedLookup
+from tidemark.operators.meta import sync_at
 from tidemark.operators.resume import HighWater, number_batch
 from tidemark.plans import fixtures as fx
 from tidemark.plans.queries import _announced, _datasets, _events, register
-from tidemark.session import scratch_dir
+from tidemark.session import materialize, scratch_dir
 from tidemark.sinks.batches import counter_totals, read_ledger
 from tidemark.sinks.metalog import MetaLog
 from tidemark.sources.committed import CommittedSource, read_committed, read_routed
 from tidemark.sources.topics import read_dated_topics, write_dated_folders
 from tidemark.streaming.aggregates import current_rows, fail_ratios, keep_table, windowed_failures
 from tidemark.streaming.algorithm import Algorithm, PinnedLookupAlgorithm, ValuesAlgorithm
+from tidemark.streaming.live import LiveAsof, tagged
 from tidemark.streaming.processor import run_processor
 from tidemark.streaming.runner import ProgressLog, run_day, run_day_continuous
 
@@ -202,6 +204,73 @@ def q_stream_fail_ratio(spark, sf_dir):
     return fail_ratios(current.withColumn("date", day_of_micros(F.unix_micros("start"))), ["date"])
 
 
+@register("live_sync")
+def q_live_sync(spark, sf_dir):
+    """JON-2 live: `sync_at` inside a stream. Events and announcements arrive in micro-batches of a quarter of the
+    time span each, in no order within one; answered are the probes that the watermark has passed."""
+    events = _events(spark, sf_dir)
+    base = scratch_dir(spark, "live")
+    us = C.epoch_micros_sql("ts", events.schema["ts"].dataType)
+    named = events.select("event_id", F.col("event_type").alias("proc"), F.col("ts").alias("probe_time"), F.expr(us).alias("us"),
+                          F.date_format(F.date_sub(F.to_date("ts"), 1), "yyyyMMdd").alias("day_before"))
+    span = named.agg(F.min("us").alias("lo"), F.max("us").alias("hi")).first()
+    width = ((span["hi"] or 0) - (span["lo"] or 0)) // CHUNKS + 1
+    part = F.expr(f"coalesce((us - {span['lo'] or 0}) div {width}, 0)")
+    named.withColumn("part", part).hint("rebalance", "part").write.partitionBy("part").parquet(f"{base}/parts")
+    names = materialize(named.select(F.col("proc").alias("ds")).where("ds is not null").distinct(), "names")
+    upstreams = names.select(F.col("ds").alias("proc")).join(names, F.col("proc") != F.col("ds"))
+
+    def answer(probes, history):
+        return sync_at(probes, history, probe_time="us", upstreams=upstreams, updated_at="updated_us", tiebreak=["seq"])
+
+    live = LiveAsof(spark, f"{base}/live", answer, ["ds"], ["updated_us", "seq"], delay_us=width // 2)
+    parts = spark.read.parquet(f"{base}/parts")
+    schema = parts.drop("part").schema
+    for k in range(CHUNKS):
+        arrived = parts.where(F.col("part") == k).drop("part")
+        arrived.repartition(2, "event_id").write.mode("append").parquet(f"{base}/arrived")
+        read = spark.readStream.schema(schema).parquet(f"{base}/arrived")
+        history = read.select(F.col("proc").alias("ds"), F.col("day_before").alias("value"), F.col("us").alias("updated_us"),
+                              F.col("event_id").alias("seq"))
+        both = tagged(read.select("event_id", "proc", "probe_time", "us"), history, F.col("us"), F.col("updated_us"))
+        live.start(both, f"{base}/checkpoint").awaitTermination()
+    done = live.answers(finished=True)
+    return done.drop("us")
+
+
+@dataclass
+class FailsOnce(ValuesAlgorithm):
+    """Values; one batch fails at its first attempt."""
+
+    result: str = "resumed/values"
+    fail_at: int | None = 1
+
+    def per_batch(self, date: str, batch_id: int, df: DataFrame) -> DataFrame:
+        if batch_id == self.fail_at:
+            self.fail_at = None
+            raise OSError(f"batch {batch_id} fails on purpose")
+        return df
+
+
+@register("failed_and_resumed")
+def q_failed_and_resumed(spark, sf_dir):
+    """STR-7, FLT-1: a batch fails, nothing of it is published and the query ends; the next run goes on from the
+    checkpoint. Every event is published once."""
+    from pyspark.errors import StreamingQueryException
+
+    base = scratch_dir(spark, "resumed")
+    topics = _as_one_day(spark, fx.stream_records(_events(spark, sf_dir)), base)
+    algo, failures = FailsOnce(), 0
+    for _ in range(2):
+        try:
+            run_day(spark, algo, ONE_DAY, lambda date: read_dated_topics(spark, ["all"], date, root=topics, max_files_per_trigger=2),
+                    f"{base}/out", f"{base}/ledger", f"{base}/checkpoints")
+        except StreamingQueryException:
+            failures += 1
+    got = read_committed(spark, f"{base}/out", read_ledger(spark, f"{base}/ledger"), algo.result)
+    return got.select("value", F.lit(failures).alias("failures"))
+
+
 @register("capped_batches")
 def q_capped_batches(spark, sf_dir):
     """STR-2 for files: all events under a cap on the records of a micro-batch."""

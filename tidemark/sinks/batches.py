@@ -17,6 +17,7 @@
 from __future__ import annotations
 
 import datetime as _dt
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -115,10 +116,13 @@ def read_by_key(spark: SparkSession, path: str, key: str = "key") -> DataFrame:
 def ledger_rows(spark: SparkSession, proc: str, date: str, batch: int, batch_time: int, num_records: int,
                 query_id: str | None = None, files: list[str] | None = None, counters: dict[str, int] | None = None,
                 versions: dict[str, int] | None = None) -> DataFrame:
-    now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    row = (proc, date, int(batch), int(batch_time), int(num_records),
-           f"{batch_dir(date, batch)}/{int(batch_time)}", now, query_id, files, counters, versions)
-    return spark.createDataFrame([row], LEDGER_SCHEMA)
+    # one row from one literal: no Python rows are shipped to the executors for it
+    row = {"proc": proc, "date": date, "batch": int(batch), "batch_time": int(batch_time), "num_records": int(num_records),
+           "commit": f"{batch_dir(date, batch)}/{int(batch_time)}", "query_id": query_id, "files": files,
+           "counters": counters, "versions": versions}
+    now = int(_dt.datetime.now(_dt.timezone.utc).timestamp() * 1_000_000)
+    made = spark.range(0, 1, 1, 1).select(F.from_json(F.lit(json.dumps(row)), LEDGER_SCHEMA).alias("r")).select("r.*")
+    return made.withColumn("published_at", F.timestamp_micros(F.lit(now))).select(*LEDGER_COLUMNS)
 
 
 def append_ledger(rows: DataFrame, ledger_path: str) -> None:
@@ -132,7 +136,7 @@ def publish_batch(spark: SparkSession, ledger_path: str, proc: str, date: str, b
                   counters: dict[str, int] | None = None, versions: dict[str, int] | None = None) -> None:
     """Append the batch's ledger row (after its data is written): one small file, no shuffle."""
     rows = ledger_rows(spark, proc, date, batch, batch_time, num_records, query_id, files, counters, versions)
-    rows.coalesce(1).write.mode("append").partitionBy(*LEDGER_PARTITIONS).parquet(ledger_path)
+    rows.write.mode("append").partitionBy(*LEDGER_PARTITIONS).parquet(ledger_path)
 
 
 def compact_ledger(spark: SparkSession, ledger_path: str, to: str) -> None:

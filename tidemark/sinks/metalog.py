@@ -9,6 +9,7 @@ each other: a reader that began with the older snapshot reads the same values fr
 
 from __future__ import annotations
 
+import datetime as _dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,20 +42,29 @@ class MetaLog:
             rows = rows.withColumn("seq", F.lit(None).cast("long"))
         return self.deltas.append({"data": self._write(last_writes(rows))})
 
-    def _frame(self, names: list[str]) -> DataFrame:
-        if not names:
-            return self.spark.createDataFrame([], SCHEMA)
-        return self.spark.read.schema(SCHEMA).parquet(*[f"{self.path}/{n}" for n in names])
-
-    def parts(self) -> tuple[int, list[str], int]:
-        """``(number of the snapshot, folders of data that hold the current values, last delta)``."""
+    def put(self, ds: str, fields: dict[str, str], at: _dt.datetime | None = None) -> int:
+        """Publish a few values of one dataset, written now (UTC) or ``at``, in the entry itself; returns its number."""
+        at = at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        micros = (at - _dt.datetime(1970, 1, 1)) // _dt.timedelta(microseconds=1)
+        return self.deltas.append({"rows": [[ds, field, value, micros, None] for field, value in fields.items()]})
+
+    def _frame(self, entries: list[dict]) -> DataFrame:
+        """Rows of entries: those of their folders and those kept in them."""
+        folders = [f"{self.path}/{e['data']}" for e in entries if "data" in e]
+        rows = [tuple(r) for e in entries for r in e.get("rows", ())]
+        kept = self.spark.createDataFrame(rows, "ds string, field string, value string, us bigint, seq bigint") \
+            .select("ds", "field", "value", F.timestamp_micros("us").alias("updated_at"), "seq")
+        return self.spark.read.schema(SCHEMA).parquet(*folders).unionByName(kept) if folders else kept
+
+    def parts(self) -> tuple[int, list[dict], int]:
+        """``(number of the snapshot, entries that hold the current values, last delta)``."""
         snapshot = self.snapshots.last()
-        folders, covers = [], -1
+        entries, covers = [], -1
         if snapshot >= 0:
-            entry = self.snapshots.read(snapshot)
-            folders, covers = [entry["data"]], entry["covers"]
+            entries = [self.snapshots.read(snapshot)]
+            covers = entries[0]["covers"]
         later = self.deltas.numbers(covers)
-        return snapshot, folders + [self.deltas.read(n)["data"] for n in later], later[-1] if later else covers
+        return snapshot, entries + [self.deltas.read(n) for n in later], later[-1] if later else covers
 
     def read(self) -> DataFrame:
         """The current ``(ds, field, value, updated_at, seq)``."""
@@ -68,10 +78,10 @@ class MetaLog:
         """Write the current values as a snapshot that covers all deltas there are now; returns its number (that
         of the last one, if there is nothing after it). Beside another compaction the one that covers more
         counts: it is published later."""
-        snapshot, folders, last = self.parts()
-        if snapshot >= 0 and len(folders) == 1 or not folders:
+        snapshot, entries, last = self.parts()
+        if snapshot >= 0 and len(entries) == 1 or not entries:
             return snapshot
-        entry = {"data": self._write(last_writes(self._frame(folders))), "covers": last}
+        entry = {"data": self._write(last_writes(self._frame(entries))), "covers": last}
         number = snapshot + 1
         while not self.snapshots.publish(number, entry):
             if self.snapshots.read(number)["covers"] >= last:
@@ -81,7 +91,7 @@ class MetaLog:
 
     def vacuum(self, keep: int = 2) -> int:
         """Remove the entries and data that only snapshots older than the last ``keep`` need; returns the number of
-        folders removed. A reader that still holds one of those must read anew."""
+        entries removed. A reader that still holds one of those must read anew."""
         kept = self.snapshots.numbers()[-keep:]
         if not kept:
             return 0
@@ -89,10 +99,10 @@ class MetaLog:
         old = [(self.deltas, n) for n in self.deltas.numbers() if n <= covers]
         old += [(self.snapshots, n) for n in self.snapshots.numbers() if n < kept[0]]
         for log, n in old:
-            data = log.read(n)["data"]
+            data = log.read(n).get("data")
             log.remove(n)
-            folder = log._hadoop.Path(f"{self.path}/{data}")
-            log._files.delete(folder, True)
+            if data:
+                log._files.delete(log._hadoop.Path(f"{self.path}/{data}"), True)
         return len(old)
 
 
@@ -114,21 +124,31 @@ class LatestReader:
 
     def latest(self) -> dict[str, str]:
         """``{ds: value}`` of the named datasets that have one."""
-        if not self.opened:
-            _, folders, last = self.log.parts()
+        if self.seen < 0:
+            _, entries, last = self.log.parts()
         else:
             later = self.log.deltas.numbers(self.seen)
-            folders, last = [self.log.deltas.read(n)["data"] for n in later], later[-1] if later else self.seen
+            entries, last = [self.log.deltas.read(n) for n in later], later[-1] if later else self.seen
+        for ds, field, value, us, seq in (r for e in entries for r in e.get("rows", ())):
+            if ds in self.names and field == self.field:
+                self._take(ds, value, us, seq)
+        folders = [e for e in entries if "data" in e]
         if folders:
-            mine = self.log._frame(folders).where(F.col("ds").isin(self.names) & (F.col("field") == self.field))
-            for r in last_writes(mine).collect():  # at most one row for each name asked for
-                key = (r["updated_at"] is not None, r["updated_at"], r["seq"] is not None, r["seq"], r["value"])
-                if r["ds"] not in self._now or key > self._now[r["ds"]]:
-                    self._now[r["ds"]] = key
-            self.opened += folders
+            mine = self.log._frame([{"data": e["data"]} for e in folders]).where(
+                F.col("ds").isin(self.names) & (F.col("field") == self.field))
+            # at most one row for each name asked for
+            for r in last_writes(mine).withColumn("us", F.unix_micros("updated_at")).collect():
+                self._take(r["ds"], r["value"], r["us"], r["seq"])
+            self.opened += [e["data"] for e in folders]
         self.seen = last
         return {ds: key[-1] for ds, key in self._now.items()}
 
+    def _take(self, ds: str, value: str | None, us: int | None, seq: int | None) -> None:
+        # nulls below all, as in last_writes
+        key = (us is not None, us or 0, seq is not None, seq or 0, value is not None, value)
+        if ds not in self._now or key[:5] > self._now[ds][:5] or key[:5] == self._now[ds][:5] and (value or "") > (self._now[ds][5] or ""):
+            self._now[ds] = key
+
     def sync(self) -> str | None:
         """The least of the named datasets' values, a missing one counting as the empty string; null without
         names (see :func:`tidemark.operators.meta.sync_point`)."""

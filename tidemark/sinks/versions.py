@@ -24,6 +24,7 @@ class Versions:
         self._conf = spark.sparkContext._jsc.hadoopConfiguration()
         self._folder = self._hadoop.Path(self.path)
         self._files = self._folder.getFileSystem(self._conf)
+        self._known = -1  # a number that is taken, as all below it are
 
     def numbers(self, after: int = -1) -> list[int]:
         """Numbers of the entries above ``after``, ascending."""
@@ -66,9 +67,10 @@ class Versions:
 
     def append(self, entry: dict) -> int:
         """Publish an entry under the next free number, which is returned."""
-        number = self.last() + 1
+        number = (self._known if self._known >= 0 else self.last()) + 1
         while not self.publish(number, entry):
             number += 1
+        self._known = number
         return number
 
     def remove(self, number: int) -> None:

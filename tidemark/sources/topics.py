@@ -41,6 +41,13 @@ def dated_topics(datasets: DataFrame, requests: DataFrame, ds: str = "ds", topic
             .withColumn("dated_topic", dated_topic("topic", "date")))
 
 
+def topics_of(datasets: DataFrame, producers: list[str], ds: str = "ds", topics: str = "topics") -> list[str]:
+    """The distinct topics of a few producers, sorted: what :func:`dated_topics` gives for one date, for a
+    processor's own list of producers (metadata: a handful of names)."""
+    lists = datasets.where(F.col(ds).isin(producers)).select(F.explode(upstream_names(topics)).alias("t"))
+    return sorted({r["t"] for r in lists.collect()})
+
+
 def kafka_source_options(brokers: str, topics: list[str], date: str, max_offsets_per_trigger: int | None = None,
                          extra: dict[str, str] | None = None) -> dict[str, str]:
     """Options of the Kafka source for one date: every topic suffixed with the date, earliest offsets

@@ -6,7 +6,6 @@ metadata table, the producers' topics and the processor's own ledger.
 
 from __future__ import annotations
 
-import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,9 +14,8 @@ from pyspark.sql import functions as F
 from tidemark.operators.batches import batch_dir
 from tidemark.operators.meta import resume_from_ledger, sync_point
 from tidemark.sinks.batches import LEDGER_SCHEMA, read_ledger
-from tidemark.sinks.metalog import SCHEMA as META_SCHEMA
 from tidemark.sinks.metalog import LatestReader, MetaLog
-from tidemark.sources.topics import dated_topics, topic_names
+from tidemark.sources.topics import topics_of
 from tidemark.streaming.algorithm import Algorithm
 from tidemark.streaming.runner import DayRun, run_days, run_days_continuous
 
@@ -52,9 +50,7 @@ class Publisher:
         self.log, self.proc, self.compact_every = log, proc, compact_every
 
     def _put(self, **fields: str) -> None:
-        now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        rows = [(self.proc, field, value, now, None) for field, value in fields.items()]
-        number = self.log.append(self.log.spark.createDataFrame(rows, META_SCHEMA))
+        number = self.log.put(self.proc, fields)
         if (number + 1) % self.compact_every == 0:
             self.log.compact()
 
@@ -89,8 +85,7 @@ def run_processor(spark: SparkSession, algo: Algorithm, latest: Callable[[], Dat
     first = start_date(spark, algo, latest_at_start, ledger_path)
 
     def stream(date: str) -> DataFrame:
-        asked = spark.createDataFrame([(date, algo.resource)], "date string, producers string")
-        return source(topic_names(dated_topics(datasets, asked), date), date)
+        return source(topics_of(datasets, names), date)
 
     sync = reader.sync if reader else lambda: upstream_sync(spark, algo, latest())
     if log is not None:
