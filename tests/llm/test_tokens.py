@@ -40,6 +40,40 @@ def test_chunks_give_the_library_s_ids(path, drops):
     assert got == [[] if t is None else lib.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+@pytest.mark.parametrize("change", ["", "lower", "no pieces", "added", "normalized", "prefix"])
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_any_file_gives_the_library_s_ids_without_flags(tmp_path, path, change):
+    import json
+
+    file = json.load(open(path, encoding="utf-8"))
+    if change == "lower":
+        file["normalizer"] = {"type": "Lowercase"}
+    elif change == "no pieces":
+        file["pre_tokenizer"] = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+    elif change == "prefix":
+        file["pre_tokenizer"] = {"type": "ByteLevel", "add_prefix_space": True, "trim_offsets": True, "use_regex": True}
+    elif change:
+        file["added_tokens"].append({**file["added_tokens"][0], "id": len(file["model"]["vocab"]) + 5, "content": "[x]",
+                                     "normalized": change == "normalized"})
+    own = str(tmp_path / "own.json")
+    json.dump(file, open(own, "w", encoding="utf-8"))
+    rnd = random.Random(8)
+    parts = ["a", "Word", " ", "  ", "\n", "É", "'s", "12", "<|endoftext|>", "[x]", "[X]", "!", "ß", "中", "\u2003", "x."]
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 20))) for _ in range(300)] + ["", None]
+    got = [x for a, b, ids, at in ChunkEncoder(own).encode(texts) for x in (ids[at[i]:at[i + 1]].tolist() for i in range(b - a))]
+    lib = Tokenizer.from_file(own)
+    assert got == [lib.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert chunks.kind_of(own)[0] == ({BYTE: "bytes", WORD: "words"}[path] if change in ("", "added") else None)
+
+
+def test_a_flag_that_contradicts_the_file_is_an_error(spark):
+    with pytest.raises(ValueError, match="does not fit"):
+        ChunkEncoder(WORD, False)
+    docs = spark.createDataFrame([(1, "Some words, here"), (2, None)], "doc_id long, text string")
+    got = {r.doc_id: r.n_tokens for r in count_tokens(docs, WORD).collect()}
+    assert got == {1: len(_ids(WORD, "Some words, here")), 2: 0}
+
+
 def test_long_texts_are_cut_without_a_trace(monkeypatch):
     monkeypatch.setattr(chunks, "GROUP_CHARS", 200)
     rnd = random.Random(4)

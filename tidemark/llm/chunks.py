@@ -5,12 +5,16 @@ it, and between a letter and ASCII punctuation after it. None of the pre-tokeniz
 such a place, and none looks back over it, so the ids of a text are the ids of its chunks, one after
 another. Corpora repeat words, so each distinct chunk is given to the library once, in batches of bounded
 bytes, and its ids are kept in a bounded cache that later tasks of the same worker find filled. Chunks
-are told apart by 64-bit hashes of their bytes. Texts that hold the start of a special token's string
-(``<|``), or a place where other white space meets ASCII white space, are encoded whole.
+are told apart by 64-bit hashes of their bytes. Texts that hold an added token's string or ``<|``, or a place
+where other white space meets ASCII white space, are encoded whole.
+
+Whether this holds for a tokenizer is read from its file (:func:`kind_of`): its normalizer, pre-tokenizer,
+model and added tokens. With any other file every text goes to the library as it is.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 
@@ -40,17 +44,51 @@ BATCH_CHARS = 1 << 20  # characters handed to the library at a time
 CACHE_CHUNKS = 2_000_000  # distinct chunks kept; a full cache starts anew
 
 
+# ---- fixed values: steps of the tokenizers for which the boundaries above are safe -------------------
+BYTE_STEPS = (None, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True})
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+WORD_STEPS = (
+    {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": WORD_PATTERN}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]})
+# -----------------------------------------------------------------------------------------------------
+
+
+def kind_of(path: str) -> tuple[str | None, list[str]]:
+    """What a tokenizer file's steps are, and the strings of its added tokens: ``"bytes"`` (byte-level pieces,
+    white space kept), ``"words"`` (words in lower case, white space dropped), or None for all others."""
+    with open(path, encoding="utf-8") as f:
+        file = json.load(f)
+    added = file.get("added_tokens") or []
+    strings = [t["content"] for t in added]
+    plain = file["model"].get("type") == "BPE" and not file["model"].get("dropout") and not any(
+        t.get(k) for t in added for k in ("single_word", "lstrip", "rstrip", "normalized"))
+    steps = (file.get("normalizer"), file.get("pre_tokenizer"))
+    suffix = file["model"].get("end_of_word_suffix")
+    if plain and steps == BYTE_STEPS and not suffix and not file["model"].get("continuing_subword_prefix"):
+        return "bytes", strings
+    if plain and steps == WORD_STEPS and suffix and not file["model"].get("continuing_subword_prefix"):
+        return "words", strings
+    return None, strings
+
+
 class ChunkEncoder:
     """Encodes texts with one tokenizer file, without added special tokens.
 
     ``drops_space``: the tokenizer removes white space and lower-cases, so that its chunks are the
-    words alone in lower case.
+    words alone in lower case. It is read from the file; a value that contradicts the file is an error.
     """
 
-    def __init__(self, path: str, drops_space: bool):
+    def __init__(self, path: str, drops_space: bool | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
+        kind, self.added = kind_of(path)
+        if drops_space is not None and drops_space != (kind == "words"):
+            raise ValueError(f"drops_space={drops_space} does not fit {path}: its steps are {kind or 'others'}")
+        drops_space, self.whole = kind == "words", kind is None
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -158,14 +196,19 @@ class ChunkEncoder:
         """Whether the chunks of this text may be cut and cached as above."""
         if text is None:
             return True
-        return "<|" not in text and (self.drops_space or text.isascii() or MIXED_SPACE.search(text) is None)
+        return "<|" not in text and not any(x in text for x in self.added) and (self.drops_space or text.isascii() or MIXED_SPACE.search(text) is None)
 
     def encode(self, texts: list[str | None]):
         """Yield ``(a, b, ids, offsets)`` for runs ``texts[a:b]`` of bounded size: the ids of text ``i``
         are ``ids[offsets[i - a]:offsets[i - a + 1]]``. A text longer than ``GROUP_CHARS`` is cut at safe
-        boundaries and comes as a run of its own."""
+        boundaries and comes as a run of its own (with a file that has none, as a whole)."""
         for a, b in byte_groups(texts, GROUP_CHARS):
             group = texts[a:b]
+            if self.whole:
+                pieces = self._library([t or "" for t in group])
+                yield (a, b, np.fromiter((i for x in pieces for i in x), dtype=np.uint32),
+                       np.concatenate(([0], np.cumsum([len(x) for x in pieces]))).astype(np.int64))
+                continue
             odd = [i for i, t in enumerate(group) if not self._plain(t)]
             if odd:
                 group = [t if self._plain(t) else None for t in group]
@@ -199,7 +242,7 @@ def slices(text: str, size: int = GROUP_CHARS):
 _ENCODERS: dict[tuple, ChunkEncoder] = {}
 
 
-def encoder(path: str, drops_space: bool) -> ChunkEncoder:
+def encoder(path: str, drops_space: bool | None = None) -> ChunkEncoder:
     """The worker process's encoder for a file: later tasks of the same worker find its cache filled."""
     key = (path, drops_space)
     if key not in _ENCODERS:

@@ -54,6 +54,15 @@ def among(rows: DataFrame, keys: DataFrame, key: str = "key", bits: int = 26) ->
             .where(F.getbit("_bits", spot.bitwiseAND(F.lit(63)).cast("int")) == 1).drop("_word", "_bits"))
 
 
+def not_among(rows: DataFrame, keys: DataFrame, key: str = "key", bits: int = 26) -> DataFrame:
+    """The rows that :func:`among` leaves out: their ``key`` is for certain not among ``keys``."""
+    spot = F.col(key).bitwiseAND(F.lit((1 << bits) - 1))
+    marks = keys.select(spot.alias("_s")).groupBy(F.shiftright("_s", 6).alias("_word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(_s & 63 as int))")).alias("_bits"))
+    return (rows.join(F.broadcast(marks), F.shiftright(spot, 6) == F.col("_word"), "left")
+            .where(F.getbit(F.coalesce("_bits", F.lit(0)), spot.bitwiseAND(F.lit(63)).cast("int")) == 0).drop("_word", "_bits"))
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Bijective 64-bit finalizer (xor-shift-multiply) over a uint64 array."""
     with np.errstate(over="ignore"):

@@ -49,7 +49,7 @@ def first_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray
 
 
 def cut_documents(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 1,
-                  drops_space: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                  drops_space: bool | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, start, length, ids_crc32, doc_tokens, n)``: the pieces of each document (null text: empty),
     its ids followed by ``end_id``. ``n`` numbers a task's pieces."""
     prepare(docs.sparkSession)
@@ -74,7 +74,7 @@ def cut_documents(docs: DataFrame, path: str, capacity: int = 2048, end_id: int
                            "id long, start long, length long, ids_crc32 long, doc_tokens long, n long")
 
 
-def pack(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 1, drops_space: bool = False,
+def pack(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 1, drops_space: bool | None = None,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pack every document into sequences of at most ``capacity`` ids. Per piece: ``id, start, length,
     ids_crc32, doc_tokens, sequence_id, offset``.

@@ -11,7 +11,7 @@ from tidemark.llm.chunks import encoder
 from tidemark.llm.common import prepare
 
 
-def count_tokens(docs: DataFrame, path: str, limit: int = 512, drops_space: bool = False,
+def count_tokens(docs: DataFrame, path: str, limit: int = 512, drops_space: bool | None = None,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, n_bytes, n_tokens, over_limit)`` per row of ``docs``.
 
@@ -20,7 +20,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 512, drops_space: bool
     balanced by bytes, and a text longer than a group is cut at safe boundaries (see
     :mod:`tidemark.llm.chunks`). No shuffle: only ids and three numbers a row leave the Python workers.
 
-    A null text counts as empty; null or repeated ids give a row each; an empty table gives none; other
+    Any file of the ``tokenizers`` library will do: how texts may be cut is read from it. A null text counts as empty; null or repeated ids give a row each; an empty table gives none; other
     columns are not read.
     """
     prepare(docs.sparkSession)

@@ -45,7 +45,7 @@ def _ids_rows(docs, path, drops_space, end_id):
                 yield keys[i], ids[offsets[i - a]:offsets[i - a + 1]].tobytes() + end
 
 
-def train_dictionary(docs: DataFrame, path: str, drops_space: bool, end_id: int,
+def train_dictionary(docs: DataFrame, path: str, drops_space: bool | None, end_id: int,
                      id_col: str = "doc_id", text_col: str = "text") -> bytes:
     """Dictionary fitted on the serialized ids of a bounded sample: about ``SAMPLE_DOCS`` documents, chosen
     by a hash of id and text, the first ``SAMPLE_BYTES`` of each. Empty if there is too little to train on."""
@@ -69,7 +69,7 @@ def train_dictionary(docs: DataFrame, path: str, drops_space: bool, end_id: int,
         return b""
 
 
-def write_token_files(docs: DataFrame, path: str, root: str, drops_space: bool = False, end_id: int = 2,
+def write_token_files(docs: DataFrame, path: str, root: str, drops_space: bool | None = None, end_id: int = 2,
                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode every whole text (null: empty), append ``end_id`` and write the files under ``root`` in
     ascending id order (nulls first; rows of one id by the hash of their text). Returns the manifest:
