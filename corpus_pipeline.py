@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import among, cut, doc_key, table
+from tidemark.llm.common import among, cut, doc_key, not_among, table
 from tidemark.llm.decontaminate import contaminated, cut_spans
 from tidemark.llm.langid import UNKNOWN, fit, identify
 from tidemark.llm.neardup import near_duplicates
@@ -60,11 +60,14 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     alone = F.when(F.col("root").isNull(), F.col("key"))
     first = F.min(F.struct(F.col("id").isNull().alias("nameless"), "id", "key", "n")).alias("first")
     kept = cut(keys.groupBy("root", alone.alias("alone")).agg(first).select("first.key", "first.n"), "kept")
-    rows = docs.select(*COLUMNS, doc_key("doc_id", "text").alias("key"))
-    single = rows.join(kept.where("n = 1"), "key", "left_semi").select(*COLUMNS)
+    # only texts of rows that go or repeat are looked for by key; all others stay where they are
+    gone = cut(keys.select("key").join(kept, "key", "left_anti").distinct(), "gone")
     repeated = kept.where("n > 1").select("key")
+    touched = gone.unionByName(repeated)
+    rows = docs.select(*COLUMNS, doc_key("doc_id", "text").alias("key"))
+    single = not_among(rows, touched).unionByName(among(rows, touched).join(touched, "key", "left_anti").select(*COLUMNS, "key"))
     one = among(rows, repeated).join(repeated, "key", "left_semi").groupBy("key").agg(F.min(F.struct(*COLUMNS)).alias("row"))
-    return single.unionByName(one.select("row.*"))
+    return single.select(*COLUMNS).unionByName(one.select("row.*"))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
