@@ -160,6 +160,20 @@ def test_token_files_round_trip(spark):
     assert none.count() == 0 and read_token_files(spark, none, root + "-none").count() == 0
 
 
+def test_few_texts_have_a_shared_dictionary_too(spark):
+    import hashlib
+
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(["some words again", "some words once more", None, ""])],
+                                 "doc_id long, text string")
+    root = scratch_dir(spark, "test-few")
+    manifest = write_token_files(docs, WORD, root, end_id=2)
+    assert manifest.first()["dictionary"] != hashlib.sha256(b"").hexdigest()
+    got = {r.doc_id: np.frombuffer(r.ids, dtype="<u4").tolist() for r in read_token_files(spark, manifest, root, with_ids=True).collect()}
+    assert got == {r.doc_id: _ids(WORD, r.text) + [2] for r in docs.collect()}
+    nothing = write_token_files(docs.where("doc_id > 1"), WORD, root + "-empty", end_id=2)
+    assert read_token_files(spark, nothing, root + "-empty").count() == 2
+
+
 def test_token_files_notice_damage(spark):
     import os
 

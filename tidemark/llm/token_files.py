@@ -48,7 +48,8 @@ def _ids_rows(docs, path, drops_space, end_id):
 def train_dictionary(docs: DataFrame, path: str, drops_space: bool | None, end_id: int,
                      id_col: str = "doc_id", text_col: str = "text") -> bytes:
     """Dictionary fitted on the serialized ids of a bounded sample: about ``SAMPLE_DOCS`` documents, chosen
-    by a hash of id and text, the first ``SAMPLE_BYTES`` of each. Empty if there is too little to train on."""
+    by a hash of id and text, the first ``SAMPLE_BYTES`` of each. Where that is too little or too uniform to train
+    on, the sample itself is the dictionary (its last ``DICTIONARY_BYTES``, as raw content); empty without a text."""
     import zstandard
 
     key = F.pmod(doc_key(id_col, text_col), F.lit(max(1, docs.count())))
@@ -61,12 +62,13 @@ def train_dictionary(docs: DataFrame, path: str, drops_space: bool | None, end_i
 
     samples = [bytes(r["ids"]) for r in sample.mapInArrow(run, "ids binary").collect()]
     total = sum(map(len, samples))
+    raw = b"".join(samples)[-DICTIONARY_BYTES:]
     if len(samples) < 16 or total < 32_768:
-        return b""
+        return raw
     try:
         return zstandard.train_dictionary(min(DICTIONARY_BYTES, total // 8), samples, level=LEVEL).as_bytes()
     except zstandard.ZstdError:  # samples too uniform to train on
-        return b""
+        return raw
 
 
 def write_token_files(docs: DataFrame, path: str, root: str, drops_space: bool | None = None, end_id: int = 2,
