@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 
 from tidemark.llm.shards import commit, store
-from tidemark.llm.warc import read_warc, write_warc
+from tidemark.llm.warc import read_warc, shard_bounds, write_warc
 from tidemark.session import scratch_dir
 
 
@@ -53,6 +53,16 @@ def test_files_depend_on_the_rows_alone(spark):
         assert gzip.decompress(data).startswith(b"WARC/1.1\r\nWARC-Type: warcinfo\r\n")
 
 
+def test_shards_hold_about_equal_bytes_wherever_the_ids_lie(spark):
+    ids = [*range(0, 300), 10**15, *range(-(2**62), -(2**62) + 50), 2**62]
+    pages = spark.createDataFrame([(i, None, "p" * 488) for i in ids], "page_id long, url string, html string")
+    manifest = write_warc(pages, scratch_dir(spark, "test-warc"), shard_bytes=20_000)
+    records = [r["records"] for r in manifest.collect()]
+    assert sum(records) == len(ids) and max(records) <= 20 and len(records) == -(-len(ids) // 20)
+    bounds = shard_bounds(spark.createDataFrame([(i, 488) for i in ids], "id long, bytes long").repartition(9), 20_000)
+    assert bounds.tolist() == sorted(ids)[::20]
+
+
 def test_commit_may_be_repeated_and_notices_loss(spark):
     root = scratch_dir(spark, "test-warc")
     manifest = write_warc(_pages(spark), root)
