@@ -303,7 +303,8 @@ def q_continuous_day(spark, sf_dir):
             run = run_day_continuous(
                 spark, ValuesAlgorithm(), ONE_DAY,
                 lambda date: read_dated_topics(spark, ["all"], date, root=topics, max_files_per_trigger=3),
-                lambda: ONE_DAY, f"{base}/out", f"{base}/ledger", f"{base}/checkpoints", trigger_seconds=1, poll_sec=0.5)
+                lambda: ONE_DAY, f"{base}/out", f"{base}/ledger", f"{base}/checkpoints", trigger_seconds=1, poll_sec=0.5,
+                timeout_sec=1800)
         told, until = 0, time.time() + 30
         while told < len(run.batches) and time.time() < until:  # progress events arrive a little later
             told += log.flush(spark)

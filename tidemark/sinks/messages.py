@@ -23,7 +23,6 @@ PARTITIONER_KEY = "extension.partitioner"
 QUEUE_WAIT_KEY = "extension.queue.full.waiting.ms"
 FLUSH_INTERVAL_KEY = "extension.flush.interval.ms"
 DEFAULT_QUEUE_WAIT_MS = 1000
-DEFAULT_FLUSH_INTERVAL_MS = 1000
 PREFIXES = ("topic.", "global.")
 # ---------------------------------------------------------------------------------------------
 
