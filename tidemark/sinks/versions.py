@@ -3,7 +3,8 @@
 An entry is one small text file ``{path}/{number}``, written beside and moved into place with a rename that
 fails where the number is taken (the rename with which Structured Streaming publishes its offsets). So an
 entry is there as a whole or not at all, and of several writers one gets the number. Entries name the data
-they publish; the data are written before.
+they publish; the data are written before. Like Spark's own checkpoints, this needs a file system whose rename
+is atomic (HDFS, local disks).
 """
 
 from __future__ import annotations
