@@ -21,8 +21,8 @@ from tidemark.llm.common import cut, prepare
 
 SHARD_ROWS = 1_024
 LEAF_ROWS = 64
-QUERY_ROWS = 512  # queries in a block
-RUN_SHARDS = 8  # shards that one task takes a block of queries through
+QUERY_ROWS = 4_096  # queries in a block
+RUN_SHARDS = 64  # most shards that one task takes a block of queries through
 
 _LOW = -(2**62)
 
@@ -141,7 +141,8 @@ def top_k(vectors: DataFrame, queries: str, k: int = 20, scale: float = 64.0, id
     if top < 0 or top * top * dim >= -_LOW:
         raise ValueError(f"components of up to {top} in {dim} dimensions: their products could leave 64 bits")
     shards, blocks = max(1, -(-n // SHARD_ROWS)), max(1, -(-q // QUERY_ROWS))
-    runs = -(-shards // RUN_SHARDS)
+    # enough runs for all cores, each of a bounded number of shards
+    runs = max(-(-shards // RUN_SHARDS), min(shards, -(-2 * spark.sparkContext.defaultParallelism // blocks)))
 
     def packed(frame: pd.DataFrame, tree: bool):
         frame = frame.sort_values(["id", "row"], kind="stable")
@@ -158,7 +159,7 @@ def top_k(vectors: DataFrame, queries: str, k: int = 20, scale: float = 64.0, id
         return dealt.groupBy("part").applyInPandas(lambda f: packed(f, tree), "part int, n int, ids binary, rows binary, data binary")
 
     # one row per shard and per block; every block meets every run of shards in one task
-    shard = parts(rows, shards, True).withColumn("run", (F.col("part") / RUN_SHARDS).cast("int"))
+    shard = parts(rows, shards, True).withColumn("run", F.pmod("part", F.lit(runs)))
     left = shard.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     right = parts(rows.where(queries), blocks, False).withColumnRenamed("part", "block") \
         .withColumn("run", F.explode(F.sequence(F.lit(0), F.lit(runs - 1))))
