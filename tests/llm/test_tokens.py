@@ -85,6 +85,25 @@ def test_long_texts_are_cut_without_a_trace(monkeypatch):
     assert [len(ids) for _, _, ids, _ in enc.encode(texts[:1])] == [len(got[0])]
 
 
+def test_the_arrays_of_an_encoder_stay_small():
+    import tracemalloc
+
+    rnd = random.Random(5)
+    words = ["".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(1, 6))) for _ in range(500)]
+    texts = [" ".join(rnd.choices(words, k=1000)) for _ in range(900)]
+    assert sum(map(len, texts)) > 3 << 20
+    enc = ChunkEncoder(BYTE)
+    list(enc.encode(texts[:100]))  # the cache has all chunks
+    tracemalloc.start()
+    try:
+        got = sum(len(ids) for _, _, ids, _ in enc.encode(texts))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert got > 900_000
+    assert peak < 80e6
+
+
 def test_token_counts(spark):
     docs = documents(spark)
     got = Counter(tuple(r) for r in count_tokens(docs, BYTE, limit=100).collect())

@@ -39,7 +39,7 @@ _LETTER[[*range(65, 91), *range(97, 123)]] = True
 _LATIN = np.zeros(256, dtype=bool)  # second bytes of the letters U+00C0 to U+00FF
 _LATIN[[x for x in range(0x80, 0xC0) if x not in (0x97, 0xB7)]] = True
 
-GROUP_CHARS = 4 << 20  # characters of text worked on at a time
+GROUP_CHARS = 1 << 20  # characters of text worked on at a time: about 100 bytes of arrays each
 BATCH_CHARS = 1 << 20  # characters handed to the library at a time
 CACHE_CHUNKS = 2_000_000  # distinct chunks kept; a full cache starts anew
 
