@@ -122,3 +122,52 @@ def test_resume_from_ledger_handles_batch_100_and_more(spark):
     got = {r.proc: (r.trace, r.batch_num, r.commit_time, r.error)
            for r in resume_from_ledger(procs, sync, ledger).collect()}
     assert got == {"a": ("20240103", 151, 2000, None), "b": ("20240106", 0, 0, None)}
+
+
+def _random_sync(spark, names):
+    import random
+
+    rnd = random.Random(7)
+    proc = [f"p{i}" for i in range(5)] + ["none", None]
+    probes = spark.createDataFrame([(rnd.randrange(60), rnd.choice(proc), rnd.choice([None, *range(50)])) for _ in range(300)],
+                                   "id long, proc string, probe_time long")
+    hist = spark.createDataFrame([(rnd.choice([*names, "other", None]), rnd.choice([None, "", *"abcdeé" * 4]),
+                                   rnd.choice([None, *range(45)]), i) for i in range(400)],
+                                 "ds string, value string, updated_at long, seq long")
+    ups = spark.createDataFrame([(rnd.choice([*proc[:5], None]), rnd.choice([*names * 6, "never", None])) for _ in range(14)]
+                                + [("p4", None)], "proc string, ds string")
+    return probes, hist, ups
+
+
+def test_sync_at_by_name_equals_a_row_per_upstream(spark, monkeypatch):
+    from collections import Counter
+
+    from tidemark.operators import meta
+
+    for names in (["x", "y", "z"], ["x"]):
+        probes, hist, ups = _random_sync(spark, names)
+        run = lambda: Counter(map(tuple, sync_at(probes, hist, upstreams=ups, tiebreak=["seq"]).collect()))  # noqa: B023, E731
+        monkeypatch.setattr(meta, "NAMES", 32)
+        by_name = run()
+        monkeypatch.setattr(meta, "NAMES", 0)
+        assert by_name == run() and sum(by_name.values()) == 300
+        assert len({r[3] for r in by_name}) > 3
+
+
+def test_sync_at_does_not_copy_a_probe_for_each_upstream(spark, monkeypatch):
+    from tidemark.operators import asof
+
+    written, write = [], asof.materialize
+
+    def counted(df, name):
+        out = write(df, name)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(asof, "materialize", counted)
+    probes = spark.createDataFrame([(i, "p", i) for i in range(100)], "id long, proc string, probe_time long")
+    hist = spark.createDataFrame([(f"d{i % 8}", str(i), i, i) for i in range(40)], "ds string, value string, updated_at long, seq long")
+    ups = spark.createDataFrame([("p", f"d{i}") for i in range(8)], "proc string, ds string")
+    got = {r.id: r.sync for r in sync_at(probes, hist, upstreams=ups, tiebreak=["seq"]).collect()}
+    assert sum(written) <= 140
+    assert got == {t: "" if t < 7 else min(str(max(i for i in range(d, 40, 8) if i <= t)) for d in range(8)) for t in range(100)}

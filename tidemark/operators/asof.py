@@ -13,6 +13,9 @@ pairs. Nothing here is broadcast by hand or collected into arrays. Two plans:
   history is partially aggregated to one row per (key, grid point), and a running ``last`` per key over
   those rows and the probes (rows per key bounded by the time span) answers every probe -- one pass over
   history, nothing written.
+
+:func:`asof_by_name` answers a probe for several keys at once, where these are few: it is the range plan
+with partitions of time alone, in which a probe is one row whatever the number of its keys.
 """
 
 from __future__ import annotations
@@ -88,6 +91,45 @@ def _asof_range(probes, history, by, probe_time, hist_time, values, tiebreak, nu
         *[f"CASE WHEN _t IS NULL THEN NULL ELSE coalesce(_own, _carry).{ident(v)} END AS {ident(v)}" for v in values])
 
 
+def asof_by_name(probes: DataFrame, history: DataFrame, names: list, by: str, probe_time: str, hist_time: str,
+                 value: str, tiebreak: list[str] | None = None, num_partitions: int | None = None) -> DataFrame:
+    """Probe columns plus ``_v0, _v1, ...``: the value of the latest history row of each name in ``names`` (values of the
+    history's column ``by``) at or before the probe's time, null when there is none.
+
+    Probes and history are range-partitioned on time, once for all names; running ``last`` values per name answer
+    the probes, and what a partition lacks comes from the ends of the earlier ones, one row per partition.
+    """
+    probe_cols, tiebreak = probes.columns, tiebreak or []
+    tb = [f"_tb{i}" for i in range(len(tiebreak))]
+    number = F.coalesce(*[F.when(F.col(by) == F.lit(n), F.lit(i)) for i, n in enumerate(names)])
+    p = probes.selectExpr(f"{_sql_struct(probe_cols)} AS _probe", f"{_time_sql(probes, probe_time)} AS _t")
+    h = history.withColumn("_name", number).selectExpr(
+        "_name", f"{_time_sql(history, hist_time)} AS _t", f"{_sql_struct([value])} AS _val",
+        *[f"{ident(c)} AS _tb{i}" for i, c in enumerate(tiebreak)]).where("_t IS NOT NULL AND _name IS NOT NULL")
+    val_type, probe_type = (d.schema[c].dataType.simpleString() for d, c in ((h, "_val"), (p, "_probe")))
+    tb_types = {c: h.schema[c].dataType.simpleString() for c in tb}
+    rows = h.selectExpr("_t", "0 AS _kind", *tb, "_name", "_val", f"CAST(NULL AS {probe_type}) AS _probe").unionByName(
+        p.selectExpr("_t", "1 AS _kind", *[f"CAST(NULL AS {tb_types[c]}) AS {c}" for c in tb], "CAST(NULL AS INT) AS _name",
+                     f"CAST(NULL AS {val_type}) AS _val", "_probe"))
+    n = num_partitions or int(probes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # drawn once, as in the other range plan
+    ranged = materialize(rows.repartitionByRange(n, "_t", "_kind", *tb).withColumn("_pid", F.spark_partition_id()), "asof-rows")
+    inside = Window.partitionBy("_pid").orderBy("_t", "_kind", *tb).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = ranged.select("*", *[F.last(F.when(F.col("_name") == i, F.col("_val")), ignorenulls=True).over(inside).alias(f"_own{i}")
+                                for i in range(len(names))]).where("_kind = 1")
+    tails = ranged.groupBy("_pid").agg(*[
+        F.expr(f"max_by(_val, struct(_t{''.join(', ' + c for c in tb)})) FILTER (WHERE _name = {i})").alias(f"_tail{i}")
+        for i in range(len(names))])
+    earlier = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
+    carried = tails.select("_pid", *[F.last(f"_tail{i}", ignorenulls=True).over(earlier).alias(f"_carry{i}")
+                                     for i in range(len(names))])
+    out = seen.join(carried, on="_pid", how="left")
+    return out.selectExpr(
+        *[f"_probe.{ident(c)} AS {ident(c)}" for c in probe_cols],
+        *[f"CASE WHEN _t IS NULL THEN NULL ELSE coalesce(_own{i}, _carry{i}).{ident(value)} END AS _v{i}"
+          for i in range(len(names))])
+
+
 def _asof_grid(probes, history, by, probe_time, hist_time, values, width, tiebreak):
     probe_cols = probes.columns
     keys = [f"_k{i}" for i in range(len(by))]

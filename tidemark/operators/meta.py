@@ -15,10 +15,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import next_day, parse_commit
-from tidemark.operators.asof import asof_join
+from tidemark.operators.asof import asof_by_name, asof_join
 from tidemark.operators.enrich import enrich
 
 MISSING = ""
+NAMES = 32  # upstream names that are looked up at once; with more, a probe is a row per upstream
 
 
 def current_meta(meta: DataFrame, keys: tuple[str, ...] = ("ds", "field"), value: str = "value",
@@ -59,8 +60,15 @@ def sync_at(probes: DataFrame, history: DataFrame, proc: str = "proc", probe_tim
     ``upstreams(proc, ds)`` lists each processor's upstreams; without it a processor's only upstream
     is the dataset of the same name. History rows ``(ds, value, updated_at)``. ``grid_us``: all probe
     times are multiples of it (see :func:`tidemark.operators.asof.asof_join`). Repeated probes stay.
+
+    With at most ``NAMES`` distinct upstream names (and no grid) a probe stays one row, whatever the number of its
+    upstreams; with more it is copied for each of them and regrouped.
     """
     pcols = probes.columns
+    if upstreams is not None and not grid_us:
+        names = [r[0] for r in upstreams.select(ds).where(F.col(ds).isNotNull()).distinct().limit(NAMES + 1).collect()]
+        if 0 < len(names) <= NAMES:
+            return _sync_by_name(probes, history, sorted(names), proc, probe_time, upstreams, ds, value, updated_at, tiebreak)
     if upstreams is None:
         fan = probes.withColumn("_ds", F.col(proc))
     else:
@@ -77,6 +85,17 @@ def sync_at(probes: DataFrame, history: DataFrame, proc: str = "proc", probe_tim
     return matched.groupBy("_row", *pcols).agg(F.min(seen).alias("sync")).drop("_row")
 
 
+def _sync_by_name(probes, history, names, proc, probe_time, upstreams, ds, value, updated_at, tiebreak):
+    """``sync_at`` where the upstreams have few names: which of them a processor has is a bit mask."""
+    bit = F.coalesce(*[F.when(F.col(ds) == F.lit(n), F.lit(1 << i)) for i, n in enumerate(names)]).cast("long")
+    asked = upstreams.select(F.col(proc).alias(proc), bit.alias("_b")).where("_b is not null") \
+        .groupBy(proc).agg(F.bit_or("_b").alias("_names"))
+    matched = asof_by_name(enrich(probes, asked, on=proc, how="left").select(*probes.columns, "_names"), history, names, ds,
+                           probe_time, updated_at, value, tiebreak)
+    seen = [F.when(F.getbit("_names", F.lit(i)) == 1, F.coalesce(f"_v{i}", F.lit(MISSING))) for i in range(len(names))]
+    return matched.select(*probes.columns, (F.least(*seen) if len(seen) > 1 else seen[0]).alias("sync"))
+
+
 def resume_state(processors: DataFrame, sync: DataFrame, commits: DataFrame, proc: str = "proc",
                  commit: str = "commit") -> DataFrame:
     """Start state of each processor: ``(proc, trace, batch_num, commit_time, error)``.

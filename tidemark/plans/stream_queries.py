@@ -228,7 +228,7 @@ def q_live_sync(spark, sf_dir):
     schema = parts.drop("part").schema
     for k in range(CHUNKS):
         arrived = parts.where(F.col("part") == k).drop("part")
-        arrived.repartition(2, "event_id").write.mode("append").parquet(f"{base}/arrived")
+        arrived.repartition("event_id").write.mode("append").parquet(f"{base}/arrived")  # as many files as its size asks for
         read = spark.readStream.schema(schema).parquet(f"{base}/arrived")
         history = read.select(F.col("proc").alias("ds"), F.col("day_before").alias("value"), F.col("us").alias("updated_us"),
                               F.col("event_id").alias("seq"))
